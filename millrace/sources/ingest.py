@@ -29,8 +29,7 @@ def ingest(spark: SparkSession, registry, prefix, batch_id, namespace=None) -> D
     for reference, short, *_ in registry:
         try:
             rows_in = require_rows(scan_csv(spark, reference, pinned(short)), reference)
-            batch = f"{prefix}/batch={batch_id}"
-            path, rows = land(rows_in, batch, short)
+            path, rows = land(rows_in, prefix, short, batch_id)
             table = table_name(short, namespace) if namespace else None
             if table:
                 append_table(scan(spark, path), table, batch_id, f"{prefix}/tables/{short}")

@@ -16,10 +16,13 @@ def table_name_column(stem, namespace="mlops"):
     return F.concat(F.lit(f"{namespace}."), F.translate(stem, "-.", "__"))
 
 
-def land(df: DataFrame, prefix, short, mode="append") -> tuple[str, int]:
-    """Write a dataset under ``{prefix}/raw/{short}``; returns path and rows."""
-    path = f"{prefix}/raw/{short}"
-    return path, write_counted(df, path, mode)
+def land(df: DataFrame, prefix, short, batch_id) -> tuple[str, int]:
+    """Write one batch under ``{prefix}/raw/{short}``; returns path and rows.
+
+    A batch has its own folder, so a rerun replaces it instead of doubling it.
+    """
+    path = f"{prefix}/raw/{short}/batch={batch_id}"
+    return path, write_counted(df, path, mode="overwrite")
 
 
 def append_table(df: DataFrame, identifier, batch_id, path=None):
