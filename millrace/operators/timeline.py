@@ -48,8 +48,13 @@ def large_entities(df: DataFrame, limits: Limits, frame=None) -> DataFrame:
     return sizes.filter((F.col("rows") > limits.group_rows) | (F.col("peak") > limits.frame_rows))
 
 
+def entity(key):
+    """Entity key in a struct, so that rows without a key form one entity."""
+    return F.struct(F.col(key).alias("id"))
+
+
 def _split(df, large):
-    """(ordinary, large) halves of a frame; null keys are ordinary."""
+    """(ordinary, large) halves of a frame."""
     keys = large.select("key")
     return df.join(keys, "key", "left_anti"), df.join(keys, "key", "left_semi")
 
@@ -89,7 +94,6 @@ def latest_before(probes: DataFrame, facts: DataFrame, limits=Limits()) -> DataF
 
     ``probes`` has key, pos and any further columns; ``facts`` has key, pos and
     a struct ``payload``, with at most one fact per (key, pos).  Adds ``found``.
-    Null keys match nothing.
     """
     rest = [c for c in probes.columns if c not in ("key", "pos")]
     carried = probes.select("key", "pos", F.struct(F.lit(1).alias("_"), *rest).alias("row"))
@@ -118,7 +122,7 @@ def _sides(probes, facts):
 
 
 def _plain_lookup(probes, facts):
-    known = _sides(probes, facts.filter(F.col("key").isNotNull()))
+    known = _sides(probes, facts)
     found = known.select("key", "pos", "kind", "row", _last_known(known, ["key"]))
     return found.filter("kind = 1").select("key", "pos", "row", "found")
 
@@ -150,18 +154,18 @@ def asof_join(
 ) -> DataFrame:
     """Latest feature row at or before the entity time, unmatched kept.
 
-    Adds the feature columns ``values`` and ``feature_ts`` under the names
-    given.  Of several feature rows at one time the one with the largest
+    Adds the feature columns ``values`` and ``feature_ts``.  An entity without
+    a key matches nothing.  Of several feature rows at one time the one with the largest
     ``tie`` counts.  With a time to live, a feature expires that long after
     its own time; the moment of expiry itself is already too late.
     """
     packed = F.struct(F.col(feature_ts), *[F.col(v) for v in values])
     facts = features.filter(F.col(key).isNotNull() & F.col(feature_ts).isNotNull()).select(
-        F.col(key).alias("key"), micros(feature_ts).alias("pos"), packed.alias("payload"),
+        entity(key).alias("key"), micros(feature_ts).alias("pos"), packed.alias("payload"),
         F.col(tie or feature_ts).alias("tie"),
     )
     facts = facts.groupBy("key", "pos").agg(F.max_by("payload", "tie").alias("payload"))
-    probes = entities.withColumns({"key": F.col(key), "pos": micros(ts)})
+    probes = entities.withColumns({"key": entity(key), "pos": micros(ts)})
     joined = latest_before(probes, facts, limits)
     found = F.col("found")
     if ttl_micros is not None:
@@ -182,10 +186,10 @@ def has_event_after(
     """
     facts = (
         targets.filter(F.col(key).isNotNull() & F.col(target_ts).isNotNull())
-        .select(F.col(key).alias("key"), (-micros(target_ts)).alias("pos")).distinct()
+        .select(entity(key).alias("key"), (-micros(target_ts)).alias("pos")).distinct()
         .withColumn("payload", F.struct((-F.col("pos")).alias("at")))
     )
-    probes = entities.withColumns({"key": F.col(key), "pos": -micros(ts) - 1})
+    probes = entities.withColumns({"key": entity(key), "pos": -micros(ts) - 1})
     found = latest_before(probes, facts, limits)
     hit = F.col("found.at") <= micros(ts) + F.lit(horizon_micros)
     return found.select(
@@ -204,7 +208,7 @@ def rolling(
     The frame is [ts - span, ts] per entity, rows of the same time included.
     """
     rows = df.withColumns(
-        {"key": F.col(key), "pos": micros(ts), "v": F.col(value).cast("double")}
+        {"key": entity(key), "pos": micros(ts), "v": F.col(value).cast("double")}
     )
     large = large_entities(rows.select("key", "pos"), limits, frame=span_micros)
     if large.isEmpty():
@@ -298,7 +302,7 @@ def trailing_rows(
 
     ``tie`` makes the order of an entity's rows unique.
     """
-    data = df.withColumns({"key": F.col(key), "pos": micros(ts), "v": F.col(value).cast("double")})
+    data = df.withColumns({"key": entity(key), "pos": micros(ts), "v": F.col(value).cast("double")})
     large = large_entities(data.select("key", "pos"), limits)
     if large.isEmpty():
         out = _plain_trailing(data, ["key"], tie, rows)
