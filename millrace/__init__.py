@@ -1,5 +1,9 @@
 """Spark-native data jobs for a machine-learning platform."""
 
-from millrace.session import build_session, fresh_path
+import sys
 
-__all__ = ["build_session", "fresh_path"]
+from pyspark import cloudpickle
+
+# Functions sent to executors travel whole, so executors need no copy of this
+# package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

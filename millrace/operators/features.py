@@ -63,9 +63,9 @@ def normalise(df: DataFrame, column, fit: DataFrame) -> DataFrame:
     )
 
 
-def fit_ordinal(df: DataFrame, column) -> DataFrame:
+def fit_ordinal(df: DataFrame, column, **options) -> DataFrame:
     """Mapping from each value to its position in sorted order."""
-    return ordinal_codes(df, column)
+    return ordinal_codes(df, column, **options)
 
 
 def ordinal_encode(df: DataFrame, column, mapping: DataFrame, name=None) -> DataFrame:

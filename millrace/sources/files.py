@@ -92,4 +92,4 @@ def between_times(df: DataFrame, ts, start, end, partition=None) -> DataFrame:
 
 def project(df: DataFrame, features, label=None) -> DataFrame:
     """Only the requested features and the label."""
-    return df.select(*features, *([label] if label else []))
+    return df.select(*features, *([] if label is None else [label]))
