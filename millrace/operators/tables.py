@@ -78,9 +78,9 @@ def resolve_approvals(approvals: DataFrame, decisions: DataFrame) -> DataFrame:
     joined = approvals.join(first, "id", "left")
     hit = (F.col("status") == "pending") & F.col("new_status").isNotNull()
     resolved = update(
-        joined, hit,
+        joined.withColumn("decision_reason", F.when(hit, F.col("decision_reason"))), hit,
         {"resolved_by": F.col("approver"), "resolved_at": F.col("decided_at"), "status": F.col("new_status")},
-    ).withColumn("decision_reason", F.when(hit, F.col("decision_reason")))
+    )
     return resolved.select(*approvals.columns, "decision_reason")
 
 
