@@ -6,27 +6,23 @@ from pyspark.sql import functions as F
 from millrace.functions.fixed import TOOL_RULES
 
 
-def _kind(value: Column) -> Column:
-    """Type name of a variant; null when the key is absent."""
-    return F.schema_of_variant(value)
-
-
 def _is_number(kind):
     return kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
 
 
-def _property_rules(value: Column, name, rules):
-    """(rule name, broken) pairs for one property; absent keys break nothing here."""
-    kind = _kind(value)
-    present = kind.isNotNull()
+def _property_rules(value: Column, kind: Column, name, rules):
+    """(rule name, broken) pairs for one property; an absent one breaks nothing here.
+
+    ``kind`` is the type name of the value, null when the key is absent.
+    """
     text = F.try_variant_get(value, "$", "string")
     number = F.try_variant_get(value, "$", "double")
     is_text, is_number = kind == "STRING", _is_number(kind)
     broken = []
     if rules.get("type") == "string":
-        broken.append((f"type:{name}", present & ~is_text))
+        broken.append((f"type:{name}", ~is_text))
     if rules.get("type") == "number":
-        broken.append((f"type:{name}", present & ~is_number))
+        broken.append((f"type:{name}", ~is_number))
     if "minLength" in rules:
         broken.append((f"minLength:{name}", is_text & (F.length(text) < rules["minLength"])))
     if "maxLength" in rules:
@@ -34,35 +30,61 @@ def _property_rules(value: Column, name, rules):
     if "minimum" in rules:
         broken.append((f"minimum:{name}", is_number & (number < rules["minimum"])))
     if "enum" in rules:
-        broken.append((f"enum:{name}", present & ~(is_text & text.isin(rules["enum"]))))
+        broken.append((f"enum:{name}", ~(is_text & text.isin(rules["enum"]))))
     return broken
 
 
-def broken_rules(parsed, raw, schema) -> Column:
-    """Names of the rules a JSON object column breaks, in schema order."""
-    found = []
-    for name in schema["required"]:
-        absent = F.try_variant_get(parsed, f"$.{name}", "variant").isNull()
-        found.append((f"required:{name}", absent))
+def broken_rules(values, kinds, keys: Column, schema) -> Column:
+    """Names of the rules an argument object breaks, in schema order.
+
+    ``values`` and ``kinds`` map a property name to its value and type name;
+    ``keys`` are the keys of the object.
+    """
+    found = [(f"required:{name}", kinds[name].isNull()) for name in schema["required"]]
     for name, rules in schema["properties"].items():
-        found += _property_rules(F.try_variant_get(parsed, f"$.{name}", "variant"), name, rules)
+        found += _property_rules(values[name], kinds[name], name, rules)
     known = F.array(*[F.lit(name) for name in schema["properties"]])
-    extra = F.size(F.array_except(F.json_object_keys(raw), known)) > 0
-    found.append(("additionalProperties", extra))
-    names = F.array(*[F.when(F.coalesce(bad, F.lit(False)), F.lit(rule)) for rule, bad in found])
-    return F.array_compact(names)
+    found.append(("additionalProperties", F.size(F.array_except(keys, known)) > 0))
+    names = F.array(*[F.when(bad, F.lit(rule)) for rule, bad in found])
+    # Unlike array_compact this stays in generated code.
+    return F.array_except(names, F.array(F.lit(None).cast("string")))
 
 
 def check_arguments(df: DataFrame, tool, arguments, rules=None) -> DataFrame:
-    """Adds ``broken`` (rule names) and ``valid`` for a tool-argument column."""
+    """Adds ``broken`` (rule names) and ``valid`` for a tool-argument column.
+
+    The text is parsed once, and each property taken out once, whatever the
+    number of rules on it.
+    """
     rules = TOOL_RULES if rules is None else rules
+    users = {}
+    for name, schema in rules.items():
+        for prop in schema["properties"]:
+            users.setdefault(prop, []).append(name)
     parsed = df.withColumn("_parsed", F.try_parse_json(arguments))
-    raw, variant = F.col(arguments), F.col("_parsed")
-    verdict = F.when(variant.isNull(), F.array(F.lit("malformed"))).when(
-        ~F.schema_of_variant(variant).startswith("OBJECT"), F.array(F.lit("type"))
+    taken = parsed.withColumns(
+        {
+            f"_v_{prop}": F.when(
+                F.col(tool).isin(tools), F.try_variant_get("_parsed", f"$.{prop}", "variant")
+            )
+            for prop, tools in users.items()
+        }
+    )
+    typed = taken.withColumns(
+        {
+            **{f"_t_{prop}": F.schema_of_variant(F.col(f"_v_{prop}")) for prop in users},
+            "_whole": F.schema_of_variant(F.col("_parsed")),
+            "_keys": F.json_object_keys(arguments),
+        }
+    )
+    values = {prop: F.col(f"_v_{prop}") for prop in users}
+    kinds = {prop: F.col(f"_t_{prop}") for prop in users}
+    verdict = F.when(F.col("_whole").isNull(), F.array(F.lit("malformed"))).when(
+        ~F.col("_whole").startswith("OBJECT"), F.array(F.lit("type"))
     )
     for name, schema in rules.items():
-        verdict = verdict.when(F.col(tool) == name, broken_rules(variant, raw, schema))
+        broken = broken_rules(values, kinds, F.col("_keys"), schema)
+        verdict = verdict.when(F.col(tool) == name, broken)
     verdict = verdict.otherwise(F.array(F.lit("unknown_tool")))
-    checked = parsed.withColumn("broken", verdict)
-    return checked.withColumn("valid", F.size("broken") == 0).drop("_parsed")
+    checked = typed.withColumn("broken", verdict)
+    return checked.withColumn("valid", F.size("broken") == 0).select(*df.columns, "broken", "valid")

@@ -54,7 +54,7 @@ def array_or_empty(c, kind="array<string>") -> Column:
 
 
 def assemble_conversations(
-    turns: DataFrame, session, turn, role, content, chunk=10_000
+    turns: DataFrame, session, turn, role, content, chunk=1_000
 ) -> DataFrame:
     """Ordered message arrays per session.
 
@@ -70,7 +70,7 @@ def assemble_conversations(
     )
 
 
-def explode_conversations(conversations: DataFrame, session, chunk=10_000) -> DataFrame:
+def explode_conversations(conversations: DataFrame, session, chunk=1_000) -> DataFrame:
     """The inverse: one row per message with its turn number."""
     return conversations.select(
         session, "part", F.posexplode("messages").alias("offset", "message")

@@ -16,6 +16,9 @@ from millrace.functions.text import clean_missing
 from millrace.operators.ordered import exact_quantiles
 from millrace.session import materialise
 
+# Eight bytes each.
+HASHES_SENT = 2_000_000
+
 REPORT_COLUMNS = ["check", "column", "success", "evaluated", "unexpected", "detail"]
 
 
@@ -129,15 +132,19 @@ def _report_row(df, check, column, evaluated, unexpected, detail):
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """Repeated full rows with their ``copies``; missing equals missing.
 
-    A wide row is first reduced to a hash: the shuffle then carries 8 bytes per
-    row, and only rows whose hash repeats are compared in full.
+    A wide row is first reduced to a hash: that shuffle carries 8 bytes per
+    row.  The repeated hashes are written and counted, and only rows that have
+    one are compared in full.  A short list is sent to every task, so that rows
+    without a double are never shuffled at all.
     """
     names = df.columns
     rows = df
     if len(names) > 2:
         hashed = df.withColumn("_h", F.xxhash64(*[_hashable(f) for f in df.schema.fields]))
-        repeated = hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-        rows = hashed.join(repeated.select("_h"), "_h", "left_semi")
+        counts = hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("_n"))
+        repeated, n = materialise(counts.filter("_n > 1").select("_h"), "repeated")
+        listed = F.broadcast(repeated) if n <= HASHES_SENT else repeated
+        rows = hashed.join(listed, "_h", "left_semi")
     return rows.groupBy(*names).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
 
 

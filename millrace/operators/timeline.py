@@ -4,8 +4,8 @@ Each has two plans with the same result.  Entities of ordinary size use one
 window per entity.  Entities whose rows would overload a task are found by
 counting first, and only they take the second plan, which cuts their timeline
 into slots: work inside a slot is local, and one summary row per slot carries
-the rest.  The list of such entities is short by construction, because each
-holds more than ``GROUP_ROWS`` rows.
+the rest.  The list of such entities is written and counted, and it is sent to
+every task only if it is short.
 """
 
 from dataclasses import dataclass
@@ -13,9 +13,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.session import materialise
+
 GROUP_ROWS = 2_000_000
 FRAME_ROWS = 5_000
 BLOCK_ROWS = 100_000
+LIST_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -36,16 +39,23 @@ def micros(c):
 # --- measuring and splitting off large entities --------------------------------
 
 
-def large_entities(df: DataFrame, limits: Limits, frame=None) -> DataFrame:
-    """Entities of a (key, pos) frame with too many rows per group or frame."""
+def large_entities(df: DataFrame, limits: Limits, frame=None) -> tuple[DataFrame, int]:
+    """Entities of a (key, pos) frame with too many rows per group or frame.
+
+    Returns their keys, written once, and how many there are.
+    """
     if frame is None:
         sizes = df.groupBy("key").agg(F.count(F.lit(1)).alias("rows"))
-        return sizes.filter(F.col("rows") > limits.group_rows)
-    blocks = df.groupBy("key", F.floor(F.col("pos") / frame).alias("block")).agg(
-        F.count(F.lit(1)).alias("rows")
-    )
-    sizes = blocks.groupBy("key").agg(F.sum("rows").alias("rows"), F.max("rows").alias("peak"))
-    return sizes.filter((F.col("rows") > limits.group_rows) | (F.col("peak") > limits.frame_rows))
+        large = sizes.filter(F.col("rows") > limits.group_rows)
+    else:
+        blocks = df.groupBy("key", F.floor(F.col("pos") / frame).alias("block")).agg(
+            F.count(F.lit(1)).alias("rows")
+        )
+        sizes = blocks.groupBy("key").agg(F.sum("rows").alias("rows"), F.max("rows").alias("peak"))
+        large = sizes.filter(
+            (F.col("rows") > limits.group_rows) | (F.col("peak") > limits.frame_rows)
+        )
+    return materialise(large.select("key"), "large-entities")
 
 
 def entity(key):
@@ -53,23 +63,22 @@ def entity(key):
     return F.struct(F.col(key).alias("id"))
 
 
-def _split(df, large):
+def _split(df, large, count):
     """(ordinary, large) halves of a frame."""
-    keys = large.select("key")
+    keys = F.broadcast(large) if count <= LIST_ROWS else large
     return df.join(keys, "key", "left_anti"), df.join(keys, "key", "left_semi")
 
 
-def slot_width(df: DataFrame, group_rows, start=None) -> int:
-    """Microseconds per slot so that no (key, slot) has too many positions.
+def slot_width(df: DataFrame, group_rows, start=None, by=("key",), axis="pos") -> int:
+    """Width of slots along an axis so that none holds too many rows.
 
-    Measures, and narrows until it fits; at one microsecond a slot holds a
-    single position.
+    Measures, and narrows until it fits or a slot is a single position.
     """
-    span = df.agg((F.max("pos") - F.min("pos")).alias("span")).first()["span"] or 1
+    span = df.agg((F.max(axis) - F.min(axis)).alias("span")).first()["span"] or 1
     width = start or span + 1
     while width > 1:
         fullest = (
-            df.groupBy("key", F.floor(F.col("pos") / width)).agg(F.count(F.lit(1)).alias("n"))
+            df.groupBy(*by, F.floor(F.col(axis) / width)).agg(F.count(F.lit(1)).alias("n"))
             .agg(F.max("n")).first()[0]
         ) or 0
         if fullest <= group_rows:
@@ -98,12 +107,12 @@ def latest_before(probes: DataFrame, facts: DataFrame, limits=Limits()) -> DataF
     rest = [c for c in probes.columns if c not in ("key", "pos")]
     carried = probes.select("key", "pos", F.struct(F.lit(1).alias("_"), *rest).alias("row"))
     everything = carried.select("key", "pos").unionByName(facts.select("key", "pos"))
-    large = large_entities(everything, limits)
+    large, count = large_entities(everything, limits)
     back = ["key", "pos", *[F.col(f"row.{c}").alias(c) for c in rest], "found"]
-    if large.isEmpty():
+    if not count:
         return _plain_lookup(carried, facts).select(*back)
-    small_probes, large_probes = _split(carried, large)
-    small_facts, large_facts = _split(facts, large)
+    small_probes, large_probes = _split(carried, large, count)
+    small_facts, large_facts = _split(facts, large, count)
     plain = _plain_lookup(small_probes, small_facts)
     sliced = _sliced_lookup(large_probes, large_facts, limits)
     return plain.unionByName(sliced).select(*back)
@@ -210,11 +219,11 @@ def rolling(
     rows = df.withColumns(
         {"key": entity(key), "pos": micros(ts), "v": F.col(value).cast("double")}
     )
-    large = large_entities(rows.select("key", "pos"), limits, frame=span_micros)
-    if large.isEmpty():
+    large, count = large_entities(rows.select("key", "pos"), limits, frame=span_micros)
+    if not count:
         out = _plain_rolling(rows, span_micros)
     else:
-        small, hot = _split(rows, large)
+        small, hot = _split(rows, large, count)
         out = _plain_rolling(small, span_micros).unionByName(_sliced_rolling(hot, span_micros, limits))
     named = {
         f"{prefix}_count": F.col("r_n"),
@@ -303,11 +312,11 @@ def trailing_rows(
     ``tie`` makes the order of an entity's rows unique.
     """
     data = df.withColumns({"key": entity(key), "pos": micros(ts), "v": F.col(value).cast("double")})
-    large = large_entities(data.select("key", "pos"), limits)
-    if large.isEmpty():
+    large, count = large_entities(data.select("key", "pos"), limits)
+    if not count:
         out = _plain_trailing(data, ["key"], tie, rows)
     else:
-        small, hot = _split(data, large)
+        small, hot = _split(data, large, count)
         out = _plain_trailing(small, ["key"], tie, rows).unionByName(
             _sliced_trailing(hot, tie, rows, limits)
         )
@@ -334,15 +343,27 @@ def _plain_trailing(data, keys, tie, rows):
 
 
 def _sliced_trailing(data, tie, rows, limits):
-    """Blocks of consecutive rows; each also sees the last rows of the one before."""
+    """Blocks of consecutive rows; each also sees the last rows of the one before.
+
+    Rows are numbered by slot.  Where even one moment holds too many rows of an
+    entity, a numeric ``tie`` is cut into slots as well.
+    """
     width = slot_width(data.select("key", "pos"), limits.group_rows)
     slots = data.withColumn("slot", F.floor(F.col("pos") / width))
-    sizes = slots.groupBy("key", "slot").agg(F.count(F.lit(1)).alias("n"))
-    earlier = Window.partitionBy("key").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("key", "slot", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("off"))
-    inside = F.row_number().over(Window.partitionBy("key", "slot").orderBy("pos", tie)) - 1
+    part = F.lit(0).cast("long")
+    if width == 1 and data.schema[tie].dataType.typeName() in ("long", "integer", "short", "byte"):
+        tied = data.select("key", "pos", F.col(tie).cast("long").alias("tie"))
+        part = F.floor(F.col(tie) / slot_width(tied, limits.group_rows, by=("key", "pos"), axis="tie"))
+    slots = slots.withColumn("part", part)
+    place = ["key", "slot", "part"]
+    sizes = slots.groupBy(*place).agg(F.count(F.lit(1)).alias("n"))
+    earlier = (
+        Window.partitionBy("key").orderBy("slot", "part").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    offsets = sizes.select(*place, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("off"))
+    inside = F.row_number().over(Window.partitionBy(*place).orderBy("pos", tie)) - 1
     placed = (
-        slots.withColumn("at", inside).join(offsets, ["key", "slot"])
+        slots.withColumn("at", inside).join(offsets, place)
         .withColumn("at", F.col("at") + F.col("off"))
     )
     block = max(rows, limits.block_rows)
