@@ -28,6 +28,8 @@ REPLY_TICKET = (
 REPLY_NOTE = "✅ Note added to your account."
 REPLY_OTHER_TOOL = "✅ Request completed successfully."
 REPLY_GENERIC = "I've processed your request. How else can I help?"
+PLANNING_FAILED = "Planning failed: %s"
+INVALID_ARGUMENTS = "Invalid tool arguments for %s: %s"
 EMPTY_MESSAGES = "empty_messages"
 
 # Argument rules of the four tools.

@@ -3,12 +3,13 @@
 from pyspark.sql import functions as F
 
 from millrace.operators import models
+from millrace.operators.tables import drop
+from millrace.plans import training
 from millrace.plans.catalog.registry import query, rounded, table, time_text
 from millrace.schemas import ORDERS, RUN_METADATA
 from millrace.session import fresh_path, write_counted
 from millrace.sources import files, metadata, sinks
 from millrace.sources.ingest import ingest
-from millrace.operators.tables import drop
 
 
 @query(
@@ -111,6 +112,31 @@ def extract_time_range(spark, directory):
     )
 
 
+@query(
+    "extract_snapshot",
+    """
+    SELECT 'orders' AS dataset, count(*) AS n_rows, 3::BIGINT AS n_columns, count(*) AS written,
+           strftime(min(o_orderdate), '%Y-%m-%d %H:%M:%S.%f') AS first_time,
+           strftime(max(o_orderdate), '%Y-%m-%d %H:%M:%S.%f') AS last_time
+    FROM orders WHERE o_orderdate >= TIMESTAMP '1996-02-29' AND o_orderdate < TIMESTAMP '1999-07-01'
+    """,
+)
+def extract_snapshot(spark, directory):
+    """A written snapshot of a time range and a few columns, and its facts."""
+    snapshot = training.extract_snapshot(
+        spark, f"{directory}/orders.parquet", fresh_path(spark, "snapshot"), "o_orderdate",
+        "1996-02-29", "1999-07-01", ["o_orderkey", "o_totalprice"], dataset="orders",
+    )
+    return snapshot.facts.select(
+        "dataset",
+        F.col("rows").alias("n_rows"),
+        F.col("columns").alias("n_columns"),
+        F.lit(snapshot.rows).cast("long").alias("written"),
+        time_text("first_time").alias("first_time"),
+        time_text("last_time").alias("last_time"),
+    )
+
+
 @query(
     "snapshot_metadata",
     """

@@ -1,12 +1,14 @@
 """Queries on approvals, tool calls, conversations, audit rows and inference."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions import nested, rules, text
 from millrace.functions.json_rules import check_arguments
 from millrace.operators import inference, joins, metrics, tables
 from millrace.plans import stand_ins, tool_calls
 from millrace.plans.catalog.registry import query, rounded, table, time_text
+from millrace.schemas import USERS
 from millrace.session import fresh_path
 
 ISO_SQL = "strftime({c}, '%Y-%m-%dT%H:%M:%S') || '+00:00'"
@@ -116,6 +118,11 @@ def update_delete(spark, directory):
     return left.select("o_orderkey", "o_orderstatus", "o_totalprice")
 
 
+NEW_USERS = T.StructType(
+    [f for f in USERS if f.name != "updated_at"] + [T.StructField("known_id", T.StringType())]
+)
+
+
 @query(
     "insert_defaults",
     f"""
@@ -130,10 +137,8 @@ def insert_defaults(spark, directory):
     name = "millrace_users"
     path = fresh_path(spark, "users")
     tables.drop(spark, name)
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} (id STRING, email STRING, provider STRING, name STRING, "
-        f"allowed_orgs ARRAY<STRING>, known_id STRING, created_at TIMESTAMP) USING parquet LOCATION '{path}'"
-    )
+    tables.create_if_absent(spark, name, NEW_USERS, path)
+    tables.create_if_absent(spark, name, NEW_USERS, path)
     people = _users(spark, directory).withColumn(
         "known_id", F.when(F.col("id") == 0, "anonymous").otherwise(F.col("id").cast("string"))
     ).drop("id")
@@ -307,6 +312,44 @@ def run_tool_calls(spark, directory):
     return tool_calls.run_tool_calls(_calls(spark, directory), LIMIT).replies
 
 
+PLANNED_SQL = """
+planned AS (
+  SELECT *, o_orderstatus <> 'O' AS success FROM calls JOIN orders ON session_id = o_orderkey::VARCHAR
+)
+"""
+
+
+@query(
+    "plan_actions",
+    f"""
+    WITH {stand_ins.TOOL_CALLS_SQL}, {PLANNED_SQL}
+    SELECT session_id,
+           CASE WHEN success AND tool <> 'lookup_weather' THEN tool ELSE '' END AS tool,
+           CASE WHEN success AND tool <> 'lookup_weather' THEN args ELSE '' END AS args,
+           CASE WHEN success AND tool = 'lookup_weather' AND o_orderstatus = 'P' THEN 'Sunny in ' || o_custkey ELSE '' END AS direct,
+           CASE WHEN success THEN '' ELSE 'Planning failed: unknown' END AS plan_error
+    FROM planned
+    """,
+)
+def plan_actions(spark, directory):
+    """First tool call, direct reply or failure out of each model reply."""
+    orders = table(spark, directory, "orders")
+    calls = stand_ins.tool_calls(orders, "o_orderstatus", "o_custkey")
+    wanted = F.col("tool") != "lookup_weather"
+    call = F.struct(F.struct(F.col("tool").alias("name"), F.col("args").alias("arguments")).alias("function"))
+    replies = calls.select(
+        "session_id",
+        (F.col("o_orderstatus") != "O").alias("success"),
+        F.lit(None).cast("string").alias("error"),
+        F.when(F.col("o_orderstatus") == "P", F.concat(F.lit(" \n Sunny in "), "o_custkey", F.lit("\t"))).alias("content"),
+        F.when(wanted, F.to_json(F.array(call, call))).otherwise("[]").alias("tool_calls"),
+    )
+    planned = tool_calls.plan(replies)
+    return planned.select(
+        "session_id", *[F.coalesce(c, F.lit("")).alias(c) for c in ("tool", "args", "direct", "plan_error")]
+    )
+
+
 @query(
     "approval_requests",
     f"""

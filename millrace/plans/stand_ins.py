@@ -47,26 +47,29 @@ RESULTS = {
 }
 
 
-def _filled(template):
-    """Template text with the order key and price put in."""
-    parts = F.lit(template)
-    for mark, column in (("{k}", "o_orderkey"), ("{p}", "o_totalprice")):
-        parts = F.replace(parts, F.lit(mark), F.col(column).cast("string"))
-    return parts
-
-
-def tool_calls(orders: DataFrame) -> DataFrame:
-    """One tool call per order."""
-    tool = arguments = result = None
-    for priority, name in TOOLS.items():
-        match = F.col("o_orderpriority") == priority
-        tool = F.when(match, name) if tool is None else tool.when(match, name)
-        filled = _filled(RESULTS[name])
-        result = F.when(match, filled) if result is None else result.when(match, filled)
-    for (priority, status), template in ARGUMENTS.items():
-        match = (F.col("o_orderpriority") == priority) & (F.col("o_orderstatus") == status)
-        filled = _filled(template)
-        arguments = F.when(match, filled) if arguments is None else arguments.when(match, filled)
+def _sql_case(pairs, text_type):
+    """CASE over (condition, template) in SQL that every engine reads."""
+    whens = "".join(
+        f" WHEN {test} THEN replace(replace('{text}', '{{k}}', CAST(o_orderkey AS {text_type})), "
+        f"'{{p}}', CAST(o_totalprice AS {text_type}))"
+        for test, text in pairs
+    )
+    return f"CASE{whens} END"
+
+
+def _cases(text_type):
+    """Tool, arguments and result of an order."""
+    by_priority = [(f"o_orderpriority = '{p}'", t) for p, t in TOOLS.items()]
+    by_status = [
+        (f"o_orderpriority = '{p}' AND o_orderstatus = '{s}'", t) for (p, s), t in ARGUMENTS.items()
+    ]
+    results = [(test, RESULTS[tool]) for test, tool in by_priority]
+    return [_sql_case(pairs, text_type) for pairs in (by_priority, by_status, results)]
+
+
+def tool_calls(orders: DataFrame, *kept) -> DataFrame:
+    """One tool call per order; ``kept`` names order columns to carry along."""
+    tool, arguments, result = (F.expr(case) for case in _cases("STRING"))
     return orders.select(
         F.col("o_orderkey").cast("string").alias("session_id"),
         F.when(F.col("o_custkey") == 0, "anonymous")
@@ -76,28 +79,17 @@ def tool_calls(orders: DataFrame) -> DataFrame:
         F.lit(None).cast("string").alias("approval_status"),
         result.alias("result"),
         F.col("o_orderdate").alias("created_at"),
+        *kept,
     )
 
 
-def _sql_case(pairs):
-    """SQL CASE over (condition, template)."""
-    whens = "".join(
-        f" WHEN {test} THEN replace(replace('{text}', '{{k}}', o_orderkey::VARCHAR), "
-        f"'{{p}}', o_totalprice::VARCHAR)"
-        for test, text in pairs
-    )
-    return f"CASE{whens} END"
-
+_TOOL, _ARGUMENTS, _RESULT = _cases("VARCHAR")
 
 TOOL_CALLS_SQL = f"""
 calls AS (
   SELECT o_orderkey::VARCHAR AS session_id,
          CASE WHEN o_custkey = 0 THEN 'anonymous' ELSE o_custkey::VARCHAR END AS user_id,
-         {_sql_case([(f"o_orderpriority = '{p}'", t) for p, t in TOOLS.items()])} AS tool,
-         {_sql_case([(f"o_orderpriority = '{p}' AND o_orderstatus = '{s}'", t)
-                     for (p, s), t in ARGUMENTS.items()])} AS args,
-         {_sql_case([(f"o_orderpriority = '{p}'", RESULTS[t]) for p, t in TOOLS.items()])} AS result,
-         o_orderdate AS created_at
+         {_TOOL} AS tool, {_ARGUMENTS} AS args, {_RESULT} AS result, o_orderdate AS created_at
   FROM orders
 )
 """

@@ -1,4 +1,4 @@
-"""Tool calls of the assistant as tables: validate, decide, record, reply."""
+"""Tool calls of the assistant as tables: plan, validate, decide, record, reply."""
 
 from dataclasses import dataclass
 
@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from millrace.functions import fixed, rules
 from millrace.functions.json_rules import check_arguments
-from millrace.functions.nested import render_json
-from millrace.functions.text import business_id, null_if
+from millrace.functions.nested import first_call, render_json
+from millrace.functions.text import business_id, null_if, strip
+from millrace.session import materialise
 
 
 @dataclass
@@ -21,29 +22,58 @@ class ToolCallOutcome:
     replies: DataFrame
 
 
+CALLS = "array<struct<function: struct<name: string, arguments: string>>>"
+
+
+def plan(replies: DataFrame) -> DataFrame:
+    """What the model's reply asks for: a tool call, a direct reply, or nothing.
+
+    Columns in: success, error, content, tool_calls (JSON).  Adds ``tool`` and
+    ``args`` of the first call, ``direct`` and ``plan_error``.
+    """
+    parsed = replies.withColumn("_call", first_call(F.from_json("tool_calls", CALLS))["function"])
+    called = F.col("success") & F.col("_call").isNotNull()
+    text = strip(F.coalesce("content", F.lit("")))
+    failure = F.format_string(
+        fixed.PLANNING_FAILED, rules.with_default(F.col("error"), fixed.DEFAULT_STATUS)
+    )
+    return parsed.withColumns(
+        {
+            "tool": F.when(called, F.col("_call.name")),
+            "args": F.when(called, F.col("_call.arguments")),
+            "direct": F.when(F.col("success") & ~called & (text != ""), text),
+            "plan_error": F.when(~F.col("success"), failure),
+        }
+    ).drop("_call")
+
+
+def _absent_as_null(df, *names):
+    return df.withColumns({n: F.lit(None).cast("string") for n in names if n not in df.columns})
+
+
 def decide(calls: DataFrame, threshold=fixed.APPROVAL_THRESHOLD) -> DataFrame:
     """Adds ``error``, ``approval_required``, ``approval_reason``, ``route``.
 
     Columns in: session_id, user_id, tool, args (JSON), approval_status, result
-    (JSON of the external call), created_at.  A call whose approval was given
-    counts as executed.
+    (JSON of the external call), created_at, and from planning, if it ran,
+    ``direct`` and ``plan_error``.  A call whose approval was given counts as
+    executed.
     """
-    checked = check_arguments(calls, "tool", "args")
+    checked = check_arguments(_absent_as_null(calls, "direct", "plan_error"), "tool", "args")
+    asked = F.col("tool").isNotNull()
+    fine = asked & F.col("valid")
     amount = F.get_json_object("args", "$.amount").try_cast("double")
-    error = F.when(
-        ~F.col("valid"),
-        F.format_string(
-            "Invalid tool arguments for %s: %s", F.coalesce("tool", F.lit("None")), F.array_join("broken", ",")
+    error = F.coalesce(
+        F.col("plan_error"),
+        F.when(
+            asked & ~F.col("valid"),
+            F.format_string(fixed.INVALID_ARGUMENTS, "tool", F.array_join("broken", ",")),
         ),
     )
-    gated = F.col("valid") & (F.col("tool") == "process_refund") & rules.needs_approval(amount, threshold)
     decided = checked.withColumns(
-        {
-            "error": error,
-            "amount": F.when(F.col("valid"), amount),
-            "approval_required": F.coalesce(gated, F.lit(False)),
-        }
-    )
+        {"error": error, "amount": F.when(fine & (F.col("tool") == "process_refund"), amount)}
+    ).withColumn("approval_required", rules.needs_approval(F.col("amount"), threshold))
+    approved = F.coalesce(F.col("approval_status") == "approved", F.lit(False))
     return decided.withColumns(
         {
             "approval_reason": F.when(
@@ -53,8 +83,7 @@ def decide(calls: DataFrame, threshold=fixed.APPROVAL_THRESHOLD) -> DataFrame:
                 F.col("error"), F.lit(False), F.col("tool"), F.col("approval_required"),
                 F.col("approval_status"),
             ),
-            "executed": F.col("valid")
-            & (~F.col("approval_required") | F.coalesce(F.col("approval_status") == "approved", F.lit(False))),
+            "executed": F.coalesce(fine, F.lit(False)) & (~F.col("approval_required") | approved),
         }
     )
 
@@ -109,8 +138,8 @@ def reply_rows(decided: DataFrame) -> DataFrame:
             F.get_json_object("args", "$.priority").alias("priority"),
         ),
     )
-    waiting = F.when(F.col("route") == "approval_gate", F.col("approval_reason"))
-    text = rules.reply(F.col("error"), F.col("tool"), F.col("_result"), direct=waiting)
+    given = F.when(F.col("route") == "approval_gate", F.col("approval_reason")).otherwise(F.col("direct"))
+    text = rules.reply(F.col("error"), F.col("tool"), F.col("_result"), direct=given)
     return (
         parsed.withColumn("_result", result)
         .select("session_id", F.col("tool").alias("tool_used"), "route", text.alias("response"))
@@ -118,8 +147,12 @@ def reply_rows(decided: DataFrame) -> DataFrame:
 
 
 def run_tool_calls(calls: DataFrame, threshold=fixed.APPROVAL_THRESHOLD) -> ToolCallOutcome:
-    """All outputs from one chain; each is lazy."""
-    decided = decide(calls, threshold)
+    """All outputs of one pass over the calls.
+
+    The decisions are written before the outputs are drawn from them: a filter
+    on a decision would otherwise repeat all the parsing that led to it.
+    """
+    decided, _ = materialise(decide(calls, threshold), "decided")
     return ToolCallOutcome(
         decided, approval_rows(decided), audit_rows(decided), reply_rows(decided)
     )

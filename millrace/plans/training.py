@@ -7,6 +7,40 @@ from pyspark.sql import functions as F
 
 from millrace.functions.fixed import FEATURE_RANGE
 from millrace.operators import checks, features, models
+from millrace.schemas import pinned
+from millrace.session import write_counted
+from millrace.sources import files
+from millrace.sources.metadata import describe_snapshot
+
+
+@dataclass
+class Snapshot:
+    """A written extract."""
+
+    path: str
+    rows: int
+    table: DataFrame
+    facts: DataFrame
+
+
+def extract_snapshot(
+    spark, uri, path, ts, start=None, end=None, columns=None, dataset=None, version="v1"
+) -> Snapshot:
+    """Read a URI, keep a time range and some columns, write a snapshot.
+
+    A URI ending in a slash is a prefix of many objects, any other is one.  A
+    dataset with a pinned schema of that version is read with it.
+    """
+    if uri.endswith("/"):
+        source = files.scan_prefix(spark, uri)
+    else:
+        source = files.scan(spark, uri, pinned(dataset, version))
+    kept = files.between_times(source, ts, start, end) if start and end else source
+    if columns:
+        kept = files.project(kept, dict.fromkeys([*columns, ts]))
+    rows = write_counted(files.require_rows(kept, uri), path)
+    table = files.scan(spark, path, kept.schema)
+    return Snapshot(path, rows, table, describe_snapshot(table, dataset or uri, ts))
 
 
 @dataclass

@@ -1,13 +1,17 @@
 """Batch ingest of a small registry of datasets."""
 
+import logging
+
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.errors import BadRegistry, EmptySource, NothingIngested
 from millrace.schemas import pinned
-from millrace.sources.files import require_rows, scan, scan_csv
+from millrace.sources.files import preview, require_rows, scan, scan_csv
 from millrace.sources.sinks import append_table, land, table_name
 
+log = logging.getLogger(__name__)
+
 REPORT = "short string, path string, table_name string, status string, rows long, error string"
 
 
@@ -29,6 +33,8 @@ def ingest(spark: SparkSession, registry, prefix, batch_id, namespace=None) -> D
     for reference, short, *_ in registry:
         try:
             rows_in = require_rows(scan_csv(spark, reference, pinned(short)), reference)
+            head, kinds = preview(rows_in)
+            log.info("%s: columns %s, first rows %s", short, kinds, head.collect())
             path, rows = land(rows_in, prefix, short, batch_id)
             table = table_name(short, namespace) if namespace else None
             if table:
