@@ -1,5 +1,12 @@
 """Typed errors raised by the jobs."""
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
+
+# What a failing Spark action raises: most Java errors are translated, a few,
+# such as an unknown file system, are not.
+SPARK_ERRORS = (PySparkException, Py4JError)
+
 
 class MillraceError(RuntimeError):
     """Base class."""

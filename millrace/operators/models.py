@@ -3,13 +3,13 @@
 import time
 from dataclasses import dataclass
 
-from pyspark.errors import PySparkException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.errors import SPARK_ERRORS
 from millrace.functions import scores
 from millrace.operators.tables import next_versions
 from millrace.session import fresh_path
@@ -156,5 +156,5 @@ def register(registry: DataFrame, runs: DataFrame, table_path) -> DataFrame:
         numbered = runs.sparkSession.read.schema(rows.schema).parquet(kept)
         numbered.write.mode("append").parquet(table_path)
         return numbered
-    except PySparkException:
+    except SPARK_ERRORS:
         return runs.withColumn("version", F.lit(None).cast("long")).select(*registry.columns)

@@ -2,10 +2,9 @@
 
 import logging
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.errors import BadRegistry, EmptySource, NothingIngested
+from millrace.errors import SPARK_ERRORS, BadRegistry, EmptySource, NothingIngested
 from millrace.schemas import pinned
 from millrace.sources.files import preview, require_rows, scan, scan_csv
 from millrace.sources.sinks import append_table, land, table_name
@@ -42,7 +41,7 @@ def ingest(spark: SparkSession, registry, prefix, batch_id, namespace=None) -> D
             report.append((short, path, table, "ingested", rows, None))
         except EmptySource as error:
             report.append((short, None, None, "skipped", 0, str(error)))
-        except PySparkException as error:
+        except SPARK_ERRORS as error:
             report.append((short, None, None, "failed", 0, str(error).split("\n")[0]))
     if not any(row[3] == "ingested" for row in report):
         raise NothingIngested("no dataset was ingested")

@@ -92,7 +92,7 @@ def expiring_values(stream: DataFrame, directory, state_directory, checkpoint=No
         state = state.filter(F.col("batch_id") == batch_id - 1).drop("batch_id")
         events, _ = materialise(frame.unionByName(state), "expiring")
         answer_reads(events).write.mode("overwrite").parquet(batch_path(directory, batch_id))
-        newest = events.filter("put").groupBy("key").agg(
+        newest = events.filter("put AND key IS NOT NULL").groupBy("key").agg(
             F.max_by(F.struct("at", "put", "value", "ttl", "read_id"), F.struct("at", "value")).alias("p")
         ).select("key", "p.*")
         now = events.agg(F.max("at")).scalar()
@@ -106,7 +106,7 @@ def expiring_values(stream: DataFrame, directory, state_directory, checkpoint=No
 
 def answer_reads(events: DataFrame) -> DataFrame:
     """Reads of an event table with the value alive at that time, or null."""
-    puts = events.filter("put").select(
+    puts = events.filter("put AND key IS NOT NULL").select(
         entity("key").alias("key"), micros("at").alias("pos"),
         F.struct("at", "value", "ttl").alias("payload"),
     ).groupBy("key", "pos").agg(F.max_by("payload", F.col("payload.value")).alias("payload"))
