@@ -1,24 +1,28 @@
 """Data checks, their report, and the gate.
 
 Row-level checks are compiled into one aggregate, so any number of them costs
-one scan.  Checks that need a shuffle (duplicates, keys, missing days) each
-give one report row, and ``report`` unites them all.
+one scan, or none when they ride along on a write (``watch``).  Checks that need
+a shuffle (duplicates, keys, missing days) each give one report row, and
+``report`` unites them all.
 """
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.errors import ValidationFailed
 from millrace.functions.text import clean_missing
 from millrace.operators.ordered import exact_quantiles
-from millrace.session import materialise
+from millrace.session import materialise, observed
 
 # Eight bytes each.
 HASHES_SENT = 2_000_000
 
+REPORT = (
+    "check string, column string, success boolean, evaluated long, unexpected long, detail string"
+)
 REPORT_COLUMNS = ["check", "column", "success", "evaluated", "unexpected", "detail"]
 
 
@@ -95,12 +99,12 @@ def mean_within(df, column, low, high) -> RowCheck:
     )
 
 
-def row_report(df: DataFrame, checks) -> DataFrame:
-    """Report rows of all row checks, from a single aggregate."""
-    aggregates = []
+def _aggregates(checks):
+    """One struct of report columns per row check."""
+    structs = []
     for i, c in enumerate(checks):
         success = c.success if c.success is not None else c.unexpected == 0
-        aggregates.append(
+        structs.append(
             F.struct(
                 F.lit(c.check).alias("check"),
                 F.lit(c.column).alias("column"),
@@ -110,10 +114,35 @@ def row_report(df: DataFrame, checks) -> DataFrame:
                 c.detail.alias("detail"),
             ).alias(f"c{i}")
         )
-    one = df.agg(*aggregates)
+    return structs
+
+
+def row_report(df: DataFrame, checks) -> DataFrame:
+    """Report rows of all row checks, from a single aggregate."""
+    one = df.agg(*_aggregates(checks))
     return one.select(F.inline(F.array(*one.columns))).select(*REPORT_COLUMNS)
 
 
+def watch(df: DataFrame, checks):
+    """The frame with its row checks attached, and a function for their report.
+
+    The checks are answered by the next action that reads the whole frame, for
+    instance the write of a snapshot, so they cost no scan of their own.  Ask
+    for the report after that action.
+    """
+    seen = Observation()
+    watched = df.observe(seen, *_aggregates(checks))
+
+    def watched_report() -> DataFrame:
+        found = observed(seen)
+        if found is None:
+            return row_report(df, checks)
+        rows = [tuple(found[f"c{i}"]) for i in range(len(checks))]
+        return df.sparkSession.createDataFrame(rows, REPORT)
+
+    return watched, watched_report
+
+
 def _report_row(df, check, column, evaluated, unexpected, detail):
     """One report row from an already aggregated frame."""
     return df.select(
@@ -129,23 +158,39 @@ def _report_row(df, check, column, evaluated, unexpected, detail):
 # --- duplicates -----------------------------------------------------------
 
 
+def _repeated_hashes(df):
+    """Hashes held by several rows, how many there are, and the rows read."""
+    seen = Observation()
+    hashed = df.select(F.xxhash64(*[_hashable(f) for f in df.schema.fields]).alias("_h"))
+    counts = hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.observe(seen, F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"))
+    repeated, n = materialise(counts.filter("_n > 1").select("_h"), "repeated")
+    found = observed(seen)
+    return repeated, n, found["rows"] if found else 0
+
+
+def _rows_with(df, repeated, n):
+    """Rows whose hash is listed; a short list is sent to every task."""
+    hashed = df.withColumn("_h", F.xxhash64(*[_hashable(f) for f in df.schema.fields]))
+    listed = F.broadcast(repeated) if n <= HASHES_SENT else repeated
+    return hashed.join(listed, "_h", "left_semi").select(*df.columns)
+
+
+def _copies(df):
+    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies"))
+
+
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """Repeated full rows with their ``copies``; missing equals missing.
 
     A wide row is first reduced to a hash: that shuffle carries 8 bytes per
     row.  The repeated hashes are written and counted, and only rows that have
-    one are compared in full.  A short list is sent to every task, so that rows
-    without a double are never shuffled at all.
+    one are compared in full, so rows without a double are not shuffled whole.
     """
-    names = df.columns
-    rows = df
-    if len(names) > 2:
-        hashed = df.withColumn("_h", F.xxhash64(*[_hashable(f) for f in df.schema.fields]))
-        counts = hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("_n"))
-        repeated, n = materialise(counts.filter("_n > 1").select("_h"), "repeated")
-        listed = F.broadcast(repeated) if n <= HASHES_SENT else repeated
-        rows = hashed.join(listed, "_h", "left_semi")
-    return rows.groupBy(*names).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
+    if len(df.columns) > 2:
+        repeated, n, _ = _repeated_hashes(df)
+        df = _rows_with(df, repeated, n)
+    return _copies(df).filter("copies > 1")
 
 
 def _hashable(f):
@@ -155,15 +200,21 @@ def _hashable(f):
     return F.col(f"`{f.name}`")
 
 
-def unique_rows(df: DataFrame) -> DataFrame:
-    """Report row: excess rows, which is rows minus distinct rows."""
-    excess = duplicate_rows(df).agg(
-        F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("excess"),
-        F.count(F.lit(1)).alias("groups"),
+def unique_rows(df: DataFrame, watched=None) -> DataFrame:
+    """Report row: excess rows, which is rows minus distinct rows.
+
+    ``watched`` is the same frame with row checks attached (see ``watch``);
+    the pass over all rows then answers those as well.
+    """
+    repeated, n, rows = _repeated_hashes(df if watched is None else watched)
+    if n == 0:
+        clean = [("unique_rows", "*", True, rows, 0, "0 repeated")]
+        return df.sparkSession.createDataFrame(clean, REPORT)
+    totals = _copies(_rows_with(df, repeated, n)).agg(
+        F.sum(F.col("copies") - 1).alias("excess"), F.count_if(F.col("copies") > 1).alias("groups")
     )
-    counted = excess.withColumn("rows", df.agg(F.count(F.lit(1)).alias("n")).scalar())
     return _report_row(
-        counted, "unique_rows", "*", F.col("rows"), F.col("excess"),
+        totals, "unique_rows", "*", F.lit(rows), F.col("excess"),
         F.concat(F.col("groups").cast("string"), F.lit(" repeated")),
     )
 

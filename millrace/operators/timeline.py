@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from millrace.session import materialise
 
 GROUP_ROWS = 2_000_000
-FRAME_ROWS = 5_000
+FRAME_ROWS = 2_000
 BLOCK_ROWS = 100_000
 LIST_ROWS = 1_000_000
 

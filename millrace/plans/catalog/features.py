@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators import features, joins, timeline
-from millrace.plans.catalog.registry import query, rounded, table, time_text
+from millrace.plans.catalog.registry import query, rounded, rounded_average, table, time_text
 
 HOUR = 3_600_000_000
 DAY = 24 * HOUR
@@ -41,7 +41,7 @@ def derived_feature_batch(spark, directory):
     "aggregate_features",
     """
     SELECT l_suppkey, count(*) AS li_rows, round(sum(l_extendedprice), 2) AS li_sum,
-           round(avg(l_extendedprice), 4) AS li_avg, min(l_extendedprice) AS li_min,
+           round(avg(l_extendedprice) + 1e-9, 4) AS li_avg, min(l_extendedprice) AS li_min,
            max(l_extendedprice) AS li_max, count(DISTINCT l_partkey) AS li_distinct
     FROM lineitem GROUP BY l_suppkey
     """,
@@ -50,7 +50,7 @@ def aggregate_features(spark, directory):
     """Aggregates per entity, one of them distinct."""
     lines = table(spark, directory, "lineitem")
     out = joins.aggregate_features(lines, "l_suppkey", "l_extendedprice", "li", distinct="l_partkey")
-    return out.withColumns({"li_sum": rounded("li_sum", 2), "li_avg": rounded("li_avg", 4)})
+    return out.withColumns({"li_sum": rounded("li_sum", 2), "li_avg": rounded_average("li_avg", 4)})
 
 
 @query(
@@ -139,7 +139,7 @@ def ttl_lookup(spark, directory):
 
 ROLLING_SQL = """
     SELECT event_id, user_id, count(value) OVER w AS rolling_count, round(sum(value) OVER w, 4) AS rolling_sum,
-           round(sum(value) OVER w / count(value) OVER w, 6) AS rolling_avg,
+           round(sum(value) OVER w / count(value) OVER w + 1e-9, 6) AS rolling_avg,
            min(value) OVER w AS rolling_min, max(value) OVER w AS rolling_max
     FROM events
     WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND CURRENT ROW)
@@ -147,7 +147,7 @@ ROLLING_SQL = """
 
 TRAILING_SQL = """
     SELECT event_id, user_id, count(value) OVER w AS trailing_count, round(sum(value) OVER w, 4) AS trailing_sum,
-           round(sum(value) OVER w / count(value) OVER w, 6) AS trailing_avg,
+           round(sum(value) OVER w / count(value) OVER w + 1e-9, 6) AS trailing_avg,
            min(value) OVER w AS trailing_min, max(value) OVER w AS trailing_max
     FROM events
     WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)
@@ -158,7 +158,7 @@ def _window_columns(df, prefix):
     return df.select(
         "event_id", "user_id", f"{prefix}_count",
         rounded(f"{prefix}_sum", 4).alias(f"{prefix}_sum"),
-        rounded(f"{prefix}_avg", 6).alias(f"{prefix}_avg"),
+        rounded_average(f"{prefix}_avg", 6).alias(f"{prefix}_avg"),
         f"{prefix}_min", f"{prefix}_max",
     )
 

@@ -43,6 +43,11 @@ def rounded(column, digits):
     return F.round(column, digits)
 
 
+def rounded_average(column, digits):
+    """As ``rounded``, first moved off exact halves, where engines differ."""
+    return F.round(F.col(column) + 1e-9, digits)
+
+
 def time_text(column):
     """Time as text with microseconds, the same in every engine."""
     return F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.functions.fixed import FEATURE_RANGE
 from millrace.operators import checks, features, models
 from millrace.schemas import pinned
-from millrace.session import write_counted
+from millrace.session import fresh_path, write_counted
 from millrace.sources import files
 from millrace.sources.metadata import describe_snapshot
 
@@ -31,10 +31,8 @@ def extract_snapshot(
     A URI ending in a slash is a prefix of many objects, any other is one.  A
     dataset with a pinned schema of that version is read with it.
     """
-    if uri.endswith("/"):
-        source = files.scan_prefix(spark, uri)
-    else:
-        source = files.scan(spark, uri, pinned(dataset, version))
+    read = files.scan_prefix if uri.endswith("/") else files.scan
+    source = read(spark, uri, pinned(dataset, version))
     kept = files.between_times(source, ts, start, end) if start and end else source
     if columns:
         kept = files.project(kept, dict.fromkeys([*columns, ts]))
@@ -55,18 +53,13 @@ class TrainingRun:
     evaluation: DataFrame
 
 
-def check_raw(raw: DataFrame, x, y, duplicates=True) -> DataFrame:
-    """Report on raw rows: presence of values, and repeated rows."""
-    rows = checks.row_report(
+def check_raw(raw: DataFrame, x, y) -> DataFrame:
+    """Report on raw rows: presence of values and repeated rows, in one scan."""
+    watched, seen = checks.watch(
         raw, [checks.row_count(1), checks.not_null(raw, x), checks.not_null(raw, y)]
     )
-    return checks.report(rows, checks.unique_rows(raw)) if duplicates else rows
-
-
-def check_features(df: DataFrame, column="x2") -> DataFrame:
-    """Report on derived features: the derived value is in range."""
-    low, high = FEATURE_RANGE
-    return checks.row_report(df, [checks.row_count(1), checks.between(df, column, low, high)])
+    repeated = checks.unique_rows(raw, watched)
+    return checks.report(seen(), repeated)
 
 
 def derive(raw: DataFrame, x, y) -> DataFrame:
@@ -75,12 +68,24 @@ def derive(raw: DataFrame, x, y) -> DataFrame:
     return features.double_feature(renamed)
 
 
+def write_checked_features(table: DataFrame, path) -> tuple[DataFrame, DataFrame]:
+    """Write a feature set and check it in the same pass; set and report."""
+    low, high = FEATURE_RANGE
+    watched, seen = checks.watch(table, [checks.row_count(1), checks.between(table, "x2", low, high)])
+    write_counted(watched, path)
+    return files.scan(table.sparkSession, path, table.schema), seen()
+
+
 def train(raw: DataFrame, x, y) -> TrainingRun:
-    """Run all steps; a failed check raises and nothing is trained."""
-    raw_report = check_raw(raw, x, y)
-    _, raw_report = checks.gate_and_keep(raw, raw_report, "raw")
-    table = derive(raw, x, y)
-    _, feature_report = checks.gate_and_keep(table, check_features(table), "features")
+    """Run all steps; a failed check raises and nothing is trained.
+
+    The raw rows are read twice, to check them and to derive the features; all
+    later steps read the narrow feature set.
+    """
+    _, raw_report = checks.gate_and_keep(raw, check_raw(raw, x, y), "raw")
+    path = fresh_path(raw.sparkSession, "features")
+    table, feature_report = write_checked_features(derive(raw, x, y), path)
+    checks.gate(table, feature_report)
     fit = models.fit_line(table, "y", "x")
     scored = models.score_line(table, fit, "x")
     return TrainingRun(

@@ -3,6 +3,7 @@
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,6 +59,17 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/millrace/{name}-{uuid.uuid4().hex}"
 
 
+def observed(seen: Observation):
+    """Metrics of an observation whose action has run.
+
+    None when the optimizer proved the frame empty and dropped the observation.
+    """
+    try:
+        return seen.get
+    except Py4JError:
+        return None
+
+
 def write_counted(df: DataFrame, path: str, mode="errorifexists", partition_by=()) -> int:
     """Write Parquet and return the row count seen by that same pass."""
     seen = Observation()
@@ -65,7 +77,8 @@ def write_counted(df: DataFrame, path: str, mode="errorifexists", partition_by=(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return seen.get["rows"]
+    found = observed(seen)
+    return found["rows"] if found else 0
 
 
 def materialise(df: DataFrame, name: str) -> tuple[DataFrame, int]:

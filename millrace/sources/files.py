@@ -18,12 +18,15 @@ def scan(spark: SparkSession, uri: str, schema=None) -> DataFrame:
         raise EmptySource(f"nothing to read at {uri}") from error
 
 
-def scan_prefix(spark: SparkSession, prefix: str) -> DataFrame:
-    """Stack every Parquet object under a prefix, columns united by name."""
+def scan_prefix(spark: SparkSession, prefix: str, schema=None) -> DataFrame:
+    """Stack every Parquet object under a prefix, columns united by name.
+
+    Without a schema all footers are read to unite theirs.
+    """
+    reader = spark.read.option("recursiveFileLookup", True)
+    reader = reader.option("mergeSchema", True) if schema is None else reader.schema(schema)
     try:
-        return (
-            spark.read.option("mergeSchema", True).option("recursiveFileLookup", True).parquet(prefix)
-        )
+        return reader.parquet(prefix)
     except AnalysisException as error:
         raise EmptySource(f"no objects under {prefix}") from error
 

@@ -24,19 +24,17 @@ def validate_stream(stream: DataFrame, checks_for, is_bad, directory, checkpoint
     """Check every micro-batch: accepted rows, quarantined rows and a report.
 
     ``checks_for(frame)`` gives row checks; ``is_bad`` marks rows to set aside.
-    The rows are written once, laid out by verdict.
+    The rows are written once, laid out by verdict, and checked by that write.
     """
 
     def each(frame, batch_id):
         verdict = F.when(F.coalesce(is_bad, F.lit(True)), "quarantine").otherwise("accepted")
-        rows = frame.withColumn("verdict", verdict)
+        watched, seen = checks.watch(frame, checks_for(frame))
+        rows = watched.withColumn("verdict", verdict)
         rows.write.mode("overwrite").partitionBy("verdict").parquet(
             batch_path(f"{directory}/rows", batch_id)
         )
-        report = checks.row_report(frame, checks_for(frame))
-        report.coalesce(1).write.mode("overwrite").parquet(
-            batch_path(f"{directory}/report", batch_id)
-        )
+        seen().coalesce(1).write.mode("overwrite").parquet(batch_path(f"{directory}/report", batch_id))
 
     drain(stream, each, checkpoint=checkpoint)
 

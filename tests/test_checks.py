@@ -157,3 +157,16 @@ def test_gate(spark):
     assert checks.gate(df, good) is df
     with pytest.raises(ValidationFailed, match=r"between\(v\)"):
         checks.gate(df, checks.row_report(df, [checks.between(df, "v", 0, 1)]))
+
+
+def test_checks_ride_along_on_a_write(spark):
+    from millrace.session import fresh_path, write_counted
+
+    df = frame(spark, [(1, 5.0, "a"), (2, None, "b"), (3, -1.0, "a")])
+    listed = [checks.row_count(1), checks.between(df, "v", 0, 9), checks.not_null(df, "v")]
+    watched, seen = checks.watch(df, listed)
+    assert write_counted(watched, fresh_path(spark, "watched")) == 3
+    assert sorted(seen().collect()) == sorted(checks.row_report(df, listed).collect())
+    empty, seen = checks.watch(df.limit(0), listed)
+    write_counted(empty, fresh_path(spark, "watched"))
+    assert not seen().filter("check = 'row_count'").first()["success"]
