@@ -443,8 +443,3 @@ def gate(df: DataFrame, checked: DataFrame) -> DataFrame:
         raise ValidationFailed(failed)
     return df
 
-
-def gate_and_keep(df: DataFrame, checked: DataFrame, name) -> tuple[DataFrame, DataFrame]:
-    """As ``gate``, but the report itself is written and returned as well."""
-    kept, _ = materialise(checked, f"report-{name}")
-    return gate(df, kept), kept

@@ -34,24 +34,24 @@ def csv_scan_roundtrip(spark, directory):
 @query(
     "ingest_report",
     """
-    SELECT 'orders' AS short, 'mlops.orders' AS table_name, 'ingested' AS status,
+    SELECT 'orders' AS short, 'lake.orders' AS table_name, 'ingested' AS status,
            (SELECT count(*) FROM orders) AS n_rows, (SELECT count(*) FROM orders) AS table_rows
     UNION ALL
-    SELECT 'customer', 'mlops.customer', 'ingested',
+    SELECT 'customer', 'lake.customer', 'ingested',
            (SELECT count(*) FROM customer), (SELECT count(*) FROM customer)
     UNION ALL
-    SELECT 'paysim', '', 'skipped', 0, 0
+    SELECT 'absent', '', 'skipped', 0, 0
     """,
 )
 def ingest_report(spark, directory):
     """Land and append CSV datasets; one of the registry entries is absent."""
     root = fresh_path(spark, "ingest")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS lake LOCATION '{root}/lake'")
     for name in ("orders", "customer"):
         table(spark, directory, name).write.option("header", True).csv(f"{root}/in/{name}")
         drop(spark, sinks.table_name(name))
-    spark.sql("CREATE DATABASE IF NOT EXISTS mlops")
-    registry = [(f"{root}/in/{name}", name) for name in ("orders", "customer", "paysim")]
-    report = ingest(spark, registry, root, batch_id="1", namespace="mlops")
+    registry = [(f"{root}/in/{name}", name) for name in ("orders", "customer", "absent")]
+    report = ingest(spark, registry, root, batch_id="1", namespace="lake")
     stored = files.stack(
         spark.table(sinks.table_name(n)).agg(
             F.lit(n).alias("short"), F.count(F.lit(1)).alias("table_rows")

@@ -83,6 +83,40 @@ def mllib_gbt_search(spark, directory):
 
 
 
+@query(
+    "mllib_linear_model",
+    f"""
+    WITH sides AS (
+      SELECT l_quantity AS x, l_extendedprice AS y, {SPLIT.format(k='l_orderkey')} AS side FROM lineitem
+    ),
+    fit AS (SELECT regr_slope(y, x) AS a, regr_intercept(y, x) AS b FROM sides WHERE side = 'train'),
+    scored AS (
+      SELECT side, y, a * x + b AS p, avg(y) OVER (PARTITION BY side) AS m FROM sides, fit
+    )
+    SELECT side, count(*) AS n_rows, round(1 - sum(pow(y - p, 2)) / sum(pow(y - m, 2)), 6) AS r2,
+           round(sqrt(avg(pow(y - p, 2))), 3) AS rmse
+    FROM scored GROUP BY side
+    """,
+)
+def mllib_linear_model(spark, directory):
+    """A distributed linear model, saved and reloaded, measured on both sides."""
+    sides = table(spark, directory, "lineitem").select(
+        F.col("l_quantity").alias("x"), F.col("l_extendedprice").alias("y"),
+        features.split_column("l_orderkey").alias("side"),
+    )
+    only = models.Candidate("linear", "linear", (("solver", "normal"),))
+    fitted = models.search(sides.filter("side = 'train'"), [only], ["x"], "y")
+    path = fresh_path(spark, "model")
+    models.save_model(fitted["linear"], path)
+    scored = models.load_model(path).transform(sides)
+    measured = scored.groupBy("side").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        rounded(scores.r2(F.col("y"), F.col("linear")), 6).alias("r2"),
+        rounded(scores.rmse(F.col("y"), F.col("linear")), 3).alias("rmse"),
+    )
+    return measured
+
+
 def _pairs(spark, directory):
     documents = table(spark, directory, "documents").select("doc_id", "n_chars")
     return table(spark, directory, "labels").select("doc_id", "quality").join(documents, "doc_id")

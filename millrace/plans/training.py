@@ -82,7 +82,8 @@ def train(raw: DataFrame, x, y) -> TrainingRun:
     The raw rows are read twice, to check them and to derive the features; all
     later steps read the narrow feature set.
     """
-    _, raw_report = checks.gate_and_keep(raw, check_raw(raw, x, y), "raw")
+    raw_report = check_raw(raw, x, y)
+    checks.gate(raw, raw_report)
     path = fresh_path(raw.sparkSession, "features")
     table, feature_report = write_checked_features(derive(raw, x, y), path)
     checks.gate(table, feature_report)

@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from millrace.errors import ScratchNotConfigured
 
 
+# Java never compiles a method above 8000 bytes of bytecode.  With this limit
+# Spark splits an expression that large into smaller methods instead.
+METHOD_LIMIT = ("spark.sql.codegen.hugeMethodLimit", "8000")
+
+
 def build_session(app="millrace", master=None, **conf) -> SparkSession:
     """A session with the settings every job relies on."""
     builder = SparkSession.builder.appName(app)
@@ -20,6 +25,7 @@ def build_session(app="millrace", master=None, **conf) -> SparkSession:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        **dict([METHOD_LIMIT]),
         **conf,
     }
     for name, value in settings.items():
@@ -28,8 +34,9 @@ def build_session(app="millrace", master=None, **conf) -> SparkSession:
 
 
 def pin_settings(spark: SparkSession) -> SparkSession:
-    """Runtime settings a session built elsewhere needs for right results."""
+    """Runtime settings that a session built elsewhere needs."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set(*METHOD_LIMIT)
     return spark
 
 

@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 from millrace.session import write_counted
 
 
-def table_name(stem, namespace="mlops"):
+def table_name(stem, namespace="lake"):
     """Table identifier of a file stem."""
     return f"{namespace}.{stem.replace('-', '_').replace('.', '_')}"
 
 
-def table_name_column(stem, namespace="mlops"):
+def table_name_column(stem, namespace="lake"):
     """``table_name`` over a column of stems."""
     return F.concat(F.lit(f"{namespace}."), F.translate(stem, "-.", "__"))
 

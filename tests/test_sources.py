@@ -74,9 +74,9 @@ def test_projection_reaches_the_scan(spark):
 
 
 def test_table_names(spark):
-    assert sinks.table_name("pay-sim.v1") == "mlops.pay_sim_v1"
+    assert sinks.table_name("pay-sim.v1") == "lake.pay_sim_v1"
     df = spark.createDataFrame([("pay-sim.v1",)], "s string")
-    assert df.select(sinks.table_name_column(F.col("s"))).first()[0] == "mlops.pay_sim_v1"
+    assert df.select(sinks.table_name_column(F.col("s"))).first()[0] == "lake.pay_sim_v1"
 
 
 def test_ingest(spark):
