@@ -2,7 +2,7 @@
 
 # Refund rule.
 APPROVAL_THRESHOLD = 100.0
-REFUND_NEEDS_APPROVAL = "Refund of $%.2f requires manager approval (threshold: $%.2f)"
+REFUND_NEEDS_APPROVAL = "Refund of $%s requires manager approval (threshold: $%s)"
 
 # Defaults for absent fields.
 DEFAULT_STATUS = "unknown"
@@ -20,8 +20,8 @@ SYSTEM_PROMPT = (
 )
 REPLY_ERROR = "❌ Error: %s"
 REPLY_ORDER = "📦 Order %s status: %s\nItems:\n%s\nShipping: %s"
-REPLY_ORDER_ITEM = "  • %s: $%.2f"
-REPLY_REFUND = "✅ Refund of $%.2f processed successfully (ID: %s)"
+REPLY_ORDER_ITEM = "  • %s: $%s"
+REPLY_REFUND = "✅ Refund of $%s processed successfully (ID: %s)"
 REPLY_TICKET = (
     "🎫 Support ticket created (ID: %s) with %s priority. An agent will contact you shortly."
 )

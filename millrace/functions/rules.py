@@ -4,6 +4,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from millrace.functions import fixed
+from millrace.functions.text import money
 from millrace.schemas import ITEM
 
 
@@ -19,7 +20,9 @@ def needs_approval(amount, threshold=fixed.APPROVAL_THRESHOLD) -> Column:
 
 def approval_text(amount, threshold=fixed.APPROVAL_THRESHOLD) -> Column:
     """The text that explains why an approval is needed."""
-    return F.format_string(fixed.REFUND_NEEDS_APPROVAL, amount, F.lit(float(threshold)))
+    return F.format_string(
+        fixed.REFUND_NEEDS_APPROVAL, money(amount), F.lit(f"{threshold:.2f}")
+    )
 
 
 def route(error, completed, tool, required, status) -> Column:
@@ -41,7 +44,7 @@ def item_lines(items) -> Column:
     """One text line per ordered item."""
     listed = F.coalesce(items, F.array().cast(f"array<{ITEM.simpleString()}>"))
     lines = F.transform(
-        listed, lambda i: F.format_string(fixed.REPLY_ORDER_ITEM, i["name"], i["price"])
+        listed, lambda i: F.format_string(fixed.REPLY_ORDER_ITEM, i["name"], money(i["price"]))
     )
     return F.concat_ws("\n", lines)
 
@@ -66,7 +69,7 @@ def reply(error, tool, result, direct=None) -> Column:
         .when(
             tool == "process_refund",
             F.format_string(
-                fixed.REPLY_REFUND, result["amount"], with_default(result["refund_id"], "None")
+                fixed.REPLY_REFUND, money(result["amount"]), with_default(result["refund_id"], "None")
             ),
         )
         .when(

@@ -1,6 +1,6 @@
 """Text and scalar expressions."""
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Unicode white space plus the four separators Python also strips.
@@ -37,8 +37,33 @@ def iso_time(c) -> Column:
 
 
 def money(c) -> Column:
-    """Two-decimal text."""
-    return F.format_string("%.2f", c)
+    """Two-decimal text of a double, rounded as its exact binary value.
+
+    A double whose shortest text ends in a 5 at the third decimal mostly lies a
+    little above or below that text.  Which one is found from the rounding
+    error of a product, computed without further error by splitting the
+    factor; a true half goes to the even neighbour.
+    """
+    x = F.col(c) if isinstance(c, str) else c
+    size = F.abs(x)
+    exact = size.try_cast("decimal(38,18)")
+    cents = F.floor(exact * 100)
+    half = (exact * 1000 - cents * 10) == 5
+    high = size * 134217729.0 - (size * 134217729.0 - size)
+    product = size * 1000.0
+    error = (high * 1000.0 - product) + (size - high) * 1000.0
+    above = (product - (cents * 10 + 5).cast("double")) + error
+    up = F.when(half, (above > 0) | ((above == 0) & (cents % 2 == 1))).otherwise(
+        (exact * 1000 - cents * 10) > 5
+    )
+    total = F.when(up, cents + 1).otherwise(cents).cast("decimal(38,0)")
+    sign = F.when((x < 0) | x.cast("string").startswith("-"), "-").otherwise("")
+    digits = F.lpad(total.cast("string"), F.greatest(F.lit(3), F.length(total.cast("string"))), F.lit("0"))
+    text = F.concat(
+        sign, F.substring(digits, F.lit(1), F.length(digits) - 2), F.lit("."),
+        F.substring(digits, F.length(digits) - 1, F.lit(2)),
+    )
+    return F.when(size < 1e15, text).otherwise(F.format_string("%.2f", x))
 
 
 def decision_status(c) -> Column:
@@ -53,6 +78,18 @@ def business_id(*columns) -> Column:
     return F.sha2(F.concat_ws("\x1f", *parts), 256)
 
 
+def session_id(given, *key) -> Column:
+    """The given session, or one made from the business key where it is empty."""
+    return F.coalesce(F.nullif(F.col(given), F.lit("")), business_id(*key))
+
+
+def without_blanks(df: DataFrame, column) -> tuple[DataFrame, DataFrame]:
+    """Rows with the text stripped, and the rows rejected for having none."""
+    stripped = df.withColumn(column, strip(column))
+    filled = F.coalesce(F.length(column) > 0, F.lit(False))
+    return stripped.filter(filled), stripped.filter(~filled)
+
+
 def clean_missing(c, kind=None) -> Column:
     """Null for null and for NaN, as checks treat both as missing."""
     column = F.col(c) if isinstance(c, str) else c

@@ -397,6 +397,23 @@ def distribution(df: DataFrame, column, quantiles=(0.05, 0.5, 0.95), exact=True)
     return df.agg(*moments).select("*", *[ranked.select(n).scalar().alias(n) for n in names])
 
 
+def distribution_check(df: DataFrame, column, bounds, exact=True) -> DataFrame:
+    """Report row: statistics of ``distribution`` outside their bounds.
+
+    ``bounds`` maps a statistic's name to (low, high); one that is null, as on
+    an empty frame, is outside.
+    """
+    stats = distribution(df, column, exact=exact)
+    outside = [
+        F.when(F.coalesce(F.col(name).between(low, high), F.lit(False)), None).otherwise(name)
+        for name, (low, high) in bounds.items()
+    ]
+    listed = stats.select("rows", F.array_compact(F.array(*outside)).alias("bad"))
+    return _report_row(
+        listed, "distribution", column, F.col("rows"), F.size("bad"), F.array_join("bad", ",")
+    )
+
+
 # --- suites ---------------------------------------------------------------
 
 

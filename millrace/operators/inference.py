@@ -5,30 +5,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import fixed
+from millrace.operators.tables import with_defaults
 from millrace.schemas import REPLY
 
 
 def with_request_defaults(requests: DataFrame) -> DataFrame:
     """Fill the request parameters that are absent."""
     defaults = {
-        "max_tokens": fixed.DEFAULT_MAX_TOKENS,
-        "temperature": fixed.DEFAULT_TEMPERATURE,
-        "seed": fixed.DEFAULT_SEED,
+        "request_id": F.concat(F.lit("req_"), F.sha2(F.to_json("messages"), 256)),
+        "max_tokens": F.lit(fixed.DEFAULT_MAX_TOKENS),
+        "temperature": F.lit(fixed.DEFAULT_TEMPERATURE),
+        "seed": F.lit(fixed.DEFAULT_SEED),
     }
-    return requests.withColumns(
-        {
-            name: F.coalesce(F.col(name), F.lit(value)) if name in requests.columns else F.lit(value)
-            for name, value in defaults.items()
-        }
-    )
+    return with_defaults(requests, defaults)
 
 
-def infer(requests: DataFrame, model_factory, batch_size=fixed.BATCH_REQUESTS) -> DataFrame:
+def infer(
+    requests: DataFrame, model_factory, batch_size=fixed.BATCH_REQUESTS, tasks=None
+) -> DataFrame:
     """One reply per request.
 
     ``model_factory()`` is called once per task and returns a function from a
     list of request dicts to a list of reply dicts, or exceptions, of the same
-    length.  A request without messages and a request the model fails on get
+    length.  ``tasks`` spreads the requests evenly over that many, for a model
+    that is slow compared with reading its input.  A request without messages and a request the model fails on get
     an error reply of their own; the rest of the batch is not affected.
     """
 
@@ -39,7 +39,8 @@ def infer(requests: DataFrame, model_factory, batch_size=fixed.BATCH_REQUESTS) -
                 part = frame.iloc[start : start + batch_size].to_dict("records")
                 yield pd.DataFrame(_answer(model, part))
 
-    return requests.mapInPandas(serve, REPLY)
+    spread = requests.repartition(tasks) if tasks else requests
+    return spread.mapInPandas(serve, REPLY)
 
 
 def _reply(request, error=None, **found):

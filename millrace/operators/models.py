@@ -27,9 +27,25 @@ def fit_line(df: DataFrame, y, x) -> DataFrame:
     )
 
 
-def score_line(df: DataFrame, fit: DataFrame, x, name="prediction") -> DataFrame:
-    """Adds the prediction; the fitted row enters as scalar subqueries."""
-    slope, intercept = fit.select("slope").scalar(), fit.select("intercept").scalar()
+def fit_lines(df: DataFrame, y, xs) -> DataFrame:
+    """One row with a (slope, intercept) struct per x, from one pass."""
+    return df.agg(
+        *[
+            F.struct(
+                F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept")
+            ).alias(x)
+            for x in xs
+        ]
+    )
+
+
+def score_line(df: DataFrame, fit: DataFrame, x, name="prediction", line="") -> DataFrame:
+    """Adds the prediction; the fitted row enters as scalar subqueries.
+
+    ``line`` names the struct of ``fit_lines`` to use.
+    """
+    at = f"{line}." if line else ""
+    slope, intercept = (fit.select(F.col(f"{at}{part}")).scalar() for part in ("slope", "intercept"))
     return df.withColumn(name, intercept + slope * F.col(x))
 
 
@@ -42,6 +58,22 @@ def evaluate(df: DataFrame, y, prediction="prediction") -> DataFrame:
     )
 
 
+def evaluate_all(df: DataFrame, y, predictions) -> DataFrame:
+    """One row per prediction column with R² and RMSE, from one pass."""
+    measured = df.agg(
+        *[
+            F.struct(
+                F.lit(name).alias("candidate"),
+                F.count(F.lit(1)).alias("rows"),
+                scores.r2(F.col(y), F.col(name)).alias("r2"),
+                scores.rmse(F.col(y), F.col(name)).alias("rmse"),
+            ).alias(f"m{i}")
+            for i, name in enumerate(predictions)
+        ]
+    )
+    return measured.select(F.inline(F.array(*measured.columns)))
+
+
 # --- distributed regressors and search -----------------------------------------------
 
 
@@ -87,18 +119,7 @@ def compare(models: dict, df: DataFrame, label) -> DataFrame:
     scored = df
     for model in models.values():
         scored = model.transform(scored).drop("features")
-    measured = scored.agg(
-        *[
-            F.struct(
-                F.lit(name).alias("candidate"),
-                F.count(F.lit(1)).alias("rows"),
-                scores.r2(F.col(label), F.col(name)).alias("r2"),
-                scores.rmse(F.col(label), F.col(name)).alias("rmse"),
-            ).alias(f"m{i}")
-            for i, name in enumerate(models)
-        ]
-    )
-    return measured.select(F.inline(F.array(*measured.columns)))
+    return evaluate_all(scored, label, list(models))
 
 
 def best(metrics: DataFrame, by="rmse", lower_is_better=True, name="candidate") -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from millrace.session import materialise
 
 ONE_TASK_ROWS = 1_000_000
-RANGES = 256
+RANGES = 256, 1024
 
 
 def split_points(df: DataFrame, column, ranges, rows) -> list:
@@ -36,7 +36,7 @@ def range_number(column: Column, splits, first=0) -> Column:
 
 
 def running_totals(
-    df: DataFrame, by, totals, one_task_rows=ONE_TASK_ROWS, ranges=RANGES
+    df: DataFrame, by, totals, one_task_rows=ONE_TASK_ROWS, ranges=None
 ) -> DataFrame:
     """Adds ``{name}_before``: the total over all rows with a smaller ``by``.
 
@@ -47,7 +47,8 @@ def running_totals(
     before = {f"{t}_before": t for t in totals}
     if rows <= one_task_rows:
         return _shifted(table, Window.orderBy(by), before)
-    splits = split_points(table, by, ranges, rows)
+    fewest, most = RANGES
+    splits = split_points(table, by, ranges or min(max(rows // ONE_TASK_ROWS, fewest), most), rows)
     ranged = table.withColumn("_range", range_number(F.col(by), splits))
     sums = ranged.groupBy("_range").agg(*[F.sum(t).alias(f"_sum_{t}") for t in totals])
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -56,7 +57,7 @@ def running_totals(
         *[F.coalesce(F.sum(f"_sum_{t}").over(earlier), F.lit(0)).alias(f"_off_{t}") for t in totals],
     )
     local = _shifted(ranged, Window.partitionBy("_range").orderBy(by), before)
-    # One row per range, at most ``ranges`` rows.
+    # One row per range.
     joined = local.join(F.broadcast(offsets), "_range")
     return joined.select(
         *table.columns, *[(F.col(b) + F.col(f"_off_{t}")).alias(b) for b, t in before.items()]
@@ -69,7 +70,7 @@ def _shifted(df, window, before):
 
 
 def exact_quantiles(
-    df: DataFrame, column, quantiles, names, one_task_rows=ONE_TASK_ROWS, ranges=RANGES
+    df: DataFrame, column, quantiles, names, one_task_rows=ONE_TASK_ROWS, ranges=None
 ) -> DataFrame:
     """One row with linearly interpolated quantiles of the non-null values."""
     counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
@@ -92,7 +93,7 @@ def exact_quantiles(
     )
 
 
-def auc(df: DataFrame, label, score, one_task_rows=ONE_TASK_ROWS, ranges=RANGES) -> DataFrame:
+def auc(df: DataFrame, label, score, one_task_rows=ONE_TASK_ROWS, ranges=None) -> DataFrame:
     """One row: chance that a positive outscores a negative, ties half."""
     by_score = df.groupBy(score).agg(
         F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).alias("p"),
@@ -109,7 +110,7 @@ def auc(df: DataFrame, label, score, one_task_rows=ONE_TASK_ROWS, ranges=RANGES)
     )
 
 
-def ordinal_codes(df: DataFrame, column, one_task_rows=ONE_TASK_ROWS, ranges=RANGES) -> DataFrame:
+def ordinal_codes(df: DataFrame, column, one_task_rows=ONE_TASK_ROWS, ranges=None) -> DataFrame:
     """Distinct values with their position in sorted order."""
     values = df.select(column).filter(F.col(column).isNotNull()).distinct()
     ranked = running_totals(

@@ -60,7 +60,7 @@ def first_decisions(decisions: DataFrame) -> DataFrame:
     order = F.struct(F.coalesce("decided_at", F.lit(FAR_FUTURE).cast(kind)), F.col("decision_id"))
     taken = F.struct(
         "decision_id", decision_status("action").alias("new_status"), "approver",
-        F.col("reason").alias("decision_reason"), "decided_at",
+        F.coalesce("reason", F.lit("")).alias("decision_reason"), "decided_at",
     )
     return (
         decisions.filter(decision_status("action").isNotNull() & F.col("approval_id").isNotNull())

@@ -90,19 +90,21 @@ def slot_width(df: DataFrame, group_rows, start=None, by=("key",), axis="pos") -
 # --- as-of lookup -------------------------------------------------------------
 
 
-def _last_known(union, keys, name="found"):
+def _last_known(keys, *order):
+    """Payload of the newest fact so far; the order puts a fact before a probe."""
     window = (
-        Window.partitionBy(*keys).orderBy("pos", "kind")
+        Window.partitionBy(*keys).orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return F.last("payload", ignorenulls=True).over(window).alias(name)
+    return F.last("payload", ignorenulls=True).over(window)
 
 
 def latest_before(probes: DataFrame, facts: DataFrame, limits=Limits()) -> DataFrame:
     """For each probe, the payload of the newest fact at or before it.
 
-    ``probes`` has key, pos and any further columns; ``facts`` has key, pos and
-    a struct ``payload``, with at most one fact per (key, pos).  Adds ``found``.
+    ``probes`` has key, pos and any further columns; ``facts`` has key, pos,
+    a struct ``payload`` and ``tie``, whose largest value counts among facts of
+    one position.  Adds ``found``.
     """
     rest = [c for c in probes.columns if c not in ("key", "pos")]
     carried = probes.select("key", "pos", F.struct(F.lit(1).alias("_"), *rest).alias("row"))
@@ -120,26 +122,32 @@ def latest_before(probes: DataFrame, facts: DataFrame, limits=Limits()) -> DataF
 
 def _sides(probes, facts):
     """Facts and probes in one frame; a fact sorts before a probe at its time."""
-    return facts.select(
-        "key", "pos", F.lit(0).alias("kind"), "payload", F.lit(None).cast(probes.schema["row"].dataType).alias("row")
-    ).unionByName(
-        probes.select(
-            "key", "pos", F.lit(1).alias("kind"),
-            F.lit(None).cast(facts.schema["payload"].dataType).alias("payload"), "row",
-        )
+    blank = lambda df, c: F.lit(None).cast(df.schema[c].dataType).alias(c)
+    known = facts.select("key", "pos", F.lit(0).alias("kind"), "tie", "payload", blank(probes, "row"))
+    asked = probes.select(
+        "key", "pos", F.lit(1).alias("kind"), blank(facts, "tie"), blank(facts, "payload"), "row"
     )
+    return known.unionByName(asked)
 
 
 def _plain_lookup(probes, facts):
-    known = _sides(probes, facts)
-    found = known.select("key", "pos", "kind", "row", _last_known(known, ["key"]))
+    found = _sides(probes, facts).select(
+        "key", "pos", "kind", "row", _last_known(["key"], "pos", "kind", "tie").alias("found")
+    )
     return found.filter("kind = 1").select("key", "pos", "row", "found")
 
 
 def _sliced_lookup(probes, facts, limits):
-    """As the plain lookup, with every entity cut into time slots."""
+    """As the plain lookup, with every entity cut into time slots.
+
+    Facts and probes of one moment are first reduced to one each, so that a
+    moment with very many rows does not fill a slot.
+    """
+    facts = facts.groupBy("key", "pos").agg(
+        F.max_by("payload", "tie").alias("payload"), F.max("tie").alias("tie")
+    )
     times = probes.select("key", "pos").distinct().withColumn("row", F.struct(F.lit(1).alias("_")))
-    known = _sides(times, facts).drop("row")
+    known = _sides(times, facts).drop("row", "tie")
     width = slot_width(known, limits.group_rows)
     known = known.withColumn("slot", F.floor(F.col("pos") / width))
     ends = known.groupBy("key", "slot").agg(
@@ -149,7 +157,9 @@ def _sliced_lookup(probes, facts, limits):
     carried = ends.select(
         "key", "slot", F.last("end", ignorenulls=True).over(earlier).alias("carried")
     )
-    local = known.select("key", "slot", "pos", "kind", _last_known(known, ["key", "slot"], "near"))
+    local = known.select(
+        "key", "slot", "pos", "kind", _last_known(["key", "slot"], "pos", "kind").alias("near")
+    )
     found = (
         local.filter("kind = 1").join(carried, ["key", "slot"])
         .select("key", "pos", F.coalesce("near", "carried").alias("found"))
@@ -164,16 +174,15 @@ def asof_join(
     """Latest feature row at or before the entity time, unmatched kept.
 
     Adds the feature columns ``values`` and ``feature_ts``.  An entity without
-    a key matches nothing.  Of several feature rows at one time the one with the largest
-    ``tie`` counts.  With a time to live, a feature expires that long after
-    its own time; the moment of expiry itself is already too late.
+    a key matches nothing.  Of several feature rows at one time the one with
+    the largest ``tie`` counts.  With a time to live, a feature expires that
+    long after its own time; the moment of expiry itself is already too late.
     """
     packed = F.struct(F.col(feature_ts), *[F.col(v) for v in values])
     facts = features.filter(F.col(key).isNotNull() & F.col(feature_ts).isNotNull()).select(
         entity(key).alias("key"), micros(feature_ts).alias("pos"), packed.alias("payload"),
         F.col(tie or feature_ts).alias("tie"),
     )
-    facts = facts.groupBy("key", "pos").agg(F.max_by("payload", "tie").alias("payload"))
     probes = entities.withColumns({"key": entity(key), "pos": micros(ts)})
     joined = latest_before(probes, facts, limits)
     found = F.col("found")
@@ -193,10 +202,10 @@ def has_event_after(
     The next target after a time is the last one before it on a reversed axis,
     so this is the as-of lookup with time running backwards.
     """
-    facts = (
-        targets.filter(F.col(key).isNotNull() & F.col(target_ts).isNotNull())
-        .select(entity(key).alias("key"), (-micros(target_ts)).alias("pos")).distinct()
-        .withColumn("payload", F.struct((-F.col("pos")).alias("at")))
+    at = -micros(target_ts)
+    facts = targets.filter(F.col(key).isNotNull() & F.col(target_ts).isNotNull()).select(
+        entity(key).alias("key"), at.alias("pos"), F.struct((-at).alias("at")).alias("payload"),
+        at.alias("tie"),
     )
     probes = entities.withColumns({"key": entity(key), "pos": -micros(ts) - 1})
     found = latest_before(probes, facts, limits)

@@ -449,8 +449,7 @@ STRIP_SQL = r"regexp_replace(text, '^[\s\p{Z}\x1c-\x1f\x85]+|[\s\p{Z}\x1c-\x1f\x
 )
 def conversation_assembly(spark, directory):
     """Messages in order, four turn numbers to a row, system prompt in front."""
-    turns = table(spark, directory, "conversations").withColumn("text", text.strip("text"))
-    kept = turns.filter(F.length("text") > 0)
+    kept, _ = text.without_blanks(table(spark, directory, "conversations"), "text")
     rows = nested.assemble_conversations(kept, "conv_id", "turn", "role", "text", chunk=4)
     prompted = nested.with_system_message(F.col("messages"))
     last = nested.last_message(F.col("messages"))
@@ -477,8 +476,7 @@ def conversation_assembly(spark, directory):
 )
 def conversation_turns(spark, directory):
     """Assembled conversations with a message appended, taken apart again."""
-    turns = table(spark, directory, "conversations").withColumn("text", text.strip("text"))
-    kept = turns.filter(F.length("text") > 0)
+    kept, _ = text.without_blanks(table(spark, directory, "conversations"), "text")
     rows = nested.assemble_conversations(kept, "conv_id", "turn", "role", "text")
     last = rows.groupBy("conv_id").agg(F.max("part").alias("last"))
     closed = rows.join(last, "conv_id").withColumn(

@@ -11,6 +11,7 @@ from millrace.schemas import pinned
 from millrace.session import fresh_path, write_counted
 from millrace.sources import files
 from millrace.sources.metadata import describe_snapshot
+from millrace.sources.sinks import write_features
 
 
 @dataclass
@@ -72,7 +73,7 @@ def write_checked_features(table: DataFrame, path) -> tuple[DataFrame, DataFrame
     """Write a feature set and check it in the same pass; set and report."""
     low, high = FEATURE_RANGE
     watched, seen = checks.watch(table, [checks.row_count(1), checks.between(table, "x2", low, high)])
-    write_counted(watched, path)
+    write_features(watched, path)
     return files.scan(table.sparkSession, path, table.schema), seen()
 
 

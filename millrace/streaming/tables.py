@@ -7,6 +7,7 @@ from millrace.operators import checks
 from millrace.operators.tables import first_decisions
 from millrace.operators.timeline import Limits, entity, latest_before, micros
 from millrace.session import materialise
+from millrace.sources.files import scan
 from millrace.streaming.runs import batch_path, drain, read_batches
 
 
@@ -86,9 +87,11 @@ def expiring_values(stream: DataFrame, directory, state_directory, checkpoint=No
     spark = stream.sparkSession
 
     def each(frame, batch_id):
-        state = read_batches(spark, state_directory, frame.schema)
-        state = state.filter(F.col("batch_id") == batch_id - 1).drop("batch_id")
-        events, _ = materialise(frame.unionByName(state), "expiring")
+        if batch_id > 0:
+            frame = frame.unionByName(
+                scan(spark, batch_path(state_directory, batch_id - 1), frame.schema)
+            )
+        events, _ = materialise(frame, "expiring")
         answer_reads(events).write.mode("overwrite").parquet(batch_path(directory, batch_id))
         newest = events.filter("put AND key IS NOT NULL").groupBy("key").agg(
             F.max_by(F.struct("at", "put", "value", "ttl", "read_id"), F.struct("at", "value")).alias("p")
@@ -106,8 +109,8 @@ def answer_reads(events: DataFrame) -> DataFrame:
     """Reads of an event table with the value alive at that time, or null."""
     puts = events.filter("put AND key IS NOT NULL").select(
         entity("key").alias("key"), micros("at").alias("pos"),
-        F.struct("at", "value", "ttl").alias("payload"),
-    ).groupBy("key", "pos").agg(F.max_by("payload", F.col("payload.value")).alias("payload"))
+        F.struct("at", "value", "ttl").alias("payload"), F.col("value").alias("tie"),
+    )
     reads = events.filter(~F.col("put")).select(
         "read_id", F.col("key").alias("name"), "at", entity("key").alias("key"), micros("at").alias("pos")
     )

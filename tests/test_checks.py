@@ -170,3 +170,12 @@ def test_checks_ride_along_on_a_write(spark):
     empty, seen = checks.watch(df.limit(0), listed)
     write_counted(empty, fresh_path(spark, "watched"))
     assert not seen().filter("check = 'row_count'").first()["success"]
+
+
+def test_distribution_bounds(spark):
+    df = spark.range(101).select(F.col("id").cast("double").alias("v"))
+    fine = {"mean": (49, 51), "p50": (50, 50), "least": (0, 0), "stddev": (29, 30)}
+    assert only(checks.distribution_check(df, "v", fine))["success"]
+    r = only(checks.distribution_check(df, "v", {**fine, "p95": (0, 94), "most": (0, 99)}))
+    assert (r["unexpected"], r["detail"]) == (2, "p95,most")
+    assert not only(checks.distribution_check(df.filter("id < 0"), "v", fine))["success"]

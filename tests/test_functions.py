@@ -199,3 +199,24 @@ def test_r2(spark):
     assert r2([(1.0, 2.0), (2.0, 1.0)]) == pytest.approx(-3.0)
     assert r2([(5.0, 5.0), (5.0, 5.0)]) == 1.0
     assert r2([(5.0, 5.0), (5.0, 6.0)]) == 0.0
+
+
+def test_money_is_pythons(spark):
+    import random
+
+    r = random.Random(11)
+    values = [0.0, -0.0, 0.125, 0.375, 1.005, 1.015, 2.675, 0.005, 0.015, 99.995, 999999.995, -2.5, -0.001, 1e14, 1e16, 0.01]
+    values += [r.randrange(10**7) / 1000 for _ in range(3000)]
+    values += [r.randrange(10**6) / 8 for _ in range(500)]
+    values += [r.random() * 10 ** r.randrange(-5, 12) for _ in range(2000)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    wrong = [(r["v"], r["t"]) for r in df.select("v", text.money("v").alias("t")).collect() if r["t"] != f"{r['v']:.2f}"]
+    assert wrong == []
+
+
+def test_sessions_and_blank_messages(spark):
+    df = spark.createDataFrame([("s1", " hi "), ("", "\n"), (None, None)], "s string, m string")
+    ids = [r[0] for r in df.select(text.session_id("s", "m")).collect()]
+    assert ids[0] == "s1" and len(set(ids)) == 3 and all(ids)
+    kept, rejected = text.without_blanks(df, "m")
+    assert [tuple(r) for r in kept.collect()] == [("s1", "hi")] and rejected.count() == 2
