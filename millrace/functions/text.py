@@ -39,31 +39,23 @@ def iso_time(c) -> Column:
 def money(c) -> Column:
     """Two-decimal text of a double, rounded as its exact binary value.
 
-    A double whose shortest text ends in a 5 at the third decimal mostly lies a
-    little above or below that text.  Which one is found from the rounding
-    error of a product, computed without further error by splitting the
-    factor; a true half goes to the even neighbour.
+    Few doubles are exact halves of a cent: most that print as one lie a little
+    above or below.  The rounding error of the product with 100, found by
+    splitting the factor, tells which; a true half goes to the even cent.
     """
     x = F.col(c) if isinstance(c, str) else c
     size = F.abs(x)
-    exact = size.try_cast("decimal(38,18)")
-    cents = F.floor(exact * 100)
-    half = (exact * 1000 - cents * 10) == 5
+    product = size * 100.0
     high = size * 134217729.0 - (size * 134217729.0 - size)
-    product = size * 1000.0
-    error = (high * 1000.0 - product) + (size - high) * 1000.0
-    above = (product - (cents * 10 + 5).cast("double")) + error
-    up = F.when(half, (above > 0) | ((above == 0) & (cents % 2 == 1))).otherwise(
-        (exact * 1000 - cents * 10) > 5
-    )
-    total = F.when(up, cents + 1).otherwise(cents).cast("decimal(38,0)")
-    sign = F.when((x < 0) | x.cast("string").startswith("-"), "-").otherwise("")
-    digits = F.lpad(total.cast("string"), F.greatest(F.lit(3), F.length(total.cast("string"))), F.lit("0"))
+    error = (high * 100.0 - product) + (size - high) * 100.0
+    whole = F.floor(product)
+    over = (product - whole - 0.5) + error
+    cents = whole + F.when((over > 0) | ((over == 0) & (whole % 2 == 1)), 1).otherwise(0)
+    sign = F.when(x.cast("string").startswith("-"), "-").otherwise("")
     text = F.concat(
-        sign, F.substring(digits, F.lit(1), F.length(digits) - 2), F.lit("."),
-        F.substring(digits, F.length(digits) - 1, F.lit(2)),
+        sign, F.floor(cents / 100).cast("string"), F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0")
     )
-    return F.when(size < 1e15, text).otherwise(F.format_string("%.2f", x))
+    return F.when(size < 1e13, text).otherwise(F.format_string("%.2f", x))
 
 
 def decision_status(c) -> Column:

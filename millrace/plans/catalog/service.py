@@ -195,10 +195,6 @@ def _rule_sql(name, test):
     return f"CASE WHEN coalesce({test}, false) THEN '{name}' END"
 
 
-def _key(k):
-    return f"json_extract(j, '$.{k}')"
-
-
 def _is(k, *kinds):
     listed = ", ".join(f"'{kind}'" for kind in kinds)
     return f"json_type(j, '$.{k}') IN ({listed})"

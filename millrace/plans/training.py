@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.functions.fixed import FEATURE_RANGE
 from millrace.operators import checks, features, models
 from millrace.schemas import pinned
-from millrace.session import fresh_path, write_counted
+from millrace.session import fresh_path, materialise, write_counted
 from millrace.sources import files
 from millrace.sources.metadata import describe_snapshot
 from millrace.sources.sinks import write_features
@@ -88,7 +88,7 @@ def train(raw: DataFrame, x, y) -> TrainingRun:
     path = fresh_path(raw.sparkSession, "features")
     table, feature_report = write_checked_features(derive(raw, x, y), path)
     checks.gate(table, feature_report)
-    fit = models.fit_line(table, "y", "x")
+    fit, _ = materialise(models.fit_line(table, "y", "x"), "fit")
     scored = models.score_line(table, fit, "x")
     return TrainingRun(
         raw_report, feature_report, table, fit, scored, models.evaluate(scored, "y")

@@ -9,12 +9,22 @@ from pyspark.sql import functions as F
 from millrace.errors import EmptySource
 
 
+ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
+def _absent(error):
+    """Whether an error only says that there is nothing to read."""
+    return error.getCondition() in ABSENT
+
+
 def scan(spark: SparkSession, uri: str, schema=None) -> DataFrame:
     """Read one Parquet file or directory, local or remote."""
     reader = spark.read if schema is None else spark.read.schema(schema)
     try:
         return reader.parquet(uri)
     except AnalysisException as error:
+        if not _absent(error):
+            raise
         raise EmptySource(f"nothing to read at {uri}") from error
 
 
@@ -28,6 +38,8 @@ def scan_prefix(spark: SparkSession, prefix: str, schema=None) -> DataFrame:
     try:
         return reader.parquet(prefix)
     except AnalysisException as error:
+        if not _absent(error):
+            raise
         raise EmptySource(f"no objects under {prefix}") from error
 
 
@@ -67,7 +79,9 @@ def _has_files(spark, directory, recursive):
     try:
         listed = reader.option("recursiveFileLookup", recursive).load(directory)
         return not listed.select("path").isEmpty()
-    except AnalysisException:
+    except AnalysisException as error:
+        if not _absent(error):
+            raise
         return False
 
 

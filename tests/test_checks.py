@@ -179,3 +179,11 @@ def test_distribution_bounds(spark):
     r = only(checks.distribution_check(df, "v", {**fine, "p95": (0, 94), "most": (0, 99)}))
     assert (r["unexpected"], r["detail"]) == (2, "p95,most")
     assert not only(checks.distribution_check(df.filter("id < 0"), "v", fine))["success"]
+
+
+def test_duplicates_with_nested_values(spark):
+    rows = [(1, [0.0, NAN], ("a", 1.0)), (1, [-0.0, NAN], ("a", 1.0)), (2, [1.0], ("b", None)), (2, [1.0], ("c", None))]
+    df = spark.createDataFrame(rows, "id int, v array<double>, s struct<n: string, d: double>")
+    assert only(checks.unique_rows(df))["unexpected"] == 1
+    assert checks.duplicate_rows(df).count() == 1
+    assert only(checks.unique_rows(df.filter("id = 2")))["success"]
