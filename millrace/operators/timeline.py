@@ -15,19 +15,22 @@ from pyspark.sql import functions as F
 
 from millrace.session import materialise
 
-GROUP_ROWS = 2_000_000
-FRAME_ROWS = 2_000
-BLOCK_ROWS = 100_000
 LIST_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
 class Limits:
-    """Rows one task may hold for an entity, and for one window frame."""
+    """How many rows one task may hold.
 
-    group_rows: int = GROUP_ROWS
-    frame_rows: int = FRAME_ROWS
-    block_rows: int = BLOCK_ROWS
+    ``group_rows`` for an entity and ``frame_rows`` for one span of a rolling
+    aggregate decide which entities are large; ``slot_rows`` and ``block_rows``
+    are the sizes a large entity is cut into.
+    """
+
+    group_rows: int = 2_000_000
+    frame_rows: int = 2_000
+    slot_rows: int = 250_000
+    block_rows: int = 100_000
 
 
 def micros(c):
@@ -69,7 +72,7 @@ def _split(df, large, count):
     return df.join(keys, "key", "left_anti"), df.join(keys, "key", "left_semi")
 
 
-def slot_width(df: DataFrame, group_rows, start=None, by=("key",), axis="pos") -> int:
+def slot_width(df: DataFrame, slot_rows, start=None, by=("key",), axis="pos") -> int:
     """Width of slots along an axis so that none holds too many rows.
 
     Measures, and narrows until it fits or a slot is a single position.
@@ -81,9 +84,9 @@ def slot_width(df: DataFrame, group_rows, start=None, by=("key",), axis="pos") -
             df.groupBy(*by, F.floor(F.col(axis) / width)).agg(F.count(F.lit(1)).alias("n"))
             .agg(F.max("n")).first()[0]
         ) or 0
-        if fullest <= group_rows:
+        if fullest <= slot_rows:
             break
-        width = max(1, min(width // 2, int(width * group_rows / (2 * fullest))))
+        width = max(1, min(width // 2, int(width * slot_rows / (2 * fullest))))
     return width
 
 
@@ -148,7 +151,7 @@ def _sliced_lookup(probes, facts, limits):
     )
     times = probes.select("key", "pos").distinct().withColumn("row", F.struct(F.lit(1).alias("_")))
     known = _sides(times, facts).drop("row", "tie")
-    width = slot_width(known, limits.group_rows)
+    width = slot_width(known, limits.slot_rows)
     known = known.withColumn("slot", F.floor(F.col("pos") / width))
     ends = known.groupBy("key", "slot").agg(
         F.max_by("payload", F.when(F.col("kind") == 0, F.col("pos"))).alias("end")
@@ -256,58 +259,88 @@ def _plain_rolling(rows, span):
     )
 
 
-def _sliced_rolling(rows, span, limits):
-    """A trailing span as three parts, none of which subtracts.
+MERGE = {"n": F.sum, "s": F.sum, "lo": F.min, "hi": F.max}
 
-    The part of the newest slot up to the row, the whole slots between, and the
-    part of the oldest slot from the start of the span on.
-    """
-    points = rows.groupBy("key", "pos").agg(
+
+def _sliced_rolling(rows, span, limits):
+    """Rows of one moment share one result, so the moments are aggregated first."""
+    moments = rows.groupBy("key", "pos").agg(
         F.count("v").alias("n"), F.sum("v").alias("s"), F.min("v").alias("lo"), F.max("v").alias("hi")
     )
-    pieces = span // slot_width(points, limits.group_rows, start=span) or 1
+    spans = _rolling_states(moments, span, limits).select(
+        "key", "pos", F.coalesce("n", F.lit(0)).alias("r_n"), F.col("s").alias("r_sum"),
+        F.col("lo").alias("r_min"), F.col("hi").alias("r_max"),
+    )
+    return rows.join(spans, ["key", "pos"], "left")
+
+
+def _rolling_states(points, span, limits):
+    """Each point with the merged states of [pos - span, pos] in place of its own.
+
+    ``points`` has one row per (key, pos).  A span over many points is put
+    together from three parts, none of which subtracts: the newest slot up to
+    the point, the whole slots between, and the oldest slot from the start of
+    the span on.  The slots between are themselves points on a coarser axis,
+    and where they are still many the same is done with them.
+    """
+    points, _ = materialise(points, "points")
+    _, crowded = large_entities(points.select("key", "pos"), limits, frame=span + 1)
+    if not crowded:
+        w = Window.partitionBy("key").orderBy("pos").rangeBetween(-span, Window.currentRow)
+        return points.select("key", "pos", *[f(c).over(w).alias(c) for c, f in MERGE.items()])
+    pieces = max(1, span // slot_width(points, limits.slot_rows, start=max(span, 1)))
     while span % pieces:
         pieces += 1
-    width = span // pieces
+    width = max(1, span // pieces)
     slots = points.withColumn("slot", F.floor(F.col("pos") / width))
-    # Each point is a data row of its slot and asks for the tail of the slot
-    # that holds the start of its span.
+    parts = _slot_parts(slots, span, pieces)
+    near = parts.filter("kind = 0")
+    if pieces > 1:
+        near = near.join(_slots_between(slots, pieces, limits), ["key", "slot"])
+        states = [[F.col(f"{side}_{c}").alias(c) for c in MERGE] for side in ("p", "m")]
+        near = near.select(
+            "key", "origin", F.inline(F.array(*[F.struct(*state) for state in states]))
+        )
+    else:
+        near = near.select("key", "origin", *[F.col(f"p_{c}").alias(c) for c in MERGE])
+    far = parts.filter("kind = 1").select("key", "origin", *[F.col(f"p_{c}").alias(c) for c in MERGE])
+    return near.unionByName(far).groupBy("key", F.col("origin").alias("pos")).agg(
+        *[f(c).alias(c) for c, f in MERGE.items()]
+    )
+
+
+def _no_state(df):
+    return [F.lit(None).cast(df.schema[c].dataType).alias(c) for c in MERGE]
+
+
+def _slot_parts(slots, span, pieces):
+    """Of each point, its slot so far (kind 0) and its oldest slot's tail (kind 1)."""
     data = slots.withColumns({"kind": F.lit(0), "origin": F.col("pos")})
     asks = slots.select(
-        "key", (F.col("pos") - span).alias("pos"),
-        *[F.lit(None).cast(slots.schema[c].dataType).alias(c) for c in ("n", "s", "lo", "hi")],
+        "key", (F.col("pos") - span).alias("pos"), *_no_state(slots),
         (F.col("slot") - pieces).alias("slot"), F.lit(1).alias("kind"), F.col("pos").alias("origin"),
     )
-    both = data.unionByName(asks)
-    up = Window.partitionBy("key", "slot").orderBy("pos", "kind")
-    down = Window.partitionBy("key", "slot").orderBy(F.desc("pos"), "kind")
     so_far = (Window.unboundedPreceding, Window.currentRow)
-    merge = {"n": F.sum, "s": F.sum, "lo": F.min, "hi": F.max}
-    parts = both.withColumns(
+    up = Window.partitionBy("key", "slot").orderBy("pos", "kind").rowsBetween(*so_far)
+    down = Window.partitionBy("key", "slot").orderBy(F.desc("pos"), "kind").rowsBetween(*so_far)
+    return data.unionByName(asks).withColumns(
         {
-            f"p_{c}": F.when(F.col("kind") == 0, f(c).over(up.rowsBetween(*so_far)))
-            .otherwise(f(c).over(down.rowsBetween(*so_far)))
-            for c, f in merge.items()
+            f"p_{c}": F.when(F.col("kind") == 0, f(c).over(up)).otherwise(f(c).over(down))
+            for c, f in MERGE.items()
         }
     )
-    whole = slots.groupBy("key", "slot").agg(*[f(c).alias(c) for c, f in merge.items()])
-    between = Window.partitionBy("key").orderBy("slot").rangeBetween(-(pieces - 1), -1)
-    middle = whole.select("key", "slot", *[f(c).over(between).alias(f"m_{c}") for c, f in merge.items()])
-    if pieces == 1:
-        middle = whole.select(
-            "key", "slot", *[F.lit(None).cast(whole.schema[c].dataType).alias(f"m_{c}") for c in merge]
-        )
-    near = parts.filter("kind = 0").join(middle, ["key", "slot"]).select(
-        "key", "origin", F.explode(
-            F.array(*[F.struct(*[F.col(f"{p}_{c}").alias(c) for c in merge]) for p in ("p", "m")])
-        ).alias("part"),
-    ).select("key", "origin", "part.*")
-    far = parts.filter("kind = 1").select("key", "origin", *[F.col(f"p_{c}").alias(c) for c in merge])
-    spans = near.unionByName(far).groupBy("key", F.col("origin").alias("pos")).agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("r_n"), F.sum("s").alias("r_sum"),
-        F.min("lo").alias("r_min"), F.max("hi").alias("r_max"),
+
+
+def _slots_between(slots, pieces, limits):
+    """Merged states of the ``pieces - 1`` slots before each slot."""
+    merged = [f(c).alias(c) for c, f in MERGE.items()]
+    whole = slots.groupBy("key", F.col("slot").alias("pos")).agg(*merged)
+    before = whole.select("key", (F.col("pos") - 1).alias("pos"), *_no_state(whole))
+    spots = whole.unionByName(before).groupBy("key", "pos").agg(*merged)
+    states = _rolling_states(spots, pieces - 2, limits)
+    return states.select(
+        "key", (F.col("pos") + 1).alias("slot"), *[F.col(c).alias(f"m_{c}") for c in MERGE]
     )
-    return rows.join(spans, ["key", "pos"], "left")
 
 
 # --- rolling aggregates over a number of rows --------------------------------------
@@ -357,12 +390,12 @@ def _sliced_trailing(data, tie, rows, limits):
     Rows are numbered by slot.  Where even one moment holds too many rows of an
     entity, a numeric ``tie`` is cut into slots as well.
     """
-    width = slot_width(data.select("key", "pos"), limits.group_rows)
+    width = slot_width(data.select("key", "pos"), limits.slot_rows)
     slots = data.withColumn("slot", F.floor(F.col("pos") / width))
     part = F.lit(0).cast("long")
     if width == 1 and data.schema[tie].dataType.typeName() in ("long", "integer", "short", "byte"):
         tied = data.select("key", "pos", F.col(tie).cast("long").alias("tie"))
-        part = F.floor(F.col(tie) / slot_width(tied, limits.group_rows, by=("key", "pos"), axis="tie"))
+        part = F.floor(F.col(tie) / slot_width(tied, limits.slot_rows, by=("key", "pos"), axis="tie"))
     slots = slots.withColumn("part", part)
     place = ["key", "slot", "part"]
     sizes = slots.groupBy(*place).agg(F.count(F.lit(1)).alias("n"))

@@ -10,7 +10,7 @@ HOUR = 3_600_000_000
 DAY = 24 * HOUR
 
 # Limits so low that every entity takes the plan meant for very large ones.
-SLICED = timeline.Limits(group_rows=16, frame_rows=0, block_rows=8)
+SLICED = timeline.Limits(group_rows=16, frame_rows=0, slot_rows=16, block_rows=8)
 
 DERIVED_SQL = """
     SELECT l_orderkey, l_linenumber, l_quantity AS x, l_quantity * 2.0 AS x2 FROM lineitem

@@ -12,8 +12,8 @@ from millrace.operators.timeline import Limits
 BASE = datetime(2024, 1, 1)
 PLANS = {
     "plain": Limits(),
-    "sliced": Limits(group_rows=7, frame_rows=3, block_rows=5),
-    "mixed": Limits(group_rows=60, frame_rows=25, block_rows=11),
+    "sliced": Limits(group_rows=7, frame_rows=3, slot_rows=7, block_rows=5),
+    "mixed": Limits(group_rows=60, frame_rows=25, slot_rows=9, block_rows=11),
 }
 
 
@@ -80,6 +80,22 @@ def test_rolling(spark, limits):
             assert r["rolling_sum"] is None and r["rolling_avg"] is None
 
 
+def test_rolling_over_many_slots(spark):
+    """Dense rows with a burst: slots are narrow, so those between are many."""
+    rows = [(i, 1, BASE + timedelta(seconds=i * 7), float(i % 11)) for i in range(400)]
+    rows += [(400 + i, 1, BASE + timedelta(seconds=900, microseconds=i * 50), 1.0) for i in range(200)]
+    rows += [(600 + i, 2, BASE + timedelta(seconds=i * 100), 2.0) for i in range(10)]
+    df = spark.createDataFrame(rows, "id long, u long, ts timestamp_ntz, v double")
+    tight = Limits(group_rows=30, frame_rows=12, slot_rows=8, block_rows=5)
+    found = timeline.rolling(df, "u", "ts", "v", 1_200_000_000, limits=tight).collect()
+    span = timedelta(seconds=1200)
+    assert len(found) == len(rows)
+    for r in found:
+        inside = [x[3] for x in rows if x[1] == r["u"] and r["ts"] - span <= x[2] <= r["ts"]]
+        assert (r["rolling_count"], r["rolling_sum"]) == (len(inside), sum(inside))
+        assert (r["rolling_min"], r["rolling_max"]) == (min(inside), max(inside))
+
+
 def test_trailing(spark, limits):
     rows = skewed(3)
     found = timeline.trailing_rows(events(spark, rows), "u", "ts", "id", "v", 4, limits=limits).collect()
