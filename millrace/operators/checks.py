@@ -126,9 +126,10 @@ def row_report(df: DataFrame, checks) -> DataFrame:
 def watch(df: DataFrame, checks):
     """The frame with its row checks attached, and a function for their report.
 
-    The checks are answered by the next action that reads the whole frame, for
-    instance the write of a snapshot, so they cost no scan of their own.  Ask
-    for the report after that action.
+    The checks are answered by the write of the frame, so they cost no scan of
+    their own; ask for the report after it.  Nothing that shuffles may come
+    between: a task of a writing stage counts once, while one before a shuffle
+    counts again if its executor is lost and its output made anew.
     """
     seen = Observation()
     watched = df.observe(seen, *_aggregates(checks))
@@ -176,8 +177,12 @@ def _rows_with(df, repeated, n):
     return hashed.join(listed, "_h", "left_semi").select(*df.columns)
 
 
-def _copies(df):
-    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies"))
+def _copies(df, keys=None):
+    return df.groupBy(*(keys or df.columns)).agg(F.count(F.lit(1)).alias("_copies"))
+
+
+def _repeated(counted):
+    return counted.filter("_copies > 1").withColumnRenamed("_copies", "copies")
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
@@ -190,7 +195,7 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
     if len(df.columns) > 2 and _hashes_alike(df.schema):
         repeated, n, _ = _repeated_hashes(df)
         df = _rows_with(df, repeated, n)
-    return _copies(df).filter("copies > 1")
+    return _repeated(_copies(df))
 
 
 def _hashes_alike(schema):
@@ -206,29 +211,25 @@ def _hashable(f):
     return F.col(f"`{f.name}`")
 
 
-def unique_rows(df: DataFrame, watched=None) -> DataFrame:
-    """Report row: excess rows, which is rows minus distinct rows.
-
-    ``watched`` is the same frame with row checks attached (see ``watch``);
-    the pass over all rows then answers those as well.
-    """
+def unique_rows(df: DataFrame) -> DataFrame:
+    """Report row: excess rows, which is rows minus distinct rows."""
     if not _hashes_alike(df.schema):
-        totals = _copies(df if watched is None else watched).agg(
-            F.coalesce(F.sum("copies"), F.lit(0)).alias("rows"),
-            F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("excess"),
-            F.count_if(F.col("copies") > 1).alias("groups"),
+        totals = _copies(df).agg(
+            F.coalesce(F.sum("_copies"), F.lit(0)).alias("rows"),
+            F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("excess"),
+            F.count_if(F.col("_copies") > 1).alias("groups"),
         )
         totals, _ = materialise(totals, "repeated")
         return _report_row(
             totals, "unique_rows", "*", F.col("rows"), F.col("excess"),
             F.concat(F.col("groups").cast("string"), F.lit(" repeated")),
         )
-    repeated, n, rows = _repeated_hashes(df if watched is None else watched)
+    repeated, n, rows = _repeated_hashes(df)
     if n == 0:
         clean = [("unique_rows", "*", True, rows, 0, "0 repeated")]
         return df.sparkSession.createDataFrame(clean, REPORT)
     totals = _copies(_rows_with(df, repeated, n)).agg(
-        F.sum(F.col("copies") - 1).alias("excess"), F.count_if(F.col("copies") > 1).alias("groups")
+        F.sum(F.col("_copies") - 1).alias("excess"), F.count_if(F.col("_copies") > 1).alias("groups")
     )
     return _report_row(
         totals, "unique_rows", "*", F.lit(rows), F.col("excess"),
@@ -238,16 +239,15 @@ def unique_rows(df: DataFrame, watched=None) -> DataFrame:
 
 def duplicate_keys(df: DataFrame, keys) -> DataFrame:
     """Keys held by several rows, with the number of ``copies``."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
+    return _repeated(_copies(df, keys))
 
 
 def unique_key(df: DataFrame, keys) -> DataFrame:
     """Report row: rows beyond the first of each key."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
-    totals = sizes.agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("rows"),
-        F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("excess"),
-        F.count_if(F.col("copies") > 1).alias("groups"),
+    totals = _copies(df, keys).agg(
+        F.coalesce(F.sum("_copies"), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("excess"),
+        F.count_if(F.col("_copies") > 1).alias("groups"),
     )
     return _report_row(
         totals, "unique_key", ",".join(keys), F.col("rows"), F.col("excess"),
@@ -264,9 +264,9 @@ def orphans(child: DataFrame, key, parent: DataFrame, parent_key) -> DataFrame:
     Rows are counted per key before the join, so a key held by many rows costs
     the join one row.  Null keys refer to nothing and pass.
     """
-    held = child.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    held = child.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
     parents = parent.select(F.col(parent_key).alias(key))
-    return held.join(parents, key, "left_anti")
+    return held.join(parents, key, "left_anti").withColumnRenamed("_rows", "rows")
 
 
 def foreign_key(child: DataFrame, key, parent: DataFrame, parent_key) -> DataFrame:

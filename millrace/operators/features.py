@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.ordered import ordinal_codes
+from millrace.session import unused_name
 
 
 def double_feature(df: DataFrame, column="x", name="x2") -> DataFrame:
@@ -70,8 +71,10 @@ def fit_ordinal(df: DataFrame, column, **options) -> DataFrame:
 
 def ordinal_encode(df: DataFrame, column, mapping: DataFrame, name=None) -> DataFrame:
     """Adds the code of a value; unseen values get -1."""
-    coded = df.join(mapping, column, "left")
-    code = F.coalesce(F.col("code"), F.lit(-1)).cast("long")
+    value, number = unused_name(df, "_value"), unused_name(df, "_code")
+    codes = mapping.select(F.col("value").alias(value), F.col("code").alias(number))
+    coded = df.join(codes, F.col(column) == F.col(value), "left")
+    code = F.coalesce(F.col(number), F.lit(-1)).cast("long")
     return coded.select(*df.columns, code.alias(name or f"{column}_code"))
 
 

@@ -47,15 +47,15 @@ def aggregate_features(df: DataFrame, key, value, prefix, distinct=None) -> Data
             F.min(value).alias(f"{prefix}_min"),
             F.max(value).alias(f"{prefix}_max"),
         )
-    inner = df.groupBy(key, distinct).agg(
-        F.count(F.lit(1)).alias("n"), F.count(value).alias("c"), F.sum(value).alias("s"),
-        F.min(value).alias("lo"), F.max(value).alias("hi"),
+    inner = df.groupBy(F.col(key).alias("_key"), F.col(distinct).alias("_distinct")).agg(
+        F.count(F.lit(1)).alias("_rows"), F.count(value).alias("_count"), F.sum(value).alias("_sum"),
+        F.min(value).alias("_min"), F.max(value).alias("_max"),
     )
-    return inner.groupBy(key).agg(
-        F.sum("n").alias(f"{prefix}_rows"),
-        F.sum("s").alias(f"{prefix}_sum"),
-        F.try_divide(F.sum("s"), F.sum("c").cast("double")).alias(f"{prefix}_avg"),
-        F.min("lo").alias(f"{prefix}_min"),
-        F.max("hi").alias(f"{prefix}_max"),
-        F.count(distinct).alias(f"{prefix}_distinct"),
+    return inner.groupBy(F.col("_key").alias(key)).agg(
+        F.sum("_rows").alias(f"{prefix}_rows"),
+        F.sum("_sum").alias(f"{prefix}_sum"),
+        F.try_divide(F.sum("_sum"), F.sum("_count").cast("double")).alias(f"{prefix}_avg"),
+        F.min("_min").alias(f"{prefix}_min"),
+        F.max("_max").alias(f"{prefix}_max"),
+        F.count("_distinct").alias(f"{prefix}_distinct"),
     )

@@ -93,9 +93,9 @@ class Candidate:
     params: tuple = ()
 
     def estimator(self, features, label):
-        assembler = VectorAssembler(inputCols=list(features), outputCol="features")
+        assembler = VectorAssembler(inputCols=list(features), outputCol="_features")
         regressor = ESTIMATORS[self.kind](
-            featuresCol="features", labelCol=label, predictionCol=self.name, **dict(self.params)
+            featuresCol="_features", labelCol=label, predictionCol=self.name, **dict(self.params)
         )
         return Pipeline(stages=[assembler, regressor])
 
@@ -118,7 +118,7 @@ def compare(models: dict, df: DataFrame, label) -> DataFrame:
     """One row per model with R² and RMSE, from a single pass over the rows."""
     scored = df
     for model in models.values():
-        scored = model.transform(scored).drop("features")
+        scored = model.transform(scored).drop("_features")
     return evaluate_all(scored, label, list(models))
 
 

@@ -73,8 +73,9 @@ def exact_quantiles(
     df: DataFrame, column, quantiles, names, one_task_rows=ONE_TASK_ROWS, ranges=None
 ) -> DataFrame:
     """One row with linearly interpolated quantiles of the non-null values."""
-    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    ranked = running_totals(counts, column, ["n"], one_task_rows, ranges)
+    values = df.select(F.col(column).alias("v")).filter("v IS NOT NULL")
+    counts = values.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    ranked = running_totals(counts, "v", ["n"], one_task_rows, ranges)
     total = ranked.agg(F.sum("n")).scalar()
     placed = ranked.withColumn("_total", total)
     picks = []
@@ -82,7 +83,7 @@ def exact_quantiles(
         place = (F.col("_total") - 1) * F.lit(float(q))
         for side, index in (("lo", F.floor(place)), ("hi", F.ceil(place))):
             here = (F.col("n_before") <= index) & (index < F.col("n_before") + F.col("n"))
-            picks.append(F.max(F.when(here, F.col(column))).alias(f"{side}{i}"))
+            picks.append(F.max(F.when(here, F.col("v"))).alias(f"{side}{i}"))
         picks.append(F.max(place - F.floor(place)).alias(f"part{i}"))
     found = placed.agg(*picks)
     return found.select(
@@ -95,11 +96,11 @@ def exact_quantiles(
 
 def auc(df: DataFrame, label, score, one_task_rows=ONE_TASK_ROWS, ranges=None) -> DataFrame:
     """One row: chance that a positive outscores a negative, ties half."""
-    by_score = df.groupBy(score).agg(
-        F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).alias("p"),
-        F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).alias("n"),
+    pairs = df.select(F.col(score).alias("s"), (F.col(label) == 1).alias("hit"))
+    by_score = pairs.groupBy("s").agg(
+        F.count_if("hit").alias("p"), F.count_if(~F.coalesce("hit", F.lit(False))).alias("n")
     )
-    ranked = running_totals(by_score, score, ["n"], one_task_rows, ranges)
+    ranked = running_totals(by_score, "s", ["n"], one_task_rows, ranges)
     # Half points are counted in whole numbers, so the sum has no rounding.
     wins = F.sum(F.col("p").cast("decimal(38,0)") * (2 * F.col("n_before") + F.col("n")))
     pairs = F.sum("p").cast("double") * F.sum("n").cast("double")
@@ -111,9 +112,9 @@ def auc(df: DataFrame, label, score, one_task_rows=ONE_TASK_ROWS, ranges=None) -
 
 
 def ordinal_codes(df: DataFrame, column, one_task_rows=ONE_TASK_ROWS, ranges=None) -> DataFrame:
-    """Distinct values with their position in sorted order."""
-    values = df.select(column).filter(F.col(column).isNotNull()).distinct()
+    """Distinct values, as ``value``, with their position in sorted order, ``code``."""
+    values = df.select(F.col(column).alias("v")).filter("v IS NOT NULL").distinct()
     ranked = running_totals(
-        values.withColumn("one", F.lit(1).cast("long")), column, ["one"], one_task_rows, ranges
+        values.withColumn("one", F.lit(1).cast("long")), "v", ["one"], one_task_rows, ranges
     )
-    return ranked.select(column, F.col("one_before").alias("code"))
+    return ranked.select(F.col("v").alias("value"), F.col("one_before").alias("code"))

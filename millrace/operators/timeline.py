@@ -66,6 +66,16 @@ def entity(key):
     return F.struct(F.col(key).alias("id"))
 
 
+def on_axis(df, key, pos, **columns):
+    """Key and position of each row, with the row itself packed away.
+
+    Packed, its column names cannot clash with those used here.
+    """
+    named = [c.alias(n) for n, c in columns.items()]
+    packed = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+    return df.select(entity(key).alias("key"), pos.alias("pos"), *named, packed)
+
+
 def _split(df, large, count):
     """(ordinary, large) halves of a frame."""
     keys = F.broadcast(large) if count <= LIST_ROWS else large
@@ -105,22 +115,18 @@ def _last_known(keys, *order):
 def latest_before(probes: DataFrame, facts: DataFrame, limits=Limits()) -> DataFrame:
     """For each probe, the payload of the newest fact at or before it.
 
-    ``probes`` has key, pos and any further columns; ``facts`` has key, pos,
-    a struct ``payload`` and ``tie``, whose largest value counts among facts of
-    one position.  Adds ``found``.
+    ``probes`` has key, pos and a struct ``row``; ``facts`` has key, pos, a
+    struct ``payload`` and ``tie``, whose largest value counts among facts of
+    one position.  Gives key, pos, row and ``found``.
     """
-    rest = [c for c in probes.columns if c not in ("key", "pos")]
-    carried = probes.select("key", "pos", F.struct(F.lit(1).alias("_"), *rest).alias("row"))
-    everything = carried.select("key", "pos").unionByName(facts.select("key", "pos"))
+    everything = probes.select("key", "pos").unionByName(facts.select("key", "pos"))
     large, count = large_entities(everything, limits)
-    back = ["key", "pos", *[F.col(f"row.{c}").alias(c) for c in rest], "found"]
     if not count:
-        return _plain_lookup(carried, facts).select(*back)
-    small_probes, large_probes = _split(carried, large, count)
+        return _plain_lookup(probes, facts)
+    small_probes, large_probes = _split(probes, large, count)
     small_facts, large_facts = _split(facts, large, count)
     plain = _plain_lookup(small_probes, small_facts)
-    sliced = _sliced_lookup(large_probes, large_facts, limits)
-    return plain.unionByName(sliced).select(*back)
+    return plain.unionByName(_sliced_lookup(large_probes, large_facts, limits))
 
 
 def _sides(probes, facts):
@@ -186,14 +192,14 @@ def asof_join(
         entity(key).alias("key"), micros(feature_ts).alias("pos"), packed.alias("payload"),
         F.col(tie or feature_ts).alias("tie"),
     )
-    probes = entities.withColumns({"key": entity(key), "pos": micros(ts)})
+    probes = on_axis(entities, key, micros(ts))
     joined = latest_before(probes, facts, limits)
     found = F.col("found")
     if ttl_micros is not None:
         alive = F.col("pos") < micros(found[feature_ts]) + F.lit(ttl_micros)
         found = F.when(alive, found)
     picked = [found[c].alias(c) for c in [feature_ts, *values]]
-    return joined.select(*entities.columns, *picked)
+    return joined.select("row.*", *picked)
 
 
 def has_event_after(
@@ -210,12 +216,10 @@ def has_event_after(
         entity(key).alias("key"), at.alias("pos"), F.struct((-at).alias("at")).alias("payload"),
         at.alias("tie"),
     )
-    probes = entities.withColumns({"key": entity(key), "pos": -micros(ts) - 1})
-    found = latest_before(probes, facts, limits)
-    hit = F.col("found.at") <= micros(ts) + F.lit(horizon_micros)
-    return found.select(
-        *entities.columns, F.when(F.coalesce(hit, F.lit(False)), 1).otherwise(0).alias(label)
-    )
+    found = latest_before(on_axis(entities, key, -micros(ts) - 1), facts, limits)
+    time = -F.col("pos") - 1
+    hit = F.col("found.at") <= time + F.lit(horizon_micros)
+    return found.select("row.*", F.when(F.coalesce(hit, F.lit(False)), 1).otherwise(0).alias(label))
 
 
 # --- rolling aggregates over a time span -----------------------------------------
@@ -228,9 +232,7 @@ def rolling(
 
     The frame is [ts - span, ts] per entity, rows of the same time included.
     """
-    rows = df.withColumns(
-        {"key": entity(key), "pos": micros(ts), "v": F.col(value).cast("double")}
-    )
+    rows = on_axis(df, key, micros(ts), v=F.col(value).cast("double"))
     large, count = large_entities(rows.select("key", "pos"), limits, frame=span_micros)
     if not count:
         out = _plain_rolling(rows, span_micros)
@@ -244,7 +246,7 @@ def rolling(
         f"{prefix}_min": F.col("r_min"),
         f"{prefix}_max": F.col("r_max"),
     }
-    return out.select(*df.columns, *[c.alias(n) for n, c in named.items()])
+    return out.select("row.*", *[c.alias(n) for n, c in named.items()])
 
 
 def _plain_rolling(rows, span):
@@ -353,15 +355,13 @@ def trailing_rows(
 
     ``tie`` makes the order of an entity's rows unique.
     """
-    data = df.withColumns({"key": entity(key), "pos": micros(ts), "v": F.col(value).cast("double")})
+    data = on_axis(df, key, micros(ts), tie=F.col(tie), v=F.col(value).cast("double"))
     large, count = large_entities(data.select("key", "pos"), limits)
     if not count:
-        out = _plain_trailing(data, ["key"], tie, rows)
+        out = _plain_trailing(data, ["key"], rows)
     else:
         small, hot = _split(data, large, count)
-        out = _plain_trailing(small, ["key"], tie, rows).unionByName(
-            _sliced_trailing(hot, tie, rows, limits)
-        )
+        out = _plain_trailing(small, ["key"], rows).unionByName(_sliced_trailing(hot, rows, limits))
     named = {
         f"{prefix}_count": F.col("t_n"),
         f"{prefix}_sum": F.col("t_sum"),
@@ -369,11 +369,11 @@ def trailing_rows(
         f"{prefix}_min": F.col("t_min"),
         f"{prefix}_max": F.col("t_max"),
     }
-    return out.select(*df.columns, *[c.alias(n) for n, c in named.items()])
+    return out.select("row.*", *[c.alias(n) for n, c in named.items()])
 
 
-def _plain_trailing(data, keys, tie, rows):
-    w = Window.partitionBy(*keys).orderBy("pos", tie).rowsBetween(-(rows - 1), Window.currentRow)
+def _plain_trailing(data, keys, rows):
+    w = Window.partitionBy(*keys).orderBy("pos", "tie").rowsBetween(-(rows - 1), Window.currentRow)
     return data.withColumns(
         {
             "t_n": F.count("v").over(w),
@@ -384,7 +384,7 @@ def _plain_trailing(data, keys, tie, rows):
     )
 
 
-def _sliced_trailing(data, tie, rows, limits):
+def _sliced_trailing(data, rows, limits):
     """Blocks of consecutive rows; each also sees the last rows of the one before.
 
     Rows are numbered by slot.  Where even one moment holds too many rows of an
@@ -393,9 +393,9 @@ def _sliced_trailing(data, tie, rows, limits):
     width = slot_width(data.select("key", "pos"), limits.slot_rows)
     slots = data.withColumn("slot", F.floor(F.col("pos") / width))
     part = F.lit(0).cast("long")
-    if width == 1 and data.schema[tie].dataType.typeName() in ("long", "integer", "short", "byte"):
-        tied = data.select("key", "pos", F.col(tie).cast("long").alias("tie"))
-        part = F.floor(F.col(tie) / slot_width(tied, limits.slot_rows, by=("key", "pos"), axis="tie"))
+    if width == 1 and data.schema["tie"].dataType.typeName() in ("long", "integer", "short", "byte"):
+        tied = data.select("key", "pos", F.col("tie").cast("long").alias("tie"))
+        part = F.floor(F.col("tie") / slot_width(tied, limits.slot_rows, by=("key", "pos"), axis="tie"))
     slots = slots.withColumn("part", part)
     place = ["key", "slot", "part"]
     sizes = slots.groupBy(*place).agg(F.count(F.lit(1)).alias("n"))
@@ -403,7 +403,7 @@ def _sliced_trailing(data, tie, rows, limits):
         Window.partitionBy("key").orderBy("slot", "part").rowsBetween(Window.unboundedPreceding, -1)
     )
     offsets = sizes.select(*place, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("off"))
-    inside = F.row_number().over(Window.partitionBy(*place).orderBy("pos", tie)) - 1
+    inside = F.row_number().over(Window.partitionBy(*place).orderBy("pos", "tie")) - 1
     placed = (
         slots.withColumn("at", inside).join(offsets, place)
         .withColumn("at", F.col("at") + F.col("off"))
@@ -413,5 +413,5 @@ def _sliced_trailing(data, tie, rows, limits):
     lead_in = F.col("at") % block >= block - (rows - 1)
     copies = F.when(lead_in, F.array(own, own + 1)).otherwise(F.array(own))
     spread = placed.withColumn("block", F.explode(copies))
-    ranked = _plain_trailing(spread, ["key", "block"], tie, rows)
+    ranked = _plain_trailing(spread, ["key", "block"], rows)
     return ranked.filter(F.col("block") == own).select(*data.columns, "t_n", "t_sum", "t_min", "t_max")

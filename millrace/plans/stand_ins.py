@@ -207,12 +207,12 @@ requests AS (
 
 
 def audit_logs(events: DataFrame) -> DataFrame:
-    """Audit rows: a session per user and day."""
+    """Audit rows: a session per user."""
     return events.select(
         F.col("event_id").alias("id"),
         F.col("ts").alias("timestamp"),
         "user_id",
-        F.concat_ws("-", F.col("user_id"), F.date_format("ts", "yyyyMMdd")).alias("session_id"),
+        F.col("user_id").alias("session_id"),
         F.concat(F.lit("tool_executed_"), F.col("event_type")).alias("action"),
         F.col("props").alias("details"),
     )

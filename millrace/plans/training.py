@@ -55,12 +55,11 @@ class TrainingRun:
 
 
 def check_raw(raw: DataFrame, x, y) -> DataFrame:
-    """Report on raw rows: presence of values and repeated rows, in one scan."""
-    watched, seen = checks.watch(
+    """Report on raw rows: presence of values, and repeated rows."""
+    rows = checks.row_report(
         raw, [checks.row_count(1), checks.not_null(raw, x), checks.not_null(raw, y)]
     )
-    repeated = checks.unique_rows(raw, watched)
-    return checks.report(seen(), repeated)
+    return checks.report(rows, checks.unique_rows(raw))
 
 
 def derive(raw: DataFrame, x, y) -> DataFrame:
@@ -80,8 +79,8 @@ def write_checked_features(table: DataFrame, path) -> tuple[DataFrame, DataFrame
 def train(raw: DataFrame, x, y) -> TrainingRun:
     """Run all steps; a failed check raises and nothing is trained.
 
-    The raw rows are read twice, to check them and to derive the features; all
-    later steps read the narrow feature set.
+    Only the search for repeated rows reads every raw column.  All steps after
+    the features are written read that narrow set.
     """
     raw_report = check_raw(raw, x, y)
     checks.gate(raw, raw_report)

@@ -33,6 +33,22 @@ def build_session(app="millrace", master=None, **conf) -> SparkSession:
     return builder.getOrCreate()
 
 
+def shuffle_settings(shuffle_bytes, cores, partition_bytes=200 << 20) -> dict:
+    """Settings that keep a shuffle partition small enough to sort in memory.
+
+    ``shuffle_bytes`` is the largest amount one step is expected to exchange.
+    Adaptive execution merges partitions that turn out small and splits skewed
+    ones, so the number errs on the high side.
+    """
+    wanted = -(-int(shuffle_bytes) // partition_bytes)
+    return {
+        "spark.sql.shuffle.partitions": str(min(max(wanted, 2 * cores), 100_000)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+    }
+
+
 def pin_settings(spark: SparkSession) -> SparkSession:
     """Runtime settings that a session built elsewhere needs."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -77,8 +93,18 @@ def observed(seen: Observation):
         return None
 
 
+def unused_name(df: DataFrame, name: str) -> str:
+    """A column name the frame does not have yet."""
+    while name in df.columns:
+        name = f"_{name}"
+    return name
+
+
 def write_counted(df: DataFrame, path: str, mode="errorifexists", partition_by=()) -> int:
-    """Write Parquet and return the row count seen by that same pass."""
+    """Write Parquet and return the row count seen by that same pass.
+
+    The count is taken in the writing stage, whose tasks count once each.
+    """
     seen = Observation()
     writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode)
     if partition_by:

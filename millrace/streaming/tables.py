@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import checks
 from millrace.operators.tables import first_decisions
-from millrace.operators.timeline import Limits, entity, latest_before, micros
+from millrace.operators.timeline import Limits, entity, latest_before, micros, on_axis
 from millrace.session import materialise
 from millrace.sources.files import scan
 from millrace.streaming.runs import batch_path, drain, read_batches
@@ -111,10 +111,8 @@ def answer_reads(events: DataFrame) -> DataFrame:
         entity("key").alias("key"), micros("at").alias("pos"),
         F.struct("at", "value", "ttl").alias("payload"), F.col("value").alias("tie"),
     )
-    reads = events.filter(~F.col("put")).select(
-        "read_id", F.col("key").alias("name"), "at", entity("key").alias("key"), micros("at").alias("pos")
-    )
+    reads = on_axis(events.filter(~F.col("put")).select("read_id", "key", "at"), "key", micros("at"))
     found = latest_before(reads, puts, Limits())
     put = F.col("found")
-    alive = micros("at") < micros(put["at"]) + ttl_micros(put["ttl"])
-    return found.select("read_id", F.col("name").alias("key"), "at", F.when(alive, put["value"]).alias("value"))
+    alive = F.col("pos") < micros(put["at"]) + ttl_micros(put["ttl"])
+    return found.select("row.*", F.when(alive, put["value"]).alias("value"))

@@ -45,7 +45,7 @@ def test_auc_of_one_class_is_null(spark):
 def test_ordinal(spark, way):
     words = [f"w{i % 37:02d}" for i in range(200)] + ["Ä", "a", "Z", ""]
     df = spark.createDataFrame([(w,) for w in words] + [(None,)], "w string")
-    got = {r["w"]: r["code"] for r in ordered.ordinal_codes(df, "w", **way).collect()}
+    got = {r["value"]: r["code"] for r in ordered.ordinal_codes(df, "w", **way).collect()}
     want = sorted(set(words), key=lambda w: w.encode())
     assert got == {w: i for i, w in enumerate(want)}
 

@@ -145,3 +145,27 @@ def test_slots_narrow_until_they_fit(spark):
     width = timeline.slot_width(df, 10)
     fullest = df.groupBy("key", F.floor(F.col("pos") / width)).count().agg(F.max("count")).first()[0]
     assert fullest <= 10
+
+
+NAMES = "key pos v row tie kind slot part block at n s lo hi found payload origin id end off"
+
+
+def test_column_names_do_not_clash(spark, limits):
+    """Users may call their columns whatever the operators call theirs."""
+    rows = skewed(6, 60)
+    extra = [n for n in NAMES.split() if n not in ("key", "pos", "v", "tie")]
+    df = spark.createDataFrame(
+        [(u, ts, v, i, *range(len(extra))) for i, u, ts, v, _ in rows],
+        ", ".join(["key long", "pos timestamp_ntz", "v double", "tie long", *[f"{n} int" for n in extra]]),
+    )
+    given = sorted(map(repr, df.collect()))
+    facts = df.select("key", F.col("pos").alias("fpos"), F.col("tie").alias("ftie"))
+    outs = [
+        timeline.rolling(df, "key", "pos", "v", 3_600_000_000, limits=limits),
+        timeline.trailing_rows(df, "key", "pos", "tie", "v", 3, limits=limits),
+        timeline.asof_join(df, facts, "key", "pos", "fpos", ["ftie"], tie="ftie", limits=limits),
+        timeline.has_event_after(df, df, "key", "pos", "pos", 60_000_000, limits=limits),
+    ]
+    for out in outs:
+        assert out.columns[: len(df.columns)] == df.columns
+        assert sorted(map(repr, out.select(df.columns).collect())) == given
