@@ -30,8 +30,12 @@ REPLY_OTHER_TOOL = "✅ Request completed successfully."
 REPLY_GENERIC = "I've processed your request. How else can I help?"
 PLANNING_FAILED = "Planning failed: %s"
 INVALID_ARGUMENTS = "Invalid tool arguments for %s: %s"
+EXECUTION_FAILED = "Tool execution error: %s"
 EMPTY_MESSAGES = "empty_messages"
 
+# Tools that need an answer from another service.
+EXTERNAL_TOOLS = ["get_order_status", "process_refund", "escalate_to_human"]
+
 # Argument rules of the four tools.
 TOOL_RULES = {
     "get_order_status": {

@@ -22,6 +22,12 @@ def argument_keys(c) -> Column:
     return F.json_object_keys(c)
 
 
+def json_text(parsed, path) -> Column:
+    """Text at a path of a parsed column: null if absent, "None" if JSON null."""
+    value = F.try_variant_get(parsed, path, "variant")
+    return F.when(F.is_variant_null(value), "None").otherwise(F.try_variant_get(parsed, path, "string"))
+
+
 def first_call(calls) -> Column:
     """First tool call of an array column, null when there is none."""
     return F.try_element_at(calls, F.lit(1))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import fixed, rules
 from millrace.functions.json_rules import check_arguments
-from millrace.functions.nested import first_call, render_json
+from millrace.functions.nested import first_call, json_text, render_json
 from millrace.functions.text import business_id, null_if, strip
 from millrace.session import materialise
 
@@ -57,7 +57,8 @@ def decide(calls: DataFrame, threshold=fixed.APPROVAL_THRESHOLD) -> DataFrame:
     Columns in: session_id, user_id, tool, args (JSON), approval_status, result
     (JSON of the external call), created_at, and from planning, if it ran,
     ``direct`` and ``plan_error``.  A call whose approval was given counts as
-    executed.
+    executed.  A call that needs an answer from another service and has no
+    result failed.
     """
     checked = check_arguments(_absent_as_null(calls, "direct", "plan_error"), "tool", "args")
     asked = F.col("tool").isNotNull()
@@ -74,6 +75,16 @@ def decide(calls: DataFrame, threshold=fixed.APPROVAL_THRESHOLD) -> DataFrame:
         {"error": error, "amount": F.when(fine & (F.col("tool") == "process_refund"), amount)}
     ).withColumn("approval_required", rules.needs_approval(F.col("amount"), threshold))
     approved = F.coalesce(F.col("approval_status") == "approved", F.lit(False))
+    allowed = F.coalesce(fine, F.lit(False)) & (~F.col("approval_required") | approved)
+    unanswered = F.col("tool").isin(fixed.EXTERNAL_TOOLS) & F.col("result").isNull()
+    decided = decided.withColumns(
+        {
+            "executed": allowed & ~F.coalesce(unanswered, F.lit(False)),
+            "error": F.when(
+                allowed & unanswered, F.format_string(fixed.EXECUTION_FAILED, F.lit("no result"))
+            ).otherwise(F.col("error")),
+        }
+    )
     return decided.withColumns(
         {
             "approval_reason": F.when(
@@ -83,7 +94,6 @@ def decide(calls: DataFrame, threshold=fixed.APPROVAL_THRESHOLD) -> DataFrame:
                 F.col("error"), F.lit(False), F.col("tool"), F.col("approval_required"),
                 F.col("approval_status"),
             ),
-            "executed": F.coalesce(fine, F.lit(False)) & (~F.col("approval_required") | approved),
         }
     )
 
@@ -117,21 +127,22 @@ def audit_rows(decided: DataFrame) -> DataFrame:
 
 
 RESULT = (
-    "order_id string, status string, items array<struct<name: string, price: double>>, "
-    "shipping struct<status: string>, refund_id string, ticket_id string"
+    "items array<struct<name: string, price: double>>, refund_id string, ticket_id string"
 )
 
 
 def reply_rows(decided: DataFrame) -> DataFrame:
     """The reply of each call."""
-    parsed = decided.withColumn("_r", F.from_json("result", RESULT))
+    parsed = decided.withColumns(
+        {"_r": F.from_json("result", RESULT), "_v": F.try_parse_json("result")}
+    )
     result = F.when(
         F.col("executed"),
         F.struct(
             F.coalesce(F.get_json_object("args", "$.order_id"), F.lit("")).alias("order_id"),
-            F.col("_r.status").alias("status"),
+            json_text(F.col("_v"), "$.status").alias("status"),
             F.col("_r.items").alias("items"),
-            F.col("_r.shipping.status").alias("shipping_status"),
+            json_text(F.col("_v"), "$.shipping.status").alias("shipping_status"),
             F.col("amount").alias("amount"),
             F.col("_r.refund_id").alias("refund_id"),
             F.col("_r.ticket_id").alias("ticket_id"),
