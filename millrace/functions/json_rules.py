@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.fixed import TOOL_RULES
+from millrace.functions.nested import argument_keys
 
 
 def _is_number(kind):
@@ -51,7 +52,7 @@ def broken_rules(values, kinds, keys: Column, schema) -> Column:
 
 
 def check_arguments(df: DataFrame, tool, arguments, rules=None) -> DataFrame:
-    """Adds ``broken`` (rule names) and ``valid`` for a tool-argument column.
+    """Adds ``arg_keys``, ``broken`` (rule names) and ``valid`` for an argument column.
 
     The text is parsed once, and each property taken out once, whatever the
     number of rules on it.
@@ -74,7 +75,7 @@ def check_arguments(df: DataFrame, tool, arguments, rules=None) -> DataFrame:
         {
             **{f"_t_{prop}": F.schema_of_variant(F.col(f"_v_{prop}")) for prop in users},
             "_whole": F.schema_of_variant(F.col("_parsed")),
-            "_keys": F.json_object_keys(arguments),
+            "arg_keys": argument_keys(arguments),
         }
     )
     values = {prop: F.col(f"_v_{prop}") for prop in users}
@@ -83,8 +84,9 @@ def check_arguments(df: DataFrame, tool, arguments, rules=None) -> DataFrame:
         ~F.col("_whole").startswith("OBJECT"), F.array(F.lit("type"))
     )
     for name, schema in rules.items():
-        broken = broken_rules(values, kinds, F.col("_keys"), schema)
+        broken = broken_rules(values, kinds, F.col("arg_keys"), schema)
         verdict = verdict.when(F.col(tool) == name, broken)
     verdict = verdict.otherwise(F.array(F.lit("unknown_tool")))
     checked = typed.withColumn("broken", verdict)
-    return checked.withColumn("valid", F.size("broken") == 0).select(*df.columns, "broken", "valid")
+    added = ["arg_keys", "broken", "valid"]
+    return checked.withColumn("valid", F.size("broken") == 0).select(*df.columns, *added)

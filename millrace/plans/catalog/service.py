@@ -265,7 +265,7 @@ def _calls(spark, directory):
 def tool_args_rules(spark, directory):
     """Which argument rules each call breaks."""
     checked = check_arguments(_calls(spark, directory), "tool", "args")
-    keys = F.array_join(F.sort_array(nested.argument_keys("args")), ",")
+    keys = F.array_join(F.sort_array("arg_keys"), ",")
     return checked.select(
         "session_id", "tool", F.array_join("broken", ",").alias("broken"), "valid",
         F.coalesce(keys, F.lit("")).alias("arg_keys"),

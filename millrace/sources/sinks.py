@@ -25,13 +25,22 @@ def land(df: DataFrame, prefix, short, batch_id) -> tuple[str, int]:
     return path, write_counted(df, path, mode="overwrite")
 
 
-def append_table(df: DataFrame, identifier, batch_id, path=None):
-    """Append to a table, creating it from the frame's schema when absent."""
-    stamped = df.withColumns({"batch_id": F.lit(batch_id), "ingested_at": F.current_timestamp()})
-    writer = stamped.write.mode("append")
+def append_table(df: DataFrame, identifier, batch_id, path=None) -> bool:
+    """Append to a table, creating it from the frame's schema when absent.
+
+    The table is laid out by batch.  A batch it already holds is not appended
+    again, so that an ingest run can be repeated; returns whether it was.
+    """
+    spark = df.sparkSession
+    if spark.catalog.tableExists(identifier):
+        if not spark.table(identifier).filter(F.col("batch_id") == batch_id).isEmpty():
+            return False
+    stamped = df.withColumns({"ingested_at": F.current_timestamp(), "batch_id": F.lit(batch_id)})
+    writer = stamped.write.mode("append").partitionBy("batch_id")
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(identifier)
+    return True
 
 
 def write_by_period(df: DataFrame, path, ts, column="period", pattern="yyyy-MM-dd"):
