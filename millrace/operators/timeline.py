@@ -6,6 +6,8 @@ counting first, and only they take the second plan, which cuts their timeline
 into slots: work inside a slot is local, and one summary row per slot carries
 the rest.  The list of such entities is written and counted, and it is sent to
 every task only if it is short.
+
+``key`` is a column name or a list of them throughout.
 """
 
 from dataclasses import dataclass
@@ -61,9 +63,21 @@ def large_entities(df: DataFrame, limits: Limits, frame=None) -> tuple[DataFrame
     return materialise(large.select("key"), "large-entities")
 
 
+def _names(key):
+    return [key] if isinstance(key, str) else list(key)
+
+
 def entity(key):
-    """Entity key in a struct, so that rows without a key form one entity."""
-    return F.struct(F.col(key).alias("id"))
+    """Key columns in a struct, so that rows without a key form one entity."""
+    return F.struct(*[F.col(name).alias(f"k{i}") for i, name in enumerate(_names(key))])
+
+
+def _identified(key):
+    """Rows whose key is complete."""
+    complete = F.lit(True)
+    for name in _names(key):
+        complete = complete & F.col(name).isNotNull()
+    return complete
 
 
 def on_axis(df, key, pos, **columns):
@@ -188,7 +202,7 @@ def asof_join(
     long after its own time; the moment of expiry itself is already too late.
     """
     packed = F.struct(F.col(feature_ts), *[F.col(v) for v in values])
-    facts = features.filter(F.col(key).isNotNull() & F.col(feature_ts).isNotNull()).select(
+    facts = features.filter(_identified(key) & F.col(feature_ts).isNotNull()).select(
         entity(key).alias("key"), micros(feature_ts).alias("pos"), packed.alias("payload"),
         F.col(tie or feature_ts).alias("tie"),
     )
@@ -212,7 +226,7 @@ def has_event_after(
     so this is the as-of lookup with time running backwards.
     """
     at = -micros(target_ts)
-    facts = targets.filter(F.col(key).isNotNull() & F.col(target_ts).isNotNull()).select(
+    facts = targets.filter(_identified(key) & F.col(target_ts).isNotNull()).select(
         entity(key).alias("key"), at.alias("pos"), F.struct((-at).alias("at")).alias("payload"),
         at.alias("tie"),
     )

@@ -82,11 +82,11 @@ def test_rolling(spark, limits):
 
 def test_rolling_over_many_slots(spark):
     """Dense rows with a burst: slots are narrow, so those between are many."""
-    rows = [(i, 1, BASE + timedelta(seconds=i * 7), float(i % 11)) for i in range(400)]
-    rows += [(400 + i, 1, BASE + timedelta(seconds=900, microseconds=i * 50), 1.0) for i in range(200)]
+    rows = [(i, 1, BASE + timedelta(seconds=i * 7), float(i % 11)) for i in range(240)]
+    rows += [(400 + i, 1, BASE + timedelta(seconds=900, microseconds=i * 50), 1.0) for i in range(120)]
     rows += [(600 + i, 2, BASE + timedelta(seconds=i * 100), 2.0) for i in range(10)]
     df = spark.createDataFrame(rows, "id long, u long, ts timestamp_ntz, v double")
-    tight = Limits(group_rows=30, frame_rows=12, slot_rows=8, block_rows=5)
+    tight = Limits(group_rows=30, frame_rows=20, slot_rows=12, block_rows=5)
     found = timeline.rolling(df, "u", "ts", "v", 1_200_000_000, limits=tight).collect()
     span = timedelta(seconds=1200)
     assert len(found) == len(rows)
@@ -110,6 +110,27 @@ def test_trailing(spark, limits):
         assert r["trailing_max"] == (max(inside) if inside else None)
 
 
+@pytest.mark.parametrize("plan", ["plain", "sliced"])
+def test_entities_of_two_columns(spark, plan):
+    limits = PLANS[plan]
+    rows = skewed(9, 120)
+    df = events(spark, rows)
+    found = timeline.rolling(df, ["u", "kind"], "ts", "v", 3_600_000_000, limits=limits).collect()
+    span = timedelta(minutes=60)
+    for r in found:
+        inside = [
+            x[3] for x in rows
+            if (x[1], x[4]) == (r["u"], r["kind"]) and r["ts"] - span <= x[2] <= r["ts"] and x[3] is not None
+        ]
+        assert (r["rolling_count"], r["rolling_sum"]) == (len(inside), sum(inside) if inside else None)
+    facts = df.select("u", "kind", F.col("ts").alias("fts"), F.col("id").alias("fid"))
+    joined = timeline.asof_join(df, facts, ["u", "kind"], "ts", "fts", ["fid"], tie="fid", limits=limits).collect()
+    assert len(joined) == len(rows)
+    for r in joined:
+        known = [(f[2], f[0]) for f in rows if None not in (f[1], r["u"]) and (f[1], f[4]) == (r["u"], r["kind"]) and f[2] <= r["ts"]]
+        assert (r["fts"], r["fid"]) == (max(known) if known else (None, None))
+
+
 def test_forward_label(spark, limits):
     rows = skewed(4)
     df = events(spark, rows)
@@ -150,8 +171,10 @@ def test_slots_narrow_until_they_fit(spark):
 NAMES = "key pos v row tie kind slot part block at n s lo hi found payload origin id end off"
 
 
-def test_column_names_do_not_clash(spark, limits):
+@pytest.mark.parametrize("plan", ["plain", "sliced"])
+def test_column_names_do_not_clash(spark, plan):
     """Users may call their columns whatever the operators call theirs."""
+    limits = PLANS[plan]
     rows = skewed(6, 60)
     extra = [n for n in NAMES.split() if n not in ("key", "pos", "v", "tie")]
     df = spark.createDataFrame(
