@@ -1,6 +1,6 @@
 """Connected components of a graph held in a table."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.session import materialise
@@ -11,8 +11,8 @@ def _starred(edges: DataFrame, to_larger: bool) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     if not to_larger:
         both = both.filter("b < a")
-    centre = F.least("a", F.min("b").over(Window.partitionBy("a")))
-    linked = both.select("a", "b", centre.alias("centre"))
+    centres = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least"))
+    linked = both.join(centres, F.col("a") == F.col("node")).select("a", "b", F.least("a", "least").alias("centre"))
     if to_larger:
         pairs = linked.filter("b > a").select(F.col("centre").alias("a"), "b")
     else:
@@ -27,8 +27,9 @@ def components(edges: DataFrame) -> DataFrame:
 
     The component is the smallest node that can be reached.  Large-star and
     small-star steps alternate until every node hangs directly on its smallest;
-    each round is written to the shared folder.  A node with very many
-    neighbours is one window partition, which spills.
+    each round is written to the shared folder.  The smallest neighbour is
+    aggregated before it is joined back, so a node with very many neighbours is
+    one row on one side and can be split on the other.
     """
     edges = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     current, rows = materialise(edges.filter("a <> b").distinct(), "edges")

@@ -16,7 +16,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh3_128_digest
@@ -236,7 +236,8 @@ def _units(members: DataFrame, clusters: DataFrame, settings: Settings) -> DataF
     fits = (F.col("weight") <= settings.unit_shingles) & (F.col("classes") <= settings.unit_classes)
     nodes, _ = materialise(nodes.join(total.select("component", fits.alias("fits")), "component"), "nodes")
     small = nodes.filter("fits").select("id", "digest", F.xxhash64("component").alias("unit"))
-    large = members.join(nodes.filter("not fits").select(F.col("id").alias("node")).distinct(), F.col("id") == F.col("node"), "left_semi")
+    unfit = nodes.filter("not fits").select(F.col("id").alias("node"))
+    large = members.join(unfit, F.col("id") == F.col("node"), "left_semi")
     # Buckets of the same members are compared once.
     marks = large.groupBy("key").agg(
         F.sum("n_shingles").alias("weight"),
@@ -244,10 +245,8 @@ def _units(members: DataFrame, clusters: DataFrame, settings: Settings) -> DataF
         F.expr("bit_xor(xxhash64(id, digest))").alias("members"),
     )
     marks = marks.groupBy("members", "classes", "weight").agg(F.min("key").alias("key"))
-    blocks = F.greatest(
-        F.ceil(F.when(F.col("weight") > settings.unit_shingles, 2 * F.col("weight") / settings.unit_shingles).otherwise(1)),
-        F.ceil(F.when(F.col("classes") > settings.unit_classes, 2 * F.col("classes") / settings.unit_classes).otherwise(1)),
-    ).cast("int")
+    over = F.greatest(F.col("weight") / settings.unit_shingles, F.col("classes") / settings.unit_classes)
+    blocks = F.when(over > 1, F.ceil(2 * over)).otherwise(1).cast("int")
     marks = marks.select("key", blocks.alias("blocks"))
     dealt = large.join(marks, "key").withColumn("block", F.pmod(F.xxhash64("id", "digest"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
@@ -284,15 +283,9 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", settings=
         .agg(F.min("id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"))
     )
     owners, _ = materialise(classes, "classes")
-    bucket = Window.partitionBy("key")
-    members = (
-        owners.select("id", "n_shingles", "digest", F.explode("bands").alias("key"))
-        .withColumn("centre", F.min("id").over(bucket))
-        .withColumn("last", F.max("id").over(bucket))
-        .filter("centre < last")
-        .drop("last")
-    )
-    members, found = materialise(members, "members")
+    in_bands = owners.select("id", "n_shingles", "digest", F.explode("bands").alias("key"))
+    buckets = in_bands.groupBy("key").agg(F.min("id").alias("centre"), F.max("id").alias("last"))
+    members, found = materialise(in_bands.join(buckets.filter("centre < last").drop("last"), "key"), "members")
     if found:
         clusters = components(members.select(F.col("centre").alias("a"), F.col("id").alias("b")))
         units, _ = materialise(_units(members, clusters, settings), "units")
