@@ -1,9 +1,12 @@
 """The registered queries of the corpus operators, with SQL where it can express them."""
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
+from millrace.llm.byte_pairs import encode_and_decode
 from millrace.llm.frames import load
 from millrace.llm.near_duplicates import near_duplicates
+from millrace.llm.packing import pack_documents
 from millrace.session import pin_settings
 
 _queries, _oracles = {}, {}
@@ -58,3 +61,21 @@ FROM sets JOIN reach ON sets.doc_id = reach.doc_id GROUP BY sets.doc_id, len(s)
 def op10(spark, sf_dir):
     """Near-duplicate groups of all documents."""
     return near_duplicates(load(spark, sf_dir, "documents"))
+
+
+@query("op3_byte_pairs")
+def op3(spark, sf_dir):
+    """Token ids of all documents and the texts they decode to, as digests."""
+    coded = encode_and_decode(load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+@query("op8_best_fit_packing")
+def op8(spark, sf_dir):
+    """All documents packed into sequences of at most 2048 tokens."""
+    return pack_documents(load(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
