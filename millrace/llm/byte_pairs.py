@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.text_blocks import texts_of, write_blocks
+from millrace.llm.text_blocks import packed, texts_of, unpacked, write_blocks
 from millrace.llm.tokenizing import byte_level_split, byte_pieces, encode_word
 
 
@@ -42,9 +42,9 @@ def _encode(path):
                 out.append(
                     (
                         blocks[rows[0]],
-                        positions[rows].tobytes(),
-                        sizes[own].tobytes(),
-                        flat[_spans(starts[own], sizes[own])].tobytes(),
+                        packed(positions[rows]),
+                        packed(sizes[own]),
+                        packed(flat[_spans(starts[own], sizes[own])]),
                         None if same else texts,
                     )
                 )
@@ -65,15 +65,15 @@ def _finish(blocks: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
     words = np.array(row["words"], object)
     decoded = words.copy()
     sizes = np.zeros(len(words), np.int64)
-    at = [np.frombuffer(b, np.int32) for b in found["positions"]]
+    at = [unpacked(b) for b in found["positions"]]
     for positions, own, texts in zip(at, found["sizes"], found["texts"]):
-        sizes[positions] = np.frombuffer(own, np.int32)
+        sizes[positions] = unpacked(own)
         if texts is not None:
             decoded[positions] = texts
     starts = np.cumsum(sizes) - sizes
     table = np.empty(int(sizes.sum()), np.int32)
     for positions, ids in zip(at, found["ids"]):
-        table[_spans(starts[positions], sizes[positions])] = np.frombuffer(ids, np.int32)
+        table[_spans(starts[positions], sizes[positions])] = unpacked(ids)
     ids, texts = [], []
     for codes in texts_of(row):
         ids.append(table[_spans(starts[codes], sizes[codes])])

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from millrace.session import fresh_path
 
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 24_000_000
 
 
 class _Numbers(dict):
