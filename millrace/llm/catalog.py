@@ -4,9 +4,10 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from millrace.llm.byte_pairs import encode_and_decode
-from millrace.llm.frames import load
+from millrace.llm.frames import held_out, load
 from millrace.llm.near_duplicates import near_duplicates
 from millrace.llm.packing import pack_documents
+from millrace.llm.toxicity import toxicity
 from millrace.session import pin_settings
 
 _queries, _oracles = {}, {}
@@ -63,6 +64,17 @@ def op10(spark, sf_dir):
     return near_duplicates(load(spark, sf_dir, "documents"))
 
 
+@query("op1_toxicity")
+def op1(spark, sf_dir):
+    """Toxicity of all documents, learned from the labels of four folds in five."""
+    docs = load(spark, sf_dir, "documents")
+    kept_back = held_out("doc_id", 5)
+    scored = toxicity(docs, load(spark, sf_dir, "labels"), ~kept_back)
+    return scored.select(
+        "doc_id", kept_back.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 @query("op3_byte_pairs")
 def op3(spark, sf_dir):
     """Token ids of all documents and the texts they decode to, as digests."""
