@@ -7,6 +7,8 @@ from millrace.llm.byte_pairs import encode_and_decode
 from millrace.llm.frames import held_out, load
 from millrace.llm.near_duplicates import near_duplicates
 from millrace.llm.packing import pack_documents
+from millrace.llm.page_text import page_texts
+from millrace.llm.quality import quality
 from millrace.llm.toxicity import toxicity
 from millrace.session import pin_settings
 
@@ -75,6 +77,13 @@ def op1(spark, sf_dir):
     )
 
 
+@query("op2_page_text")
+def op2(spark, sf_dir):
+    """Main text of all pages."""
+    texts = page_texts(load(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
 @query("op3_byte_pairs")
 def op3(spark, sf_dir):
     """Token ids of all documents and the texts they decode to, as digests."""
@@ -87,6 +96,12 @@ def op3(spark, sf_dir):
     )
 
 
+@query("op6_quality_rules")
+def op6(spark, sf_dir):
+    """Quality counts and verdicts of all documents."""
+    return quality(load(spark, sf_dir, "documents")).drop("n_lines")
+
+
 @query("op8_best_fit_packing")
 def op8(spark, sf_dir):
     """All documents packed into sequences of at most 2048 tokens."""
