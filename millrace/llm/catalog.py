@@ -4,11 +4,15 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from millrace.llm.byte_pairs import encode_and_decode
+from millrace.llm.class_bigrams import score_texts
 from millrace.llm.frames import held_out, load
+from millrace.llm.license_scan import licenses
 from millrace.llm.near_duplicates import near_duplicates
+from millrace.llm.neighbours import nearest
 from millrace.llm.packing import pack_documents
 from millrace.llm.page_text import page_texts
 from millrace.llm.quality import quality
+from millrace.llm.secret_scan import KINDS, PATTERNS, secrets, written_out
 from millrace.llm.toxicity import toxicity
 from millrace.session import pin_settings
 
@@ -96,12 +100,44 @@ def op3(spark, sf_dir):
     )
 
 
+@query("op4_license_scan")
+def op4(spark, sf_dir):
+    """Licenses found in all documents, with coverage and place."""
+    return licenses(load(spark, sf_dir, "documents"))
+
+
+@query("op5_nearest_neighbours")
+def op5(spark, sf_dir):
+    """The 20 nearest found of every twentieth embedding, among all others."""
+    return nearest(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 @query("op6_quality_rules")
 def op6(spark, sf_dir):
     """Quality counts and verdicts of all documents."""
     return quality(load(spark, sf_dir, "documents")).drop("n_lines")
 
 
+@query("op7_secret_scan")
+def op7(spark, sf_dir):
+    """Secrets of all documents: counts and spans."""
+    found = secrets(load(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == KINDS.index(kind))).cast("long")
+    return found.select(
+        "doc_id",
+        *(count(kind).alias(f"n_{kind}") for kind in PATTERNS),
+        F.sha2(written_out(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        written_out(F.col("spans")).alias("spans"),
+    )
+
+
+@query("op9_class_bigrams")
+def op9(spark, sf_dir):
+    """Log probabilities of all documents, learned from nine folds in ten."""
+    scored = score_texts(load(spark, sf_dir, "documents"), ~held_out("doc_id", 10))
+    return scored.withColumn("held_out", ~F.col("learned")).drop("learned")
+
+
 @query("op8_best_fit_packing")
 def op8(spark, sf_dir):
     """All documents packed into sequences of at most 2048 tokens."""

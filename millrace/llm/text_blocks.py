@@ -68,6 +68,7 @@ class _Block:
                 "codes": [packed(codes)],
                 "words": [words],
                 "counts": [counts],
+                "learned": [int(counts.sum())],
             }
         )
 
@@ -90,11 +91,11 @@ def _blocks(split, block_chars):
 
 
 def write_blocks(docs: DataFrame, id_col, text_col, flag, split, block_chars=BLOCK_CHARS) -> DataFrame:
-    """(block, ids, flags, lengths, codes, words, counts), one row per block.
+    """(block, ids, flags, lengths, codes, words, counts, learned), one row per block.
 
     ``split`` turns a text into a list of strings; a null text is empty.
     ``flag`` is a boolean column, kept per text; ``counts`` has how often each
-    word of the block occurs in texts with the flag.
+    word of the block occurs in texts with the flag, ``learned`` their sum.
     """
     spark = docs.sparkSession
     schema = T.StructType(
@@ -106,6 +107,7 @@ def write_blocks(docs: DataFrame, id_col, text_col, flag, split, block_chars=BLO
             T.StructField("codes", T.BinaryType()),
             T.StructField("words", T.ArrayType(T.StringType())),
             T.StructField("counts", T.ArrayType(T.LongType())),
+            T.StructField("learned", T.LongType()),
         ]
     )
     texts = docs.select(F.col(id_col).alias("id"), flag.alias("flag"), F.col(text_col).cast("string").alias("text"))
