@@ -1,53 +1,81 @@
 """Byte-pair encoding and decoding through a table of distinct words.
 
 Texts are split in Spark into units that the tokenizer encodes on their own.
-Each distinct unit is encoded once, wherever it occurs, and decoded again by
-looking its ids up in the table of pieces.  Ids and pieces go back to the texts
-by the position of each unit.
+Equal units of all blocks of texts meet by their hash; each distinct unit is
+encoded once, and decoded again by looking its ids up in the table of pieces.
+Ids and pieces go back to the texts by the position of each unit.
 """
 
 import functools
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm.text_blocks import packed, texts_of, unpacked, write_blocks
-from millrace.llm.tokenizing import byte_level_split, byte_pieces, encode_word
+from millrace.llm.tokenizing import REMEMBERED, byte_level_split, byte_pieces, encode_word
+
+#: Groups of units by hash; a group's distinct units are held in memory by its task.
+MOST_GROUPS = 4096
+
+
+def _dealt(groups: int):
+    """The words of each block by the group of their hash, as compressed lists."""
+
+    def run(frames):
+        for frame in frames:
+            for block, words in zip(frame["block"], frame["words"]):
+                words = np.array(words, object)
+                group = np.fromiter((crc32(w.encode()) % groups for w in words), np.int32, len(words))
+                order = np.lexsort((words, group))
+                out = []
+                for rows in np.split(order, np.flatnonzero(np.diff(group[order])) + 1) if len(order) else []:
+                    own = words[rows]
+                    letters = zstandard.ZstdCompressor().compress("".join(own).encode())
+                    sizes = np.fromiter(map(len, own), np.uint32, len(own))
+                    out.append((int(group[rows[0]]), block, packed(rows), packed(sizes), letters))
+                yield pd.DataFrame(out, columns=["group", "block", "positions", "lengths", "letters"])
+
+    return run
+
+
+class _Words(dict):
+    """word -> (ids, the text they decode to); emptied when it holds too many."""
+
+    def __init__(self, path):
+        self.path, self.pieces = path, byte_pieces(path)
+
+    def __missing__(self, word):
+        if len(self) >= REMEMBERED:
+            self.clear()
+        ids = encode_word(word, self.path)
+        back = b"".join(self.pieces[i] for i in ids).decode("utf-8", "replace")
+        found = self[word] = (np.array(ids, np.uint32), word if back == word else back)
+        return found
 
 
 def _encode(path):
-    """(word, block, position) in word order -> the ids of each word for each block."""
+    """Lists of words, group after group -> the ids of each word for each block."""
 
     def run(frames):
-        pieces = byte_pieces(path)
+        known, group = _Words(path), None
         for frame in frames:
-            which, words = pd.factorize(frame["word"])
-            ids = [encode_word(w, path) for w in words]
-            back = [b"".join(pieces[i] for i in found).decode("utf-8", "replace") for found in ids]
-            sizes = np.array([len(found) for found in ids], np.int32)
-            flat = np.fromiter((i for found in ids for i in found), np.int32, int(sizes.sum()))
-            starts = np.cumsum(sizes) - sizes
-            blocks = frame["block"].to_numpy()
-            positions = frame["position"].to_numpy(np.int32)
-            order = np.argsort(blocks, kind="stable")
-            cuts = np.flatnonzero(np.diff(blocks[order])) + 1
             out = []
-            for rows in np.split(order, cuts):
-                own = which[rows]
-                texts = [back[w] for w in own]
-                same = all(t == words[w] for t, w in zip(texts, own))
-                out.append(
-                    (
-                        blocks[rows[0]],
-                        packed(positions[rows]),
-                        packed(sizes[own]),
-                        packed(flat[_spans(starts[own], sizes[own])]),
-                        None if same else texts,
-                    )
-                )
+            for row in frame.itertuples():
+                if row.group != group:
+                    known.clear()
+                    group = row.group
+                ends = np.cumsum(unpacked(row.lengths)).tolist()
+                letters = zstandard.ZstdDecompressor().decompress(bytes(row.letters)).decode()
+                words = [letters[a:b] for a, b in zip([0, *ends], ends)]
+                ids, back = zip(*map(known.__getitem__, words))
+                texts = None if all(b is w or b == w for b, w in zip(back, words)) else list(back)
+                sizes = np.fromiter(map(len, ids), np.uint32, len(ids))
+                out.append((row.block, row.positions, packed(sizes), packed(np.concatenate(ids)), texts))
             yield pd.DataFrame(out, columns=["block", "positions", "sizes", "ids", "texts"])
 
     return run
@@ -93,8 +121,10 @@ def encode_and_decode(docs: DataFrame, path: str, id_col="doc_id", text_col="tex
     kind = docs.schema[id_col].dataType
     split = functools.partial(byte_level_split, path=path)
     blocks = write_blocks(docs, id_col, text_col, F.lit(False), split)
-    words = blocks.select("block", F.posexplode("words").alias("position", "word"))
-    words = words.repartition("word").sortWithinPartitions("word")
+    groups = min(MOST_GROUPS, max(16, blocks.count()))
+    lists = "group int, block long, positions binary, lengths binary, letters binary"
+    words = blocks.select("block", "words").mapInPandas(_dealt(groups), lists)
+    words = words.repartition("group").sortWithinPartitions("group")
     found = words.mapInPandas(_encode(path), "block long, positions binary, sizes binary, ids binary, texts array<string>")
     schema = T.StructType(
         [
