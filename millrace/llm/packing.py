@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.tokenizing import WordIds
+from millrace.llm.tokenizing import word_ids
 from millrace.session import materialise
 
 SHARD_ROWS = 200_000
@@ -122,7 +122,7 @@ def _pieces(path, capacity, separator, with_ids):
     end = np.array([separator], "<u4").tobytes()
 
     def run(frames):
-        words = WordIds(path)
+        words = word_ids(path)
         for frame in frames:
             for at in range(0, len(frame), 1000):
                 rows = []

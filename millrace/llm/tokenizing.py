@@ -60,9 +60,7 @@ def encode_word(word: str, path: str) -> list[int]:
 
 def byte_pieces(path: str) -> list[bytes]:
     """The bytes each id stands for, by id, for a byte-level vocabulary."""
-    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    others = [b for b in range(256) if b not in printable]
-    to_byte = {chr(b): b for b in printable} | {chr(256 + at): b for at, b in enumerate(others)}
+    to_byte = {letter: byte for byte, letter in _BYTE_LETTERS.items()}
     vocabulary = tokenizer(path).get_vocab(with_added_tokens=True)
     pieces = [b""] * (max(vocabulary.values()) + 1)
     for piece, number in vocabulary.items():
@@ -71,16 +69,36 @@ def byte_pieces(path: str) -> list[bytes]:
     return pieces
 
 
+def _model_word(word: str, path: str) -> list[int]:
+    """Ids of one word that needs no further splitting, straight from the merges."""
+    return [t.id for t in tokenizer(path).model.tokenize(word.encode().decode("latin-1").translate(_BYTE_LETTERS))]
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + at) for at, b in enumerate(others)}
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
 class WordIds(dict):
-    """Ids of lower-case words as little-endian 32-bit bytes, remembered for a while."""
+    """Ids of lower-case words as little-endian 32-bit bytes.
+
+    Remembered for all tasks of a process, and forgotten beyond a number of words.
+    """
+
+    REMEMBERED = 800_000
 
     def __init__(self, path):
         self.path = path
 
     def __missing__(self, word):
-        if len(self) >= REMEMBERED:
+        if len(self) >= self.REMEMBERED:
             self.clear()
-        found = self[word] = np.array(encode_word(word, self.path), "<u4").tobytes()
+        found = self[word] = np.array(_model_word(word, self.path), "<u4").tobytes()
         return found
 
     def of_text(self, text: str) -> bytes:
@@ -88,3 +106,8 @@ class WordIds(dict):
         if "<" not in text and _PLAIN.fullmatch(text):
             return b"".join(map(self.__getitem__, _WORD_LEVEL.findall(text.lower())))
         return np.array(encode_word(text, self.path), "<u4").tobytes()
+
+
+@functools.cache
+def word_ids(path: str) -> WordIds:
+    return WordIds(path)
