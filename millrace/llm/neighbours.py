@@ -30,7 +30,7 @@ class Settings(NamedTuple):
     task compares at a time."""
 
     fit_rows: int = 16_000
-    list_rows: int = 64
+    list_rows: int = 192
     copies: int = 4
     boundary: float = 1.08
     degree: int = 24
@@ -40,7 +40,8 @@ class Settings(NamedTuple):
 
 
 class Index(NamedTuple):
-    """``order`` of centres is that of the splits: neighbours in it are near."""
+    """Centres in the order of the splits, the nearest others of each, the centres
+    that walks start from, and the length that all vectors are brought to."""
 
     centres: np.ndarray
     near: np.ndarray
@@ -87,33 +88,51 @@ def _distances(points, centres) -> np.ndarray:
     return np.sqrt(np.maximum(squares, 0))
 
 
-def near_centres(index: Index, points: np.ndarray, ratio: float):
-    """((point, list) pairs within ``ratio`` of the nearest centre, distances), by graph search.
+def near_centres(index: Index, points: np.ndarray, ratio: float, at_a_time=128):
+    """(point, list, distance) of lists within ``ratio`` of the nearest centre, by graph search.
 
-    All points walk at once: from the start centres, every reached centre
-    within the ratio (or the best so far) is expanded to its neighbours until
-    nothing new is reached.
+    Each point's lists come nearest first.
+    """
+    out = [np.empty((0, 3))]
+    for start in range(0, len(points), at_a_time):
+        found = _walk(index, points[start : start + at_a_time], ratio)
+        row, centre = np.nonzero(found <= found.min(1, keepdims=True) * ratio)
+        away = found[row, centre]
+        order = np.lexsort((centre, away, row))
+        out.append(np.column_stack([row[order] + start, centre[order], away[order]]))
+    row, centre, away = np.concatenate(out).T
+    return row.astype(int), centre.astype(int), away
+
+
+def _walk(index: Index, points: np.ndarray, ratio: float) -> np.ndarray:
+    """Distances to the centres that a walk of the graph reaches, else infinite.
+
+    From the start centres, every reached centre within the ratio of the
+    nearest so far is expanded to its neighbours, until nothing new is reached.
     """
     centres, count = index.centres, len(index.centres)
     found = np.full((len(points), count), np.inf)
     found[:, index.starts] = _distances(points, centres[index.starts])
     expanded = np.zeros((len(points), count), bool)
-    norms = (centres**2).sum(1)
-    own = (points**2).sum(1)
+    norms, own = (centres**2).sum(1), (points**2).sum(1)
+    fourth = min(3, count - 1)
     while True:
-        best = found.min(1, keepdims=True)
-        # The four best of each point at first, so that a walk can leave a hollow.
-        edge = np.maximum(best * ratio, np.partition(found, min(3, count - 1), axis=1)[:, min(3, count - 1)][:, None])
-        row, centre = np.nonzero((found <= edge) & ~expanded)
+        # At least the four nearest, so that a walk can leave a hollow.
+        edge = np.maximum(found.min(1) * ratio, np.partition(found, fourth, axis=1)[:, fourth])
+        row, centre = np.nonzero((found <= edge[:, None]) & ~expanded)
         if not len(row):
-            break
+            return found
         expanded[row, centre] = True
         seen = np.zeros((len(points), count), bool)
         seen[np.repeat(row, index.near.shape[1]), index.near[centre].ravel()] = True
         row, centre = np.nonzero(seen & np.isinf(found))
         squares = own[row] - 2 * np.einsum("ij,ij->i", points[row], centres[centre]) + norms[centre]
         found[row, centre] = np.sqrt(np.maximum(squares, 0))
-    return np.nonzero(found <= found.min(1, keepdims=True) * ratio), found
+
+
+def _first(row: np.ndarray, count: int) -> np.ndarray:
+    """Which of sorted rows are among the first ``count`` of their value."""
+    return np.arange(len(row)) - np.searchsorted(row, row) < count
 
 
 def lengthened(vectors: np.ndarray, longest: float) -> np.ndarray:
@@ -123,22 +142,41 @@ def lengthened(vectors: np.ndarray, longest: float) -> np.ndarray:
 
 
 def _products(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """Inner products summed component by component, so that equal vectors tie."""
-    out = np.zeros((len(queries), len(vectors)))
+    """Inner products of rows with rows, summed component by component, so that
+    equal vectors tie."""
+    out = np.zeros(len(queries))
     for d in range(vectors.shape[1]):
-        out += queries[:, d, None] * vectors[None, :, d]
+        out += queries[:, d] * vectors[:, d]
     return out
 
 
-def _stack(frame, column="vector") -> np.ndarray:
-    return np.array(frame[column].tolist(), np.float64).reshape(len(frame), -1)
+def _promising(queries: np.ndarray, vectors: np.ndarray, k: int, left_out: np.ndarray):
+    """(query, vector) positions that hold every one of the k best and all ties.
+
+    A matrix product finds them; its rounding is allowed for by a margin.
+    """
+    scores = queries @ vectors.T
+    scores[left_out] = -np.inf
+    if scores.shape[1] > k:
+        least = np.partition(scores, -k, axis=1)[:, -k]
+        margin = 1e-12 * np.sqrt((queries**2).sum(1) * max((vectors**2).sum(1).max(), 1e-300))
+        return np.nonzero((scores >= (least - margin)[:, None]) & np.isfinite(scores))
+    return np.nonzero(np.isfinite(scores))
+
+
+def _best(rows, ids, scores, k):
+    """The k best of each row without repeats, ties to the smaller id, in order."""
+    order = np.lexsort((ids, -scores, rows))
+    rows, ids, scores = rows[order], ids[order], scores[order]
+    # A vector that stands in several lists scores the same in each.
+    new = np.r_[True, (rows[1:] != rows[:-1]) | (ids[1:] != ids[:-1])][: len(rows)]
+    rows, ids, scores = rows[new], ids[new], scores[new]
+    keep = _first(rows, k)
+    return rows[keep], ids[keep], scores[keep]
 
 
-def best_of(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Per row of scores the k best (positions), ties to the smaller id."""
-    order = np.argsort(ids, kind="stable")
-    ranked = np.argsort(-scores[:, order], axis=1, kind="stable")[:, :k]
-    return order[ranked]
+def _stack(frame, column="vector") -> np.ndarray:
+    return np.array(frame[column].tolist(), np.float64).reshape(len(frame), -1)
 
 
 def _posted(index: Index, settings: Settings):
@@ -149,12 +187,8 @@ def _posted(index: Index, settings: Settings):
             for at in range(0, len(frame), 1000):
                 part = frame.iloc[at : at + 1000]
                 points = lengthened(_stack(part), index.longest)
-                (row, centre), found = near_centres(index, points, settings.boundary)
-                away = found[row, centre]
-                order = np.lexsort((centre, away, row))
-                row, centre = row[order], centre[order]
-                rank = np.arange(len(row)) - np.searchsorted(row, row)
-                keep = rank < settings.copies
+                row, centre, _ = near_centres(index, points, settings.boundary)
+                keep = _first(row, settings.copies)
                 yield part.iloc[row[keep]].assign(list=centre[keep].astype(np.int32))
 
     return run
@@ -169,7 +203,7 @@ def _probed(index: Index, ratio: float, shard_of: np.ndarray):
                 part = frame.iloc[at : at + 256]
                 vectors = _stack(part)
                 points = np.hstack([vectors * (index.longest / np.sqrt((vectors**2).sum(1))[:, None]), np.zeros((len(part), 1))])
-                (row, centre), _ = near_centres(index, points, ratio)
+                row, centre, _ = near_centres(index, points, ratio)
                 shards = shard_of[centre]
                 order = np.lexsort((centre, shards, row))
                 row, centre, shards = row[order], centre[order], shards[order]
@@ -203,22 +237,14 @@ def _by_shard(k: int):
             if first == last:
                 continue
             rows = who[slice(*np.searchsorted(which, [own, own + 1]))]
-            scores = _products(asked[rows], points[first:last])
-            scores[names[rows][:, None] == ids[None, first:last]] = -np.inf
-            best = best_of(scores, ids[first:last], k)
-            parts.append((np.repeat(rows, best.shape[1]), ids[first:last][best].ravel(), np.take_along_axis(scores, best, 1).ravel()))
+            same = names[rows][:, None] == ids[None, first:last]
+            query, vector = _promising(asked[rows], points[first:last], k, same)
+            parts.append((rows[query], vector + first))
         if not parts:
             return pd.DataFrame({c: [] for c in columns})
-        rows, found, scores = (np.concatenate(p) for p in zip(*parts))
-        real = np.isfinite(scores)
-        rows, found, scores = rows[real], found[real], scores[real]
-        order = np.lexsort((found, -scores, rows))
-        rows, found, scores = rows[order], found[order], scores[order]
-        # A vector that stands in several lists scores the same in each.
-        new = np.r_[True, (rows[1:] != rows[:-1]) | (found[1:] != found[:-1])]
-        rows, found, scores = rows[new], found[new], scores[new]
-        keep = np.arange(len(rows)) - np.searchsorted(rows, rows) < k
-        return pd.DataFrame({"query_id": names[rows[keep]], "vec_id": found[keep], "score": scores[keep]})
+        rows, found = (np.concatenate(p) for p in zip(*parts))
+        rows, vec_ids, scores = _best(rows, ids[found], _products(asked[rows], points[found]), k)
+        return pd.DataFrame({"query_id": names[rows], "vec_id": vec_ids, "score": scores})
 
     return run
 
@@ -227,22 +253,15 @@ def _nearest_of_all(ids: np.ndarray, points: np.ndarray, k: int):
     """Each task's best for some queries, over all of its vectors."""
 
     def run(frames):
-        best = [np.empty(0) for _ in ids]
-        names = [np.empty(0, np.int64) for _ in ids]
+        best = (np.empty(0, int), np.empty(0, np.int64), np.empty(0))
         for frame in frames:
             for at in range(0, len(frame), 5000):
                 part = frame.iloc[at : at + 5000]
-                own = part["vec_id"].to_numpy()
-                scores = _products(points, _stack(part))
-                scores[ids[:, None] == own[None, :]] = -np.inf
-                chosen = best_of(scores, own, k)
-                for q in range(len(ids)):
-                    both = np.r_[best[q], scores[q, chosen[q]]]
-                    known = np.r_[names[q], own[chosen[q]]]
-                    order = np.lexsort((known, -both))[:k]
-                    best[q], names[q] = both[order], known[order]
-        rows = [(ids[q], v, s) for q in range(len(ids)) for v, s in zip(names[q], best[q]) if np.isfinite(s)]
-        yield pd.DataFrame(rows, columns=["query_id", "vec_id", "score"])
+                own, vectors = part["vec_id"].to_numpy(), _stack(part)
+                query, vector = _promising(points, vectors, k, ids[:, None] == own[None, :])
+                more = (query, own[vector], _products(points[query], vectors[vector]))
+                best = _best(*(np.concatenate(pair) for pair in zip(best, more)), k)
+        yield pd.DataFrame({"query_id": ids[best[0]], "vec_id": best[1], "score": best[2]})
 
     return run
 
@@ -281,10 +300,8 @@ def fit(written: DataFrame, rows: int, settings: Settings, k: int) -> tuple[Inde
     if near.empty:
         return index, 1.0
     near = near.drop_duplicates(["query_id", "vec_id"])
-    (row, centre), found = near_centres(index, lengthened(_stack(near), longest), settings.boundary)
-    order = np.lexsort((centre, found[row, centre], row))
-    row, centre = row[order], centre[order]
-    keep = np.arange(len(row)) - np.searchsorted(row, row) < settings.copies
+    row, centre, _ = near_centres(index, lengthened(_stack(near), longest), settings.boundary)
+    keep = _first(row, settings.copies)
     asked = points * (longest / np.sqrt((points**2).sum(1))[:, None])
     away = _distances(np.hstack([asked, np.zeros((len(asked), 1))]), index.centres)
     away /= np.maximum(away.min(1, keepdims=True), 1e-300)
