@@ -141,12 +141,15 @@ def lengthened(vectors: np.ndarray, longest: float) -> np.ndarray:
     return np.hstack([vectors, rest[:, None]])
 
 
-def _products(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """Inner products of rows with rows, summed component by component, so that
+def _products(queries, which_query, vectors, which_vector, at_a_time=20_000) -> np.ndarray:
+    """Inner products of chosen pairs, summed component by component, so that
     equal vectors tie."""
-    out = np.zeros(len(queries))
-    for d in range(vectors.shape[1]):
-        out += queries[:, d] * vectors[:, d]
+    out = np.zeros(len(which_query))
+    for start in range(0, len(out), at_a_time):
+        part = slice(start, start + at_a_time)
+        left, right = queries[which_query[part]], vectors[which_vector[part]]
+        for d in range(vectors.shape[1]):
+            out[part] += left[:, d] * right[:, d]
     return out
 
 
@@ -243,7 +246,7 @@ def _by_shard(k: int):
         if not parts:
             return pd.DataFrame({c: [] for c in columns})
         rows, found = (np.concatenate(p) for p in zip(*parts))
-        rows, vec_ids, scores = _best(rows, ids[found], _products(asked[rows], points[found]), k)
+        rows, vec_ids, scores = _best(rows, ids[found], _products(asked, rows, points, found), k)
         return pd.DataFrame({"query_id": names[rows], "vec_id": vec_ids, "score": scores})
 
     return run
@@ -259,7 +262,7 @@ def _nearest_of_all(ids: np.ndarray, points: np.ndarray, k: int):
                 part = frame.iloc[at : at + 5000]
                 own, vectors = part["vec_id"].to_numpy(), _stack(part)
                 query, vector = _promising(points, vectors, k, ids[:, None] == own[None, :])
-                more = (query, own[vector], _products(points[query], vectors[vector]))
+                more = (query, own[vector], _products(points, query, vectors, vector))
                 best = _best(*(np.concatenate(pair) for pair in zip(best, more)), k)
         yield pd.DataFrame({"query_id": ids[best[0]], "vec_id": best[1], "score": best[2]})
 
