@@ -55,7 +55,12 @@ def money(c) -> Column:
     text = F.concat(
         sign, F.floor(cents / 100).cast("string"), F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0")
     )
-    return F.when(size < 1e13, text).otherwise(F.format_string("%.2f", x))
+    # Beyond that, the part after the point is exact, and so is its product with 100.
+    large = F.least(size, F.lit(2.0**53))
+    rest = F.rint((large - F.floor(large)) * 100.0).cast("long")
+    units = F.floor(large) + F.floor(rest / 100)
+    large_text = F.concat(sign, units.cast("string"), F.lit("."), F.lpad((rest % 100).cast("string"), 2, "0"))
+    return F.when(size < 1e13, text).when(size < 2.0**53, large_text).otherwise(F.format_string("%.2f", x))
 
 
 def decision_status(c) -> Column:

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.text import clean_missing
 from millrace.operators.ordered import ordinal_codes
 from millrace.session import unused_name
 
@@ -34,12 +35,13 @@ def split_column(key, train_percent=80):
 
 
 def fit_scaling(df: DataFrame, column) -> DataFrame:
-    """One row with mean, population deviation and bounds of a column."""
+    """One row with mean, population deviation and bounds of a column; NaN is missing."""
+    value = clean_missing(column, df.schema[column].dataType.typeName())
     return df.agg(
-        F.avg(column).alias("mean"),
-        F.stddev_pop(column).alias("std"),
-        F.min(column).alias("low"),
-        F.max(column).alias("high"),
+        F.avg(value).alias("mean"),
+        F.stddev_pop(value).alias("std"),
+        F.min(value).alias("low"),
+        F.max(value).alias("high"),
     )
 
 
@@ -48,7 +50,7 @@ def normalise(df: DataFrame, column, fit: DataFrame) -> DataFrame:
 
     The fit enters as scalar subqueries, so applying it is a projection.
     """
-    value = F.col(column)
+    value = clean_missing(column, df.schema[column].dataType.typeName())
     mean, std, low, high = (fit.select(n).scalar() for n in ("mean", "std", "low", "high"))
     present = value.isNotNull()
     return df.withColumns(

@@ -43,6 +43,9 @@ def infer(
     return spread.mapInPandas(serve, REPLY)
 
 
+NO_ANSWER = "no_answer"
+
+
 def _reply(request, error=None, **found):
     return {
         "request_id": request["request_id"],
@@ -58,10 +61,13 @@ def _answer(model, requests):
     """Replies in the order of the requests."""
     filled = [i for i, r in enumerate(requests) if r["messages"] is not None and len(r["messages"])]
     answers = dict(zip(filled, _call(model, [requests[i] for i in filled])))
+    unanswered = set(filled) - set(answers)
     replies = []
     for i, request in enumerate(requests):
         answer = answers.get(i)
-        if i not in answers:
+        if i in unanswered:
+            replies.append(_reply(request, error=NO_ANSWER))
+        elif i not in answers:
             replies.append(_reply(request, error=fixed.EMPTY_MESSAGES))
         elif isinstance(answer, Exception):
             replies.append(_reply(request, error=str(answer)))

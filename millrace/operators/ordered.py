@@ -9,6 +9,7 @@ totals, whose number is fixed, meet in one task.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.functions.text import clean_missing
 from millrace.session import materialise
 
 ONE_TASK_ROWS = 1_000_000
@@ -20,7 +21,7 @@ def split_points(df: DataFrame, column, ranges, rows) -> list:
     wanted = ranges * 50
     share = min(1.0, wanted * 1.2 / max(rows, 1))
     sample = df.select(column).sample(share, seed=7).limit(wanted * 2).collect()
-    values = sorted({r[0] for r in sample})
+    values = sorted({r[0] for r in sample if r[0] is not None and r[0] == r[0]})
     step = max(1, len(values) // ranges)
     return values[step::step][: ranges - 1]
 
@@ -95,8 +96,13 @@ def exact_quantiles(
 
 
 def auc(df: DataFrame, label, score, one_task_rows=ONE_TASK_ROWS, ranges=None) -> DataFrame:
-    """One row: chance that a positive outscores a negative, ties half."""
-    pairs = df.select(F.col(score).alias("s"), (F.col(label) == 1).alias("hit"))
+    """One row: chance that a positive outscores a negative, ties half.
+
+    Rows whose score is null or NaN take no part.
+    """
+    kind = df.schema[score].dataType.typeName()
+    pairs = df.select(clean_missing(score, kind).alias("s"), (F.col(label) == 1).alias("hit"))
+    pairs = pairs.filter("s IS NOT NULL")
     by_score = pairs.groupBy("s").agg(
         F.count_if("hit").alias("p"), F.count_if(~F.coalesce("hit", F.lit(False))).alias("n")
     )

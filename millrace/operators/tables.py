@@ -72,14 +72,19 @@ def first_decisions(decisions: DataFrame) -> DataFrame:
 def resolve_approvals(approvals: DataFrame, decisions: DataFrame) -> DataFrame:
     """Approvals after their decisions; only a pending row is changed.
 
-    The request's own reason is kept next to the reason of the decision.
+    The reason of the decision takes the place of the request's own.
     """
     first = first_decisions(decisions).withColumnRenamed("approval_id", "id")
     joined = approvals.join(first, "id", "left")
     hit = (F.col("status") == "pending") & F.col("new_status").isNotNull()
     resolved = update(
         joined.withColumn("decision_reason", F.when(hit, F.col("decision_reason"))), hit,
-        {"resolved_by": F.col("approver"), "resolved_at": F.col("decided_at"), "status": F.col("new_status")},
+        {
+            "resolved_by": F.col("approver"),
+            "resolved_at": F.col("decided_at"),
+            "status": F.col("new_status"),
+            "reason": F.col("decision_reason"),
+        },
     )
     return resolved.select(*approvals.columns, "decision_reason")
 

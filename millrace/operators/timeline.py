@@ -283,11 +283,15 @@ def _sliced_rolling(rows, span, limits):
     moments = rows.groupBy("key", "pos").agg(
         F.count("v").alias("n"), F.sum("v").alias("s"), F.min("v").alias("lo"), F.max("v").alias("hi")
     )
-    spans = _rolling_states(moments, span, limits).select(
-        "key", "pos", F.coalesce("n", F.lit(0)).alias("r_n"), F.col("s").alias("r_sum"),
-        F.col("lo").alias("r_min"), F.col("hi").alias("r_max"),
+    # Rows without a time are a moment of their own, as in a plain window.
+    states = _rolling_states(moments.filter("pos IS NOT NULL"), span, limits).select("key", "pos", *MERGE)
+    states = states.unionByName(moments.filter("pos IS NULL").select("key", "pos", *MERGE))
+    spans = states.select(
+        F.col("key").alias("r_key"), F.col("pos").alias("r_pos"), F.coalesce("n", F.lit(0)).alias("r_n"),
+        F.col("s").alias("r_sum"), F.col("lo").alias("r_min"), F.col("hi").alias("r_max"),
     )
-    return rows.join(spans, ["key", "pos"], "left")
+    same = F.col("key").eqNullSafe(F.col("r_key")) & F.col("pos").eqNullSafe(F.col("r_pos"))
+    return rows.join(spans, same, "left").drop("r_key", "r_pos")
 
 
 def _rolling_states(points, span, limits):
@@ -398,6 +402,9 @@ def _plain_trailing(data, keys, rows):
     )
 
 
+FIRST_SLOT = -(1 << 63)
+
+
 def _sliced_trailing(data, rows, limits):
     """Blocks of consecutive rows; each also sees the last rows of the one before.
 
@@ -405,11 +412,13 @@ def _sliced_trailing(data, rows, limits):
     entity, a numeric ``tie`` is cut into slots as well.
     """
     width = slot_width(data.select("key", "pos"), limits.slot_rows)
-    slots = data.withColumn("slot", F.floor(F.col("pos") / width))
+    # Rows without a time, or within a part without a tie, come first: a slot of their own.
+    slots = data.withColumn("slot", F.coalesce(F.floor(F.col("pos") / width), F.lit(FIRST_SLOT)))
     part = F.lit(0).cast("long")
     if width == 1 and data.schema["tie"].dataType.typeName() in ("long", "integer", "short", "byte"):
         tied = data.select("key", "pos", F.col("tie").cast("long").alias("tie"))
-        part = F.floor(F.col("tie") / slot_width(tied, limits.slot_rows, by=("key", "pos"), axis="tie"))
+        wide = slot_width(tied, limits.slot_rows, by=("key", "pos"), axis="tie")
+        part = F.coalesce(F.floor(F.col("tie") / wide), F.lit(FIRST_SLOT))
     slots = slots.withColumn("part", part)
     place = ["key", "slot", "part"]
     sizes = slots.groupBy(*place).agg(F.count(F.lit(1)).alias("n"))

@@ -43,7 +43,8 @@ def pending_approvals(spark, directory):
     "resolve_approvals",
     f"""
     WITH {stand_ins.APPROVALS_SQL}, {stand_ins.DECISIONS_SQL}
-    SELECT a.id, a.reason,
+    SELECT a.id,
+           CASE WHEN a.status = 'pending' AND d.action IS NOT NULL THEN d.reason ELSE a.reason END AS reason,
            CASE WHEN a.status = 'pending' AND d.action IS NOT NULL
                 THEN CASE d.action WHEN 'approve' THEN 'approved' ELSE 'rejected' END ELSE a.status END AS status,
            CASE WHEN a.status = 'pending' AND d.action IS NOT NULL THEN d.approver ELSE '' END AS resolved_by,

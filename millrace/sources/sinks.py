@@ -59,5 +59,7 @@ def write_features(df: DataFrame, path):
 
 
 def write_metadata(df: DataFrame, path):
-    """Write a one-row frame as a single JSON object."""
-    df.limit(1).coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(path)
+    """Write a one-row frame as a single JSON object; more rows are an error."""
+    if len(df.limit(2).collect()) > 1:
+        raise ValueError("metadata must be one row")
+    df.coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(path)

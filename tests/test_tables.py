@@ -39,10 +39,11 @@ def decisions(spark):
 
 def test_resolution(approvals, decisions):
     got = {r["id"]: tuple(r)[1:] for r in tables.resolve_approvals(approvals, decisions).collect()}
-    assert got["a"] == ("approved", "m2", datetime(2024, 2, 1), "ask a", "ok")
+    # The decision's reason takes the place of the request's own.
+    assert got["a"] == ("approved", "m2", datetime(2024, 2, 1), "ok", "ok")
     assert got["b"] == ("approved", "x", T0, "ask b", None)
     assert got["c"] == ("pending", None, None, "ask c", None)
-    assert got["d"] == ("rejected", "m2", datetime(2024, 3, 1), "ask d", "dated")
+    assert got["d"] == ("rejected", "m2", datetime(2024, 3, 1), "dated", "dated")
 
 
 def test_resolution_is_idempotent(approvals, decisions):
