@@ -66,23 +66,30 @@ def assemble_conversations(
 
     A session becomes one row per ``chunk`` turn numbers, so that a session of
     any length spreads over bounded rows; ordinary sessions are one row with
-    ``part`` 0.  ``turn`` numbers the messages of a session from 0.
+    ``part`` 0.  ``turns`` holds the turn number of each message.
     """
     entry = F.struct(F.col(turn).alias("turn"), message(F.col(role), F.col(content)).alias("m"))
     return (
         turns.groupBy(F.col(session), F.floor(F.col(turn) / chunk).alias("part"))
         .agg(F.array_sort(F.collect_list(entry)).alias("entries"))
-        .select(session, "part", F.transform("entries", lambda e: e["m"]).alias("messages"))
+        .select(
+            session, "part", F.col("entries.m").alias("messages"), F.col("entries.turn").alias("turns")
+        )
     )
 
 
-def explode_conversations(conversations: DataFrame, session, chunk=1_000) -> DataFrame:
-    """The inverse: one row per message with its turn number."""
+def explode_conversations(conversations: DataFrame, session) -> DataFrame:
+    """The inverse: one row per message with its own turn number.
+
+    Messages appended since count on from the last turn of their row.
+    """
+    offset, known = F.col("offset"), F.size("turns")
+    after = F.try_element_at("turns", F.lit(-1)) + offset - known + 1
     return conversations.select(
-        session, "part", F.posexplode("messages").alias("offset", "message")
+        session, "turns", F.posexplode("messages").alias("offset", "message")
     ).select(
         session,
-        (F.col("part") * chunk + F.col("offset")).alias("turn"),
+        F.when(offset < known, F.get("turns", offset)).otherwise(after).alias("turn"),
         F.col("message.role").alias("role"),
         F.col("message.content").alias("content"),
     )

@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from millrace.operators import models
-from millrace.operators.tables import drop
 from millrace.plans import training
 from millrace.plans.catalog.registry import query, rounded, table, time_text
 from millrace.schemas import ORDERS, RUN_METADATA
@@ -34,36 +33,45 @@ def csv_scan_roundtrip(spark, directory):
 @query(
     "ingest_report",
     """
-    SELECT 'orders' AS short, 'lake.orders' AS table_name, 'ingested' AS status,
-           (SELECT count(*) FROM orders) AS n_rows, (SELECT count(*) FROM orders) AS table_rows
+    SELECT 'shop' AS short, 'orders' AS file, 'orders' AS table_name, 'ingested' AS status,
+           (SELECT count(*) FROM orders) AS n_rows, (SELECT count(*) FROM orders) AS table_rows,
+           (SELECT round(sum(o_totalprice), 2) FROM orders) AS total
     UNION ALL
-    SELECT 'customer', 'lake.customer', 'ingested',
-           (SELECT count(*) FROM customer), (SELECT count(*) FROM customer)
+    SELECT 'shop', 'customer-list', 'customer_list', 'ingested', (SELECT count(*) FROM customer),
+           (SELECT count(*) FROM customer), (SELECT round(sum(c_acctbal), 2) FROM customer)
     UNION ALL
-    SELECT 'absent', '', 'skipped', 0, 0
+    SELECT 'orders', 'swapped', '', 'failed', 0, 0, 0
+    UNION ALL
+    SELECT 'absent', '', '', 'skipped', 0, 0, 0
     """,
 )
 def ingest_report(spark, directory):
-    """Land and append CSV datasets; one of the registry entries is absent."""
+    """A dataset of two files with different headers, one whose header is not the pinned one, and an absent one."""
     root = fresh_path(spark, "ingest")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS lake LOCATION '{root}/lake'")
-    for name in ("orders", "customer"):
-        table(spark, directory, name).write.option("header", True).csv(f"{root}/in/{name}")
-        drop(spark, sinks.table_name(name))
-    registry = [(f"{root}/in/{name}", name) for name in ("orders", "customer", "absent")]
-    report = ingest(spark, registry, root, batch_id="1", namespace="lake")
+    lake = root.rsplit("/", 1)[1].replace("-", "_")
+    spark.sql(f"CREATE DATABASE {lake} LOCATION '{root}/lake'")
+    orders, customers = table(spark, directory, "orders"), table(spark, directory, "customer")
+    swapped = orders.select(*reversed(orders.columns))
+    for path, rows in (
+        ("shop/orders", orders), ("shop/customer-list", customers), ("orders/swapped", swapped),
+    ):
+        rows.write.option("header", True).csv(f"{root}/in/{path}.csv")
+    registry = [(f"{root}/in/{name}", name) for name in ("shop", "orders", "absent")]
+    report = ingest(spark, registry, root, batch_id="1", namespace=lake)
     stored = files.stack(
-        spark.table(sinks.table_name(n)).agg(
-            F.lit(n).alias("short"), F.count(F.lit(1)).alias("table_rows")
+        spark.table(sinks.table_name(file, lake)).agg(
+            F.lit(file).alias("file"), F.count(F.lit(1)).alias("table_rows"), rounded(F.sum(money), 2).alias("total")
         )
-        for n in ("orders", "customer")
+        for file, money in (("orders", "o_totalprice"), ("customer-list", "c_acctbal"))
     )
-    return report.join(stored, "short", "left").select(
+    return report.join(stored, "file", "left").select(
         "short",
-        F.coalesce("table_name", F.lit("")).alias("table_name"),
+        F.coalesce("file", F.lit("")).alias("file"),
+        F.coalesce(F.replace("table_name", F.lit(f"{lake}."), F.lit("")), F.lit("")).alias("table_name"),
         "status",
         F.col("rows").alias("n_rows"),
         F.coalesce("table_rows", F.lit(0).cast("long")).alias("table_rows"),
+        F.coalesce("total", F.lit(0.0)).alias("total"),
     )
 
 
@@ -99,11 +107,9 @@ def snapshot_union_by_name(spark, directory):
     """,
 )
 def extract_time_range(spark, directory):
-    """A half-open year out of a table laid out by month."""
-    path = fresh_path(spark, "lineitem-by-month")
-    sinks.write_by_period(table(spark, directory, "lineitem"), path, "l_shipdate", "month", "yyyy-MM")
+    """A half-open year; the range and the columns reach the scan of the given files."""
     year = files.between_times(
-        files.scan(spark, path), "l_shipdate", "1997-01-01", "1998-01-01", ("month", "yyyy-MM")
+        table(spark, directory, "lineitem"), "l_shipdate", "1997-01-01", "1998-01-01"
     )
     return files.project(
         year,
@@ -137,6 +143,31 @@ def extract_snapshot(spark, directory):
     )
 
 
+@query(
+    "extract_by_period",
+    """
+    SELECT 'lineitem' AS dataset, count(*) AS n_rows, 3::BIGINT AS n_columns,
+           strftime(min(l_shipdate), '%Y-%m-%d') AS first_day, strftime(max(l_shipdate), '%Y-%m-%d') AS last_day
+    FROM lineitem WHERE l_shipdate >= TIMESTAMP '1997-01-01' AND l_shipdate < TIMESTAMP '1998-01-01'
+    """,
+)
+def extract_by_period(spark, directory):
+    """Landing by month, and a snapshot of a year that opens only its folders."""
+    path = fresh_path(spark, "lineitem-by-month")
+    sinks.write_by_period(table(spark, directory, "lineitem"), path, "l_shipdate", "month", "yyyy-MM")
+    snapshot = training.extract_snapshot(
+        spark, path, fresh_path(spark, "snapshot"), "l_shipdate", "1997-01-01", "1998-01-01",
+        ["l_quantity", "l_extendedprice"], partition=("month", "yyyy-MM"),
+    )
+    return snapshot.facts.select(
+        F.lit("lineitem").alias("dataset"),
+        F.col("rows").alias("n_rows"),
+        F.col("columns").alias("n_columns"),
+        F.date_format("first_time", "yyyy-MM-dd").alias("first_day"),
+        F.date_format("last_time", "yyyy-MM-dd").alias("last_day"),
+    )
+
+
 @query(
     "snapshot_metadata",
     """

@@ -135,9 +135,8 @@ NEW_USERS = T.StructType(
 )
 def insert_defaults(spark, directory):
     """Users inserted into a new table; ids and times come from defaults."""
-    name = "millrace_users"
     path = fresh_path(spark, "users")
-    tables.drop(spark, name)
+    name = path.rsplit("/", 1)[1].replace("-", "_")
     tables.create_if_absent(spark, name, NEW_USERS, path)
     tables.create_if_absent(spark, name, NEW_USERS, path)
     people = _users(spark, directory).withColumn(
@@ -466,15 +465,28 @@ def conversation_assembly(spark, directory):
 @query(
     "conversation_turns",
     f"""
-    SELECT conv_id, turn, role, {STRIP_SQL} AS text FROM conversations WHERE length({STRIP_SQL}) > 0
+    WITH kept AS (
+      SELECT conv_id, (2 * turn + 5)::BIGINT AS turn, role, {STRIP_SQL} AS text FROM conversations
+      WHERE role <> 'system' AND length({STRIP_SQL}) > 0
+    )
+    SELECT * FROM kept
     UNION ALL
-    SELECT conv_id, max(turn) + 1, 'assistant', 'closed' FROM conversations GROUP BY conv_id
+    SELECT conv_id, max(turn) + 1, 'assistant', 'closed' FROM kept GROUP BY conv_id
     """,
 )
 def conversation_turns(spark, directory):
-    """Assembled conversations with a message appended, taken apart again."""
-    kept, _ = text.without_blanks(table(spark, directory, "conversations"), "text")
-    rows = nested.assemble_conversations(kept, "conv_id", "turn", "role", "text")
+    """Assembled conversations with a message appended, taken apart again.
+
+    Turn numbers have gaps and system turns are blank, so positions are not turns.
+    """
+    turns = table(spark, directory, "conversations").withColumns(
+        {
+            "turn": (2 * F.col("turn") + 5).cast("long"),
+            "text": F.when(F.col("role") == "system", " \n").otherwise(F.col("text")),
+        }
+    )
+    kept, _ = text.without_blanks(turns, "text")
+    rows = nested.assemble_conversations(kept, "conv_id", "turn", "role", "text", chunk=6)
     last = rows.groupBy("conv_id").agg(F.max("part").alias("last"))
     closed = rows.join(last, "conv_id").withColumn(
         "messages",

@@ -25,16 +25,19 @@ class Snapshot:
 
 
 def extract_snapshot(
-    spark, uri, path, ts, start=None, end=None, columns=None, dataset=None, version="v1"
+    spark, uri, path, ts, start=None, end=None, columns=None, dataset=None, version="v1",
+    partition=None,
 ) -> Snapshot:
     """Read a URI, keep a time range and some columns, write a snapshot.
 
     A URI ending in a slash is a prefix of many objects, any other is one.  A
-    dataset with a pinned schema of that version is read with it.
+    dataset with a pinned schema of that version is read with it.  Of a table
+    laid out by the period of ``ts``, ``partition`` names the column and date
+    format, so that only the folders of the range are opened.
     """
     read = files.scan_prefix if uri.endswith("/") else files.scan
     source = read(spark, uri, pinned(dataset, version))
-    kept = files.between_times(source, ts, start, end) if start and end else source
+    kept = files.between_times(source, ts, start, end, partition) if start and end else source
     if columns:
         kept = files.project(kept, dict.fromkeys([*columns, ts]))
     rows = write_counted(files.require_rows(kept, uri), path)

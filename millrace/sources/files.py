@@ -1,5 +1,6 @@
 """File scans: one object, a prefix of many, CSV trees, time ranges."""
 
+import re
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -59,8 +60,9 @@ def scan_csv(spark: SparkSession, directory: str, schema=None) -> DataFrame:
     """CSV files of a directory; its subdirectories only if the top has none.
 
     Jobs pass a schema: inference costs a full extra read and narrows types.
+    A file whose header differs from the schema fails the read.
     """
-    options = {"header": True, "pathGlobFilter": "*.csv"}
+    options = {"header": True, "enforceSchema": False, "pathGlobFilter": "*.csv"}
     if _has_files(spark, directory, recursive=False):
         pass
     elif _has_files(spark, directory, recursive=True):
@@ -85,6 +87,31 @@ def _has_files(spark, directory, recursive):
         return False
 
 
+_STORE = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+
+
+def csv_sources(spark: SparkSession, directory: str) -> list:
+    """(stem, path) of each CSV source below a directory, in order of name.
+
+    A source is a file ``stem.csv``, or a folder of that name with the part
+    files of a distributed writer.  Nested ones count only if the top has none.
+    """
+    top = re.sub(_STORE, "", directory.rstrip("/"))
+    reader = spark.read.format("binaryFile").options(pathGlobFilter="*.csv", recursiveFileLookup=True)
+    try:
+        listed = reader.load(directory).select(F.regexp_replace("path", _STORE, "").alias("path"))
+    except AnalysisException as error:
+        if not _absent(error):
+            raise
+        return []
+    below = F.substr("path", F.locate(top, F.col("path")) + F.lit(len(top)))
+    # One row per source, not per part file.
+    found = listed.select(F.regexp_extract(below, r"^(.*?/[^/]*\.csv)(?:/.*)?$", 1).alias("s")).distinct()
+    sources = sorted(row["s"] for row in found.collect())
+    at_top = [s for s in sources if s.count("/") == 1]
+    return [(s.rsplit("/", 1)[1].removesuffix(".csv"), directory.rstrip("/") + s) for s in at_top or sources]
+
+
 def preview(df: DataFrame, rows=2):
     """First rows and the column types, for a log line."""
     return df.limit(rows), df.dtypes

@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace.errors import SPARK_ERRORS, BadRegistry, EmptySource, NothingIngested
 from millrace.schemas import pinned
-from millrace.sources.files import preview, require_rows, scan, scan_csv
+from millrace.sources.files import csv_sources, preview, require_rows, scan, scan_csv
 from millrace.sources.sinks import append_table, land, table_name
 
 log = logging.getLogger(__name__)
 
-REPORT = "short string, path string, table_name string, status string, rows long, error string"
+REPORT = "short string, file string, path string, table_name string, status string, rows long, error string"
 
 
 def check_registry(registry):
@@ -21,28 +21,41 @@ def check_registry(registry):
 
 
 def ingest(spark: SparkSession, registry, prefix, batch_id, namespace=None) -> DataFrame:
-    """Land and append each dataset; a failing one is reported and skipped.
-
-    ``registry`` pairs a directory of CSV files with a short name.  With a
-    ``namespace`` the landed rows are appended to a table as well, from the
-    landed Parquet, so the CSV is parsed once.  Returns one row per dataset.
+    """Land and append each file of each dataset; a failing one is reported and skipped.
+
+    ``registry`` pairs a directory of CSV files with a short name.  Every file
+    (see ``csv_sources``) is landed on its own and, with a ``namespace``,
+    appended to the table named by its stem, from the landed Parquet, so the
+    CSV is parsed once.  A file whose header differs from the pinned schema of
+    its dataset, or else of its stem, fails.  Returns one row per file, and one
+    per dataset without files.
     """
     check_registry(registry)
     report = []
     for reference, short, *_ in registry:
-        try:
-            rows_in = require_rows(scan_csv(spark, reference, pinned(short)), reference)
-            head, kinds = preview(rows_in)
-            log.info("%s: columns %s, first rows %s", short, kinds, head.collect())
-            path, rows = land(rows_in, prefix, short, batch_id)
-            table = table_name(short, namespace) if namespace else None
-            if table:
-                append_table(scan(spark, path), table, batch_id, f"{prefix}/tables/{short}")
-            report.append((short, path, table, "ingested", rows, None))
-        except EmptySource as error:
-            report.append((short, None, None, "skipped", 0, str(error)))
-        except SPARK_ERRORS as error:
-            report.append((short, None, None, "failed", 0, str(error).split("\n")[0]))
-    if not any(row[3] == "ingested" for row in report):
+        sources = csv_sources(spark, reference)
+        if not sources:
+            report.append((short, None, None, None, "skipped", 0, f"no CSV files under {reference}"))
+        for stem, source in sources:
+            found = _ingest_file(spark, source, stem, prefix, short, batch_id, namespace)
+            report.append((short, stem, *found))
+    if not any(row[4] == "ingested" for row in report):
         raise NothingIngested("no dataset was ingested")
     return spark.createDataFrame(report, REPORT)
+
+
+def _ingest_file(spark, source, stem, prefix, short, batch_id, namespace):
+    """Path, table, status, rows and error of one file."""
+    try:
+        rows_in = require_rows(scan_csv(spark, source, pinned(short) or pinned(stem)), source)
+        head, kinds = preview(rows_in)
+        log.info("%s/%s: columns %s, first rows %s", short, stem, kinds, head.collect())
+        path, rows = land(rows_in, prefix, f"{short}/{stem}", batch_id)
+        table = table_name(stem, namespace) if namespace else None
+        if table:
+            append_table(scan(spark, path), table, batch_id, f"{prefix}/tables/{stem}", short)
+        return path, table, "ingested", rows, None
+    except EmptySource as error:
+        return None, None, "skipped", 0, str(error)
+    except SPARK_ERRORS as error:
+        return None, None, "failed", 0, str(error).split("\n")[0]

@@ -25,18 +25,22 @@ def land(df: DataFrame, prefix, short, batch_id) -> tuple[str, int]:
     return path, write_counted(df, path, mode="overwrite")
 
 
-def append_table(df: DataFrame, identifier, batch_id, path=None) -> bool:
+def append_table(df: DataFrame, identifier, batch_id, path=None, dataset="") -> bool:
     """Append to a table, creating it from the frame's schema when absent.
 
-    The table is laid out by batch.  A batch it already holds is not appended
-    again, so that an ingest run can be repeated; returns whether it was.
+    The table is laid out by dataset and batch.  A batch of a dataset that it
+    already holds is not appended again, so that an ingest run can be repeated;
+    returns whether it was.
     """
     spark = df.sparkSession
     if spark.catalog.tableExists(identifier):
-        if not spark.table(identifier).filter(F.col("batch_id") == batch_id).isEmpty():
+        same = (F.col("batch_id") == batch_id) & (F.col("dataset") == dataset)
+        if not spark.table(identifier).filter(same).isEmpty():
             return False
-    stamped = df.withColumns({"ingested_at": F.current_timestamp(), "batch_id": F.lit(batch_id)})
-    writer = stamped.write.mode("append").partitionBy("batch_id")
+    stamped = df.withColumns(
+        {"ingested_at": F.current_timestamp(), "dataset": F.lit(dataset), "batch_id": F.lit(batch_id)}
+    )
+    writer = stamped.write.mode("append").partitionBy("dataset", "batch_id")
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(identifier)

@@ -166,10 +166,21 @@ def test_long_conversations_are_cut_and_come_back_whole(spark):
     assert sorted((r["c"], r["part"], len(r["messages"])) for r in rows.collect()) == [
         (1, 0, 10), (1, 1, 10), (1, 2, 5), (2, 0, 1),
     ]
-    back = nested.explode_conversations(rows, "c", chunk=10)
+    back = nested.explode_conversations(rows, "c")
     assert sorted(tuple(r) for r in back.collect()) == sorted(turns)
 
 
+@pytest.mark.parametrize("chunk", [2, 1_000])
+def test_turn_numbers_survive_gaps(spark, chunk):
+    turns = [(1, t, "user", f"m{t}") for t in (0, 2, 3, 9)] + [(2, 5, "user", "x"), (2, 7, "user", "y")]
+    df = spark.createDataFrame(turns, "c long, t long, role string, content string").repartition(3)
+    rows = nested.assemble_conversations(df, "c", "t", "role", "content", chunk)
+    assert sorted(tuple(r) for r in nested.explode_conversations(rows, "c").collect()) == sorted(turns)
+    more = rows.withColumn("messages", nested.append_message(F.col("messages"), "assistant", F.lit("z")))
+    added = nested.explode_conversations(more, "c").filter("content = 'z'")
+    assert {(r["c"], r["turn"]) for r in added.collect()} >= {(1, 10), (2, 8)}
+
+
 def test_parse_json_keeps_malformed_as_null(spark):
     assert one(spark, nested.parse_json("s").isNull(), s="{bad") is True
     assert one(spark, nested.first_call(F.from_json("s", "array<struct<a: int>>")), s="[]") is None

@@ -81,8 +81,8 @@ def test_table_names(spark):
 
 def test_ingest(spark):
     root = fresh_path(spark, "in")
-    spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string").write.option("header", True).csv(f"{root}/a")
-    spark.range(0).write.option("header", True).csv(f"{root}/empty")
+    spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string").write.option("header", True).csv(f"{root}/a/a-b.csv")
+    spark.range(0).write.option("header", True).csv(f"{root}/empty/e.csv")
     with pytest.raises(BadRegistry):
         ingest(spark, [("just one",)], root, "1")
     with pytest.raises(BadRegistry):
@@ -96,10 +96,37 @@ def test_ingest(spark):
     assert files.scan_prefix(spark, f"{root}/raw/a-b/").count() == 4
     for batch in ("1", "1", "2"):
         ingest(spark, [(f"{root}/a", "a-b")], root, batch, namespace="landed")
-    stored = spark.table("landed.a_b")
+    stored = spark.table("landed.a_b").filter("dataset = 'a-b'")
     assert stored.count() == 4 and {r[0] for r in stored.select("batch_id").distinct().collect()} == {"1", "2"}
 
 
+def test_files_of_one_dataset_stay_apart(spark, tmp_path):
+    folder = tmp_path / "odd.csv.d" / "in"
+    folder.mkdir(parents=True)
+    (folder / "prices.csv").write_text("id,price\n1,2.5\n")
+    (folder / "shops.v1.csv").write_text("price,id,city\n9.5,7,x\n8.5,6,y\n")
+    (folder / "deep").mkdir()
+    (folder / "deep" / "hidden.csv").write_text("a\n1\n")
+    spark.sql("CREATE DATABASE IF NOT EXISTS apart")
+    root = fresh_path(spark, "apart")
+    for uri in (str(folder), f"file://{folder}/"):
+        report = ingest(spark, [(uri, "mixed")], root, "1", namespace="apart").collect()
+        assert [(r["file"], r["table_name"], r["rows"]) for r in report] == [
+            ("prices", "apart.prices", 1), ("shops.v1", "apart.shops_v1", 2),
+        ]
+    assert spark.table("apart.prices").select("id", "price").collect() == [(1, 2.5)]
+    assert sorted(map(tuple, spark.table("apart.shops_v1").select("id", "price", "city").collect())) == [
+        (6, 8.5, "y"), (7, 9.5, "x"),
+    ]
+
+
+def test_a_header_unlike_the_pinned_schema_fails(spark, tmp_path):
+    (tmp_path / "good.csv").write_text("x,y\n1.0,2.0\n")
+    (tmp_path / "swapped.csv").write_text("y,x\n1.0,2.0\n")
+    report = ingest(spark, [(str(tmp_path), "training")], fresh_path(spark, "pinned"), "1").collect()
+    assert [(r["file"], r["status"], r["rows"]) for r in report] == [("good", "ingested", 1), ("swapped", "failed", 0)]
+
+
 def test_jdbc_options():
     assert jdbc.read_options("jdbc:x", "t") == {"url": "jdbc:x", "dbtable": "t"}
     split = jdbc.read_options("jdbc:x", "t", "id", 0, 100, 4, user="u")
