@@ -7,6 +7,7 @@ REFUND_NEEDS_APPROVAL = "Refund of $%s requires manager approval (threshold: $%s
 # Defaults for absent fields.
 DEFAULT_STATUS = "unknown"
 DEFAULT_PRIORITY = "medium"
+REFUND_DONE = "processed"
 DEFAULT_SHIPPING_STATUS = "N/A"
 DEFAULT_MAX_TOKENS = 512
 DEFAULT_TEMPERATURE = 0.1

@@ -278,8 +278,11 @@ LIMIT = 250_000.0
 DECIDED_SQL = f"""
 {RULES_SQL},
 decided AS (
-  SELECT *, broken = '' AND tool = 'process_refund' AND coalesce((j->>'$.amount')::DOUBLE > {LIMIT}, false) AS gated
-  FROM rules
+  SELECT *, over AND approval_status IS NULL AS gated, coalesce(over AND approval_status = 'rejected', false) AS refused
+  FROM (
+    SELECT *, broken = '' AND tool = 'process_refund' AND coalesce((j->>'$.amount')::DOUBLE > {LIMIT}, false) AS over
+    FROM rules
+  )
 )
 """
 
@@ -291,6 +294,7 @@ decided AS (
     SELECT session_id, tool AS tool_used, CASE WHEN gated THEN 'approval_gate' ELSE 'generate_response' END AS route,
       CASE WHEN broken <> '' THEN '❌ Error: Invalid tool arguments for ' || tool || ': ' || broken
            WHEN gated THEN printf('Refund of $%.2f requires manager approval (threshold: $250000.00)', (j->>'$.amount')::DOUBLE)
+           WHEN refused THEN 'I''ve processed your request. How else can I help?'
            WHEN tool = 'get_order_status' THEN '📦 Order ' || (j->>'$.order_id') || ' status: ' || (result->>'$.status')
                 || chr(10) || 'Items:' || chr(10) || '  • ' || (result->>'$.items[0].name') || ': $'
                 || printf('%.2f', (result->>'$.items[0].price')::DOUBLE) || chr(10) || 'Shipping: '
@@ -367,9 +371,16 @@ def approval_requests(spark, directory):
     f"""
     WITH {stand_ins.TOOL_CALLS_SQL}, {DECIDED_SQL}
     SELECT session_id, CASE WHEN user_id = 'anonymous' THEN '' ELSE user_id END AS user_id,
-           'tool_executed_' || tool AS action, tool, coalesce(j->>'$.order_id', '') AS order_id,
-           coalesce(result->>'$.refund_id', result->>'$.ticket_id', result->>'$.status', '') AS outcome
-    FROM decided WHERE broken = '' AND NOT gated
+           'tool_executed_' || tool AS action,
+           '{{"tool":"' || tool || '","args":' || args || ',"result":{{"success":true,' || CASE tool
+             WHEN 'get_order_status' THEN '"order_id":' || (j->'$.order_id') || ',"status":' || (result->'$.status')
+                  || ',"items":' || (result->'$.items') || ',"shipping":' || (result->'$.shipping')
+             WHEN 'process_refund' THEN '"refund_id":' || (result->'$.refund_id') || ',"amount":' || (j->'$.amount')
+                  || ',"status":"processed"'
+             WHEN 'escalate_to_human' THEN '"ticket_id":' || (result->'$.ticket_id') || ',"priority":'
+                  || coalesce(j->'$.priority', '"medium"')
+             ELSE '"note_added":true' END || '}}}}' AS details
+    FROM decided WHERE broken = '' AND NOT gated AND NOT refused
     """,
 )
 def audit_append(spark, directory):
@@ -378,15 +389,7 @@ def audit_append(spark, directory):
     path = fresh_path(spark, "audit")
     rows.write.mode("append").parquet(path)
     stored = spark.read.schema(rows.schema).parquet(path)
-    detail = lambda p: F.get_json_object("details", p)
-    return stored.select(
-        "session_id", F.coalesce("user_id", F.lit("")).alias("user_id"), "action",
-        detail("$.tool").alias("tool"),
-        F.coalesce(detail("$.args.order_id"), F.lit("")).alias("order_id"),
-        F.coalesce(
-            detail("$.result.refund_id"), detail("$.result.ticket_id"), detail("$.result.status"), F.lit("")
-        ).alias("outcome"),
-    )
+    return stored.select("session_id", F.coalesce("user_id", F.lit("")).alias("user_id"), "action", "details")
 
 
 @query(

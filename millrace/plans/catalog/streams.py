@@ -19,6 +19,25 @@ def _staged(df, spark, name):
     return path, df.schema
 
 
+def _arriving(df, ts, name):
+    """A folder and schema, and its files put there in three steps of time.
+
+    Stepping through them and draining after each gives three micro-batches
+    that share a checkpoint.
+    """
+    path = fresh_path(df.sparkSession, name)
+    at = F.unix_micros(F.col(ts).cast("timestamp"))
+    first, second = df.select(at.alias("at")).approxQuantile("at", [0.33, 0.67], 0.05)
+    step = F.when(at <= first, 0).when(at <= second, 1).otherwise(2)
+
+    def arrivals():
+        for number in range(3):
+            df.filter(step == number).write.mode("append").parquet(path)
+            yield number
+
+    return path, df.schema, arrivals()
+
+
 def _requests(spark, directory):
     return stand_ins.request_metrics(table(spark, directory, "events"))
 
@@ -32,10 +51,11 @@ def _requests(spark, directory):
 )
 def stream_counters_15s(spark, directory):
     """Requests per export interval, status and user."""
-    stream = runs.read_files(spark, *_staged(_requests(spark, directory), spark, "requests"))
-    counted = windows.windowed_counts(stream, "ts", "status", "user_id")
-    out = fresh_path(spark, "counters")
-    runs.write_updates(counted, out)
+    path, schema, arrivals = _arriving(_requests(spark, directory), "ts", "requests")
+    out, checkpoint = fresh_path(spark, "counters"), fresh_path(spark, "checkpoint")
+    for _ in arrivals:
+        counted = windows.windowed_counts(runs.read_files(spark, path, schema), "ts", "status", "user_id")
+        runs.write_updates(counted, out, checkpoint)
     newest = runs.newest_updates(
         runs.read_batches(spark, out, counted.schema), "window_start", "status", "user_id"
     )
@@ -150,7 +170,8 @@ def stream_ttl(spark, directory):
         F.when(put, F.col("value") * 3600).alias("ttl"),
         F.when(~put, F.concat(F.lit("r"), "event_id")).alias("read_id"),
     )
-    stream = runs.read_files(spark, *_staged(events, spark, "kv"))
-    answers, state = fresh_path(spark, "answers"), fresh_path(spark, "kv-state")
-    tables.expiring_values(stream, answers, state)
+    path, schema, arrivals = _arriving(events, "at", "kv")
+    answers, checkpoint = fresh_path(spark, "answers"), fresh_path(spark, "checkpoint")
+    for _ in arrivals:
+        tables.expiring_values(runs.read_files(spark, path, schema), answers, checkpoint)
     return spark.read.parquet(answers).select("read_id", F.coalesce("value", F.lit("")).alias("value"))

@@ -67,6 +67,13 @@ def _cases(text_type):
     return [_sql_case(pairs, text_type) for pairs in (by_priority, by_status, results)]
 
 
+# Some refunds come back after a decision on them.
+_SETTLED = (
+    "CASE WHEN o_orderpriority = '1-URGENT' AND o_orderkey % 4 = 1 THEN 'approved' "
+    "WHEN o_orderpriority = '1-URGENT' AND o_orderkey % 4 = 2 THEN 'rejected' END"
+)
+
+
 def tool_calls(orders: DataFrame, *kept) -> DataFrame:
     """One tool call per order; ``kept`` names order columns to carry along."""
     tool, arguments, result = (F.expr(case) for case in _cases("STRING"))
@@ -76,7 +83,7 @@ def tool_calls(orders: DataFrame, *kept) -> DataFrame:
         .otherwise(F.col("o_custkey").cast("string")).alias("user_id"),
         tool.alias("tool"),
         arguments.alias("args"),
-        F.lit(None).cast("string").alias("approval_status"),
+        F.expr(_SETTLED).alias("approval_status"),
         result.alias("result"),
         F.col("o_orderdate").alias("created_at"),
         *kept,
@@ -89,7 +96,8 @@ TOOL_CALLS_SQL = f"""
 calls AS (
   SELECT o_orderkey::VARCHAR AS session_id,
          CASE WHEN o_custkey = 0 THEN 'anonymous' ELSE o_custkey::VARCHAR END AS user_id,
-         {_TOOL} AS tool, {_ARGUMENTS} AS args, {_RESULT} AS result, o_orderdate AS created_at
+         {_TOOL} AS tool, {_ARGUMENTS} AS args, {_RESULT} AS result, {_SETTLED} AS approval_status,
+         o_orderdate AS created_at
   FROM orders
 )
 """

@@ -1,13 +1,14 @@
 """Tool calls of the assistant as tables: plan, validate, decide, record, reply."""
 
+import json
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import fixed, rules
 from millrace.functions.json_rules import check_arguments
-from millrace.functions.nested import first_call, json_text, render_json
+from millrace.functions.nested import first_call, json_text
 from millrace.functions.text import business_id, null_if, strip
 from millrace.session import materialise
 
@@ -112,16 +113,67 @@ def approval_rows(decided: DataFrame) -> DataFrame:
     )
 
 
+def _json_value(parsed, path, default) -> Column:
+    """JSON text of the value at a path of a parsed column; a default where it is absent."""
+    return F.coalesce(F.to_json(F.try_variant_get(parsed, path, "variant")), F.lit(json.dumps(default)))
+
+
+def _object(**members) -> Column:
+    """JSON text of an object whose members are JSON texts."""
+    parts = [F.concat(F.lit(f'"{name}":'), value) for name, value in members.items()]
+    return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
+
+
+def tool_result(tool, arguments, answer) -> Column:
+    """What a tool returns for the answer of the service behind it, as JSON text."""
+    asked, told = F.try_parse_json(arguments), F.try_parse_json(answer)
+    success = F.lit("true")
+    return (
+        F.when(
+            tool == "get_order_status",
+            _object(
+                success=success,
+                order_id=_json_value(asked, "$.order_id", None),
+                status=_json_value(told, "$.status", fixed.DEFAULT_STATUS),
+                items=F.coalesce(F.get_json_object(answer, "$.items"), F.lit("[]")),
+                shipping=F.coalesce(F.get_json_object(answer, "$.shipping"), F.lit("{}")),
+            ),
+        )
+        .when(
+            tool == "process_refund",
+            _object(
+                success=success,
+                refund_id=_json_value(told, "$.refund_id", None),
+                amount=F.get_json_object(arguments, "$.amount"),
+                status=F.lit(json.dumps(fixed.REFUND_DONE)),
+            ),
+        )
+        .when(
+            tool == "escalate_to_human",
+            _object(
+                success=success,
+                ticket_id=_json_value(told, "$.ticket_id", None),
+                priority=_json_value(asked, "$.priority", fixed.DEFAULT_PRIORITY),
+            ),
+        )
+        .when(tool == "update_customer_note", _object(success=success, note_added=success))
+    )
+
+
 def audit_rows(decided: DataFrame) -> DataFrame:
-    """An audit row for each successful execution; anonymous users are null."""
+    """An audit row for each successful execution; anonymous users are null.
+
+    The details keep the arguments as they were given, down to the digits.
+    """
     done = decided.filter("executed")
+    result = tool_result(F.col("tool"), F.col("args"), F.col("result"))
     return done.select(
         F.col("created_at").alias("timestamp"),
         null_if("user_id", fixed.ANONYMOUS).alias("user_id"),
         "session_id",
         F.concat(F.lit("tool_executed_"), F.col("tool")).alias("action"),
-        render_json(
-            F.col("tool"), F.try_parse_json("args").alias("args"), F.try_parse_json("result").alias("result")
+        _object(
+            tool=F.concat(F.lit('"'), F.col("tool"), F.lit('"')), args=F.col("args"), result=result
         ).alias("details"),
     )
 

@@ -1,5 +1,7 @@
 """Running a stream over what has arrived, into files that survive a retry."""
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -8,6 +10,8 @@ from millrace.errors import EmptySource
 from millrace.session import fresh_path
 from millrace.sources.files import scan
 
+log = logging.getLogger(__name__)
+
 
 def read_files(spark: SparkSession, directory, schema, files_per_batch=None) -> DataFrame:
     """A stream of Parquet files as they appear under a directory."""
@@ -22,8 +26,12 @@ def batch_path(directory, batch_id):
     return f"{directory}/batch_id={batch_id}"
 
 
-def drain(stream: DataFrame, each_batch, mode="append", checkpoint=None):
-    """Feed everything available to ``each_batch(frame, batch_id)`` and stop."""
+def drain(stream: DataFrame, each_batch, mode="append", checkpoint=None) -> int:
+    """Feed everything available to ``each_batch(frame, batch_id)`` and stop.
+
+    Returns how many rows were too late for a watermark, as far back as Spark
+    keeps the progress of a run, and logs them.
+    """
     place = checkpoint or fresh_path(stream.sparkSession, "checkpoint")
     query = (
         stream.writeStream.outputMode(mode)
@@ -33,15 +41,19 @@ def drain(stream: DataFrame, each_batch, mode="append", checkpoint=None):
         .start()
     )
     query.awaitTermination()
+    late = sum(s.numRowsDroppedByWatermark for p in query.recentProgress for s in p.stateOperators)
+    if late:
+        log.warning("%d rows were too late", late)
+    return late
 
 
-def write_updates(stream: DataFrame, directory, checkpoint=None):
-    """Write the changed rows of every micro-batch of an aggregate."""
+def write_updates(stream: DataFrame, directory, checkpoint=None) -> int:
+    """Write the changed rows of every micro-batch of an aggregate; rows that were too late."""
 
     def each(frame, batch_id):
         frame.write.mode("overwrite").parquet(batch_path(directory, batch_id))
 
-    drain(stream, each, "update", checkpoint)
+    return drain(stream, each, "update", checkpoint)
 
 
 def read_batches(spark: SparkSession, directory, schema) -> DataFrame:

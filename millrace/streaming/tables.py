@@ -1,13 +1,13 @@
 """Service tables fed by streams: ingest, validation, approvals, expiring keys."""
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from millrace.operators import checks
 from millrace.operators.tables import first_decisions
 from millrace.operators.timeline import Limits, entity, latest_before, micros, on_axis
-from millrace.session import materialise
-from millrace.sources.files import scan
 from millrace.streaming.runs import batch_path, drain, read_batches
 
 
@@ -73,36 +73,58 @@ def ttl_micros(seconds):
 
 
 EXPIRING = "key string, at timestamp, put boolean, value string, ttl double, read_id string"
+ANSWERS = "read_id string, key string, at timestamp, value string"
+HELD = "at long, value string, ttl double"
 
 
-def expiring_values(stream: DataFrame, directory, state_directory, checkpoint=None):
+def expiring_values(stream: DataFrame, directory, checkpoint=None, late="1 hour") -> int:
     """Answer reads of an expiring key/value store fed by one event stream.
 
     Events have the columns of ``EXPIRING``: a put sets a value for ``ttl``
-    seconds, a read asks for it.  A read sees the newest put at or before it
-    unless that put has expired.  Batches arrive in time order.  The state
-    after a micro-batch is the newest put of each key that is still alive at
-    the latest time seen, so it shrinks as keys expire.
+    seconds, for ever if that is null; a read asks for it.  A read sees the
+    newest put at or before it unless that put has expired.  Batches arrive in
+    time order.  Spark keeps the newest put of each key as state and gives it
+    up once it has expired for longer than ``late``.  Events later than that,
+    or without a time, are set aside by the watermark; returns how many.
     """
-    spark = stream.sparkSession
+    answers = stream.withWatermark("at", late).groupBy("key").applyInPandasWithState(
+        _serve_reads, ANSWERS, HELD, "append", GroupStateTimeout.EventTimeTimeout
+    )
 
     def each(frame, batch_id):
-        if batch_id > 0:
-            frame = frame.unionByName(
-                scan(spark, batch_path(state_directory, batch_id - 1), frame.schema)
-            )
-        events, _ = materialise(frame, "expiring")
-        answer_reads(events).write.mode("overwrite").parquet(batch_path(directory, batch_id))
-        newest = events.filter("put AND key IS NOT NULL").groupBy("key").agg(
-            F.max_by(F.struct("at", "put", "value", "ttl", "read_id"), F.struct("at", "value")).alias("p")
-        ).select("key", "p.*")
-        now = events.agg(F.max("at")).scalar()
-        alive = newest.filter(F.coalesce(micros("at") + ttl_micros("ttl") > micros(now), F.lit(True)))
-        alive.select(*frame.columns).write.mode("overwrite").parquet(
-            batch_path(state_directory, batch_id)
-        )
-
-    drain(stream, each, checkpoint=checkpoint)
+        frame.write.mode("overwrite").parquet(batch_path(directory, batch_id))
+
+    return drain(answers, each, checkpoint=checkpoint)
+
+
+def _serve_reads(key, frames, state):
+    """Answers of one key in one micro-batch; the newest put stays as state."""
+    if state.hasTimedOut:
+        state.remove()
+        return
+    events = pd.concat(list(frames), ignore_index=True)
+    events["pos"] = events["at"].astype("datetime64[us]").astype("int64")
+    held = state.get if state.exists else (None, None, None)
+    puts = events["put"].astype(bool) & (key[0] is not None)
+    # A put comes before a read of the same moment, the largest value last.
+    events = events.assign(isput=puts, reads=~events["put"].astype(bool))
+    events = events.sort_values(["pos", "reads", "value"], kind="stable", na_position="first")
+    newest = events["pos"].where(events["isput"]).notna().cumsum()
+    known = pd.DataFrame([held], columns=["at", "value", "ttl"]).astype({"at": "float64", "ttl": "float64"})
+    given = events.loc[events["isput"], ["pos", "value", "ttl"]].set_axis(["at", "value", "ttl"], axis=1)
+    stock = pd.concat([known, given], ignore_index=True).astype({"at": "Int64"})
+    seen = stock.iloc[newest.to_numpy()].set_index(events.index)
+    until = seen["at"].astype("float64") + (seen["ttl"].astype("float64") * 1e6).round()
+    alive = seen["at"].notna() & (until.isna() | (events["pos"] < until))
+    answers = events.assign(value=seen["value"].where(alive, None))[events["reads"]]
+    last = stock.iloc[-1]
+    if pd.notna(last["at"]):
+        at, ttl = int(last["at"]), None if pd.isna(last["ttl"]) else float(last["ttl"])
+        state.update((at, last["value"], ttl))
+        ends = None if ttl is None else (at + round(ttl * 1e6)) // 1000 + 1
+        if ends is not None:
+            state.setTimeoutTimestamp(max(ends, state.getCurrentWatermarkMs() + 1))
+    yield answers[["read_id", "key", "at", "value"]]
 
 
 def answer_reads(events: DataFrame) -> DataFrame:
@@ -114,5 +136,6 @@ def answer_reads(events: DataFrame) -> DataFrame:
     reads = on_axis(events.filter(~F.col("put")).select("read_id", "key", "at"), "key", micros("at"))
     found = latest_before(reads, puts, Limits())
     put = F.col("found")
-    alive = F.col("pos") < micros(put["at"]) + ttl_micros(put["ttl"])
+    ends = micros(put["at"]) + ttl_micros(put["ttl"])
+    alive = put.isNotNull() & F.coalesce(F.col("pos") < ends, F.lit(True))
     return found.select("row.*", F.when(alive, put["value"]).alias("value"))

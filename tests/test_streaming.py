@@ -135,7 +135,7 @@ def kv(r, n):
     for i in range(n):
         key, at = r.choice(["a", "a", "b", None]), BASE + timedelta(seconds=i)
         if r.random() < 0.3:
-            out.append((key, at, True, f"v{i}", float(r.choice([3, 3, 40])), None))
+            out.append((key, at, True, f"v{i}", r.choice([3.0, 3.0, 40.0, None]), None))
         else:
             out.append((key, at, False, None, None, f"r{i}"))
     return out
@@ -148,13 +148,13 @@ def test_expiring_values(spark, seed):
     rows += [("k", BASE + timedelta(seconds=100), True, "ci", 3.0, None)]
     rows += [("k", BASE + timedelta(seconds=100 + s), False, None, None, f"k{s}") for s in (0, 2, 3, 4)]
     path, schema = staged(spark, [rows[:30], rows[30:60], rows[60:]], tables.EXPIRING)
-    answers, state = fresh_path(spark, "answers"), fresh_path(spark, "state")
-    tables.expiring_values(runs.read_files(spark, path, schema, 1), answers, state)
+    answers = fresh_path(spark, "answers")
+    assert tables.expiring_values(runs.read_files(spark, path, schema, 1), answers) == 0
     got = {r["read_id"]: r["value"] for r in spark.read.parquet(answers).collect()}
     store, want = {}, {}
     for key, at, put, value, ttl, read in rows:
         if put:
-            store[key] = (value, at + timedelta(seconds=ttl))
+            store[key] = (value, at + timedelta(seconds=ttl) if ttl is not None else datetime.max)
         else:
             held = store.get(key) if key is not None else None
             want[read] = held[0] if held and at < held[1] else None

@@ -60,8 +60,18 @@ def test_audit_is_only_for_executed_calls(outcome):
     assert rows["small"]["user_id"] is None and rows["note"]["user_id"] == "u"
     assert rows["approved"]["action"] == "tool_executed_process_refund"
     assert json.loads(rows["approved"]["details"]) == {
-        "tool": "process_refund", "args": json.loads(REFUND), "result": {"refund_id": "R9"},
+        "tool": "process_refund", "args": json.loads(REFUND),
+        "result": {"success": True, "refund_id": "R9", "amount": 150.5, "status": "processed"},
     }
+    results = {k: json.loads(r["details"])["result"] for k, r in rows.items() if k != "approved"}
+    assert results == {
+        "small": {"success": True, "refund_id": None, "amount": 100.0, "status": "processed"},
+        "status": {"success": True, "order_id": "O2", "status": "unknown", "items": [], "shipping": {}},
+        "nulls": {"success": True, "order_id": "O2", "status": None, "items": [], "shipping": {"status": "van"}},
+        "note": {"success": True, "note_added": True},
+        "ticket": {"success": True, "ticket_id": "T", "priority": "medium"},
+    }
+    assert '"amount": 100.0' in rows["small"]["details"]
 
 
 def test_planning(spark):
