@@ -9,10 +9,12 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.errors import SPARK_ERRORS
+from millrace.errors import SPARK_ERRORS, EmptySource
 from millrace.functions import scores
 from millrace.operators.tables import next_versions
+from millrace.schemas import REGISTRY
 from millrace.session import fresh_path
+from millrace.sources.files import scan
 
 
 # --- closed-form fit ---------------------------------------------------------------
@@ -122,6 +124,25 @@ def compare(models: dict, df: DataFrame, label) -> DataFrame:
     return evaluate_all(scored, label, list(models))
 
 
+def compare_sides(models: dict, df: DataFrame, side, label) -> DataFrame:
+    """As ``compare``, with one row per model and value of ``side``."""
+    scored = df
+    for model in models.values():
+        scored = model.transform(scored).drop("_features")
+    measured = scored.groupBy(F.col(side).alias("side")).agg(
+        *[
+            F.struct(
+                F.lit(name).alias("candidate"),
+                F.count(F.lit(1)).alias("rows"),
+                scores.r2(F.col(label), F.col(name)).alias("r2"),
+                scores.rmse(F.col(label), F.col(name)).alias("rmse"),
+            ).alias(f"m{i}")
+            for i, name in enumerate(models)
+        ]
+    )
+    return measured.select("side", F.inline(F.array(*measured.columns[1:])))
+
+
 def best(metrics: DataFrame, by="rmse", lower_is_better=True, name="candidate") -> DataFrame:
     """The best candidate's row; the first name wins a tie."""
     order = F.col(by) if lower_is_better else -F.col(by)
@@ -165,6 +186,14 @@ def run_metadata(run_id, artifact_uri, version, r2) -> list:
     ]
 
 
+def read_registry(spark, table_path) -> DataFrame:
+    """The registry table, empty before the first run."""
+    try:
+        return scan(spark, table_path, REGISTRY)
+    except EmptySource:
+        return spark.createDataFrame([], REGISTRY)
+
+
 def register(registry: DataFrame, runs: DataFrame, table_path) -> DataFrame:
     """Append runs to a registry table; runs with their ``version``.
 

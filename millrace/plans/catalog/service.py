@@ -112,11 +112,15 @@ def cascade_delete(spark, directory):
     """,
 )
 def update_delete(spark, directory):
-    """An update by predicate, then a delete by predicate."""
+    """An update by predicate, then a delete by predicate, each written and swapped in."""
     orders = table(spark, directory, "orders")
-    updated = tables.update(orders, F.col("o_orderstatus") == "P", {"o_orderstatus": F.lit("updated")})
-    left = tables.delete(updated, F.col("o_orderpriority") == "5-LOW")
-    return left.select("o_orderkey", "o_orderstatus", "o_totalprice")
+    path = fresh_path(spark, "orders")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    tables.create_if_absent(spark, name, orders.schema, path)
+    changed = tables.update(orders, F.col("o_orderstatus") == "P", {"o_orderstatus": F.lit("updated")})
+    tables.replace_rows(changed, name)
+    tables.replace_rows(tables.delete(spark.table(name), F.col("o_orderpriority") == "5-LOW"), name)
+    return spark.table(name).select("o_orderkey", "o_orderstatus", "o_totalprice")
 
 
 NEW_USERS = T.StructType(

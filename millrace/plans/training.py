@@ -1,4 +1,4 @@
-"""The training run: extract, check, derive, check, fit, score, register."""
+"""The training run: extract, check, derive, check, fit, choose, score, register."""
 
 from dataclasses import dataclass
 
@@ -11,7 +11,7 @@ from millrace.schemas import pinned
 from millrace.session import fresh_path, materialise, write_counted
 from millrace.sources import files
 from millrace.sources.metadata import describe_snapshot
-from millrace.sources.sinks import write_features
+from millrace.sources.sinks import write_features, write_metadata
 
 
 @dataclass
@@ -95,3 +95,70 @@ def train(raw: DataFrame, x, y) -> TrainingRun:
     return TrainingRun(
         raw_report, feature_report, table, fit, scored, models.evaluate(scored, "y")
     )
+
+
+@dataclass
+class RegisteredRun:
+    """What a run from a URI to the registry leaves behind."""
+
+    snapshot: Snapshot
+    raw_report: DataFrame
+    feature_report: DataFrame
+    compared: DataFrame
+    chosen: str
+    model_path: str
+    registered: DataFrame
+    metadata_path: str
+
+
+def train_and_register(
+    spark, uri, ts, key, x, y, name, candidates, registry_path, start=None, end=None, dataset=None,
+    partition=None,
+) -> RegisteredRun:
+    """From files to a registered model: every step of the workflow in order.
+
+    Extracts a snapshot, gates it, writes and gates the features, fits every
+    candidate on the training side of a hash split of ``key`` (a column or a
+    list; the first one decides the side), keeps the one with the smallest
+    error on the validation side, saves it, appends it to the registry at
+    ``registry_path`` and writes its metadata as one JSON object, with the
+    version that the registry gave it.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    snapshot = extract_snapshot(
+        spark, uri, fresh_path(spark, "snapshot"), ts, start, end, [*keys, x, y], dataset,
+        partition=partition,
+    )
+    raw_report = check_raw(snapshot.table, x, y)
+    checks.gate(snapshot.table, raw_report)
+    sided = snapshot.table.select(
+        F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"),
+        features.split_column(keys[0]).alias("side"),
+    )
+    table, feature_report = write_checked_features(
+        features.double_feature(sided), fresh_path(spark, "features")
+    )
+    checks.gate(table, feature_report)
+    fitted = models.search(table.filter("side = 'train'"), candidates, ["x"], "y")
+    compared, _ = materialise(models.compare_sides(fitted, table, "side", "y"), "compared")
+    on_valid = compared.filter("side = 'valid'")
+    chosen = models.best(on_valid).first()
+    model_path = fresh_path(spark, "model")
+    models.save_model(fitted[chosen["candidate"]], model_path)
+    run_id = model_path.rsplit("/", 1)[1]
+    run = on_valid.filter(F.col("candidate") == chosen["candidate"]).select(
+        F.lit(name).alias("name"), F.lit(run_id).alias("run_id"),
+        F.lit(model_path).alias("artifact_uri"), "r2",
+    )
+    registered = models.register(models.read_registry(spark, registry_path), run, registry_path)
+    metadata_path = fresh_path(spark, "metadata")
+    write_metadata(
+        registered.select(
+            *models.run_metadata(F.col("run_id"), F.col("artifact_uri"), F.col("version"), F.col("r2"))
+        ),
+        metadata_path,
+    )
+    return RegisteredRun(
+        snapshot, raw_report, feature_report, compared, chosen["candidate"], model_path, registered,
+        metadata_path,
+    )

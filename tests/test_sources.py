@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.errors import BadRegistry, EmptySource, NothingIngested, ScratchNotConfigured
+from millrace.operators import models
 from millrace.plans import training
 from millrace.errors import ValidationFailed
 from millrace.session import fresh_path, scratch_root, write_counted
@@ -153,6 +154,27 @@ def test_training_stops_at_a_failed_check(spark):
             training.train(bad, "a", "b")
 
 
+def test_the_run_registers_the_better_model(spark):
+    path, registry = fresh_path(spark, "raw"), fresh_path(spark, "registry")
+    rows = [(i, datetime(2024, 1, 1 + i % 28), float(i % 20), float((i % 20 - 10) ** 2)) for i in range(400)]
+    write_counted(spark.createDataFrame(rows, "id long, ts timestamp_ntz, a double, b double"), path)
+    trees = models.Candidate("trees", "gbt", (("maxIter", 3), ("maxDepth", 4), ("seed", 7)))
+    versions = []
+    for _ in range(2):
+        run = training.train_and_register(
+            spark, path, "ts", "id", "a", "b", "parabola", [models.Candidate("line", "linear"), trees], registry
+        )
+        found = {(r["candidate"], r["side"]): r["r2"] for r in run.compared.collect()}
+        assert run.chosen == "trees" and found["trees", "valid"] > 0.9 > 0.1 > found["line", "valid"]
+        meta = spark.read.json(run.metadata_path).first()
+        assert meta["r2"] == pytest.approx(found["trees", "valid"]) and meta["mlflow_artifact_uri"] == run.model_path
+        versions.append(meta["mlflow_registered_version"])
+        again = models.load_model(run.model_path).transform(spark.createDataFrame([(10.0,), (0.0,)], "x double"))
+        low, high = [r["trees"] for r in again.orderBy(F.desc("x")).collect()]
+        assert low < 10 < high
+    assert versions == ["1", "2"]
+
+
 def test_snapshot_of_a_prefix(spark):
     root = fresh_path(spark, "objects")
     for i in range(2):
