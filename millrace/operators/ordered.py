@@ -1,9 +1,9 @@
 """Running totals over a whole ordered table, and what is built on them.
 
 A window without a partition puts a table into one task.  Here the ordered
-values are cut into ranges at sampled split points; each range is summed on its
-own and shifted by the totals of the ranges before it.  Only the per-range
-totals, whose number is fixed, meet in one task.
+values are dealt out in ranges by Spark's own sampling range partitioner; each
+range is summed on its own and shifted by the totals of the ranges before it.
+Only the per-range totals, one for a million values, meet in one task.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -13,27 +13,9 @@ from millrace.functions.text import clean_missing
 from millrace.session import materialise
 
 ONE_TASK_ROWS = 1_000_000
-RANGES = 256, 1024
-
-
-def split_points(df: DataFrame, column, ranges, rows) -> list:
-    """Cut values of about equal distance in rank, from a bounded sample."""
-    wanted = ranges * 50
-    share = min(1.0, wanted * 1.2 / max(rows, 1))
-    sample = df.select(column).sample(share, seed=7).limit(wanted * 2).collect()
-    values = sorted({r[0] for r in sample if r[0] is not None and r[0] == r[0]})
-    step = max(1, len(values) // ranges)
-    return values[step::step][: ranges - 1]
-
-
-def range_number(column: Column, splits, first=0) -> Column:
-    """Number of split points at or below a value, by halving."""
-    if not splits:
-        return F.lit(first)
-    middle = len(splits) // 2
-    return F.when(
-        column < F.lit(splits[middle]), range_number(column, splits[:middle], first)
-    ).otherwise(range_number(column, splits[middle + 1 :], first + middle + 1))
+FEWEST_RANGES = 256
+# Range totals that are sent to every task: a few numbers each.
+TOTALS_SENT = 1_000_000
 
 
 def running_totals(
@@ -48,9 +30,10 @@ def running_totals(
     before = {f"{t}_before": t for t in totals}
     if rows <= one_task_rows:
         return _shifted(table, Window.orderBy(by), before)
-    fewest, most = RANGES
-    splits = split_points(table, by, ranges or min(max(rows // ONE_TASK_ROWS, fewest), most), rows)
-    ranged = table.withColumn("_range", range_number(F.col(by), splits))
+    wanted = ranges or max(rows // ONE_TASK_ROWS, FEWEST_RANGES)
+    # Written, so that a range keeps its number whatever later happens to its task.
+    dealt = table.repartitionByRange(wanted, by).withColumn("_range", F.spark_partition_id())
+    ranged, _ = materialise(dealt, "ranged")
     sums = ranged.groupBy("_range").agg(*[F.sum(t).alias(f"_sum_{t}") for t in totals])
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(
@@ -58,8 +41,7 @@ def running_totals(
         *[F.coalesce(F.sum(f"_sum_{t}").over(earlier), F.lit(0)).alias(f"_off_{t}") for t in totals],
     )
     local = _shifted(ranged, Window.partitionBy("_range").orderBy(by), before)
-    # One row per range.
-    joined = local.join(F.broadcast(offsets), "_range")
+    joined = local.join(F.broadcast(offsets) if wanted <= TOTALS_SENT else offsets, "_range")
     return joined.select(
         *table.columns, *[(F.col(b) + F.col(f"_off_{t}")).alias(b) for b, t in before.items()]
     )

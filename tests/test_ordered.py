@@ -2,7 +2,6 @@ import random
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from millrace.operators import ordered
 
@@ -50,9 +49,12 @@ def test_ordinal(spark, way):
     assert got == {w: i for i, w in enumerate(want)}
 
 
-def test_range_number_matches_bisect(spark):
-    import bisect
-
-    splits = [1, 4, 4, 9, 12]
-    df = spark.range(15).select("id", ordered.range_number(F.col("id"), splits).alias("r"))
-    assert {x["id"]: x["r"] for x in df.collect()} == {i: bisect.bisect_right(splits, i) for i in range(15)}
+@pytest.mark.parametrize("ranges", [1, 7, 300])
+def test_ranges_give_the_totals_of_one_task(spark, ranges):
+    values = [float("nan"), float("-inf"), -1.5, 0.0, 2.0, 2.5, 1e300]
+    df = spark.createDataFrame([(v, i + 1) for i, v in enumerate(values)], "v double, n long").repartition(4)
+    plain = {repr(r["v"]): r["n_before"] for r in ordered.running_totals(df, "v", ["n"]).collect()}
+    cut = ordered.running_totals(df, "v", ["n"], one_task_rows=0, ranges=ranges)
+    assert {repr(r["v"]): r["n_before"] for r in cut.collect()} == plain
+    # NaN comes last.
+    assert plain["nan"] == sum(range(2, 8)) and plain["-inf"] == 0
