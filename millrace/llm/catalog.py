@@ -64,6 +64,69 @@ FROM sets JOIN reach ON sets.doc_id = reach.doc_id GROUP BY sets.doc_id, len(s)
 """
 
 
+QUALITY_SQL = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS k, doc_id, lang, source, coalesce(text, '') AS t FROM documents
+), words AS (
+  SELECT k, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+    list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS l FROM texts
+), windows AS (
+  SELECT k, unnest(range(1, len(w) - 1)) AS place, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i:i + 2])) AS x
+  FROM words
+), again AS (
+  SELECT k, place FROM (SELECT k, place, count(*) OVER (PARTITION BY k, x) AS n FROM windows) WHERE n > 1
+), repeated AS (
+  SELECT k, count(DISTINCT place + step) AS n FROM again, (SELECT unnest([0, 1, 2]) AS step) GROUP BY k
+), counted AS (
+  SELECT texts.*, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+    (length(t) - length(translate(t, '#*$%&|<>', '')))::BIGINT AS n_symbols,
+    (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words,
+    len(l)::BIGINT AS n_lines
+  FROM texts JOIN words USING (k) LEFT JOIN repeated USING (k)
+), based AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted
+), measured AS (
+  SELECT k, lang, source, base_failed, unnest(['symbols', 'repeated', 'equal_lines', 'word_length']) AS measure,
+    unnest([1000 * n_symbols // greatest(n_words, 1), 1000 * n_repeat_words // greatest(n_words, 1),
+            1000 * n_dup_lines // greatest(n_lines, 1), 100 * word_chars // greatest(n_words, 1)]) AS v
+  FROM based
+), bucketed AS (
+  SELECT *, v - v % (1 << greatest(length(bin(v)) - 6, 0)::INT) AS bucket FROM measured WHERE NOT base_failed
+), fine AS (
+  SELECT lang, source, measure, bucket, count(*) AS n FROM bucketed GROUP BY ALL
+), fine_upto AS (
+  SELECT *, sum(n) OVER (PARTITION BY lang, source, measure ORDER BY bucket) AS upto,
+    sum(n) OVER (PARTITION BY lang, source, measure) AS total FROM fine
+), own AS (
+  SELECT lang, source, measure, any_value(total) AS n, min(bucket) FILTER (4 * upto >= total) AS q1,
+    min(bucket) FILTER (4 * upto >= 3 * total) AS q3 FROM fine_upto GROUP BY ALL
+), coarse AS (
+  SELECT lang, measure, bucket, sum(n) AS n FROM fine GROUP BY ALL
+), coarse_upto AS (
+  SELECT *, sum(n) OVER (PARTITION BY lang, measure ORDER BY bucket) AS upto,
+    sum(n) OVER (PARTITION BY lang, measure) AS total FROM coarse
+), shared AS (
+  SELECT lang, measure, min(bucket) FILTER (4 * upto >= total) AS all_q1,
+    min(bucket) FILTER (4 * upto >= 3 * total) AS all_q3 FROM coarse_upto GROUP BY ALL
+), mixed AS (
+  SELECT own.lang, source, own.measure, (n * q1 + 200 * all_q1) // (n + 200) AS q1, (n * q3 + 200 * all_q3) // (n + 200) AS q3
+  FROM own JOIN shared ON own.lang IS NOT DISTINCT FROM shared.lang AND own.measure = shared.measure
+), rules AS (
+  SELECT * FROM (VALUES ('symbols', 3, 150, false), ('repeated', 3, 300, false), ('equal_lines', 3, 400, false),
+                        ('word_length', 4, 300, true)) AS r(measure, spread, slack, both_sides)
+), limits AS (
+  SELECT lang, source, measure, q3 + spread * (q3 - q1) + slack AS high,
+    CASE WHEN both_sides THEN q1 - spread * (q3 - q1) - slack ELSE 0 END AS low FROM mixed JOIN rules USING (measure)
+), verdicts AS (
+  SELECT k, bool_and(coalesce(v BETWEEN low AND high, true)) AS fits
+  FROM measured LEFT JOIN limits ON measured.measure = limits.measure AND measured.lang IS NOT DISTINCT FROM limits.lang
+    AND measured.source IS NOT DISTINCT FROM limits.source GROUP BY k
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND fits AS kept
+FROM based JOIN verdicts USING (k)
+"""
+
+
 @query("op10_near_duplicates", NEAR_DUPLICATES_SQL)
 def op10(spark, sf_dir):
     """Near-duplicate groups of all documents."""
@@ -112,7 +175,7 @@ def op5(spark, sf_dir):
     return nearest(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
-@query("op6_quality_rules")
+@query("op6_quality_rules", QUALITY_SQL)
 def op6(spark, sf_dir):
     """Quality counts and verdicts of all documents."""
     return quality(load(spark, sf_dir, "documents")).drop("n_lines")
