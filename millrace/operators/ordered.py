@@ -18,6 +18,16 @@ FEWEST_RANGES = 256
 TOTALS_SENT = 1_000_000
 
 
+def in_ranges(table: DataFrame, by, ranges, name) -> DataFrame:
+    """Rows dealt out in ``ranges`` parts of about equal size, in the order of ``by``.
+
+    Adds the number of the part as ``name``.  The frame is written, so that a
+    row keeps its part whatever later happens to a task.
+    """
+    dealt = table.repartitionByRange(ranges, *by).withColumn(name, F.spark_partition_id())
+    return materialise(dealt, "ranged")[0]
+
+
 def running_totals(
     df: DataFrame, by, totals, one_task_rows=ONE_TASK_ROWS, ranges=None
 ) -> DataFrame:
@@ -31,9 +41,7 @@ def running_totals(
     if rows <= one_task_rows:
         return _shifted(table, Window.orderBy(by), before)
     wanted = ranges or max(rows // ONE_TASK_ROWS, FEWEST_RANGES)
-    # Written, so that a range keeps its number whatever later happens to its task.
-    dealt = table.repartitionByRange(wanted, by).withColumn("_range", F.spark_partition_id())
-    ranged, _ = materialise(dealt, "ranged")
+    ranged = in_ranges(table, [by], wanted, "_range")
     sums = ranged.groupBy("_range").agg(*[F.sum(t).alias(f"_sum_{t}") for t in totals])
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(

@@ -4,7 +4,8 @@ Each has two plans with the same result.  Entities of ordinary size use one
 window per entity.  Entities whose rows would overload a task are found by
 counting first, and only they take the second plan, which cuts their timeline
 into slots: work inside a slot is local, and one summary row per slot carries
-the rest.  The list of such entities is written and counted, and it is sent to
+the rest.  Lookups and trailing rows use slots of equally many rows, rolling
+spans slots of time, whose summaries are cut again where they are many.  The list of such entities is written and counted, and it is sent to
 every task only if it is short.
 
 ``key`` is a column name or a list of them throughout.
@@ -15,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.operators.ordered import in_ranges
 from millrace.session import materialise
 
 LIST_ROWS = 1_000_000
@@ -96,16 +98,27 @@ def _split(df, large, count):
     return df.join(keys, "key", "left_anti"), df.join(keys, "key", "left_semi")
 
 
-def slot_width(df: DataFrame, slot_rows, start=None, by=("key",), axis="pos") -> int:
-    """Width of slots along an axis so that none holds too many rows.
+def _in_slots(df, order, limits):
+    """Adds ``slot``: consecutive rows, by ``order``, in parts of about ``slot_rows``.
+
+    Slots hold rows rather than time, so neither a burst nor a long quiet time
+    makes one large or makes many: an entity has one slot, and so one summary
+    row, for each ``slot_rows`` rows, and the entities at its ends.
+    """
+    table, rows = materialise(df, "to-slot")
+    return in_ranges(table, order, max(1, -(-rows // limits.slot_rows)), "slot")
+
+
+def slot_width(points: DataFrame, slot_rows, start=None) -> int:
+    """Width of time slots so that none holds too many rows.
 
     Measures, and narrows until it fits or a slot is a single position.
     """
-    span = df.agg((F.max(axis) - F.min(axis)).alias("span")).first()["span"] or 1
+    span = points.agg((F.max("pos") - F.min("pos")).alias("span")).first()["span"] or 1
     width = start or span + 1
     while width > 1:
         fullest = (
-            df.groupBy(*by, F.floor(F.col(axis) / width)).agg(F.count(F.lit(1)).alias("n"))
+            points.groupBy("key", F.floor(F.col("pos") / width)).agg(F.count(F.lit(1)).alias("n"))
             .agg(F.max("n")).first()[0]
         ) or 0
         if fullest <= slot_rows:
@@ -170,9 +183,7 @@ def _sliced_lookup(probes, facts, limits):
         F.max_by("payload", "tie").alias("payload"), F.max("tie").alias("tie")
     )
     times = probes.select("key", "pos").distinct().withColumn("row", F.struct(F.lit(1).alias("_")))
-    known = _sides(times, facts).drop("row", "tie")
-    width = slot_width(known, limits.slot_rows)
-    known = known.withColumn("slot", F.floor(F.col("pos") / width))
+    known = _in_slots(_sides(times, facts).drop("row", "tie"), ["key", "pos", "kind"], limits)
     ends = known.groupBy("key", "slot").agg(
         F.max_by("payload", F.when(F.col("kind") == 0, F.col("pos"))).alias("end")
     )
@@ -402,33 +413,18 @@ def _plain_trailing(data, keys, rows):
     )
 
 
-FIRST_SLOT = -(1 << 63)
-
-
 def _sliced_trailing(data, rows, limits):
     """Blocks of consecutive rows; each also sees the last rows of the one before.
 
-    Rows are numbered by slot.  Where even one moment holds too many rows of an
-    entity, a numeric ``tie`` is cut into slots as well.
+    Rows are numbered by slot first.
     """
-    width = slot_width(data.select("key", "pos"), limits.slot_rows)
-    # Rows without a time, or within a part without a tie, come first: a slot of their own.
-    slots = data.withColumn("slot", F.coalesce(F.floor(F.col("pos") / width), F.lit(FIRST_SLOT)))
-    part = F.lit(0).cast("long")
-    if width == 1 and data.schema["tie"].dataType.typeName() in ("long", "integer", "short", "byte"):
-        tied = data.select("key", "pos", F.col("tie").cast("long").alias("tie"))
-        wide = slot_width(tied, limits.slot_rows, by=("key", "pos"), axis="tie")
-        part = F.coalesce(F.floor(F.col("tie") / wide), F.lit(FIRST_SLOT))
-    slots = slots.withColumn("part", part)
-    place = ["key", "slot", "part"]
-    sizes = slots.groupBy(*place).agg(F.count(F.lit(1)).alias("n"))
-    earlier = (
-        Window.partitionBy("key").orderBy("slot", "part").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = sizes.select(*place, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("off"))
-    inside = F.row_number().over(Window.partitionBy(*place).orderBy("pos", "tie")) - 1
+    slots = _in_slots(data, ["key", "pos", "tie"], limits)
+    sizes = slots.groupBy("key", "slot").agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("key").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("key", "slot", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("off"))
+    inside = F.row_number().over(Window.partitionBy("key", "slot").orderBy("pos", "tie")) - 1
     placed = (
-        slots.withColumn("at", inside).join(offsets, place)
+        slots.withColumn("at", inside).join(offsets, ["key", "slot"])
         .withColumn("at", F.col("at") + F.col("off"))
     )
     block = max(rows, limits.block_rows)

@@ -60,3 +60,21 @@ def test_money_has_one_rounding_rule(spark):
     values = [0.125, 2.675, 1e13 + 0.125, 1e13 + 0.375, 5e13 + 0.625, -2e14 - 0.375, 8.5e15, 3e17, 1e13 + 0.998046875]
     df = spark.createDataFrame([(v,) for v in values], "v double")
     assert [r[0] for r in df.select(money("v")).collect()] == [f"{v:.2f}" for v in values]
+
+
+def test_a_burst_and_a_quiet_time_share_slots(spark):
+    """720 hourly rows and a burst of 4000: no window is large, no entity has many slots."""
+    hours = [(float(n), f"t{n % 10}{n}", "a", 3_600_000_000 * n) for n in range(720)]
+    burst = [(float(n), f"t{n % 10}{n}", "a", 3_600_000_000 * 400 + n % 7) for n in range(1000, 5000)]
+    df = spark.createDataFrame(hours + burst, "v double, tie string, key string, at long")
+    df = df.withColumn("ts", F.timestamp_micros("at"))
+    limits = timeline.Limits(group_rows=10, slot_rows=300, block_rows=300)
+    axis = timeline.on_axis(df, "key", timeline.micros("ts"), tie=F.col("tie"))
+    slots = [r["count"] for r in timeline._in_slots(axis, ["key", "pos", "tie"], limits).groupBy("slot").count().collect()]
+    assert len(slots) <= 16 and max(slots) <= 900
+    plain = timeline.trailing_rows(df, "key", "ts", "tie", "v", 5)
+    sliced = timeline.trailing_rows(df, "key", "ts", "tie", "v", 5, limits=limits)
+    assert collected(plain) == collected(sliced)
+    found = timeline.asof_join(df, df.withColumnRenamed("v", "f"), "key", "ts", "ts", ["f"], tie="tie")
+    cut = timeline.asof_join(df, df.withColumnRenamed("v", "f"), "key", "ts", "ts", ["f"], tie="tie", limits=limits)
+    assert collected(found) == collected(cut)
