@@ -9,7 +9,7 @@ from millrace.operators import inference, joins, metrics, tables
 from millrace.plans import stand_ins, tool_calls
 from millrace.plans.catalog.registry import query, rounded, table, time_text
 from millrace.schemas import USERS
-from millrace.session import fresh_path
+from millrace.session import fresh_path, materialise
 
 ISO_SQL = "strftime({c}, '%Y-%m-%dT%H:%M:%S') || '+00:00'"
 
@@ -253,7 +253,8 @@ rules AS (
 
 
 def _calls(spark, directory):
-    return stand_ins.tool_calls(table(spark, directory, "orders"))
+    """The calls as a table: their texts are made up once, not at each use of a column."""
+    return materialise(stand_ins.tool_calls(table(spark, directory, "orders")), "calls")[0]
 
 
 @query(
@@ -313,7 +314,7 @@ decided AS (
 )
 def run_tool_calls(spark, directory):
     """Route and reply of every call."""
-    return tool_calls.run_tool_calls(_calls(spark, directory), LIMIT).replies
+    return tool_calls.reply_rows(tool_calls.decide(_calls(spark, directory), LIMIT))
 
 
 PLANNED_SQL = """
