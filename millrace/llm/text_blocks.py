@@ -28,15 +28,17 @@ class _Numbers(dict):
         return number
 
 
-def packed(codes: np.ndarray) -> bytes:
-    """Whole numbers below 2**32, compressed byte plane by byte plane."""
-    planes = np.ascontiguousarray(codes.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+def packed(codes: np.ndarray, kind="<u4") -> bytes:
+    """Whole numbers that ``kind`` can hold, compressed byte plane by byte plane."""
+    width = np.dtype(kind).itemsize
+    planes = np.ascontiguousarray(codes.astype(kind).view(np.uint8).reshape(-1, width).T)
     return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
 
 
-def unpacked(data) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(data)), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+def unpacked(data, kind="<u4") -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(data)), np.uint8).reshape(width, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
 class _Block:

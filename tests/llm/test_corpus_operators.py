@@ -14,12 +14,13 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from millrace.llm import catalog, license_scan, neighbours, packing, secret_scan, toxicity
+from millrace.llm import catalog, class_bigrams as bigrams, license_scan, neighbours, packing, secret_scan, toxicity
 from millrace.llm.byte_pairs import encode_and_decode
 from millrace.llm.class_bigrams import score_texts
 from millrace.llm.near_duplicates import Settings, near_duplicates
 from millrace.llm.page_text import main_text, page_texts
 from millrace.llm.quality import quality
+from millrace.llm.text_blocks import packed, unpacked
 from millrace.llm.words import words_of
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id string, words string, `_score` int"
@@ -179,6 +180,18 @@ def test_class_bigrams(docs, empty, texts):
         assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(tokens), sum(count[t] > 0 for t in tokens), total)
         assert r["base_score"] == pytest.approx(base) and r["score"] < 0
     assert len(rows) == docs.count() and score_texts(empty, learned).count() == 0
+    # Words of many blocks, summed up in parts, give the same model.
+    small = bigrams.Settings(block_chars=3000, least_share=1)
+    for first, second in [(small, small._replace(word_blocks=1)), (small, small._replace(word_blocks=0))]:
+        one, two = (sorted(map(repr, score_texts(docs, learned, settings=s).select(
+            "doc_id", "n_known", "train_tokens", F.round("base_score", 6), F.round("score", 6)).collect()))
+            for s in (first, second))
+        assert one == two
+
+
+def test_counts_beyond_32_bits():
+    values = np.array([0, 3, 2**32 - 1, 2**40 + 5], np.int64)
+    assert (unpacked(packed(values, bigrams.COUNTS), bigrams.COUNTS) == values).all()
 
 
 def test_nearest(spark):
