@@ -27,7 +27,7 @@ def _arriving(df, ts, name):
     """
     path = fresh_path(df.sparkSession, name)
     at = F.unix_micros(F.col(ts).cast("timestamp"))
-    first, second = df.select(at.alias("at")).approxQuantile("at", [0.33, 0.67], 0.05)
+    first, second = df.select(at.alias("at")).approxQuantile("at", [0.33, 0.67], 0.05) or (0, 0)
     step = F.when(at <= first, 0).when(at <= second, 1).otherwise(2)
 
     def arrivals():
