@@ -2,7 +2,8 @@
 
 A page is cut into blocks at block-level tags.  The first pass decides what the
 rules can: blocks in navigation, notices, comments and the like are dropped,
-and length, link density and stop-word density sort the rest.  The second pass
+and length, link density and stop-word density sort the rest.  Where articles
+hold most of the text, being inside one is a further sign.  The second pass
 gives short, undecided blocks the label of their nearest decided neighbours.
 """
 
@@ -68,32 +69,68 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
-_BETWEEN = re.compile(r"[\s_-]+")
+_BETWEEN = re.compile(r"[_-]+")
+
+
+def _values(attributes: str, *names: str) -> list[str]:
+    return [next(filter(None, v), "").lower() for name, *v in _ATTRIBUTE.findall(attributes) if name.lower() in names]
+
+
+def _hidden(attributes: str) -> bool:
+    return bool(attributes) and bool(_values(attributes, "hidden"))
 
 
 def _marked(attributes: str) -> bool:
     """Whether the names of an element call it something other than main text."""
-    for name, *values in _ATTRIBUTE.findall(attributes):
-        value = next(filter(None, values), "").lower()
-        name = name.lower()
-        if name == "hidden" or name == "role" and value in ROLES:
-            return True
-        if name in ("class", "id") and not MARKS.isdisjoint(_BETWEEN.split(value)):
+    if not attributes:
+        return False
+    for name in " ".join(_values(attributes, "class", "id")).split():
+        if not MARKS.isdisjoint(_BETWEEN.split(name)):
             return True
-    return False
+    return any(value in ROLES for value in _values(attributes, "role"))
+
+
+class Element:
+    __slots__ = ("tag", "above", "dropped", "marked", "inside")
+
+    def __init__(self, tag, above=None, dropped=False, marked=False):
+        main = tag in ("article", "main")
+        self.tag, self.above, self.dropped, self.marked = tag, above, dropped, marked
+        self.inside = main or above is not None and above.inside
 
 
 class Block:
-    __slots__ = ("parts", "linked", "dropped", "inside", "heading")
+    __slots__ = ("parts", "linked", "element", "heading")
 
-    def __init__(self, dropped, inside, heading):
+    def __init__(self, element, heading):
         self.parts, self.linked = [], 0
-        self.dropped, self.inside, self.heading = dropped, inside, heading
+        self.element, self.heading = element, heading
+
+    @property
+    def dropped(self):
+        return self.element.dropped
+
+    @property
+    def inside(self):
+        return self.element.inside
+
+    @property
+    def listing(self):
+        return "pre" in (self.element.tag, self.element.above and self.element.above.tag)
+
+
+def _settle_marks(elements: list[Element], blocks: list[tuple[str, Block]]) -> None:
+    """Drop what is below a marked element, <main> excepted."""
+    for element in elements[1:]:
+        if element.marked and element.tag != "main":
+            element.dropped = True
+        element.dropped = element.dropped or element.above.dropped
 
 
 def blocks_of(page: str) -> list[tuple[str, Block]]:
     """The non-empty blocks of a page with their text, in page order."""
-    stack: list[tuple[str, bool, bool]] = [("", False, False)]  # tag, dropped, inside the article
+    stack = [Element("")]
+    elements = stack[:]
     links, done, block = 0, [], None
 
     def closed():
@@ -108,7 +145,7 @@ def blocks_of(page: str) -> list[tuple[str, Block]]:
         text, tag = token["text"], token["tag"]
         if text:
             if block is None:
-                block = Block(stack[-1][1], stack[-1][2], any(t in HEADINGS for t, _, _ in stack[-3:]))
+                block = Block(stack[-1], any(e.tag in HEADINGS for e in stack[-3:]))
             decoded = html.unescape(text)
             block.parts.append(decoded)
             if links:
@@ -124,9 +161,10 @@ def blocks_of(page: str) -> list[tuple[str, Block]]:
             if tag in BLOCKS:
                 closed()
             if token["end"]:
-                depth = next((d for d in range(len(stack) - 1, 0, -1) if stack[d][0] == tag), 0)
+                depth = next((d for d in range(len(stack) - 1, 0, -1) if stack[d].tag == tag), 0)
                 if depth:
-                    closed()
+                    if any(e.tag in BLOCKS or e.marked or e.dropped != e.above.dropped for e in stack[depth:]):
+                        closed()
                     del stack[depth:]
                 continue
             if tag in VOID or token["attrs"].endswith("/"):
@@ -134,72 +172,92 @@ def blocks_of(page: str) -> list[tuple[str, Block]]:
             if tag in ("body", "article", "main", "nav", "footer", "section", "div"):
                 links = 0
             if tag in PARAGRAPH_ENDERS:
-                depth = next((d for d in range(len(stack) - 1, 0, -1) if stack[d][0] in BLOCKS), 0)
-                if depth and (stack[depth][0] == "p" or stack[depth][0] == tag in ("li", "dt", "dd", "tr", "td", "th", "option")):
+                depth = next((d for d in range(len(stack) - 1, 0, -1) if stack[d].tag in BLOCKS), 0)
+                if depth and (stack[depth].tag == "p" or stack[depth].tag == tag in ("li", "dt", "dd", "tr", "td", "th", "option")):
                     del stack[depth:]
             if tag == "body":
                 del stack[1:]
-            _, dropped, inside = stack[-1]
-            main = tag in ("article", "main")
+            above, out, marked = stack[-1], False, False
             if tag not in ("html", "body"):
-                header = tag == "header" and not inside
-                out = not dropped and (tag in DROPPED or header or not main and _marked(token["attrs"]))
-                if out and tag not in BLOCKS:
+                out = tag in DROPPED or tag == "header" and not above.inside or _hidden(token["attrs"])
+                marked = not out and _marked(token["attrs"])
+                if (out or marked) and tag not in BLOCKS:
                     closed()
-                dropped = dropped or out
-            stack.append((tag, dropped, inside or main))
+            stack.append(Element(tag, above, above.dropped or out, marked))
+            elements.append(stack[-1])
     closed()
+    _settle_marks(elements, done)
     return done
 
 
-def _first_pass(text: str, block: Block, contained: bool, rules: Rules):
-    """True, False, or None for undecided; ``contained``: the page marks its article."""
-    if block.dropped or contained and not block.inside:
+def _first_pass(text: str, block: Block, contained: bool, prose: bool, rules: Rules):
+    """True, False, or None for undecided.
+
+    ``contained``: most of the text is in articles, so that being inside one
+    counts; ``prose``: the lists of stop words know the language of the page.
+    """
+    if block.dropped:
         return False
     length = max(1, len(text))
+    inside, outside = contained and block.inside, contained and not block.inside
     if block.linked > rules.most_links * length:
-        return None if contained and length < rules.short else False
-    if contained:
-        return True
-    if "©" in text:
+        return None if inside and length < rules.short else False
+    if "©" in text and not (inside and length >= rules.long):
         return False
-    if block.heading or length < rules.short:
+    if block.heading:
         return None
-    words = _WORD.findall(text.lower())
-    density = sum(w in STOP_WORDS for w in words) / max(1, len(words))
+    if length < rules.short:
+        return False if outside else None
+    density = _stop_words(text)
+    if outside:
+        return density >= rules.many_stop_words and length >= rules.long
+    if inside:
+        unlike = prose and length >= rules.long and density < rules.few_stop_words / 2 and not block.listing
+        return True if density >= rules.few_stop_words else False if unlike else None
     if density >= rules.many_stop_words:
         return True if length >= rules.long else None
-    if density >= rules.few_stop_words:
-        return None
-    return False
+    return None if density >= rules.few_stop_words else False
+
+
+def _stop_words(text: str) -> float:
+    words = _WORD.findall(text.lower())
+    return sum(w in STOP_WORDS for w in words) / max(1, len(words))
 
 
 def main_text(page, rules=Rules()) -> str:
     """The blocks of the main text, joined by line ends; empty for an empty page."""
     found = blocks_of(page) if page else []
-    contained = any(b.inside and not b.dropped for _, b in found)
-    labels = [_first_pass(t, b, contained, rules) for t, b in found]
-    decided = [at for at, label in enumerate(labels) if label is not None]
-    open_blocks = [at for at, (_, b) in enumerate(found) if not b.dropped]
+    there = [(len(t), b.inside) for t, b in found if not b.dropped]
+    contained = 2 * sum(n for n, inside in there if inside) > sum(n for n, _ in there)
+    prose = not contained or _stop_words(" ".join(t for t, b in found if b.inside and not b.dropped)) >= rules.few_stop_words
+    labels = [_first_pass(t, b, contained, prose, rules) for t, b in found]
+    if contained:  # blocks of an article go by their neighbours in it, not by what surrounds it
+        within = [at for at, (_, b) in enumerate(found) if b.inside and not b.dropped]
+        for at, label in zip(within, _second_pass([labels[at] for at in within], [True] * len(within))):
+            labels[at] = label
+    labels = _second_pass(labels, [not b.dropped for _, b in found])
+    return "\n".join(text for (text, _), label in zip(found, labels) if label)
+
+
+def _second_pass(labels: list, open_blocks: list[bool]) -> list[bool]:
+    """The labels, undecided ones as their nearest decided neighbours."""
+    if not any(labels):  # nothing is certain: what is not ruled out stays
+        return [label is None and is_open for label, is_open in zip(labels, open_blocks)]
     after = [None] * len(labels)
     coming = None
     for at in range(len(labels) - 1, -1, -1):
         coming = at if labels[at] is not None else coming
         after[at] = coming
     out, before = [], None
-    for at, (text, _) in enumerate(found):
-        label = labels[at]
+    for at, label in enumerate(labels):
         if label is not None:
             before = at
-        elif not any(labels[d] for d in decided):
-            label = at in open_blocks  # nothing is certain: what is not ruled out stays
         else:
             near = [d for d in (before, after[at]) if d is not None]
             least = min(abs(at - d) for d in near)
             label = any(labels[d] for d in near if abs(at - d) == least)
-        if label:
-            out.append(text)
-    return "\n".join(out)
+        out.append(label)
+    return out
 
 
 def page_texts(pages: DataFrame, html_col="html", name="text", rules=Rules()) -> DataFrame:

@@ -265,6 +265,19 @@ def test_page_text(spark):
     assert {r["page_id"]: r["text"] for r in page_texts(df).collect()} == {1: "Head & more\nFirst line.\nShort.", 2: ""}
 
 
+def test_page_text_rules_run_beside_and_inside_articles():
+    long = "The cat and the dog went to the house of the man in the wood, and they sat there for the day. " * 3
+    advert = "Super Angebot Rabatt Aktion Turbo Preis Knaller Mega Sale Outlet Shop Gutschein " * 4
+    beside = f"<div><p>{long}</p><p>{long}</p></div><article><p>{long[:90]}</p></article>"
+    assert main_text(beside).startswith(f"{long.strip()}\n{long.strip()}")
+    inside = f"<article><h1>Head</h1><p>{long}</p><p>{advert}</p><p>{long}</p><p>© 2020 The Press</p></article>"
+    assert main_text(inside) == f"Head\n{long.strip()}\n{long.strip()}"
+    assert main_text(f'<article><p>{long}</p></article><article class="comment"><p>{long[:90]}</p></article>') == long.strip()
+    assert main_text(f"<h1>Title</h1><article><p>The <b>cat</b> sat <i>there</i>. {long}</p></article>") == f"Title\nThe cat sat there. {long.strip()}"
+    foreign = "кошка и собака пошли домой к человеку в лесу " * 10
+    assert main_text(f"<article><p>{foreign}</p></article>") == foreign.strip()
+
+
 def test_pipeline_stages(spark, docs, empty, tmp_path):
     spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     for name, stage in corpus_pipeline.STAGES[:-1]:
