@@ -56,6 +56,11 @@ MARKS = frozenset(
     "pager comment comments reply replies respond disqus discussion footer masthead widget widgets toolbar login "
     "signup search copyright legal disclaimer skip".split()
 )
+# What a name made of several words may add to a mark.
+PLACES = frozenset(
+    "site page main top bottom left right primary secondary inner outer global post posts article box bar block list "
+    "item items link links section area container wrapper wrap slot unit form buttons icons text message content".split()
+)
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 
@@ -81,22 +86,31 @@ def _hidden(attributes: str) -> bool:
 
 
 def _marked(attributes: str) -> bool:
-    """Whether the names of an element call it something other than main text."""
+    """Whether the names of an element call it something other than main text.
+
+    A name counts as a whole: ``site-footer`` and ``cookie-banner`` are marks,
+    ``no-sidebar`` and ``search-result`` are not.
+    """
     if not attributes:
         return False
     for name in " ".join(_values(attributes, "class", "id")).split():
-        if not MARKS.isdisjoint(_BETWEEN.split(name)):
+        parts = set(filter(None, _BETWEEN.split(name)))
+        if not MARKS.isdisjoint(parts) and parts <= MARKS | PLACES:
             return True
     return any(value in ROLES for value in _values(attributes, "role"))
 
 
 class Element:
-    __slots__ = ("tag", "above", "dropped", "marked", "inside")
+    """``text``: characters outside links, ``article``: those of them in an unmarked article."""
+
+    __slots__ = ("tag", "above", "dropped", "marked", "inside", "own", "core", "text", "article")
 
     def __init__(self, tag, above=None, dropped=False, marked=False):
         main = tag in ("article", "main")
         self.tag, self.above, self.dropped, self.marked = tag, above, dropped, marked
         self.inside = main or above is not None and above.inside
+        self.own = not marked and (main or above is not None and above.own)
+        self.core, self.text, self.article = tag == "main", 0, 0
 
 
 class Block:
@@ -120,10 +134,22 @@ class Block:
 
 
 def _settle_marks(elements: list[Element], blocks: list[tuple[str, Block]]) -> None:
-    """Drop what is below a marked element, <main> excepted."""
+    """Drop what is below a marked element, unless that holds the main text by its tags or its size."""
+    for text, block in blocks:
+        if not block.dropped:
+            unlinked = max(0, len(text) - block.linked)
+            block.element.text += unlinked
+            block.element.article += unlinked if block.element.own else 0
+    for element in reversed(elements[1:]):
+        above = element.above
+        above.text += element.text
+        above.article += element.article
+        above.core = above.core or not element.dropped and (element.core or element.tag == "h1" and element.text > 0)
+    page = elements[0]
     for element in elements[1:]:
-        if element.marked and element.tag != "main":
-            element.dropped = True
+        if element.marked and not element.core:
+            elsewhere = page.article - element.article
+            element.dropped = element.dropped or 2 * element.text <= page.text or 10 * elsewhere >= page.text
         element.dropped = element.dropped or element.above.dropped
 
 

@@ -278,6 +278,15 @@ def test_page_text_rules_run_beside_and_inside_articles():
     assert main_text(f"<article><p>{foreign}</p></article>") == foreign.strip()
 
 
+@pytest.mark.parametrize("name", ["layout no-sidebar", "has-sidebar", "with-comments", "page search-result", "page search", "notice"])
+def test_page_text_wrappers_named_like_marks(name):
+    long = "The cat and the dog went to the house of the man in the wood, and they sat there for the day. " * 3
+    assert main_text(f'<div class="{name}"><article><h1>Head</h1><p>{long}</p></article></div>') == f"Head\n{long.strip()}"
+    assert main_text(f'<div class="{name}"><p>{long}</p><div class="cookie-banner"><p>{long}</p></div></div>') == long.strip()
+    commented = f'<article><p>{long}</p></article><div class="comments"><article><p>{long * 3}</p></article></div>'
+    assert main_text(commented) == long.strip()
+
+
 def test_pipeline_stages(spark, docs, empty, tmp_path):
     spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     for name, stage in corpus_pipeline.STAGES[:-1]:
