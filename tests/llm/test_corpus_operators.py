@@ -189,6 +189,28 @@ def test_class_bigrams(docs, empty, texts):
         assert one == two
 
 
+def test_class_bigrams_do_not_depend_on_blocks(spark):
+    draw = random.Random(7)
+    words = ["".join(draw.choice("abcdefghijk") for _ in range(3)) for _ in range(400)]
+    # Words of four kinds, mostly in turn, so that classes matter.
+    some = lambda n: [words[4 * int(100 * draw.random() ** 3) + (at + (draw.random() < 0.3)) % 4] for at in range(n)]
+    rows = [(n, " ".join(some(80)), *[None] * 6) for n in range(120)]
+    df = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    few = bigrams.Settings(classes=4, frequent=20, least_share=10**9)
+    got = [
+        {r["doc_id"]: r["score"] for r in score_texts(df, F.lit(True), settings=few._replace(block_chars=n)).collect()}
+        for n in (1, 8_000_000)
+    ]
+    assert all(got[0][n] == pytest.approx(got[1][n], abs=1e-6) for n in range(120))
+
+
+def test_cells_of_large_counts():
+    cells, counts = np.array([3, 0, 3, 7]), np.array([1, 10, 3, 4])
+    codes, times = bigrams._cells_of(cells, counts, 8, limit=3)
+    packs = [p.tobytes() for p in np.split(codes, np.cumsum(times)[:-1])]
+    assert bigrams._summed_cells(packs, np.array([0, 0, 1, 1]), 2, 8).tolist() == [[10, 0, 0, 1, 0, 0, 0, 0], [0, 0, 0, 3, 0, 0, 0, 4]]
+
+
 def test_counts_beyond_32_bits():
     values = np.array([0, 3, 2**32 - 1, 2**40 + 5], np.int64)
     assert (unpacked(packed(values, bigrams.COUNTS), bigrams.COUNTS) == values).all()
