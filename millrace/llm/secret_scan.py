@@ -1,13 +1,15 @@
 """Secrets in texts: three fixed patterns, and strings that look random.
 
-A string without white space that mixes letters and digits is tested under the
-encoding it seems to have (hexadecimal, base 32 or base 64): a chi-squared test
+A string without white space that mixes letters and digits, or small letters and
+capitals, is tested under the encoding it seems to have (hexadecimal, base 32 or
+base 64; without digits base 64): a chi-squared test
 that all characters of the alphabet are equally frequent, a runs test on the
 class of the characters, and a test of serial correlation.  The sum of the
-squared deviations is small for random strings.  Control strings are letters of
-the same texts with everything else taken out; how often those reach a sum as
-small, among controls of about the same length, is the p-value of a string, and
-the Benjamini-Hochberg rule bounds the false discoveries over all strings and
+squared deviations is small for random strings.  Control strings are all letters
+of the same texts with everything else taken out, in lower case and cut into
+pieces; how often those reach a sum as small, among controls of about the same
+length, is the p-value of a string, and 0 where no lower-case string can, which
+the runs test tells whatever the number of controls.  The Benjamini-Hochberg rule bounds the false discoveries over all strings and
 lengths.  Only DataFrame functions are used.
 """
 
@@ -45,6 +47,8 @@ LENGTHS = (16, 24, 32, 48, 64)
 HEX = "0123456789abcdef"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+DIGITS, SMALL = "0123456789", "abcdefghijklmnopqrstuvwxyz"
+NOT_SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ" + DIGITS + "+/"
 
 
 class Settings(NamedTuple):
@@ -87,15 +91,15 @@ def _plain_spans(text: Column, name: str) -> Column:
     return F.when(text.rlike(HINTS[name]), found).otherwise(_none(_SPANS))
 
 
-def _deviation(x: Column, alphabet: str, first_class: str) -> Column:
+def _deviation(x: Column, alphabet: str, first_class: str, only: str = "") -> Column:
     """Sum of squared deviations of the three tests from what is expected at random.
 
     ``first_class`` is a character class; runs are of characters inside and
-    outside it.
+    outside it.  ``only``: all that can occur in ``x``, none of it in the class.
     """
     size, n = len(alphabet), F.length(x).cast("double")
     inside = sum(1 for c in alphabet if c in first_class) / size
-    letters = F.array(*(F.lit(c) for c in alphabet))
+    letters = F.array(*(F.lit(c) for c in only or alphabet))
     squares = F.aggregate(
         letters, F.lit(0.0), lambda total, c: total + F.pow(F.length(x) - F.length(F.replace(x, c, F.lit(""))), F.lit(2.0))
     )
@@ -103,7 +107,7 @@ def _deviation(x: Column, alphabet: str, first_class: str) -> Column:
     ratio = (squares * size / n - n) / (size - 1)
     uneven = (F.pow(F.greatest(ratio, F.lit(0.0)), F.lit(1 / 3)) - (1 - spread)) / spread**0.5
     marked = F.translate(F.translate(x, first_class, "\x01" * len(first_class)), alphabet, "\x02" * size)
-    runs = F.length(F.regexp_replace(marked, "\x01+|\x02+", "x")).cast("double")
+    runs = F.lit(1.0) if only else F.length(F.regexp_replace(marked, "\x01+|\x02+", "x")).cast("double")
     pq = inside * (1 - inside)
     runs_off = (runs - 1 - 2 * pq * (n - 1)) / F.sqrt(2 * pq * (2 * n - 3 - 2 * pq * (3 * n - 5)))
     values = F.transform(F.split(x, "", -1), lambda c: F.instr(F.lit(alphabet), c) - (size + 1) / 2)
@@ -116,17 +120,33 @@ def _deviation(x: Column, alphabet: str, first_class: str) -> Column:
 def deviation(string: Column) -> Column:
     """The sum for the encoding a string seems to have, in tenths, 1000 at most."""
     bare = F.regexp_replace(F.translate(string, "-_", "+/"), "=+", "")
-    digits, capitals = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     found = (
-        F.when(string.rlike(r"^[0-9a-f]+$"), _deviation(string, HEX, digits))
-        .when(string.rlike(r"^[0-9A-F]+$"), _deviation(F.lower(string), HEX, digits))
+        F.when(string.rlike(r"^[0-9a-f]+$"), _deviation(string, HEX, DIGITS))
+        .when(string.rlike(r"^[0-9A-F]+$"), _deviation(F.lower(string), HEX, DIGITS))
         .when(string.rlike(r"^[A-Z2-7]+=*$"), _deviation(bare, BASE32, "234567"))
-        .when(F.length(bare) >= LENGTHS[0], _deviation(bare, BASE64, capitals + digits + "+/"))
+        .when(F.length(bare) >= LENGTHS[0], _deviation(bare, BASE64, NOT_SMALL))
         .otherwise(F.lit(100.0))
     )
+    return _tenths(found)
+
+
+def _tenths(found: Column) -> Column:
     return F.floor(10 * F.least(F.coalesce(found, F.lit(100.0)), F.lit(100.0))).cast("int")
 
 
+def _control_deviation(letters: Column) -> Column:
+    """``deviation`` of a string of small letters."""
+    base64 = _deviation(letters, BASE64, NOT_SMALL, only=SMALL)
+    return _tenths(F.when(letters.rlike("^[a-f]+$"), _deviation(letters, HEX, DIGITS)).otherwise(base64))
+
+
+def least_of_letters(length: int) -> int:
+    """What the runs test alone gives a base 64 string without digits and capitals, in tenths."""
+    inside = len(NOT_SMALL) / len(BASE64)
+    pq = inside * (1 - inside)
+    return int(10 * (2 * pq * (length - 1)) ** 2 / (2 * pq * (2 * length - 3 - 2 * pq * (3 * length - 5))))
+
+
 def _length_class(length: Column) -> Column:
     """The largest of LENGTHS that is not above a length of at least the first."""
     out = F.lit(LENGTHS[0])
@@ -140,10 +160,13 @@ _CONTROLS = "array<struct<class:int,deviation:int>>"
 
 
 def _strings(text: Column) -> Column:
-    """Spans of the strings that mix letters and digits, with their test result."""
+    """Spans of the strings that mix two kinds of characters, with their test result.
+
+    Letters of one case alone are not told from words by the tests.
+    """
     spans = _matches(text, Pattern(STRING, 0, LENGTHS[0]), KINDS.index("random"))
     cut = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), text.substr(s["start"] + 1, s["end"] - s["start"]).alias("string")))
-    mixed = F.filter(cut, lambda s: s["string"].rlike("[0-9]") & s["string"].rlike("[A-Za-z]"))
+    mixed = F.filter(cut, lambda s: s["string"].rlike("[0-9].*[A-Za-z]|[A-Za-z].*[0-9]|[a-z].*[A-Z]|[A-Z].*[a-z]"))
     tested = F.transform(
         mixed,
         lambda s: F.struct(
@@ -154,14 +177,19 @@ def _strings(text: Column) -> Column:
         ),
     )
     hint = r"[A-Za-z0-9+/_=-]{15}"
-    return F.when(text.rlike(hint) & text.rlike("[0-9]"), tested.cast(_STRINGS)).otherwise(_none(_STRINGS))
+    return F.when(text.rlike(hint), tested.cast(_STRINGS)).otherwise(_none(_STRINGS))
 
 
-def _controls(text: Column) -> Column:
-    """One control per length, from one line of the text chosen by its hash."""
-    lines = F.split(text, "\n", -1)
-    line = F.element_at(lines, (F.pmod(F.xxhash64(text), F.size(lines)) + 1).cast("int"))
-    return F.regexp_replace(F.lower(line), "[^a-z]", "")
+def _controls(letters: Column) -> Column:
+    """Pieces of the letters of a text: one of each length from the start, then
+    all that follows the longest, cut into the lengths in turn."""
+    piece = lambda own, at, n: F.struct(F.lit(n).alias("class"), own.substr(at + 1, n).alias("letters"))
+    first = F.array(*(piece(letters, 0, n) for n in LENGTHS))
+    rest = F.substr(letters, F.lit(LENGTHS[-1] + 1))
+    turns = F.regexp_extract_all(rest, F.lit(f".{{1,{sum(LENGTHS)}}}"), F.lit(0))
+    cut = F.transform(turns, lambda own: F.array(*(piece(own, sum(LENGTHS[:at]), n) for at, n in enumerate(LENGTHS))))
+    whole = F.filter(F.concat(first, F.flatten(cut)), lambda p: F.length(p["letters"]) == p["class"])
+    return F.transform(whole, lambda p: F.struct(p["class"].alias("class"), _control_deviation(p["letters"]).alias("deviation")))
 
 
 def with_spans(df: DataFrame, text: Column, into: str) -> DataFrame:
@@ -170,22 +198,13 @@ def with_spans(df: DataFrame, text: Column, into: str) -> DataFrame:
     plain, control = unused_name(df, f"_{into}_text"), unused_name(df, f"_{into}_control")
     df = df.withColumn(plain, F.coalesce(text, F.lit("")))
     own = F.col(plain)
-    df = df.withColumn(control, _controls(own))
-    controls = F.array(
-        *(
-            F.when(
-                F.length(control) >= n,
-                F.struct(F.lit(n).alias("class"), deviation(F.col(control).substr(1, n)).alias("deviation")),
-            )
-            for n in LENGTHS
-        )
-    )
+    df = df.withColumn(control, F.regexp_replace(F.lower(own), "[^a-z]", ""))
     base = F.sort_array(F.concat(*(_plain_spans(own, name) for name in PATTERNS)))
     return df.withColumns(
         {
             f"{into}_base": base,
             f"{into}_strings": _strings(own),
-            f"{into}_controls": F.array_compact(controls).cast(_CONTROLS),
+            f"{into}_controls": _controls(F.col(control)).cast(_CONTROLS),
         }
     ).drop(plain, control)
 
@@ -203,7 +222,11 @@ def limits(measured: DataFrame, into: str, settings=Settings()) -> dict[int, int
     cells = strings.join(controls, ["class", "deviation"], "full").fillna(0, ["found", "controls"])
     of_class = Window.partitionBy("class")
     cells = cells.withColumn("upto", F.sum("controls").over(of_class.orderBy("deviation")))
-    cells = cells.withColumn("p", (1 + F.col("upto")) / (1 + F.sum("controls").over(of_class)))
+    never = F.lit(False)
+    for length in LENGTHS:
+        never = never | (F.col("class") == length) & (F.col("deviation") < least_of_letters(length))
+    share = (1 + F.col("upto")) / (1 + F.sum("controls").over(of_class))
+    cells = cells.withColumn("p", F.when(never & (F.col("upto") == 0), 0.0).otherwise(share))
     cells = cells.withColumns(
         {
             "rank": F.sum("found").over(Window.partitionBy().orderBy("p").rangeBetween(Window.unboundedPreceding, 0)),

@@ -165,6 +165,20 @@ def test_secrets(spark, docs, empty, texts):
     assert [tuple(s) for s in found[900]["spans"]] == [(4, 3, 4 + len(random_string))]
 
 
+def test_random_strings_of_few_documents_and_short_lines(spark):
+    key, letters_only, word = "aZ3kQ9xLm2Pv7Rt5Yw8Bn4Hs6Jd1Fg0C", "qZXKwvbTjRMYpldG", "Responsibilities"
+    rows = [(1, f"a = {key}\nb = 1\n", *[None] * 6), (2, f"see {letters_only} and {word} internationalisation", *[None] * 6)]
+    found = by_id(secret_scan.secrets(spark.createDataFrame(rows, SCHEMA)))
+    assert [tuple(s) for s in found[1]["spans"]] == [(4, 3, 4 + len(key))]
+    assert [tuple(s) for s in found[2]["spans"]] == [(4, 3, 4 + len(letters_only))]
+    text = "The first line.\n" + "ab cd\n" * 100
+    own = secret_scan.with_spans(spark.createDataFrame([(text,)], "text string"), F.col("text"), "s").first()["s_controls"]
+    letters = re.sub("[^a-z]", "", text.lower())
+    count = Counter(c["class"] for c in own)
+    whole, left = divmod(len(letters) - 64, 184)
+    assert count == {n: 1 + whole + (left >= end) for n, end in zip(secret_scan.LENGTHS, (16, 40, 72, 120, 184))}
+
+
 def test_class_bigrams(docs, empty, texts):
     learned = F.coalesce(F.col("doc_id") % 4 != 0, F.lit(False))
     rows = score_texts(docs, learned).collect()
