@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.byte_pairs import encode_and_decode
 from millrace.llm.class_bigrams import score_texts
+from millrace.llm.embedding_duplicates import near_vectors
 from millrace.llm.frames import held_out, load
 from millrace.llm.license_scan import licenses
 from millrace.llm.near_duplicates import near_duplicates
@@ -127,6 +128,27 @@ FROM based JOIN verdicts USING (k)
 """
 
 
+NEAR_VECTORS_SQL = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), linked AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+  ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9
+), degrees AS (
+  SELECT a, count(*) AS n FROM linked GROUP BY a
+), reach AS (
+  SELECT vec_id, vec_id AS other FROM embeddings
+  UNION SELECT reach.vec_id, linked.b FROM reach JOIN linked ON reach.other = linked.a
+)
+SELECT reach.vec_id, coalesce(any_value(n), 0)::BIGINT AS n_links, min(other) AS component_id,
+  reach.vec_id = min(other) AS kept
+FROM reach LEFT JOIN degrees ON reach.vec_id = degrees.a GROUP BY reach.vec_id
+"""
+
+
 @query("op10_near_duplicates", NEAR_DUPLICATES_SQL)
 def op10(spark, sf_dir):
     """Near-duplicate groups of all documents."""
@@ -205,3 +227,9 @@ def op9(spark, sf_dir):
 def op8(spark, sf_dir):
     """All documents packed into sequences of at most 2048 tokens."""
     return pack_documents(load(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op11_embedding_duplicates", NEAR_VECTORS_SQL)
+def op11(spark, sf_dir):
+    """Links and groups of all embeddings with a cosine of at least 0.9."""
+    return near_vectors(load(spark, sf_dir, "embeddings"))
