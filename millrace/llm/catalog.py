@@ -12,6 +12,8 @@ from millrace.llm.near_duplicates import near_duplicates
 from millrace.llm.neighbours import nearest
 from millrace.llm.packing import pack_documents
 from millrace.llm.page_text import page_texts
+from millrace.llm.periodic_runs import periodic_runs
+from millrace.llm.phrases import collocations
 from millrace.llm.quality import quality
 from millrace.llm.secret_scan import KINDS, PATTERNS, secrets, written_out
 from millrace.llm.toxicity import toxicity
@@ -149,6 +151,94 @@ FROM reach LEFT JOIN degrees ON reach.vec_id = degrees.a GROUP BY reach.vec_id
 """
 
 
+PERIODIC_RUNS_SQL = r"""
+WITH digits AS (
+  SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT) AS d FROM documents
+), hashed AS (
+  SELECT k, doc_id, w, len(w) AS n, xor(4294967295, list_reduce(
+    list_concat([4294967295], d), lambda c, x: list_reduce(
+      list_concat([xor(c, x)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+      lambda v, z: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END))) AS h FROM digits
+), cut AS (
+  SELECT *, CASE WHEN n > 0 THEN (h // 10) % n ELSE 0 END AS a FROM hashed
+), dealt AS (
+  SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM cut
+), texts AS (
+  SELECT k, doc_id, CASE WHEN h % 10 = 0 AND n > 0
+    THEN list_transform(range(n), lambda i: w[1 + CASE WHEN i >= a THEN a + (i - a) % p ELSE i END]) ELSE w END AS w
+  FROM dealt
+), words AS (
+  SELECT k, len(w) AS n, unnest(w) AS x, generate_subscripts(w, 1) - 1 AS i FROM texts
+), agreeing AS (
+  SELECT a.k, a.i, b.i - a.i AS q FROM words a JOIN words b ON a.k = b.k AND a.x = b.x AND a.i < b.i
+  WHERE 2 * (b.i - a.i) <= a.n
+), stretches AS (
+  SELECT k, q, i, i - row_number() OVER (PARTITION BY k, q ORDER BY i) AS stretch FROM agreeing
+), repeats AS (
+  SELECT k, q, min(i) AS s, count(*) + q AS l FROM stretches GROUP BY k, q, stretch
+  HAVING count(*) + q >= greatest(12, 2 * q)
+), runs AS (
+  SELECT k, s, l, min(q) AS q FROM repeats GROUP BY k, s, l
+), best AS (
+  SELECT k, count(*) AS n_runs, first(s ORDER BY l DESC, s, q) AS start, first(l ORDER BY l DESC, s, q) AS length,
+    first(q ORDER BY l DESC, s, q) AS period,
+    string_agg(s::VARCHAR || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS listed
+  FROM runs GROUP BY k
+), dropped AS (
+  SELECT DISTINCT k, unnest(range(s + q, s + l)) AS i FROM runs
+), kept AS (
+  SELECT k, string_agg(x, ' ' ORDER BY i) AS t FROM words ANTI JOIN dropped USING (k, i) GROUP BY k
+)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start::BIGINT AS start, length::BIGINT AS length,
+  period::BIGINT AS period, (1000 * length // period)::BIGINT AS exponent_milli,
+  sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(t, '')) AS collapsed_sha256
+FROM texts LEFT JOIN best USING (k) LEFT JOIN kept USING (k)
+"""
+
+
+COLLOCATIONS_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), words AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), phrases AS (
+  SELECT lang, unnest(flatten(list_transform([1, 2, 3], lambda k: list_transform(
+    range(1, len(w) - k + 2), lambda i: {'size': k, 'phrase': array_to_string(w[i:i + k - 1], ' ')})))) AS p FROM words
+), counted AS (
+  SELECT lang, p.size AS size, p.phrase AS phrase, count(*) AS f FROM phrases GROUP BY ALL
+), totals AS (
+  SELECT lang, sum(f)::BIGINT AS n FROM counted WHERE size = 1 GROUP BY lang
+), candidates AS (
+  SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM counted WHERE size > 1 AND f >= 10
+), cuts AS (
+  SELECT *, unnest(range(1, size)) AS k FROM candidates
+), parts AS (
+  SELECT *, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS tail FROM cuts
+), scored AS (
+  SELECT parts.lang, parts.size, parts.phrase, a, k, h.f AS l, t.f AS r,
+    (1000000::HUGEINT * a * a // (h.f::HUGEINT * t.f))::BIGINT AS score
+  FROM parts JOIN counted h ON h.lang = parts.lang AND h.size = k AND h.phrase = head
+  JOIN counted t ON t.lang = parts.lang AND t.size = parts.size - k AND t.phrase = tail
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), longer AS (
+  SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase, a
+  FROM candidates WHERE size = 3
+), covered AS (
+  SELECT lang, phrase, max(a) AS most FROM longer GROUP BY lang, phrase
+), kept AS (
+  SELECT lowest.*, n FROM lowest JOIN totals USING (lang)
+  LEFT JOIN covered ON covered.lang = lowest.lang AND covered.phrase = lowest.phrase AND size = 2
+  WHERE most IS NULL OR 100 * most < 50 * a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept QUALIFY rank <= 2000
+"""
+
+
 @query("op10_near_duplicates", NEAR_DUPLICATES_SQL)
 def op10(spark, sf_dir):
     """Near-duplicate groups of all documents."""
@@ -233,3 +323,54 @@ def op8(spark, sf_dir):
 def op11(spark, sf_dir):
     """Links and groups of all embeddings with a cosine of at least 0.9."""
     return near_vectors(load(spark, sf_dir, "embeddings"))
+
+
+def with_repeated_tails(docs, id_col="doc_id", text_col="text"):
+    """Texts in one of ten of which the words from a place on repeat with a period.
+
+    With h the CRC-32 of the id as text and g = h / 10, texts with h % 10 = 0
+    repeat from word g % n on with the period 1 + (n - a) / (3 + g % 8).
+    """
+    h = F.crc32(F.col(id_col).cast("string").cast("binary"))
+    words = F.regexp_extract_all(F.col(text_col), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+
+    def repeated(given):
+        words, g = given["words"], given["g"]
+        n = F.size(words)
+        start = (g % n).cast("int")
+        period = (F.lit(1) + F.floor((n - start) / (F.lit(3) + g % 8))).cast("int")
+        times = F.ceil((n - start) / period).cast("int")
+        tail = F.slice(F.flatten(F.array_repeat(F.slice(words, start + 1, period), times)), 1, n - start)
+        return F.array_join(F.concat(F.slice(words, 1, start), tail), " ")
+
+    # Binding the words to a name keeps them from being split off again for every use.
+    bound = F.array(F.struct(words.alias("words"), F.floor(h / 10).alias("g")))
+    changed = F.transform(F.filter(bound, lambda b: F.size(b["words"]) > 0), repeated)[0]
+    return docs.withColumn(text_col, F.when(h % 10 == 0, F.coalesce(changed, text_col)).otherwise(F.col(text_col)))
+
+
+@query("op12_periodic_runs", PERIODIC_RUNS_SQL)
+def op12(spark, sf_dir):
+    """Periodic runs of all documents, and the texts without their repeats, as digests."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic_runs(with_repeated_tails(docs))
+    longest = F.array_max(
+        F.transform("runs", lambda r: F.struct(r["length"], (-r["start"]).alias("start"), (-r["period"]).alias("period")))
+    )
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-longest["start"]).alias("start"),
+        longest["length"].alias("length"),
+        (-longest["period"]).alias("period"),
+        F.expr("1000 * length div period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+@query("op13_collocations", COLLOCATIONS_SQL)
+def op13(spark, sf_dir):
+    """The 2000 strongest phrases of each lang in all documents."""
+    return collocations(load(spark, sf_dir, "documents"))
