@@ -2,8 +2,8 @@
 
 Words are counted first.  A phrase can be frequent only if all its parts are
 (Apriori): adjacent pairs are hashed into counted buckets, and only a pair in a
-frequent bucket, of two frequent words, is a candidate; a triple is one if both
-its pairs are frequent.  Candidates are dealt to shards of bounded size, each of
+frequent bucket, of two frequent words, is a candidate; triples of which both
+pairs are frequent are hashed and picked likewise.  Candidates are dealt to shards of bounded size, each of
 which becomes a double-array trie.  Tries are broadcast, as many at a time as a
 fixed bound allows; tasks run all positions of their text through them at once
 and count the accepting states; Spark sums these counts.
@@ -13,11 +13,13 @@ one language a block.  No list that grows with the corpus is broadcast: buckets
 are a fixed number of bits, and tries beyond the bound take further passes.
 """
 
+from collections import defaultdict
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
@@ -31,6 +33,10 @@ from millrace.session import materialise
 PIECES = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", b",,,,,,,,,,")
 MARK = b","
 SLICE_BITS = 18
+OUT_ROWS = 50_000
+#: Phrases in an array of counts, and tasks whose arrays are summed first.
+SUM_SLICE = 1 << 16
+TOGETHER = 64
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -39,7 +45,8 @@ class Settings(NamedTuple):
     phrases by score are given, all without it.  A pair that makes up
     ``percent`` of a longer phrase's count or less is dropped with it.
 
-    ``block_words`` bounds a block of text, ``bits`` the buckets of pairs,
+    ``block_words`` bounds a block of text and ``open_words`` all blocks that a
+    task fills at a time, ``bits`` the buckets of pairs and of triples,
     ``shard_phrases`` a trie, ``pass_phrases`` the tries broadcast at a time and
     ``held`` the counts that a task keeps before it hands them on."""
 
@@ -47,10 +54,11 @@ class Settings(NamedTuple):
     percent: int = 50
     top: int | None = 2_000
     block_words: int = 500_000
+    open_words: int = 1_200_000
     bits: int = 28
     shard_phrases: int = 250_000
-    pass_phrases: int = 1_000_000
-    held: int = 1_000_000
+    pass_phrases: int = 600_000
+    held: int = 500_000
 
 
 class _Numbers(dict):
@@ -66,8 +74,9 @@ class _Block:
     def add(self, text):
         words = text.encode().lower().translate(PIECES).replace(MARK, b" , ").split()
         words.append(MARK)
-        self.parts.append(np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words)))
+        self.parts.append(np.fromiter(map(self.numbers.__getitem__, words), np.uint32, len(words)))
         self.size += len(words)
+        return len(words)
 
     def row(self, lang):
         codes = np.concatenate(self.parts)
@@ -80,30 +89,42 @@ class _Block:
 BLOCK = "lang string, n long, words binary, codes binary"
 
 
-def _blocks(block_words):
+def _blocks(block_words, open_words):
     def run(frames):
-        open_blocks, size = {}, 0
+        blocks, size = {}, 0
 
-        def rows():
-            return pd.DataFrame([b.row(lang) for lang, b in open_blocks.items()], columns=["lang", "n", "words", "codes"])
+        def closed(lang):
+            return pd.DataFrame([blocks.pop(lang).row(lang)], columns=["lang", "n", "words", "codes"])
 
         for frame in frames:
             for lang, text in zip(frame["lang"], frame["text"]):
-                block = open_blocks.get(lang)
+                block = blocks.get(lang)
                 if block is None:
-                    block = open_blocks[lang] = _Block()
-                size -= block.size
-                block.add(text)
-                size += block.size
-                if size >= block_words:
-                    yield rows()
-                    open_blocks, size = {}, 0
-        if open_blocks:
-            yield rows()
+                    block = blocks[lang] = _Block()
+                size += block.add(text)
+                if block.size >= block_words or size >= open_words:
+                    full = max(blocks, key=lambda k: blocks[k].size)
+                    size -= blocks[full].size
+                    yield closed(full)
+        for lang in list(blocks):
+            yield closed(lang)
 
     return run
 
 
+def _spelled(found: dict, columns):
+    """(lang, phrase, ...) rows in small frames; empties what was found."""
+    for lang, own in found.items():
+        items = list(own.items()) if isinstance(own, dict) else [(p,) for p in own]
+        own.clear()
+        for at in range(0, len(items), OUT_ROWS):
+            part = items[at : at + OUT_ROWS]
+            rows = {"lang": lang, "phrase": [p[0].decode() for p in part]}
+            if len(columns) > 2:
+                rows[columns[2]] = [p[1] for p in part]
+            yield pd.DataFrame(rows)
+
+
 def _words(data) -> list[bytes]:
     return zstandard.ZstdDecompressor().decompress(bytes(data)).split(b"\n")
 
@@ -117,44 +138,68 @@ def _given(frames):
 
 def _word_counts(held):
     def run(frames):
-        found: dict = {}
-
-        def rows():
-            return pd.DataFrame(
-                [(lang, w.decode(), c) for (lang, w), c in found.items()], columns=["lang", "phrase", "f"]
-            )
-
+        found: dict = defaultdict(dict)
         for lang, words, codes in _given(frames):
+            own = found[lang]
             for word, count in zip(words[1:], np.bincount(codes, minlength=len(words))[1:].tolist()):
-                found[lang, word] = found.get((lang, word), 0) + count
-            if len(found) >= held:
-                yield rows()
-                found.clear()
-        yield rows()
+                own[word] = own.get(word, 0) + count
+            if sum(map(len, found.values())) >= held:
+                yield from _spelled(found, ["lang", "phrase", "f"])
+        yield from _spelled(found, ["lang", "phrase", "f"])
 
     return run
 
 
-def _pair_buckets(lang, words, left, right, bits) -> np.ndarray:
-    """The bucket of each pair of word numbers."""
-    hashes = np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words))
-    start = np.uint64(xxh3_64_intdigest(lang.encode()))
-    return (mixed(mixed(hashes[left] + start) * _STEP + hashes[right]) >> np.uint64(64 - bits)).astype(np.int64)
+def _hashes(lang, words) -> np.ndarray:
+    """A hash of each word of a language."""
+    start = xxh3_64_intdigest(lang.encode())
+    return np.fromiter((xxh3_64_intdigest(w, start) for w in words), np.uint64, len(words))
+
 
+def _buckets(hashes, codes, at, length, bits) -> np.ndarray:
+    """The bucket of each run of ``length`` words that begins at a place."""
+    out = np.full(len(at), length, np.uint64)
+    for step in range(length):
+        out = mixed(out * _STEP + hashes[codes[at + step]])
+    return (out >> np.uint64(64 - bits)).astype(np.int32)
+
+
+def _runs_of(length, bits, marked, hashes, codes) -> np.ndarray:
+    """Where runs of ``length`` words inside a piece begin of which all pairs lie in marked buckets."""
+    hot = np.zeros(len(codes), bool)
+    at = np.flatnonzero((codes[:-1] > 0) & (codes[1:] > 0))
+    hot[at] = True if marked is None else _is_marked(marked, _buckets(hashes, codes, at, 2, bits))
+    here = hot.copy()
+    for step in range(1, length - 1):
+        here[:-step] &= hot[step:]
+        here[-step:] = False
+    return np.flatnonzero(here)
+
+
+def _is_marked(marked, buckets) -> np.ndarray:
+    return (marked[buckets >> 3] >> (7 - (buckets & 7))) & 1 == 1
+
+
+def _bits(shared):
+    return None if shared is None else np.frombuffer(shared.value, np.uint8)
+
+
+def _bucket_counts(length, bits, pairs, held):
+    """How often the buckets of runs of ``length`` words occur, per task."""
 
-def _bucket_counts(bits, held):
     def run(frames):
-        waiting, size = [], 0
+        waiting, size, marked = [], 0, _bits(pairs)
 
         def rows():
             bucket, count = np.unique(np.concatenate(waiting), return_counts=True)
-            return pd.DataFrame({"bucket": bucket, "f": count})
+            return pd.DataFrame({"bucket": bucket, "f": count.astype(np.int32)})
 
         for lang, words, codes in _given(frames):
-            at = np.flatnonzero((codes[:-1] > 0) & (codes[1:] > 0))
-            waiting.append(_pair_buckets(lang, words, codes[at], codes[at + 1], bits))
+            hashes = _hashes(lang, words)
+            at = _runs_of(length, bits, marked, hashes, codes)
+            waiting.append(_buckets(hashes, codes, at, length, bits))
             size += len(at)
-            if size >= 4 * held:
+            if size >= 10 * held:
                 yield rows()
                 waiting, size = [], 0
         if waiting:
@@ -184,31 +229,27 @@ def _bit_list(buckets: DataFrame, bits: int):
     return spark.sparkContext.broadcast(found.tobytes())
 
 
-def _seen(length, bits, shared, held):
-    """Distinct runs of ``length`` words inside a piece whose pairs all lie in marked buckets."""
+def _seen(length, bits, pairs, whole, held):
+    """Distinct runs of ``length`` words inside a piece, themselves and all their pairs in marked buckets."""
 
     def run(frames):
-        marked = np.frombuffer(shared.value, np.uint8)
-        found: set = set()
-
-        def rows():
-            return pd.DataFrame([(lang, p.decode()) for lang, p in found], columns=["lang", "phrase"])
-
+        of_pairs, of_runs = _bits(pairs), _bits(whole)
+        found: dict = defaultdict(set)
         for lang, words, codes in _given(frames):
-            at = np.flatnonzero((codes[:-1] > 0) & (codes[1:] > 0))
-            buckets = _pair_buckets(lang, words, codes[at], codes[at + 1], bits)
-            hot = np.zeros(len(codes), bool)
-            hot[at] = (marked[buckets >> 3] >> (7 - (buckets & 7))) & 1 == 1
-            here = hot.copy()
-            for step in range(1, length - 1):
-                here[:-step] &= hot[step:]
-            at = np.flatnonzero(here)
-            for phrase in np.unique(np.stack([codes[at + k] for k in range(length)], 1), axis=0).tolist():
-                found.add((lang, b" ".join([words[w] for w in phrase])))
-            if len(found) >= held:
-                yield rows()
-                found.clear()
-        yield rows()
+            hashes = _hashes(lang, words)
+            at = _runs_of(length, bits, of_pairs, hashes, codes)
+            at = at[_is_marked(of_runs, _buckets(hashes, codes, at, length, bits))]
+            key = codes[at]
+            for step in range(1, length):
+                # Numbered anew, runs of two words stay small enough for a third.
+                key = np.unique(key, return_inverse=True)[1] * len(words) + codes[at + step]
+            _, first = np.unique(key, return_index=True)
+            at = at[first]
+            parts = [[words[w] for w in codes[at + step].tolist()] for step in range(length)]
+            found[lang].update(map(b" ".join, zip(*parts)))
+            if sum(map(len, found.values())) >= held:
+                yield from _spelled(found, ["lang", "phrase"])
+        yield from _spelled(found, ["lang", "phrase"])
 
     return run
 
@@ -236,8 +277,15 @@ def _make_trie(frame):
     )
 
 
+SUM = "lang string, shard long, slice long, part long, counts binary"
+
+
 def _count(shared):
-    """Counts of the phrases of all broadcast tries, summed over the blocks of a task."""
+    """Counts of the phrases of all broadcast tries, summed over the blocks of a task.
+
+    They leave it as arrays, ``SUM_SLICE`` phrases each: every task meets most
+    of the candidates, and a row for each would be tasks times candidates.
+    """
 
     def run(frames):
         tries: dict = {}
@@ -250,10 +298,37 @@ def _count(shared):
                 numbers = np.fromiter((known.get(w, -1) for w in words), np.int64, len(words))
                 numbers[0] = -1
                 total += counts(trie, numbers[codes], len(total))
-        for lang, own in tries.items():
-            for shard, _, _, total in own:
-                met = np.flatnonzero(total)
-                yield pd.DataFrame({"lang": lang, "shard": shard, "number": met, "f": total[met]})
+        part = TaskContext.get().partitionId() // TOGETHER
+        rows = [
+            (lang, shard, at // SUM_SLICE, part, packed(total[at : at + SUM_SLICE], "<u8"))
+            for lang, own in tries.items()
+            for shard, _, _, total in own
+            for at in range(0, len(total), SUM_SLICE)
+            if total[at : at + SUM_SLICE].any()
+        ]
+        yield pd.DataFrame(rows, columns=["lang", "shard", "slice", "part", "counts"])
+
+    return run
+
+
+def _summed(frame) -> np.ndarray:
+    """The sum of the arrays of one slice."""
+    return sum(unpacked(c, "<u8").astype(np.int64) for c in frame["counts"])
+
+
+def _sum_of_tasks(frame):
+    total = packed(_summed(frame), "<u8")
+    return frame[["lang", "shard", "slice", "part"]].head(1).assign(counts=[total])
+
+
+def _sum_of_all(least):
+    """The phrases of a slice that occur often enough, from the sums of groups of tasks."""
+
+    def run(frame):
+        total = _summed(frame)
+        met = np.flatnonzero(total >= least)
+        lang, shard, at = frame["lang"].iloc[0], frame["shard"].iloc[0], frame["slice"].iloc[0] * SUM_SLICE
+        return pd.DataFrame({"lang": lang, "shard": shard, "number": met + at, "f": total[met]})
 
     return run
 
@@ -287,9 +362,11 @@ def _counted(blocks: DataFrame, candidates: DataFrame, settings: Settings) -> Da
         tries = made.filter(wanted).select("lang", "shard", "phrases", "radix", "words", "length", "arrays").collect()
         shared = spark.sparkContext.broadcast([tuple(map(_plain, row)) for row in tries])
         part = blocks.filter(F.col("lang").isin(sorted({lang for lang, _ in group})))
-        part = part.mapInPandas(_count(shared), "lang string, shard long, number long, f long")
-        summed = part.groupBy("lang", "shard", "number").agg(F.sum("f").alias("f"))
-        summed, _ = materialise(summed.filter(F.col("f") >= settings.least), "phrase_counts")
+        # Arrays of some tasks are summed first, so that no group grows with the number of tasks.
+        arrays = part.mapInPandas(_count(shared), SUM).groupBy("lang", "shard", "slice", "part")
+        arrays = arrays.applyInPandas(_sum_of_tasks, SUM).groupBy("lang", "shard", "slice")
+        summed = arrays.applyInPandas(_sum_of_all(settings.least), "lang string, shard long, number long, f long")
+        summed, _ = materialise(summed, "phrase_counts")
         shared.destroy()
         found = summed if found is None else found.unionByName(summed)
     frequent = numbered.join(found, ["lang", "shard", "number"]).select("lang", "phrase", "f")
@@ -310,12 +387,19 @@ def _buckets_of(bits):
         for frame in frames:
             for lang, part in frame.groupby("lang"):
                 words = [w for p in part["phrase"] for w in p.encode().split(b" ")]
-                left = np.arange(0, len(words), 2)
-                yield pd.DataFrame({"bucket": _pair_buckets(lang, words, left, left + 1, bits)})
+                each = np.arange(len(words))
+                yield pd.DataFrame({"bucket": _buckets(_hashes(lang, words), each, each[::2], 2, bits)})
 
     return run
 
 
+def _frequent_buckets(blocks, length, pairs, settings):
+    """The buckets of runs of ``length`` words that reach the least count, as bits."""
+    each = blocks.mapInPandas(_bucket_counts(length, settings.bits, pairs, settings.held), "bucket int, f int")
+    total = each.groupBy("bucket").agg(F.sum("f").alias("f")).filter(F.col("f") >= settings.least)
+    return _bit_list(total, settings.bits)
+
+
 def _part(start, words, phrase="phrase"):
     """Some words of a phrase of up to three."""
     pieces = F.split(phrase, " ")
@@ -326,25 +410,25 @@ def frequent_phrases(docs: DataFrame, text_col="text", lang_col="lang", settings
     """(lang, phrase, f) of the frequent words, pairs and triples, each a table, and (lang, n)."""
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("und"))
     texts = docs.select(lang.alias("lang"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    blocks, _ = materialise(texts.mapInPandas(_blocks(settings.block_words), BLOCK), "phrase_blocks")
+    made = texts.mapInPandas(_blocks(settings.block_words, settings.open_words), BLOCK)
+    blocks, _ = materialise(made, "phrase_blocks")
     totals = blocks.groupBy("lang").agg(F.sum("n").alias("n"))
     spelled = "lang string, phrase string"
     words = blocks.mapInPandas(_word_counts(settings.held), f"{spelled}, f long")
     words = words.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).filter(F.col("f") >= settings.least)
     words, _ = materialise(words, "frequent")
     # Pairs: those in buckets that reach the least count, of two frequent words.
-    buckets = blocks.mapInPandas(_bucket_counts(settings.bits, settings.held), "bucket long, f long")
-    buckets = buckets.groupBy("bucket").agg(F.sum("f").alias("f")).filter(F.col("f") >= settings.least)
-    bits = _bit_list(buckets, settings.bits)
-    pairs = blocks.mapInPandas(_seen(2, settings.bits, bits, settings.held), spelled).distinct()
+    marked = _frequent_buckets(blocks, 2, None, settings)
+    pairs = blocks.mapInPandas(_seen(2, settings.bits, None, marked, settings.held), spelled).distinct()
     known = words.select("lang", F.col("phrase").alias("word"))
     for place in (1, 2):
         pairs = pairs.withColumn("word", _part(place, 1)).join(known, ["lang", "word"], "left_semi").drop("word")
     pairs, _ = materialise(pairs, "pairs")
     pairs = _counted(blocks, pairs, settings)
-    # Triples: those whose two pairs are frequent.
-    bits = _bit_list(pairs.mapInPandas(_buckets_of(settings.bits), "bucket long"), settings.bits)
-    triples = blocks.mapInPandas(_seen(3, settings.bits, bits, settings.held), spelled).distinct()
+    # Triples: those in such buckets whose two pairs are frequent.
+    of_pairs = _bit_list(pairs.mapInPandas(_buckets_of(settings.bits), "bucket int"), settings.bits)
+    marked = _frequent_buckets(blocks, 3, of_pairs, settings)
+    triples = blocks.mapInPandas(_seen(3, settings.bits, of_pairs, marked, settings.held), spelled).distinct()
     known = pairs.select("lang", F.col("phrase").alias("pair"))
     for place in (1, 2):
         triples = triples.withColumn("pair", _part(place, 2)).join(known, ["lang", "pair"], "left_semi").drop("pair")
