@@ -15,6 +15,7 @@ are a fixed number of bits, and tries beyond the bound take further passes.
 
 from collections import defaultdict
 from typing import NamedTuple
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -37,6 +38,8 @@ OUT_ROWS = 50_000
 #: Phrases in an array of counts, and tasks whose arrays are summed first.
 SUM_SLICE = 1 << 16
 TOGETHER = 64
+#: Phrases that may meet in one hash group, if every block has each of them.
+GROUP_PHRASES = 8_000_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -112,17 +115,14 @@ def _blocks(block_words, open_words):
     return run
 
 
-def _spelled(found: dict, columns):
-    """(lang, phrase, ...) rows in small frames; empties what was found."""
+def _spelled(found: dict):
+    """(lang, phrase, f) rows in small frames; empties what was found."""
     for lang, own in found.items():
-        items = list(own.items()) if isinstance(own, dict) else [(p,) for p in own]
+        items = list(own.items())
         own.clear()
         for at in range(0, len(items), OUT_ROWS):
             part = items[at : at + OUT_ROWS]
-            rows = {"lang": lang, "phrase": [p[0].decode() for p in part]}
-            if len(columns) > 2:
-                rows[columns[2]] = [p[1] for p in part]
-            yield pd.DataFrame(rows)
+            yield pd.DataFrame({"lang": lang, "phrase": [p.decode() for p, _ in part], "f": [n for _, n in part]})
 
 
 def _words(data) -> list[bytes]:
@@ -144,8 +144,8 @@ def _word_counts(held):
             for word, count in zip(words[1:], np.bincount(codes, minlength=len(words))[1:].tolist()):
                 own[word] = own.get(word, 0) + count
             if sum(map(len, found.values())) >= held:
-                yield from _spelled(found, ["lang", "phrase", "f"])
-        yield from _spelled(found, ["lang", "phrase", "f"])
+                yield from _spelled(found)
+        yield from _spelled(found)
 
     return run
 
@@ -229,7 +229,27 @@ def _bit_list(buckets: DataFrame, bits: int):
     return spark.sparkContext.broadcast(found.tobytes())
 
 
-def _seen(length, bits, pairs, whole, held):
+def _listed(found: dict, groups):
+    """Phrases by hash group, a compressed list a row; empties what was found."""
+    rows = []
+    for lang, own in found.items():
+        parts = defaultdict(list)
+        for phrase in own:
+            parts[crc32(phrase) % groups].append(phrase)
+        own.clear()
+        rows += [(lang, g, zstandard.ZstdCompressor(level=1).compress(b"\n".join(p))) for g, p in parts.items()]
+    yield pd.DataFrame(rows, columns=["lang", "part", "phrases"])
+
+
+def _different(frame):
+    """The different phrases of one hash group."""
+    unique = set()
+    for part in frame["phrases"]:
+        unique.update(zstandard.ZstdDecompressor().decompress(bytes(part)).split(b"\n"))
+    return pd.DataFrame({"lang": frame["lang"].iloc[0], "phrase": [p.decode() for p in unique]})
+
+
+def _seen(length, bits, pairs, whole, groups, held):
     """Distinct runs of ``length`` words inside a piece, themselves and all their pairs in marked buckets."""
 
     def run(frames):
@@ -248,12 +268,26 @@ def _seen(length, bits, pairs, whole, held):
             parts = [[words[w] for w in codes[at + step].tolist()] for step in range(length)]
             found[lang].update(map(b" ".join, zip(*parts)))
             if sum(map(len, found.values())) >= held:
-                yield from _spelled(found, ["lang", "phrase"])
-        yield from _spelled(found, ["lang", "phrase"])
+                yield from _listed(found, groups)
+        yield from _listed(found, groups)
 
     return run
 
 
+def _candidates(blocks, length, pairs, whole, n_blocks, settings) -> DataFrame:
+    """(lang, phrase): the different runs of words that ``_seen`` finds.
+
+    Most tasks meet most of them, so they meet by hash group as lists.  There
+    are as many groups as keep the phrases of one, each from every task, to
+    some millions at most.
+    """
+    marked = int(np.bitwise_count(_bits(whole)).sum())
+    groups = min(marked // 1_000, marked * n_blocks // GROUP_PHRASES) + 1
+    found = _seen(length, settings.bits, pairs, whole, groups, settings.held)
+    lists = blocks.mapInPandas(found, "lang string, part long, phrases binary")
+    return lists.groupBy("lang", "part").applyInPandas(_different, "lang string, phrase string")
+
+
 TRIE = "lang string, shard long, number long, phrases long, radix long, words binary, length long, arrays array<binary>"
 
 
@@ -411,15 +445,14 @@ def frequent_phrases(docs: DataFrame, text_col="text", lang_col="lang", settings
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("und"))
     texts = docs.select(lang.alias("lang"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     made = texts.mapInPandas(_blocks(settings.block_words, settings.open_words), BLOCK)
-    blocks, _ = materialise(made, "phrase_blocks")
+    blocks, n_blocks = materialise(made, "phrase_blocks")
     totals = blocks.groupBy("lang").agg(F.sum("n").alias("n"))
-    spelled = "lang string, phrase string"
-    words = blocks.mapInPandas(_word_counts(settings.held), f"{spelled}, f long")
+    words = blocks.mapInPandas(_word_counts(settings.held), "lang string, phrase string, f long")
     words = words.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).filter(F.col("f") >= settings.least)
     words, _ = materialise(words, "frequent")
     # Pairs: those in buckets that reach the least count, of two frequent words.
     marked = _frequent_buckets(blocks, 2, None, settings)
-    pairs = blocks.mapInPandas(_seen(2, settings.bits, None, marked, settings.held), spelled).distinct()
+    pairs = _candidates(blocks, 2, None, marked, n_blocks, settings)
     known = words.select("lang", F.col("phrase").alias("word"))
     for place in (1, 2):
         pairs = pairs.withColumn("word", _part(place, 1)).join(known, ["lang", "word"], "left_semi").drop("word")
@@ -428,7 +461,7 @@ def frequent_phrases(docs: DataFrame, text_col="text", lang_col="lang", settings
     # Triples: those in such buckets whose two pairs are frequent.
     of_pairs = _bit_list(pairs.mapInPandas(_buckets_of(settings.bits), "bucket int"), settings.bits)
     marked = _frequent_buckets(blocks, 3, of_pairs, settings)
-    triples = blocks.mapInPandas(_seen(3, settings.bits, of_pairs, marked, settings.held), spelled).distinct()
+    triples = _candidates(blocks, 3, of_pairs, marked, n_blocks, settings)
     known = pairs.select("lang", F.col("phrase").alias("pair"))
     for place in (1, 2):
         triples = triples.withColumn("pair", _part(place, 2)).join(known, ["lang", "pair"], "left_semi").drop("pair")
