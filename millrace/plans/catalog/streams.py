@@ -148,30 +148,45 @@ def stream_ingest(spark, directory):
     )
 
 
+STORE_SQL = """
+    kv AS (
+      SELECT *, CASE WHEN event_id % 3 = 0 THEN 'hot' ELSE user_id::VARCHAR END AS key,
+             event_type IN ('click', 'signup') AS put FROM events
+    ),
+    puts AS (
+      SELECT key, ts, max('v' || event_id) AS v, arg_max(value, 'v' || event_id) AS hours FROM kv WHERE put GROUP BY key, ts
+    )
+"""
+
+
 @query(
     "stream_ttl",
-    """
-    WITH puts AS (SELECT user_id, ts, event_id, value FROM events WHERE event_type IN ('click', 'signup')),
-    reads AS (SELECT event_id, user_id, ts FROM events WHERE event_type NOT IN ('click', 'signup'))
+    f"""
+    WITH {STORE_SQL}
     SELECT 'r' || r.event_id AS read_id,
-           CASE WHEN r.ts < p.ts + to_microseconds(round(p.value * 3600 * 1e6)::BIGINT)
-                THEN 'v' || p.event_id ELSE '' END AS value
-    FROM reads r ASOF LEFT JOIN puts p ON r.user_id = p.user_id AND r.ts >= p.ts
+           CASE WHEN r.ts < p.ts + to_microseconds(round(p.hours * 3600 * 1e6)::BIGINT) THEN p.v ELSE '' END AS value
+    FROM (SELECT * FROM kv WHERE NOT put) r ASOF LEFT JOIN puts p ON r.key = p.key AND r.ts >= p.ts
     """,
 )
 def stream_ttl(spark, directory):
-    """Reads of an expiring key/value store; values live for hours."""
+    """Reads of an expiring key/value store; values live for hours.
+
+    One key has a third of all events, and every fourth read comes two hours late.
+    """
     put = F.col("event_type").isin("click", "signup")
+    at = F.col("ts").cast("timestamp")
+    hours = F.when(~put & (F.col("event_id") % 4 == 0), F.lit(2)).otherwise(0)
     events = table(spark, directory, "events").select(
-        F.col("user_id").cast("string").alias("key"),
-        F.col("ts").cast("timestamp").alias("at"),
+        F.when(F.col("event_id") % 3 == 0, "hot").otherwise(F.col("user_id").cast("string")).alias("key"),
+        at.alias("at"),
         put.alias("put"),
         F.when(put, F.concat(F.lit("v"), "event_id")).alias("value"),
         F.when(put, F.col("value") * 3600).alias("ttl"),
         F.when(~put, F.concat(F.lit("r"), "event_id")).alias("read_id"),
+        (at + F.make_dt_interval(hours=hours)).alias("arrives"),
     )
-    path, schema, arrivals = _arriving(events, "at", "kv")
+    path, schema, arrivals = _arriving(events, "arrives", "kv")
     answers, checkpoint = fresh_path(spark, "answers"), fresh_path(spark, "checkpoint")
     for _ in arrivals:
-        tables.expiring_values(runs.read_files(spark, path, schema), answers, checkpoint)
+        tables.expiring_values(runs.read_files(spark, path, schema), answers, checkpoint, late="3 hours")
     return spark.read.parquet(answers).select("read_id", F.coalesce("value", F.lit("")).alias("value"))

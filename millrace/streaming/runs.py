@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.errors import EmptySource
 from millrace.session import fresh_path
+from millrace.sources import objects
 from millrace.sources.files import scan
 
 log = logging.getLogger(__name__)
@@ -59,10 +59,9 @@ def write_updates(stream: DataFrame, directory, checkpoint=None) -> int:
 def read_batches(spark: SparkSession, directory, schema) -> DataFrame:
     """All micro-batch files with their ``batch_id``; empty if none were written."""
     stamped = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-    try:
-        return scan(spark, directory, stamped)
-    except EmptySource:
+    if not objects.exists(spark, directory):
         return spark.createDataFrame([], stamped)
+    return scan(spark, directory, stamped)
 
 
 def newest_updates(updates: DataFrame, *keys) -> DataFrame:

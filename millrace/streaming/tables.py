@@ -1,14 +1,17 @@
 """Service tables fed by streams: ingest, validation, approvals, expiring keys."""
 
-import pandas as pd
+import logging
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from millrace.operators import checks
 from millrace.operators.tables import first_decisions
 from millrace.operators.timeline import Limits, entity, latest_before, micros, on_axis
 from millrace.streaming.runs import batch_path, drain, read_batches
+from millrace.streaming.state import BucketState
+
+log = logging.getLogger(__name__)
 
 
 def ingest_files(stream: DataFrame, directory, checkpoint):
@@ -46,22 +49,35 @@ def first_decisions_in_order(stream: DataFrame, late="1 hour") -> DataFrame:
     return timed.withWatermark("decided_at", late).dropDuplicatesWithinWatermark(["approval_id"])
 
 
-def resolve_stream(stream: DataFrame, approvals: DataFrame, directory, checkpoint=None):
+def resolve_stream(stream: DataFrame, approvals: DataFrame, directory, checkpoint=None, buckets=256):
     """Log the decision that settles each pending approval.
 
-    A micro-batch adds its first decisions on approvals that are pending and
-    not settled by an earlier batch.  The approvals table itself is not
-    rewritten: it is the base table joined with this log.
+    A micro-batch adds its first decisions on approvals that are still open.
+    The approvals table itself is not rewritten: it is the base table joined
+    with this log.  What is open is worked out once, when a run begins, from
+    the table and the log; from then on it is state in buckets (see
+    ``state.py``) beside the log, and a micro-batch reads and writes the buckets
+    of its own approvals, whatever was settled before.
     """
     spark = stream.sparkSession
-    pending = approvals.filter(F.col("status") == "pending").select(F.col("id").alias("approval_id"))
+    pending = approvals.filter((F.col("status") == "pending") & F.col("id").isNotNull())
+    pending = pending.select(F.col("id").alias("approval_id")).distinct()
+    state = BucketState(spark, f"{directory}-open", pending.schema, "approval_id", buckets)
+    begun = []
 
     def each(frame, batch_id):
-        first = first_decisions(frame)
-        settled = read_batches(spark, directory, first.schema)
-        settled = settled.filter(F.col("batch_id") < batch_id).select("approval_id")
-        new = first.join(settled, "approval_id", "left_anti").join(pending, "approval_id", "left_semi")
-        new.write.mode("overwrite").parquet(batch_path(directory, batch_id))
+        first = first_decisions(frame).persist()
+        place = batch_path(directory, batch_id)
+        if not begun:
+            settled = read_batches(spark, directory, first.schema).filter(F.col("batch_id") < batch_id)
+            state.start(pending.join(settled, "approval_id", "left_anti"), batch_id, {})
+            begun.append(batch_id)
+        index, wanted = state.index(batch_id), state.buckets_of(first)
+        open_ids = state.rows(index, wanted)
+        first.join(open_ids, "approval_id", "left_semi").write.mode("overwrite").parquet(place)
+        new = spark.read.schema(first.schema).parquet(place)
+        state.save(open_ids.join(new, "approval_id", "left_anti"), batch_id, index, wanted, {})
+        first.unpersist()
 
     drain(stream, each, checkpoint=checkpoint)
 
@@ -73,58 +89,71 @@ def ttl_micros(seconds):
 
 
 EXPIRING = "key string, at timestamp, put boolean, value string, ttl double, read_id string"
-ANSWERS = "read_id string, key string, at timestamp, value string"
-HELD = "at long, value string, ttl double"
+ANSWERS = ["read_id", "key", "at", "value"]
 
 
-def expiring_values(stream: DataFrame, directory, checkpoint=None, late="1 hour") -> int:
+def expiring_values(stream: DataFrame, directory, checkpoint=None, late="1 hour", buckets=256) -> int:
     """Answer reads of an expiring key/value store fed by one event stream.
 
     Events have the columns of ``EXPIRING``: a put sets a value for ``ttl``
     seconds, for ever if that is null; a read asks for it.  A read sees the
-    newest put at or before it unless that put has expired.  Batches arrive in
-    time order.  Spark keeps the newest put of each key as state and gives it
-    up once it has expired for longer than ``late``.  Events later than that,
-    or without a time, are set aside by the watermark; returns how many.
+    newest put at or before it, of those that have arrived, unless that put has
+    expired.
+
+    The puts that a read may still ask for are state in buckets (see
+    ``state.py``): all of the last ``late`` before the newest event, and of
+    older ones the newest of each key unless it has expired.  So a read may be
+    that late and a put may come at any time.  A micro-batch looks its reads up
+    in the puts of its own buckets as a table does, which cuts a key with very
+    many events into slots.  Reads later than that, and events without a time,
+    get no answer; returns how many, and logs them.
     """
-    answers = stream.withWatermark("at", late).groupBy("key").applyInPandasWithState(
-        _serve_reads, ANSWERS, HELD, "append", GroupStateTimeout.EventTimeTimeout
-    )
+    spark = stream.sparkSession
+    state = BucketState(spark, f"{directory}-puts", spark.createDataFrame([], EXPIRING).schema, "key", buckets)
+    span = spark.range(1).select(F.unix_micros(F.timestamp_micros(F.lit(0)) + F.expr(f"interval {late}"))).first()[0]
+    aside = []
 
     def each(frame, batch_id):
-        frame.write.mode("overwrite").parquet(batch_path(directory, batch_id))
-
-    return drain(answers, each, checkpoint=checkpoint)
-
-
-def _serve_reads(key, frames, state):
-    """Answers of one key in one micro-batch; the newest put stays as state."""
-    if state.hasTimedOut:
-        state.remove()
-        return
-    events = pd.concat(list(frames), ignore_index=True)
-    events["pos"] = events["at"].astype("datetime64[us]").astype("int64")
-    held = state.get if state.exists else (None, None, None)
-    puts = events["put"].astype(bool) & (key[0] is not None)
-    # A put comes before a read of the same moment, the largest value last.
-    events = events.assign(isput=puts, reads=~events["put"].astype(bool))
-    events = events.sort_values(["pos", "reads", "value"], kind="stable", na_position="first")
-    newest = events["pos"].where(events["isput"]).notna().cumsum()
-    known = pd.DataFrame([held], columns=["at", "value", "ttl"]).astype({"at": "float64", "ttl": "float64"})
-    given = events.loc[events["isput"], ["pos", "value", "ttl"]].set_axis(["at", "value", "ttl"], axis=1)
-    stock = pd.concat([known, given], ignore_index=True).astype({"at": "Int64"})
-    seen = stock.iloc[newest.to_numpy()].set_index(events.index)
-    until = seen["at"].astype("float64") + (seen["ttl"].astype("float64") * 1e6).round()
-    alive = seen["at"].notna() & (until.isna() | (events["pos"] < until))
-    answers = events.assign(value=seen["value"].where(alive, None))[events["reads"]]
-    last = stock.iloc[-1]
-    if pd.notna(last["at"]):
-        at, ttl = int(last["at"]), None if pd.isna(last["ttl"]) else float(last["ttl"])
-        state.update((at, last["value"], ttl))
-        ends = None if ttl is None else (at + round(ttl * 1e6)) // 1000 + 1
-        if ends is not None:
-            state.setTimeoutTimestamp(max(ends, state.getCurrentWatermarkMs() + 1))
-    yield answers[["read_id", "key", "at", "value"]]
+        events = frame.select(*state.schema.names).persist()
+        index = state.index(batch_id) if batch_id else None
+        index = index or state.start(spark.createDataFrame([], state.schema), batch_id, {"newest": None})
+        newest = index.facts["newest"]
+        answerable = micros("at").isNotNull()
+        if newest is not None:
+            answerable &= F.col("put") | (micros("at") >= newest - span)
+        facts = events.agg(
+            F.max(micros("at")).alias("newest"), F.count(F.when(~F.coalesce(answerable, F.lit(False)), 1)).alias("aside")
+        ).first()
+        usable = events.filter(answerable)
+        wanted = state.buckets_of(usable.filter("key is not null"))
+        puts = state.rows(index, wanted).unionByName(usable.filter("put and key is not null"))
+        asked = puts.unionByName(usable.filter("not put"))
+        answer_reads(asked).select(*ANSWERS).write.mode("overwrite").parquet(batch_path(directory, batch_id))
+        newest = max((n for n in (newest, facts["newest"]) if n is not None), default=None)
+        state.save(_still_asked(puts, newest, span), batch_id, index, wanted, {"newest": newest})
+        aside.append(facts["aside"])
+        events.unpersist()
+
+    drain(stream, each, checkpoint=checkpoint)
+    if sum(aside):
+        log.warning("%d events were too late or had no time", sum(aside))
+    return sum(aside)
+
+
+def _still_asked(puts: DataFrame, newest, span) -> DataFrame:
+    """Puts that a read at most ``span`` older than the newest event can see.
+
+    Of older puts only the newest of a key counts, which is aggregated before
+    it is moved; one that has expired by then counts no more.
+    """
+    if newest is None:
+        return puts
+    horizon = F.lit(newest - span)
+    recent = puts.filter(micros("at") > horizon)
+    latest = F.max_by(F.struct(*puts.columns), F.struct("at", "value")).alias("p")
+    older = puts.filter(micros("at") <= horizon).groupBy("key").agg(latest).select("p.*")
+    alive = F.coalesce(micros("at") + ttl_micros("ttl") > horizon, F.lit(True))
+    return recent.unionByName(older.filter(alive))
 
 
 def answer_reads(events: DataFrame) -> DataFrame:

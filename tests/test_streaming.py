@@ -1,15 +1,16 @@
 """Streams of several micro-batches against the same work on a table."""
 
 import random
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators import checks
+from millrace.operators import checks, timeline
 from millrace.operators.tables import first_decisions
 from millrace.session import fresh_path
 from millrace.streaming import runs, tables, windows
+from millrace.streaming.state import BucketState
 
 BASE = datetime(2024, 1, 1)
 
@@ -161,3 +162,120 @@ def test_expiring_values(spark, seed):
     assert got == want
     assert (got["k0"], got["k2"], got["k3"], got["k4"]) == ("ci", "ci", None, None)
 
+
+
+def plain_store(arrived):
+    """Answers of a store, events by arrival: a read sees the newest put so far at or before it."""
+    puts, want = {}, {}
+    for batch in arrived:
+        for key, at, put, value, ttl, _ in batch:
+            if put and key is not None:
+                puts.setdefault(key, []).append((at, value, ttl))
+        for key, at, put, _, _, read in batch:
+            if put:
+                continue
+            seen = max((p for p in puts.get(key, []) if p[0] <= at), key=lambda p: p[:2], default=None)
+            alive = seen and (seen[2] is None or at < seen[0] + timedelta(seconds=seen[2]))
+            want[read] = seen[1] if alive else None
+    return want
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_late_reads_and_a_hot_key(spark, monkeypatch, seed):
+    r = random.Random(seed)
+    events = [(r.choice(["hot", "a", "b", "c", None]), at, put, value, ttl, read) for _, at, put, value, ttl, read in kv(r, 240)]
+    # Reads come up to two minutes late, puts up to one.
+    late = lambda e: e[1] + timedelta(seconds=r.random() * (60 if e[2] else 120) if r.random() < 0.5 else 0)
+    order = sorted(events, key=late)
+    batches = [order[i : i + 40] for i in range(0, 240, 40)]
+    # The plan for keys with very many events, on all of them.
+    monkeypatch.setattr(tables, "Limits", lambda: timeline.Limits(group_rows=5, slot_rows=7))
+    path, schema = staged(spark, batches, tables.EXPIRING)
+    answers = fresh_path(spark, "answers")
+    assert tables.expiring_values(runs.read_files(spark, path, schema, 1), answers, late="3 minutes", buckets=3) == 0
+    got = {row["read_id"]: row["value"] for row in spark.read.parquet(answers).collect()}
+    assert got == plain_store(batches)
+
+
+def test_reads_beyond_the_lateness_are_counted(spark):
+    at = lambda s: BASE + timedelta(seconds=s)
+    batches = [
+        [("k", at(0), True, "old", None, None), ("k", at(1000), True, "new", 5.0, None), ("n", None, True, "x", None, None)],
+        [("k", at(900), False, None, None, "late"), ("k", at(1), False, None, None, "too late"), (None, at(950), False, None, None, "keyless")],
+        [("k", at(2), True, "older", None, None), ("q", at(1), True, "first", None, None), ("q", at(1001), False, None, None, "q")],
+        [("k", at(1004), False, None, None, "alive"), ("k", at(1005), False, None, None, "gone")],
+    ]
+    path, schema = staged(spark, batches, tables.EXPIRING)
+    answers, checkpoint = fresh_path(spark, "answers"), fresh_path(spark, "cp")
+    assert tables.expiring_values(runs.read_files(spark, path, schema, 1), answers, checkpoint, late="150 seconds") == 2
+    got = {row["read_id"]: row["value"] for row in spark.read.parquet(answers).collect()}
+    assert got == {"late": "old", "keyless": None, "q": "first", "alive": "new", "gone": None}
+    # A second run over the same checkpoint finds nothing new and changes nothing.
+    assert tables.expiring_values(runs.read_files(spark, path, schema, 1), answers, checkpoint, late="150 seconds") == 0
+    assert spark.read.parquet(answers).count() == 5
+
+
+def test_puts_that_no_read_can_see_are_given_up(spark):
+    at = lambda s: BASE + timedelta(seconds=s)
+    batches = [[("k", at(10 * n + i), True, f"v{n}.{i}", None, None) for i in range(10)] for n in range(6)]
+    path, schema = staged(spark, batches, tables.EXPIRING)
+    answers = fresh_path(spark, "answers")
+    tables.expiring_values(runs.read_files(spark, path, schema, 1), answers, late="15 seconds", buckets=2)
+    kept = state_of(spark, f"{answers}-puts", "key", 2).index(6)
+    assert kept.facts["newest"] == int(at(59).replace(tzinfo=timezone.utc).timestamp() * 1e6)
+    rows = state_of(spark, f"{answers}-puts", "key", 2).rows(kept, [0, 1]).collect()
+    assert sorted(r["value"] for r in rows) == sorted([f"v5.{i}" for i in range(10)] + [f"v4.{i}" for i in range(4, 10)])
+
+
+def state_of(spark, root, key, count):
+    return BucketState(spark, root, spark.createDataFrame([], tables.EXPIRING).schema, key, count)
+
+
+def test_many_micro_batches_read_no_more_with_time(spark, monkeypatch):
+    r = random.Random(6)
+    ids = [f"a{n}" for n in range(400)]
+    approvals = spark.createDataFrame([(i, "approved" if n % 9 == 0 else "pending") for n, i in enumerate(ids)], "id string, status string")
+    number, batches = 0, []
+    for batch in range(20):
+        rows = []
+        for _ in range(10):
+            number += 1
+            rows.append((number, r.choice(ids), r.choice(["approve", "reject", "later"]), "m", "", BASE + timedelta(seconds=number)))
+        batches.append(rows)
+    path, schema = staged(spark, batches, DECISIONS)
+    read, rows = [], BucketState.rows
+
+    def counted(self, index, wanted):
+        found = rows(self, index, wanted)
+        read.append((found.count(), len(wanted)))
+        return found
+
+    monkeypatch.setattr(BucketState, "rows", counted)
+    log = fresh_path(spark, "log")
+    tables.resolve_stream(runs.read_files(spark, path, schema, 1), approvals, log, buckets=50)
+    got = {row["approval_id"]: row["decision_id"] for row in spark.read.parquet(log).collect()}
+    want = {}
+    for decision, approval, action, *_ in (row for batch in batches for row in batch):
+        if action != "later" and ids.index(approval) % 9:
+            want.setdefault(approval, decision)
+    assert got == want and spark.read.parquet(log).count() == len(want)
+    # Eight open approvals a bucket at first: never more than the buckets of ten decisions hold.
+    assert len(read) == 20 and all(n <= 14 * wanted for n, wanted in read)
+    assert sum(n for n, _ in read[10:]) <= sum(n for n, _ in read[:10])
+
+
+def test_a_repeated_micro_batch_replaces_what_it_wrote(spark):
+    state = state_of(spark, fresh_path(spark, "state"), "key", 4)
+    row = lambda key, value: (key, BASE, True, value, None, None)
+    frame = lambda *rows: spark.createDataFrame(rows, tables.EXPIRING)
+    values = lambda index: sorted(r["value"] for r in state.rows(index, range(4)).collect())
+    state.start(frame(row("a", "0"), row("b", "0")), 0, {"n": 0})
+    for _ in range(2):
+        index = state.index(0)
+        changed = frame(row("a", "1"), row("c", "1"))
+        wanted = state.buckets_of(changed)
+        state.save(state.rows(index, wanted).filter("key <> 'a'").unionByName(changed), 0, index, wanted, {"n": 1})
+        assert values(state.index(0)) == ["0", "0"] and values(state.index(1)) == ["0", "1", "1"]
+    everything = state.buckets_of(frame(*[row(k, "") for k in "abc"]))
+    state.save(frame(), 1, state.index(1), everything, {"n": 2})
+    assert values(state.index(2)) == [] and state.index(2).facts == {"n": 2} and state.index(3) is None
