@@ -24,6 +24,14 @@ class BadRegistry(MillraceError):
     """An ingest registry entry is not a (reference, short name) tuple."""
 
 
+class TableMoved(MillraceError):
+    """Another writer committed first what this one was about to change."""
+
+
+class SchemaChanged(MillraceError):
+    """Rows for a table have another type in one of its columns."""
+
+
 class ScratchNotConfigured(MillraceError):
     """A cluster session names no shared folder in spark.checkpoint.dir."""
 

@@ -9,12 +9,11 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.errors import SPARK_ERRORS, EmptySource
+from millrace.errors import SPARK_ERRORS, TableMoved
 from millrace.functions import scores
 from millrace.operators.tables import next_versions
 from millrace.schemas import REGISTRY
-from millrace.session import fresh_path
-from millrace.sources.files import scan
+from millrace.sources import snapshots
 
 
 # --- closed-form fit ---------------------------------------------------------------
@@ -29,9 +28,13 @@ def fit_line(df: DataFrame, y, x) -> DataFrame:
     )
 
 
-def fit_lines(df: DataFrame, y, xs) -> DataFrame:
-    """One row with a (slope, intercept) struct per x, from one pass."""
+def fit_lines(df: DataFrame, y, xs, rows=None) -> DataFrame:
+    """One row with a (slope, intercept) struct per x, from one pass.
+
+    With a name for it, the row also counts the rows used.
+    """
     return df.agg(
+        *([] if rows is None else [F.count(F.lit(1)).alias(rows)]),
         *[
             F.struct(
                 F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept")
@@ -186,25 +189,30 @@ def run_metadata(run_id, artifact_uri, version, r2) -> list:
     ]
 
 
-def read_registry(spark, table_path) -> DataFrame:
+def read_registry(spark, table_path, snapshot=None) -> DataFrame:
     """The registry table, empty before the first run."""
-    try:
-        return scan(spark, table_path, REGISTRY)
-    except EmptySource:
-        return spark.createDataFrame([], REGISTRY)
+    known = snapshots.latest(spark, table_path) if snapshot is None else snapshot
+    return snapshots.read(spark, table_path, known) if known else spark.createDataFrame([], REGISTRY)
 
 
-def register(registry: DataFrame, runs: DataFrame, table_path) -> DataFrame:
-    """Append runs to a registry table; runs with their ``version``.
+def register(runs: DataFrame, table_path) -> DataFrame:
+    """Add runs to a registry table; runs with their ``version``.
 
-    A failing append leaves the version null and does not fail the run.
+    Versions are numbered after the highest ones of a snapshot, and are theirs
+    only if the next snapshot is: with several writers at once, the one that
+    comes second numbers its runs again.  A failing write leaves the version
+    null and does not fail the run.
     """
-    rows = next_versions(registry, runs)
-    kept = fresh_path(runs.sparkSession, "registered")
+    spark = runs.sparkSession
     try:
-        rows.write.parquet(kept)
-        numbered = runs.sparkSession.read.schema(rows.schema).parquet(kept)
-        numbered.write.mode("append").parquet(table_path)
-        return numbered
+        while True:
+            base = snapshots.latest(spark, table_path)
+            rows = next_versions(read_registry(spark, table_path, base), runs)
+            change = snapshots.stage_append(rows, table_path, base=base)
+            try:
+                snapshots.commit(spark, change, exact=True)
+            except TableMoved:
+                continue
+            return spark.read.schema(REGISTRY).parquet(f"{table_path}/{change.added[0]}")
     except SPARK_ERRORS:
-        return runs.withColumn("version", F.lit(None).cast("long")).select(*registry.columns)
+        return runs.withColumn("version", F.lit(None).cast("long")).select(*REGISTRY.names)

@@ -1,14 +1,13 @@
-"""Inserts, updates, deletes and approval resolution by copy-on-write.
+"""Inserts, updates, deletes and approval resolution.
 
 Parquet tables take no UPDATE or DELETE.  Each change is a projection or a
-filter, written to a new place; the path being read is never overwritten.
+filter; ``sources/snapshots.py`` writes it for the files that it touches.
 """
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.text import decision_status
-from millrace.session import fresh_path
 
 FAR_FUTURE = "9999-12-31 00:00:00"
 
@@ -52,18 +51,6 @@ def delete(df: DataFrame, predicate=None) -> DataFrame:
     return df.filter(~F.coalesce(predicate, F.lit(False)))
 
 
-def replace_rows(df: DataFrame, identifier):
-    """Give a table new rows: they are written to a new place, then the table is pointed there.
-
-    A reader sees the old rows or the new ones; the old files stay for it.
-    """
-    spark = df.sparkSession
-    path = fresh_path(spark, "rows")
-    df.select(*spark.table(identifier).columns).write.parquet(path)
-    spark.sql(f"ALTER TABLE {identifier} SET LOCATION '{path}'")
-    spark.catalog.refreshTable(identifier)
-
-
 def first_decisions(decisions: DataFrame) -> DataFrame:
     """The earliest valid decision of each approval, undated ones last.
 

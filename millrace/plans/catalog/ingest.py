@@ -7,7 +7,7 @@ from millrace.plans import training
 from millrace.plans.catalog.registry import query, rounded, table, time_text
 from millrace.schemas import ORDERS, RUN_METADATA
 from millrace.session import fresh_path, write_counted
-from millrace.sources import files, metadata, sinks
+from millrace.sources import files, metadata, sinks, snapshots
 from millrace.sources.ingest import ingest
 
 
@@ -34,15 +34,15 @@ def csv_scan_roundtrip(spark, directory):
     "ingest_report",
     """
     SELECT 'shop' AS short, 'orders' AS file, 'orders' AS table_name, 'ingested' AS status,
-           (SELECT count(*) FROM orders) AS n_rows, (SELECT count(*) FROM orders) AS table_rows,
+           (SELECT count(*) FROM orders) AS n_rows, 1::BIGINT AS snapshot, (SELECT count(*) FROM orders) AS table_rows,
            (SELECT round(sum(o_totalprice), 2) FROM orders) AS total
     UNION ALL
-    SELECT 'shop', 'customer-list', 'customer_list', 'ingested', (SELECT count(*) FROM customer),
+    SELECT 'shop', 'customer-list', 'customer_list', 'ingested', (SELECT count(*) FROM customer), 1,
            (SELECT count(*) FROM customer), (SELECT round(sum(c_acctbal), 2) FROM customer)
     UNION ALL
-    SELECT 'orders', 'swapped', '', 'failed', 0, 0, 0
+    SELECT 'orders', 'swapped', '', 'failed', 0, 0, 0, 0
     UNION ALL
-    SELECT 'absent', '', '', 'skipped', 0, 0, 0
+    SELECT 'absent', '', '', 'skipped', 0, 0, 0, 0
     """,
 )
 def ingest_report(spark, directory):
@@ -70,11 +70,78 @@ def ingest_report(spark, directory):
         F.coalesce(F.replace("table_name", F.lit(f"{lake}."), F.lit("")), F.lit("")).alias("table_name"),
         "status",
         F.col("rows").alias("n_rows"),
+        F.coalesce("snapshot", F.lit(0).cast("long")).alias("snapshot"),
         F.coalesce("table_rows", F.lit(0).cast("long")).alias("table_rows"),
         F.coalesce("total", F.lit(0.0)).alias("total"),
     )
 
 
+@query(
+    "snapshots_as_of",
+    """
+    WITH years AS (SELECT *, CASE WHEN year(o_orderdate) < 1998 THEN 1 WHEN year(o_orderdate) < 2000 THEN 2 ELSE 3 END AS batch FROM orders)
+    SELECT snapshot::BIGINT AS snapshot, o_orderstatus, count(*) AS n_rows, round(sum(o_totalprice), 2) AS total,
+           count(*) FILTER (batch = 3) AS with_late
+    FROM years JOIN (VALUES (1), (2), (3)) AS v(snapshot) ON batch <= snapshot GROUP BY ALL
+    """,
+)
+def snapshots_as_of(spark, directory):
+    """A table after each of three appends, the last with one more column; a repeated batch adds nothing."""
+    root = fresh_path(spark, "orders")
+    lake = root.rsplit("/", 1)[1].replace("-", "_")
+    spark.sql(f"CREATE DATABASE {lake} LOCATION '{root}/lake'")
+    orders, year = table(spark, directory, "orders"), F.year("o_orderdate")
+    parts = {
+        "old": orders.filter(year < 1998), "middle": orders.filter(year.between(1998, 1999)),
+        "late": orders.filter(year >= 2000).withColumn("late", F.lit(True)),
+    }
+    ids = [sinks.append_table(df, f"{lake}.orders", batch, root) for batch, df in parts.items()]
+    again = sinks.append_table(parts["old"], f"{lake}.orders", "old", root)
+    assert again == ids[0]
+    # The newest snapshot as the catalog has it, the others as of their number.
+    newest = spark.table(f"{lake}.orders").drop("commit").withColumn("snapshot", F.lit(ids[-1]).cast("long"))
+    rows = files.stack([snapshots.rows_of_snapshots(spark, root, ids[:-1]), newest])
+    return rows.groupBy("snapshot", "o_orderstatus").agg(
+        F.count(F.lit(1)).alias("n_rows"), rounded(F.sum("o_totalprice"), 2).alias("total"),
+        F.count(F.when(F.col("late"), 1)).alias("with_late"),
+    )
+
+
+@query(
+    "rewrite_history",
+    """
+    WITH o AS (SELECT *, CASE WHEN year(o_orderdate) < 1998 THEN 1 WHEN year(o_orderdate) < 2000 THEN 2 ELSE 3 END AS batch FROM orders),
+    c AS (SELECT count(*) FILTER (batch = 1) AS a, count(*) FILTER (batch = 2) AS b, count(*) FILTER (batch = 3) AS c,
+                 count(*) FILTER (batch = 2 AND o_orderpriority <> '5-LOW') AS kept,
+                 sum(o_totalprice) AS total, sum(o_totalprice) FILTER (batch = 2) AS middle,
+                 sum(o_totalprice) FILTER (batch = 2 AND o_orderpriority = '5-LOW') AS low FROM o)
+    SELECT version::BIGINT AS version, kind, rows_written, table_rows, round(money, 2) AS money FROM c, LATERAL (VALUES
+      (3, 'append', c, a + b + c, total), (4, 'update', b, a + b + c, total + middle),
+      (5, 'delete', kept, a + kept + c, total + middle - 2 * low), (6, 'delete', 0, 0, 0.0)
+    ) AS v(version, kind, rows_written, table_rows, money)
+    """,
+)
+def rewrite_history(spark, directory):
+    """An update and a delete by predicate write only the files of one batch; then all rows go."""
+    root = fresh_path(spark, "orders")
+    orders, year = table(spark, directory, "orders"), F.year("o_orderdate")
+    for part in (year < 1998, year.between(1998, 1999), year >= 2000):
+        snapshots.append(orders.filter(part), root)
+    middle = (F.col("o_orderdate") >= "1998-01-01") & (F.col("o_orderdate") < "2000-01-01")
+    snapshots.update_rows(spark, root, middle, {"o_totalprice": F.col("o_totalprice") * 2})
+    snapshots.delete_rows(spark, root, middle & (F.col("o_orderpriority") == "5-LOW"))
+    last = snapshots.delete_rows(spark, root)
+    stated = snapshots.rows_of_snapshots(spark, root, range(3, last + 1)).groupBy("snapshot").agg(
+        F.count(F.lit(1)).alias("table_rows"), rounded(F.sum("o_totalprice"), 2).alias("money")
+    )
+    past = snapshots.history(spark, root).filter("version > 2")
+    return past.join(stated, F.col("version") == F.col("snapshot"), "left").select(
+        "version", "kind", F.col("rows").alias("rows_written"),
+        F.coalesce("table_rows", F.lit(0).cast("long")).alias("table_rows"),
+        F.coalesce("money", F.lit(0.0)).alias("money"),
+    )
+
+
 @query(
     "snapshot_union_by_name",
     """

@@ -3,14 +3,14 @@
 from pyspark.sql import functions as F
 
 from millrace.functions import scores
-from millrace.operators import features, models, ordered
+from millrace.operators import drift, features, models, ordered, search
 from millrace.operators.tables import latest_versions
 from millrace.plans import training
 from millrace.plans.catalog.features import SPLIT
 from millrace.plans.catalog.registry import query, rounded, table
-from millrace.schemas import REGISTRY, RUN_METADATA
+from millrace.schemas import RUN_METADATA
 from millrace.session import fresh_path, materialise
-from millrace.sources.files import scan, stack
+from millrace.sources.files import stack
 
 
 @query(
@@ -151,6 +151,165 @@ def training_to_registry(spark, directory):
     return stack(found)
 
 
+LINES = {
+    "quantity": "l_quantity", "discount": "l_discount", "tax": "l_tax", "line": "l_linenumber",
+    "part": "l_partkey", "supplier": "l_suppkey", "order": "l_orderkey",
+}
+
+
+@query(
+    "search_by_halving",
+    f"""
+    WITH sides AS (
+      SELECT *, {SPLIT.format(k='l_orderkey')} AS side,
+             ('0x' || substr(md5('sample:' || l_orderkey::VARCHAR), 1, 7))::BIGINT AS part FROM lineitem
+    ),
+    shares AS (SELECT * FROM (VALUES (1, 7, 4, 2 / 28.0), (2, 4, 2, 2 / 16.0), (3, 2, 1, 2 / 8.0), (4, 1, 1, 2 / 4.0)) AS v(rung, n, kept, share)),
+    points AS (
+      SELECT side, part, l_extendedprice AS y, unnest([{', '.join(f"{{'name': '{n}', 'x': {c}::DOUBLE}}" for n, c in LINES.items())}]) AS p
+      FROM sides
+    ),
+    fits AS (
+      SELECT rung, n, kept, p.name AS name, count(*) AS seen, regr_slope(y, p.x) AS a, regr_intercept(y, p.x) AS b
+      FROM points JOIN shares ON part < floor(share * 268435456) WHERE side = 'train' GROUP BY ALL
+    ),
+    errors AS (
+      SELECT rung, n, kept, fits.name, seen, sqrt(avg(pow(y - (b + a * p.x), 2))) AS rmse
+      FROM fits JOIN points ON fits.name = p.name AND side = 'valid' GROUP BY ALL
+    ),
+    r1 AS (SELECT *, row_number() OVER (ORDER BY rmse, name) <= kept AS stays FROM errors WHERE rung = 1),
+    r2 AS (SELECT *, row_number() OVER (ORDER BY rmse, name) <= kept AS stays FROM errors
+           WHERE rung = 2 AND name IN (SELECT name FROM r1 WHERE stays)),
+    r3 AS (SELECT *, row_number() OVER (ORDER BY rmse, name) <= kept AS stays FROM errors
+           WHERE rung = 3 AND name IN (SELECT name FROM r2 WHERE stays)),
+    r4 AS (SELECT *, true AS stays FROM errors WHERE rung = 4 AND name IN (SELECT name FROM r3 WHERE stays))
+    SELECT rung, name AS candidate, seen AS n_rows, round(rmse, 3) AS rmse, stays AS kept,
+           (SELECT sum(seen) FROM (SELECT seen FROM r1 UNION ALL SELECT seen FROM r2 UNION ALL SELECT seen FROM r3 UNION ALL SELECT seen FROM r4))::BIGINT AS spent
+    FROM (SELECT * FROM r1 UNION ALL SELECT * FROM r2 UNION ALL SELECT * FROM r3 UNION ALL SELECT * FROM r4)
+    """,
+)
+def search_by_halving(spark, directory):
+    """Seven lines on the price, halved on growing samples; the fits may read twice the training rows."""
+    lines = table(spark, directory, "lineitem").withColumn("side", features.split_column("l_orderkey"))
+    train, valid = (lines.filter(F.col("side") == side) for side in ("train", "valid"))
+    found = search.halving(
+        train, valid, LINES, search.Lines(LINES), "l_extendedprice", "l_orderkey", 2 * train.count()
+    )
+    return found.report.select(
+        "rung", "candidate", F.col("rows").alias("n_rows"), rounded("rmse", 3).alias("rmse"), "kept",
+        F.lit(found.spent).cast("long").alias("spent"),
+    )
+
+
+def boosting_sql(rounds, step):
+    """Boosted stumps over the few values of one column, round by round."""
+    parts = ["f0 AS (SELECT x, 0.0::DOUBLE AS f FROM train)"]
+    for r in range(1, rounds + 1):
+        target = "s" if r == 1 else "2 * (s - n * f)"
+        weight = 1.0 if r == 1 else step
+        parts.append(
+            f"""
+    g{r} AS (SELECT x, n, {target} AS t FROM train JOIN f{r - 1} USING (x)),
+    h{r} AS (
+      SELECT x, sum(n) OVER (ORDER BY x) AS nl, sum(t) OVER (ORDER BY x) AS tl, sum(n) OVER () AS na, sum(t) OVER () AS ta FROM g{r}
+    ),
+    c{r} AS (
+      SELECT x AS cut, tl / nl AS l, (ta - tl) / (na - nl) AS r FROM h{r} WHERE nl < na
+      ORDER BY tl * tl / nl + (ta - tl) * (ta - tl) / (na - nl) DESC LIMIT 1
+    ),
+    f{r} AS (SELECT x, f + {weight} * CASE WHEN x <= cut THEN l ELSE r END AS f FROM f{r - 1}, c{r}),
+    e{r} AS (SELECT side, {r} AS round, sum(n)::BIGINT AS n_rows, sqrt(sum(ss - 2 * f * s + n * f * f) / sum(n)) AS rmse FROM points JOIN f{r} USING (x) GROUP BY side)"""
+        )
+    everything = " UNION ALL ".join(f"SELECT * FROM e{r}" for r in range(1, rounds + 1))
+    return f"""
+    WITH points AS (
+      SELECT {SPLIT.format(k='l_orderkey')} AS side, l_discount AS x, count(*) AS n, sum(l_extendedprice) AS s,
+             sum(l_extendedprice * l_extendedprice) AS ss FROM lineitem GROUP BY ALL
+    ),
+    train AS (SELECT x, n, s FROM points WHERE side = 'train'),
+    {','.join(parts)},
+    measured AS ({everything})
+    SELECT side, round, n_rows, round(rmse, 3) AS rmse,
+           round = (SELECT arg_min(round, (rmse, round)) FROM measured WHERE side = 'valid') AS chosen
+    FROM measured
+    """
+
+
+@query("boosting_rounds", boosting_sql(6, 0.5))
+def boosting_rounds(spark, directory):
+    """Boosted stumps on the discount, cut at the round with the least error on the validation side."""
+    lines = table(spark, directory, "lineitem").select(
+        features.split_column("l_orderkey").alias("side"), "l_discount", F.col("l_extendedprice").alias("y")
+    )
+    boosted, measured = search.boost(
+        lines, ["l_discount"], "y", "side", maxDepth=1, maxIter=6, stepSize=0.5, maxBins=64, seed=7
+    )
+    path = fresh_path(spark, "boosted")
+    search.save_boosted(boosted, path)
+    again = search.load_boosted(spark, path)
+    # The error of the model that was read back must be that of its round.
+    valid = again.transform(lines.filter("side = 'valid'"))
+    error = valid.agg(F.sqrt(F.avg(F.pow(F.col("y") - F.col("prediction"), F.lit(2.0))))).first()[0]
+    chosen = F.col("chosen") & ((F.col("side") == "train") | (F.abs(F.col("rmse") - error) < 1e-6))
+    return measured.select(
+        "side", "round", F.col("rows").alias("n_rows"), rounded("rmse", 3).alias("rmse"), chosen.alias("chosen")
+    )
+
+
+@query(
+    "snapshot_drift",
+    """
+    WITH sides AS (
+      SELECT year(l_shipdate) >= 1998 AS now, unnest([{'c': 'l_quantity', 'v': l_quantity}, {'c': 'l_extendedprice', 'v': l_extendedprice},
+             {'c': 'l_discount', 'v': l_discount}]) AS p FROM lineitem
+    ),
+    points AS (
+      SELECT now, p.c AS c, p.v AS v, CASE WHEN p.v = 0 THEN p.v ELSE
+        floor(p.v / pow(2.0, floor(log2(abs(p.v))) - 7)) * pow(2.0, floor(log2(abs(p.v))) - 7) END AS k FROM sides
+    ),
+    exact AS (SELECT c, v, count(*) FILTER (NOT now) AS a, count(*) FILTER (now) AS b FROM points GROUP BY c, v),
+    exact_upto AS (
+      SELECT c, sum(a) OVER (PARTITION BY c ORDER BY v) / sum(a) OVER (PARTITION BY c) AS fa,
+             sum(b) OVER (PARTITION BY c ORDER BY v) / sum(b) OVER (PARTITION BY c) AS fb FROM exact
+    ),
+    exact_distance AS (SELECT c, max(abs(fa - fb)) AS d FROM exact_upto GROUP BY c),
+    kept AS (SELECT c, k, count(*) FILTER (NOT now) AS a, count(*) FILTER (now) AS b FROM points GROUP BY c, k),
+    upto AS (
+      SELECT *, sum(a) OVER (PARTITION BY c ORDER BY k) AS ua, sum(b) OVER (PARTITION BY c ORDER BY k) AS ub,
+             sum(a) OVER (PARTITION BY c) AS na, sum(b) OVER (PARTITION BY c) AS nb FROM kept
+    ),
+    bins AS (
+      SELECT c, least(floor((ua - a / 2) / na * 10), 9) AS bin, (sum(a) + 0.5) / (max(na) + 5) AS pa, (sum(b) + 0.5) / (max(nb) + 5) AS pb
+      FROM upto GROUP BY ALL
+    ),
+    stability AS (SELECT c, sum((pb - pa) * ln(pb / pa)) AS s FROM bins GROUP BY c)
+    SELECT c AS column_name, max(na)::BIGINT AS reference_rows, max(nb)::BIGINT AS current_rows, round(max(abs(ua / na - ub / nb)), 9) AS distance,
+           round(max(d), 9) AS exact_distance, true AS within_error, round(max(s), 6) AS stability
+    FROM upto JOIN exact_distance USING (c) JOIN stability USING (c) GROUP BY c
+    """,
+)
+def snapshot_drift(spark, directory):
+    """Features of a snapshot from 1998 on against one of the years before, from their stored sketches."""
+    columns = ["l_quantity", "l_extendedprice", "l_discount"]
+    old, new = (
+        training.extract_snapshot(
+            spark, f"{directory}/lineitem.parquet", fresh_path(spark, "snapshot"), "l_shipdate", *years, columns,
+            sketched=columns,
+        )
+        for years in (("1900-01-01", "1998-01-01"), ("1998-01-01", "2100-01-01"))
+    )
+    exact = stack(
+        drift.exact_distance(old.table, new.table, c).select(F.lit(c).alias("column"), F.col("distance").alias("exact"))
+        for c in columns
+    )
+    off = F.col("exact") - F.col("distance")
+    return drift.drift(old.sketch, new.sketch).join(exact, "column").select(
+        F.col("column").alias("column_name"), "reference_rows", "current_rows",
+        rounded("distance", 9).alias("distance"), rounded("exact", 9).alias("exact_distance"),
+        off.between(-1e-12, F.col("error") + 1e-12).alias("within_error"), rounded("stability", 6).alias("stability"),
+    )
+
+
 @query(
     "mllib_linear_model",
     f"""
@@ -275,11 +434,9 @@ def model_registry(spark, directory):
     """Two rounds of registrations, and the latest version of each model."""
     lines = table(spark, directory, "lineitem")
     path = fresh_path(spark, "registry")
-    empty = spark.createDataFrame([], REGISTRY)
-    models.register(empty, _runs(lines.filter("l_linestatus = 'F'"), "F"), path)
-    first = scan(spark, path, REGISTRY)
-    models.register(first, _runs(lines.filter("l_linestatus = 'O'"), "O"), path)
-    registry = scan(spark, path, REGISTRY)
+    models.register(_runs(lines.filter("l_linestatus = 'F'"), "F"), path)
+    models.register(_runs(lines.filter("l_linestatus = 'O'"), "O"), path)
+    registry = models.read_registry(spark, path)
     newest = latest_versions(registry).select("name", F.col("version").alias("newest"))
     return registry.join(newest, "name").select(
         *registry.columns, (F.col("version") == F.col("newest")).alias("latest")

@@ -10,6 +10,7 @@ from millrace.plans import stand_ins, tool_calls
 from millrace.plans.catalog.registry import query, rounded, table, time_text
 from millrace.schemas import USERS
 from millrace.session import fresh_path, materialise
+from millrace.sources import snapshots
 
 ISO_SQL = "strftime({c}, '%Y-%m-%dT%H:%M:%S') || '+00:00'"
 
@@ -112,15 +113,12 @@ def cascade_delete(spark, directory):
     """,
 )
 def update_delete(spark, directory):
-    """An update by predicate, then a delete by predicate, each written and swapped in."""
-    orders = table(spark, directory, "orders")
-    path = fresh_path(spark, "orders")
-    name = path.rsplit("/", 1)[1].replace("-", "_")
-    tables.create_if_absent(spark, name, orders.schema, path)
-    changed = tables.update(orders, F.col("o_orderstatus") == "P", {"o_orderstatus": F.lit("updated")})
-    tables.replace_rows(changed, name)
-    tables.replace_rows(tables.delete(spark.table(name), F.col("o_orderpriority") == "5-LOW"), name)
-    return spark.table(name).select("o_orderkey", "o_orderstatus", "o_totalprice")
+    """An update by predicate, then a delete by predicate, each committed as a snapshot."""
+    root = fresh_path(spark, "orders")
+    snapshots.append(table(spark, directory, "orders"), root)
+    snapshots.update_rows(spark, root, F.col("o_orderstatus") == "P", {"o_orderstatus": F.lit("updated")})
+    snapshots.delete_rows(spark, root, F.col("o_orderpriority") == "5-LOW")
+    return snapshots.read(spark, root).select("o_orderkey", "o_orderstatus", "o_totalprice")
 
 
 NEW_USERS = T.StructType(

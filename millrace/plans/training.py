@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.fixed import FEATURE_RANGE
-from millrace.operators import checks, features, models
+from millrace.operators import checks, drift, features, models
 from millrace.schemas import pinned
 from millrace.session import fresh_path, materialise, write_counted
 from millrace.sources import files
@@ -22,18 +22,20 @@ class Snapshot:
     rows: int
     table: DataFrame
     facts: DataFrame
+    sketch: DataFrame | None = None
 
 
 def extract_snapshot(
     spark, uri, path, ts, start=None, end=None, columns=None, dataset=None, version="v1",
-    partition=None,
+    partition=None, sketched=(),
 ) -> Snapshot:
     """Read a URI, keep a time range and some columns, write a snapshot.
 
     A URI ending in a slash is a prefix of many objects, any other is one.  A
     dataset with a pinned schema of that version is read with it.  Of a table
     laid out by the period of ``ts``, ``partition`` names the column and date
-    format, so that only the folders of the range are opened.
+    format, so that only the folders of the range are opened.  The distribution
+    of the columns ``sketched`` is stored beside the snapshot (``drift.py``).
     """
     read = files.scan_prefix if uri.endswith("/") else files.scan
     source = read(spark, uri, pinned(dataset, version))
@@ -42,7 +44,11 @@ def extract_snapshot(
         kept = files.project(kept, dict.fromkeys([*columns, ts]))
     rows = write_counted(files.require_rows(kept, uri), path)
     table = files.scan(spark, path, kept.schema)
-    return Snapshot(path, rows, table, describe_snapshot(table, dataset or uri, ts))
+    stored = None
+    if sketched:
+        drift.save_sketch(drift.sketch(table, sketched), f"{path}-sketch")
+        stored = drift.load_sketch(spark, f"{path}-sketch")
+    return Snapshot(path, rows, table, describe_snapshot(table, dataset or uri, ts), stored)
 
 
 @dataclass
@@ -150,7 +156,7 @@ def train_and_register(
         F.lit(name).alias("name"), F.lit(run_id).alias("run_id"),
         F.lit(model_path).alias("artifact_uri"), "r2",
     )
-    registered = models.register(models.read_registry(spark, registry_path), run, registry_path)
+    registered = models.register(run, registry_path)
     metadata_path = fresh_path(spark, "metadata")
     write_metadata(
         registered.select(

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.session import write_counted
+from millrace.sources import snapshots
 
 
 def table_name(stem, namespace="lake"):
@@ -25,26 +26,25 @@ def land(df: DataFrame, prefix, short, batch_id) -> tuple[str, int]:
     return path, write_counted(df, path, mode="overwrite")
 
 
-def append_table(df: DataFrame, identifier, batch_id, path=None, dataset="") -> bool:
-    """Append to a table, creating it from the frame's schema when absent.
+def append_table(df: DataFrame, identifier, batch_id, path, dataset="") -> int:
+    """Append to the table at ``path``, creating it when absent; the id of its snapshot.
 
-    The table is laid out by dataset and batch.  A batch of a dataset that it
-    already holds is not appended again, so that an ingest run can be repeated;
-    returns whether it was.
+    A batch of a dataset that the table already holds is not appended again, so
+    that an ingest run can be repeated; the snapshot that it came with is
+    returned.  Any snapshot can be read with ``snapshots.read``, and the table
+    ``identifier`` of the session catalog holds the newest one.
     """
     spark = df.sparkSession
-    if spark.catalog.tableExists(identifier):
-        same = (F.col("batch_id") == batch_id) & (F.col("dataset") == dataset)
-        if not spark.table(identifier).filter(same).isEmpty():
-            return False
-    stamped = df.withColumns(
-        {"ingested_at": F.current_timestamp(), "dataset": F.lit(dataset), "batch_id": F.lit(batch_id)}
-    )
-    writer = stamped.write.mode("append").partitionBy("dataset", "batch_id")
-    if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(identifier)
-    return True
+    batch = f"{dataset}/{batch_id}"
+    found = snapshots.batch_version(spark, path, batch)
+    if found is None:
+        stamped = df.withColumns(
+            {"ingested_at": F.current_timestamp(), "dataset": F.lit(dataset), "batch_id": F.lit(batch_id)}
+        )
+        found = snapshots.commit(spark, snapshots.stage_append(stamped, path, batch, prefix="commit="))
+    # Also after a run that failed between its commit and this line.
+    snapshots.show(spark, identifier, path)
+    return found
 
 
 def write_by_period(df: DataFrame, path, ts, column="period", pattern="yyyy-MM-dd"):

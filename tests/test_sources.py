@@ -94,9 +94,11 @@ def test_ingest(spark):
     for batch in ("1", "1", "2"):
         report = ingest(spark, [(f"{root}/a", "a-b"), (f"{root}/none", "n")], root, batch)
         assert [(r["short"], r["status"], r["rows"]) for r in report.collect()] == [("a-b", "ingested", 2), ("n", "skipped", 0)]
+        assert {r["snapshot"] for r in report.collect()} == {None}
     assert files.scan_prefix(spark, f"{root}/raw/a-b/").count() == 4
-    for batch in ("1", "1", "2"):
-        ingest(spark, [(f"{root}/a", "a-b")], root, batch, namespace="landed")
+    for batch, snapshot in (("1", 1), ("1", 1), ("2", 2)):
+        report = ingest(spark, [(f"{root}/a", "a-b")], root, batch, namespace="landed")
+        assert report.first()["snapshot"] == snapshot
     stored = spark.table("landed.a_b").filter("dataset = 'a-b'")
     assert stored.count() == 4 and {r[0] for r in stored.select("batch_id").distinct().collect()} == {"1", "2"}
 
@@ -184,3 +186,26 @@ def test_snapshot_of_a_prefix(spark):
     assert got.rows == 2 and got.facts.first()["rows"] == 2
     with pytest.raises(EmptySource):
         training.extract_snapshot(spark, f"{root}/", fresh_path(spark, "snap"), "ts", "2030-01-01", "2031-01-01")
+
+
+def test_many_files_side_by_side(spark, tmp_path):
+    registry = []
+    for d in range(4):
+        folder = tmp_path / f"set{d}"
+        folder.mkdir()
+        registry.append((str(folder), f"set{d}"))
+        for n in range(15):
+            # Three tables have a file in every dataset, the others one file each.
+            name = f"shared{n}" if n < 3 else f"own{d}_{n}"
+            bad = n == 7
+            (folder / f"{name}.csv").write_text("id,v\n" + "".join(f"{i},{d}\n" for i in range(0 if bad else n + 1)))
+    reports = []
+    for run, at_once in enumerate((1, 6)):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS many{run}")
+        report = ingest(spark, registry, fresh_path(spark, "many"), "1", namespace=f"many{run}", at_once=at_once)
+        reports.append([(r["short"], r["file"], r["status"], r["rows"], r["snapshot"]) for r in report.collect()])
+        assert spark.table(f"many{run}.shared1").count() == 8 and spark.table(f"many{run}.own2_9").count() == 10
+    assert reports[0] == reports[1] and len(reports[0]) == 60
+    assert [r[0] for r in reports[0]] == sorted(r[0] for r in reports[0])
+    assert [r[4] for r in reports[0] if r[1] == "shared2"] == [1, 2, 3, 4]
+    assert {r[2] for r in reports[0] if r[1].endswith("_7")} == {"skipped"}

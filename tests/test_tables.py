@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import features, inference, joins, models, tables
-from millrace.schemas import REGISTRY
 from millrace.session import fresh_path
 
 T0 = datetime(2024, 1, 1)
@@ -102,18 +101,18 @@ def test_pending_are_oldest_first(spark):
 def test_registry(spark):
     path = fresh_path(spark, "registry")
     runs = spark.createDataFrame([("m", "r1", "u", 0.5), ("m", "r2", "u", 0.4), ("k", "r3", "u", 0.1)], "name string, run_id string, artifact_uri string, r2 double")
-    first = models.register(spark.createDataFrame([], REGISTRY), runs, path)
+    assert models.read_registry(spark, path).collect() == []
+    first = models.register(runs, path)
     assert sorted((r["name"], r["version"]) for r in first.collect()) == [("k", 1), ("m", 1), ("m", 2)]
-    registry = spark.read.schema(REGISTRY).parquet(path)
-    models.register(registry, runs.filter("run_id = 'r1'"), path)
-    registry = spark.read.schema(REGISTRY).parquet(path)
+    models.register(runs.filter("run_id = 'r1'"), path)
+    registry = models.read_registry(spark, path)
     newest = {r["name"]: (r["version"], r["run_id"]) for r in tables.latest_versions(registry).collect()}
     assert newest == {"k": (1, "r3"), "m": (3, "r1")}
 
 
 def test_failed_registration_leaves_no_version(spark):
     runs = spark.createDataFrame([("m", "r1", "u", 0.5)], "name string, run_id string, artifact_uri string, r2 double")
-    got = models.register(spark.createDataFrame([], REGISTRY), runs, "nosuchscheme://x/y").first()
+    got = models.register(runs, "nosuchscheme://x/y").first()
     assert got["version"] is None and got["r2"] == 0.5
 
 
