@@ -137,6 +137,69 @@ def ttl_lookup(spark, directory):
     return _asof(spark, directory, ttl_micros=DAY)
 
 
+FEATURES_SQL = """
+    WITH buys AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase')
+    SELECT b.event_id, b.user_id, coalesce(c.value, -1) AS click_value,
+           CASE WHEN b.ts < v.ts + INTERVAL 1 DAY THEN v.value ELSE -1 END AS view_value,
+           CASE WHEN b.ts < s.ts + INTERVAL 3 DAY THEN strftime(s.ts, '%Y-%m-%d %H:%M:%S.%f') ELSE '' END AS signup_ts
+    FROM buys b
+    ASOF LEFT JOIN (FROM events WHERE event_type = 'click') c ON b.user_id = c.user_id AND b.ts >= c.ts
+    ASOF LEFT JOIN (FROM events WHERE event_type = 'view') v ON b.user_id = v.user_id AND b.ts >= v.ts
+    ASOF LEFT JOIN (FROM events WHERE event_type = 'signup') s ON b.user_id = s.user_id AND b.ts >= s.ts
+"""
+
+
+def _features_as_of(spark, directory, **options):
+    events = table(spark, directory, "events")
+    kinds = {"click": None, "view": DAY, "signup": 3 * DAY}
+    tables = [
+        timeline.FeatureTable(
+            kind, events.filter(F.col("event_type") == kind).select("user_id", "ts", "value"), "ts", ("value",), ttl
+        )
+        for kind, ttl in kinds.items()
+    ]
+    buys = events.filter("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    found = timeline.asof_join_all(buys, tables, "user_id", "ts", **options)
+    return found.select(
+        "event_id", "user_id",
+        F.coalesce("click_value", F.lit(-1.0)).alias("click_value"),
+        F.coalesce("view_value", F.lit(-1.0)).alias("view_value"),
+        F.coalesce(time_text("signup_ts"), F.lit("")).alias("signup_ts"),
+    )
+
+
+@query("features_as_of", FEATURES_SQL)
+def features_as_of(spark, directory):
+    """Three feature tables as of each purchase, two of them expiring, by one pass over time."""
+    return _features_as_of(spark, directory)
+
+
+@query("features_as_of_sliced", FEATURES_SQL)
+def features_as_of_sliced(spark, directory):
+    """The same by the plan for very large entities."""
+    return _features_as_of(spark, directory, limits=SLICED)
+
+
+@query(
+    "rolling_spread",
+    """
+    SELECT event_id, user_id, count(DISTINCT event_type) OVER w AS rolling_distinct,
+           round(quantile_cont(value, 0.5) OVER w + 1e-9, 6) AS rolling_p50, round(quantile_cont(value, 0.9) OVER w + 1e-9, 6) AS rolling_p90
+    FROM events
+    WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND CURRENT ROW)
+    """,
+)
+def rolling_spread(spark, directory):
+    """Kinds of event, median and ninetieth percentile of a user's last seven days."""
+    found = timeline.rolling_spread(
+        table(spark, directory, "events"), "user_id", "ts", "value", "event_type", 7 * DAY, (0.5, 0.9)
+    )
+    return found.select(
+        "event_id", "user_id", "rolling_distinct", rounded_average("rolling_p50", 6).alias("rolling_p50"),
+        rounded_average("rolling_p90", 6).alias("rolling_p90"),
+    )
+
+
 ROLLING_SQL = """
     SELECT event_id, user_id, count(value) OVER w AS rolling_count, round(sum(value) OVER w, 4) AS rolling_sum,
            round(sum(value) OVER w / count(value) OVER w + 1e-9, 6) AS rolling_avg,

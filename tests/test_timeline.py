@@ -192,3 +192,80 @@ def test_column_names_do_not_clash(spark, plan):
     for out in outs:
         assert out.columns[: len(df.columns)] == df.columns
         assert sorted(map(repr, out.select(df.columns).collect())) == given
+
+
+def feature_tables(df):
+    part = lambda kind: df.filter(F.col("kind") == kind).select("u", F.col("ts").alias("at"), F.col("id").alias("fid"), "v")
+    return [
+        timeline.FeatureTable("a", part("a"), "at", ("fid", "v"), tie="fid"),
+        timeline.FeatureTable("b", part("b"), "at", ("fid",), ttl_micros=90 * 60_000_000, tie="fid"),
+        timeline.FeatureTable("none", part("nothing"), "at", ("v",)),
+    ]
+
+
+def test_several_tables_at_once(spark, limits):
+    rows = skewed(21)
+    df = events(spark, rows)
+    found = timeline.asof_join_all(df, feature_tables(df), "u", "ts", limits=limits).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        seen = {}
+        for kind in "ab":
+            known = [(f[2], f[0], f[3]) for f in rows if f[4] == kind and f[1] is not None and f[1] == r["u"] and f[2] <= r["ts"]]
+            seen[kind] = max(known, key=lambda k: k[:2]) if known else (None, None, None)
+        assert (r["a_at"], r["a_fid"], r["a_v"]) == seen["a"]
+        held = seen["b"][0] is not None and r["ts"] < seen["b"][0] + timedelta(minutes=90)
+        assert (r["b_at"], r["b_fid"]) == (seen["b"][:2] if held else (None, None))
+        assert r["none_at"] is None and r["none_v"] is None
+
+
+def test_several_tables_move_the_entities_once(spark):
+    df = events(spark, skewed(22))
+    plan = timeline.asof_join_all(df, feature_tables(df)[:2], "u", "ts")._jdf.queryExecution().optimizedPlan().toString()
+    # One ordered pass, and no join.
+    assert plan.count("Window [") == 1 and "Join" not in plan
+
+
+def test_spread_of_ordinary_entities_is_exact(spark):
+    rows = skewed(23)
+    span = 60 * 60_000_000
+    found = timeline.rolling_spread(events(spark, rows), "u", "ts", "v", "kind", span, (0.0, 0.5, 0.9)).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        mine = [f for f in rows if f[1] == r["u"] and r["ts"] - timedelta(hours=1) <= f[2] <= r["ts"]]
+        assert r["rolling_distinct"] == len({f[4] for f in mine})
+        values = sorted(f[3] for f in mine if f[3] is not None)
+        for p, got in ((0.0, r["rolling_p00"]), (0.5, r["rolling_p50"]), (0.9, r["rolling_p90"])):
+            if not values:
+                assert got is None
+                continue
+            place = p * (len(values) - 1)
+            low = int(place)
+            high = min(low + 1, len(values) - 1)
+            assert got == pytest.approx(values[low] + (values[high] - values[low]) * (place - low))
+
+
+def test_spread_of_a_hot_entity_is_close(spark):
+    r = random.Random(24)
+    # One entity with nearly all rows, and one of ordinary size.
+    rows = [(i, 1 if i % 10 else 2, BASE + timedelta(seconds=r.randrange(4_000)), float(r.randrange(5_000)), f"k{r.randrange(1_500)}") for i in range(4_000)]
+    span = 1_500 * 1_000_000
+    limits = Limits(group_rows=1_000, frame_rows=500, slot_rows=300, block_rows=200)
+    found = timeline.rolling_spread(events(spark, rows), "u", "ts", "v", "kind", span, (0.1, 0.5, 0.9), limits=limits).collect()
+    assert len(found) == len(rows)
+    by_id = {f[0]: f for f in rows}
+    for n, got in enumerate(sorted(found, key=lambda f: f["id"])):
+        if n % 23:
+            continue
+        me = by_id[got["id"]]
+        mine = [f for f in rows if f[1] == me[1] and me[2] - timedelta(seconds=1_500) <= f[2] <= me[2]]
+        distinct, values = len({f[4] for f in mine}), sorted(f[3] for f in mine)
+        if me[1] == 2:
+            assert got["rolling_distinct"] == distinct
+            continue
+        # Five times the stated error, which is that of one in about a million.
+        assert abs(got["rolling_distinct"] - distinct) <= max(2, 5 * 0.016 * distinct)
+        for p, name in ((0.1, "rolling_p10"), (0.5, "rolling_p50"), (0.9, "rolling_p90")):
+            rank = sum(v <= got[name] for v in values) / len(values)
+            below = sum(v < got[name] for v in values) / len(values)
+            assert below - 5 * 0.0133 <= p <= rank + 5 * 0.0133
