@@ -74,6 +74,7 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
+_OFFER = re.compile(r"[$€£]\s?\d|\d\s?(?:[€£%]|EUR\b|USD\b)")
 _BETWEEN = re.compile(r"[_-]+")
 
 
@@ -228,17 +229,19 @@ def _first_pass(text: str, block: Block, contained: bool, prose: bool, rules: Ru
     inside, outside = contained and block.inside, contained and not block.inside
     if block.linked > rules.most_links * length:
         return None if inside and length < rules.short else False
-    if "©" in text and not (inside and length >= rules.long):
+    density = _stop_words(text)
+    if "©" in text and not (inside and (length >= rules.long or density >= rules.few_stop_words)):
         return False
     if block.heading:
         return None
     if length < rules.short:
         return False if outside else None
-    density = _stop_words(text)
     if outside:
         return density >= rules.many_stop_words and length >= rules.long
     if inside:
+        # Few stop words alone may be names or numbers in prose; an offer or links are a second sign.
         unlike = prose and length >= rules.long and density < rules.few_stop_words / 2 and not block.listing
+        unlike = unlike and bool(block.linked or _OFFER.search(text))
         return True if density >= rules.few_stop_words else False if unlike else None
     if density >= rules.many_stop_words:
         return True if length >= rules.long else None

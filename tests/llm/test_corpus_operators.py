@@ -195,7 +195,7 @@ def test_class_bigrams(docs, empty, texts):
         assert r["base_score"] == pytest.approx(base) and r["score"] < 0
     assert len(rows) == docs.count() and score_texts(empty, learned).count() == 0
     # Words of many blocks, summed up in parts, give the same model.
-    small = bigrams.Settings(block_chars=3000, least_share=1)
+    small = bigrams.Settings(block_chars=3000)
     for first, second in [(small, small._replace(word_blocks=1)), (small, small._replace(word_blocks=0))]:
         one, two = (sorted(map(repr, score_texts(docs, learned, settings=s).select(
             "doc_id", "n_known", "train_tokens", F.round("base_score", 6), F.round("score", 6)).collect()))
@@ -210,7 +210,7 @@ def test_class_bigrams_do_not_depend_on_blocks(spark):
     some = lambda n: [words[4 * int(100 * draw.random() ** 3) + (at + (draw.random() < 0.3)) % 4] for at in range(n)]
     rows = [(n, " ".join(some(80)), *[None] * 6) for n in range(120)]
     df = spark.createDataFrame(rows, SCHEMA).coalesce(1)
-    few = bigrams.Settings(classes=4, frequent=20, least_share=10**9)
+    few = bigrams.Settings(classes=4, frequent=20)
     got = [
         {r["doc_id"]: r["score"] for r in score_texts(df, F.lit(True), settings=few._replace(block_chars=n)).collect()}
         for n in (1, 8_000_000)
