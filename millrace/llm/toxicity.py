@@ -11,6 +11,7 @@ A logistic regression turns the scores of a text into a probability.
 
 import math
 import re
+from collections.abc import Iterator
 from typing import NamedTuple
 from zlib import crc32
 
@@ -20,7 +21,6 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from millrace.llm.frames import listed
 from millrace.session import materialise
@@ -52,6 +52,9 @@ class Settings(NamedTuple):
     regularisation: float = 0.002
 
 
+#: Words that a task counts before it hands them on, and rows of a frame then.
+HELD_WORDS, OUT_ROWS = 200_000, 50_000
+
 FEATURES = ("abuse", "quoted", "misspelled", "terms", "densest", "rate")
 
 
@@ -198,25 +201,35 @@ def _word_counts(frames):
     ``contexts`` has one bit, of 63, per hash of the word before the first
     occurrence in a toxic text: near copies of a text do not add contexts.
     """
-    counts: dict[str, list[int]] = {}
+    # One small number a word: texts of both kinds; contexts only for words of toxic texts.
+    counts: dict[str, int] = {}
+    toxic_counts: dict[str, int] = {}
+    contexts: dict[str, int] = {}
 
     def made():
-        clean, toxic, contexts = zip(*counts.values())
-        return pd.DataFrame({"word": list(counts), "toxic": toxic, "clean": clean, "contexts": contexts})
+        words = list(counts)
+        for at in range(0, len(words), OUT_ROWS):
+            part = words[at : at + OUT_ROWS]
+            toxic = np.fromiter((toxic_counts.get(w, 0) for w in part), np.int64, len(part))
+            total = np.fromiter((counts[w] for w in part), np.int64, len(part))
+            marks = np.fromiter((contexts.get(w, 0) for w in part), np.int64, len(part))
+            yield pd.DataFrame({"word": part, "toxic": toxic, "clean": total - toxic, "contexts": marks})
+        counts.clear(), toxic_counts.clear(), contexts.clear()
 
     for frame in frames:
         for text, toxic in zip(frame["text"], frame["toxic"]):
             words = WORD.findall((text or "").lower())
-            for word, before in dict(zip(reversed(words), reversed(["", *words[:-1]]))).items():
-                found = counts.setdefault(word, [0, 0, 0])
-                found[toxic] += 1
-                if toxic:
-                    found[2] |= 1 << crc32(before.encode()) % 63
-            if len(counts) > 400_000:
-                yield made()
-                counts.clear()
-    if counts:
-        yield made()
+            if toxic:
+                for word, before in dict(zip(reversed(words), reversed(["", *words[:-1]]))).items():
+                    counts[word] = counts.get(word, 0) + 1
+                    toxic_counts[word] = toxic_counts.get(word, 0) + 1
+                    contexts[word] = contexts.get(word, 0) | 1 << crc32(before.encode()) % 63
+            else:
+                for word in set(words):
+                    counts[word] = counts.get(word, 0) + 1
+            if len(counts) > HELD_WORDS:
+                yield from made()
+    yield from made()
 
 
 def learn_lexicon(texts: DataFrame, settings=Settings()) -> tuple[list[Term], frozenset]:
@@ -306,19 +319,20 @@ def learn(texts: DataFrame, settings=Settings()) -> Model:
 def score(docs: DataFrame, model: Model, text_col="text", name="score") -> DataFrame:
     """``docs`` with a probability of being toxic, from the whole text alone.
 
-    A null or empty text scores as a text without any hit.
+    A null or empty text scores as a text without any hit.  Only the text goes
+    to Python and only the score comes back.
     """
 
-    def scored(frames):
+    @F.pandas_udf("double")
+    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         matcher = Matcher(model.terms, model.exceptions, model.settings.fuzzy_length)
         weights = np.array(model.coefficients)
-        for frame in frames:
-            found = [features_of(t, matcher, model.terms, model.settings.window) for t in frame[text_col]]
-            logits = np.array(found).reshape(len(frame), -1) @ weights + model.intercept
-            yield frame.assign(**{name: 1.0 / (1.0 + np.exp(-np.clip(logits, -500, 500)))})
+        for texts in batches:
+            found = [features_of(t, matcher, model.terms, model.settings.window) for t in texts]
+            logits = np.array(found).reshape(len(texts), -1) @ weights + model.intercept
+            yield pd.Series(1.0 / (1.0 + np.exp(-np.clip(logits, -500, 500))))
 
-    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
-    return docs.mapInPandas(scored, schema)
+    return docs.withColumn(name, scored(F.col(text_col).cast("string")))
 
 
 def labelled_texts(docs: DataFrame, labels: DataFrame, learned, id_col="doc_id", text_col="text") -> DataFrame:
