@@ -74,7 +74,13 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
-_OFFER = re.compile(r"[$€£]\s?\d|\d\s?(?:[€£%]|EUR\b|USD\b)")
+# Fixed list: words of offers, in the four languages; two of them, or a price, make an offer.
+SALES = frozenset(
+    "sale sales offer offers discount coupon promo deal deals buy shop outlet voucher price prices "
+    "angebot angebote rabatt aktion gutschein preis preise kaufen sparen bestellen "
+    "soldes promotion remise achetez prix offre panier livraison oferta ofertas descuento precio precios compra rebajas cupón".split()
+)
+_PRICE = re.compile(r"[$€£]\s?\d|\d\s?(?:[€£%]|EUR\b|USD\b)")
 _BETWEEN = re.compile(r"[_-]+")
 
 
@@ -241,13 +247,17 @@ def _first_pass(text: str, block: Block, contained: bool, prose: bool, rules: Ru
     if inside:
         # Few stop words alone may be names or numbers in prose; an offer or links are a second sign.
         unlike = prose and length >= rules.long and density < rules.few_stop_words / 2 and not block.listing
-        unlike = unlike and bool(block.linked or _OFFER.search(text))
+        unlike = unlike and (block.linked > 0 or _offers(text))
         return True if density >= rules.few_stop_words else False if unlike else None
     if density >= rules.many_stop_words:
         return True if length >= rules.long else None
     return None if density >= rules.few_stop_words else False
 
 
+def _offers(text: str) -> bool:
+    return bool(_PRICE.search(text)) or len(SALES.intersection(_WORD.findall(text.lower()))) > 1
+
+
 def _stop_words(text: str) -> float:
     words = _WORD.findall(text.lower())
     return sum(w in STOP_WORDS for w in words) / max(1, len(words))

@@ -337,4 +337,4 @@ def test_pipeline_stages(spark, docs, empty, tmp_path):
 
 
 def test_every_operator_is_registered():
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in catalog.queries()} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in catalog.queries()} == set(range(1, 14))
