@@ -236,7 +236,7 @@ def _first_pass(text: str, block: Block, contained: bool, prose: bool, rules: Ru
     if block.linked > rules.most_links * length:
         return None if inside and length < rules.short else False
     density = _stop_words(text)
-    if "©" in text and not (inside and (length >= rules.long or density >= rules.few_stop_words)):
+    if "©" in text and not (inside and (length >= rules.long or length >= rules.short and density >= rules.few_stop_words)):
         return False
     if block.heading:
         return None
