@@ -8,6 +8,9 @@ are searched through a graph of their neighbours, which every task holds in
 memory.  A query reads the lists whose centre is at most ``ratio`` times as far
 as the nearest one; the ratio is measured on sample queries against a search of
 all vectors, so that the wanted recall is met.
+
+Vectors far longer than nearly all others would leave no digits for the rest;
+they stay out of the index and are compared with every query.
 """
 
 import math
@@ -141,6 +144,12 @@ def lengthened(vectors: np.ndarray, longest: float) -> np.ndarray:
     return np.hstack([vectors, rest[:, None]])
 
 
+def directions(vectors: np.ndarray) -> np.ndarray:
+    """Vectors of length one; no size of components is too large or too small."""
+    vectors = vectors / np.abs(vectors).max(1)[:, None]
+    return vectors / np.sqrt((vectors**2).sum(1))[:, None]
+
+
 def _products(queries, which_query, vectors, which_vector, at_a_time=20_000) -> np.ndarray:
     """Inner products of chosen pairs, summed component by component, so that
     equal vectors tie."""
@@ -205,7 +214,7 @@ def _probed(index: Index, ratio: float, shard_of: np.ndarray):
             for at in range(0, len(frame), 256):
                 part = frame.iloc[at : at + 256]
                 vectors = _stack(part)
-                points = np.hstack([vectors * (index.longest / np.sqrt((vectors**2).sum(1))[:, None]), np.zeros((len(part), 1))])
+                points = np.hstack([directions(vectors) * index.longest, np.zeros((len(part), 1))])
                 row, centre, _ = near_centres(index, points, ratio)
                 shards = shard_of[centre]
                 order = np.lexsort((centre, shards, row))
@@ -229,6 +238,9 @@ def _by_shard(k: int):
         vectors = vectors.sort_values(["list", "vec_id"], kind="stable")
         lists, ids, points = vectors["list"].to_numpy(), vectors["vec_id"].to_numpy(), _stack(vectors)
         asked = _stack(queries)
+        # A power of two taken out of a query, and given back to its scores, changes no digit.
+        _, power = np.frexp(np.abs(asked).max(1))
+        asked = np.ldexp(asked, -power[:, None])
         sizes = queries["lists"].map(len).to_numpy()
         who, which = np.repeat(np.arange(len(queries)), sizes), np.concatenate(queries["lists"].to_list())
         order = np.argsort(which, kind="stable")
@@ -246,7 +258,9 @@ def _by_shard(k: int):
         if not parts:
             return pd.DataFrame({c: [] for c in columns})
         rows, found = (np.concatenate(p) for p in zip(*parts))
-        rows, vec_ids, scores = _best(rows, ids[found], _products(asked, rows, points, found), k)
+        power = power + queries["exponent"].to_numpy()
+        scores = np.ldexp(_products(asked, rows, points, found), power[rows] + vectors["exponent"].to_numpy()[found])
+        rows, vec_ids, scores = _best(rows, ids[found], scores, k)
         return pd.DataFrame({"query_id": names[rows], "vec_id": vec_ids, "score": scores})
 
     return run
@@ -305,7 +319,7 @@ def fit(written: DataFrame, rows: int, settings: Settings, k: int) -> tuple[Inde
     near = near.drop_duplicates(["query_id", "vec_id"])
     row, centre, _ = near_centres(index, lengthened(_stack(near), longest), settings.boundary)
     keep = _first(row, settings.copies)
-    asked = points * (longest / np.sqrt((points**2).sum(1))[:, None])
+    asked = directions(points) * longest
     away = _distances(np.hstack([asked, np.zeros((len(asked), 1))]), index.centres)
     away /= np.maximum(away.min(1, keepdims=True), 1e-300)
     at = {name: position for position, name in enumerate(ids)}
@@ -315,6 +329,34 @@ def fit(written: DataFrame, rows: int, settings: Settings, k: int) -> tuple[Inde
     return index, float(np.quantile(needed, settings.recall, method="higher")) * (1 + 1e-9)
 
 
+FAR = 2.0**20
+
+
+def _scaled(written: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """The vectors that an index can hold, and those far longer, if there are any.
+
+    ``exponent`` is the power of two that was taken out of a vector, one for
+    all of either frame.  At most one vector in a hundred is far longer: than
+    ``FAR`` times the largest component of the 99th percentile.
+    """
+    size = F.array_max(F.transform("vector", F.abs))
+    facts = written.agg(F.percentile_approx(size, 0.99, 1_000).alias("typical"), F.max(size).alias("most")).first()
+    typical, most = facts["typical"], facts["most"]
+    usual = 2.0**-100 < typical < 2.0**100
+
+    def shifted(df, by):
+        # In two steps, as a power of two may itself be too large.
+        halves = [2.0 ** -(by // 2), 2.0 ** -(by - by // 2)]
+        vector = F.transform("vector", lambda x: x * F.lit(halves[0]) * F.lit(halves[1])) if by else F.col("vector")
+        return df.select("vec_id", vector.alias("vector"), F.lit(by).alias("exponent"))
+
+    taken = 0 if usual else math.frexp(typical)[1]
+    if most / FAR <= typical:
+        return shifted(written, taken), None
+    far = size / F.lit(FAR) > typical
+    return shifted(written.filter(~far), taken), shifted(written.filter(far), math.frexp(most)[1])
+
+
 def nearest(vectors: DataFrame, is_query, k=20, id_col="vec_id", vector_col="embedding", settings=Settings()) -> DataFrame:
     """(query_id, rank, vec_id, score): the nearest found of each query.
 
@@ -323,15 +365,19 @@ def nearest(vectors: DataFrame, is_query, k=20, id_col="vec_id", vector_col="emb
     double precision, the same for equal vectors; ties go to the smaller id.
     With fewer candidates than ``k`` a query has that many rows.  ``usable``
     says which rows take part; rows that repeat an id are one candidate.
+    Components may have any finite size; a score that passes the range of
+    doubles is infinite.
     """
     schema = "query_id long, rank int, vec_id long, score double"
     written, rows = materialise(usable(vectors, id_col, vector_col), "vectors")
     if not rows:
         return written.sparkSession.createDataFrame([], schema)
+    written, far = _scaled(written)
+    if far is not None:
+        (written, rows), (far, far_rows) = materialise(written, "vectors"), materialise(far, "far")
     index, ratio = fit(written, rows, settings, k)
-    posted, entries = materialise(
-        written.mapInPandas(_posted(index, settings), "vec_id long, vector array<double>, list int"), "postings"
-    )
+    columns = "vec_id long, vector array<double>, exponent int"
+    posted, entries = materialise(written.mapInPandas(_posted(index, settings), f"{columns}, list int"), "postings")
     # Shards: runs of lists in the order of the splits, and parts of lists that are too long.
     count = len(index.centres)
     shards = max(1, math.ceil(entries / settings.shard_rows))
@@ -342,11 +388,20 @@ def nearest(vectors: DataFrame, is_query, k=20, id_col="vec_id", vector_col="emb
     parts = sharded.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / settings.shard_rows / 1.5).cast("int").alias("parts"))
     parts, _ = materialise(parts, "parts")
     sharded = sharded.join(parts, "shard").withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int"))
-    asked = written.filter(is_query).dropDuplicates(["vec_id"])
-    asked = asked.mapInPandas(_probed(index, ratio, shard_of), "vec_id long, vector array<double>, shard int, lists array<int>")
+    sharded = sharded.drop("parts")
+    queries = written if far is None else written.unionByName(far)
+    queries = queries.filter(is_query).dropDuplicates(["vec_id"])
+    asked = queries.mapInPandas(_probed(index, ratio, shard_of), f"{columns}, shard int, lists array<int>")
     asked = asked.join(parts, "shard").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    if far is not None:
+        # Shards of their own, which every query reads.
+        more = max(1, math.ceil(far_rows / settings.shard_rows))
+        place = (shards + F.pmod(F.xxhash64("vec_id"), F.lit(more))).cast("int")
+        sharded = sharded.unionByName(far.withColumns({"list": F.lit(-1), "shard": place, "part": F.lit(0)}))
+        every = F.explode(F.sequence(F.lit(shards), F.lit(shards + more - 1)))
+        asked = asked.unionByName(queries.withColumns({"lists": F.array(F.lit(-1)), "shard": every, "part": F.lit(0)}))
     found = (
-        sharded.drop("parts")
+        sharded
         .groupBy("shard", "part")
         .cogroup(asked.groupBy("shard", "part"))
         .applyInPandas(_by_shard(k), "query_id long, vec_id long, score double")
