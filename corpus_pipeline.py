@@ -20,21 +20,32 @@ from millrace.session import materialise, pin_settings, unused_name
 
 
 def drop_toxic(spark, docs, sf_dir):
-    """Documents that score below a half; learned from all labelled documents."""
+    """Documents that score below a half; learned from all labelled documents.
+
+    A null or empty text has no hit and stays unless most labelled documents are
+    toxic; rows that repeat, also an id, and rows without an id are scored each
+    on its own; an empty table stays empty.
+    """
     model = learn(labelled_texts(docs, load(spark, sf_dir, "labels"), F.lit(True)))
     name = unused_name(docs, "_score")
     return score(docs, model, name=name).filter(F.col(name) < 0.5).drop(name)
 
 
 def drop_poor(spark, docs, sf_dir):
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep.
+
+    Null, empty and short texts go; rows that repeat, also an id, and rows
+    without an id are judged each on its own; an empty table stays empty.
+    """
     return kept_documents(docs)
 
 
 def drop_near_duplicates(spark, docs, sf_dir):
     """The document with the smallest id of each group of at least 80 % common shingles.
 
-    Of rows with one and the same id, one stays.
+    Of rows with one and the same id, the one stays whose columns have the
+    smallest hash, in every run the same.  Rows without an id all stay, as do
+    null and empty texts, which resemble nothing.
     """
     groups = near_duplicates(docs, settings=Settings(percent=80))
     gone = listed(groups.filter("not kept").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
@@ -49,11 +60,17 @@ def _one_per_id(docs):
         return docs
     single = docs.join(repeated, docs["doc_id"] == repeated["_again"], "left_anti")
     again = docs.join(repeated, docs["doc_id"] == repeated["_again"], "left_semi")
-    return single.unionByName(again.dropDuplicates(["doc_id"]))
+    first = F.min_by(F.struct(*docs.columns), F.xxhash64(F.to_json(F.struct(*docs.columns)))).alias("first")
+    chosen = again.groupBy(F.col("doc_id").alias("_again")).agg(first).select("first.*")
+    return single.unionByName(chosen)
 
 
 def hide_secrets(spark, docs, sf_dir):
-    """All documents, with a mark in place of each secret; n_chars follows."""
+    """All documents, with a mark in place of each secret; n_chars follows.
+
+    Null and empty texts hold none and stay as they are; so does every row,
+    repeated or without an id.
+    """
     clean = redacted(docs)
     if "n_chars" not in clean.columns:
         return clean
@@ -62,7 +79,11 @@ def hide_secrets(spark, docs, sf_dir):
 
 
 def pack_sequences(spark, docs, sf_dir):
-    """The pieces of all documents in sequences of at most 2048 tokens."""
+    """The pieces of all documents in sequences of at most 2048 tokens.
+
+    A null or empty text is a piece of one token, the end; rows that repeat are
+    packed each on its own; an empty table gives no pieces.
+    """
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

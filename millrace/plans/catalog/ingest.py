@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from millrace.operators import models
 from millrace.plans import training
 from millrace.plans.catalog.registry import query, rounded, table, time_text
-from millrace.schemas import ORDERS, RUN_METADATA
+from millrace.schemas import CUSTOMER, ORDERS, RUN_METADATA
 from millrace.session import fresh_path, write_counted
 from millrace.sources import files, metadata, sinks, snapshots
 from millrace.sources.ingest import ingest
@@ -30,6 +30,29 @@ def csv_scan_roundtrip(spark, directory):
     )
 
 
+@query(
+    "csv_preview",
+    """
+    SELECT kind_of.column_name, kind_of.kind, least(2, (SELECT count(*) FROM customer)) AS previewed,
+           (SELECT count(*) FROM customer) AS n_rows
+    FROM (VALUES ('c_custkey', 'bigint'), ('c_name', 'string'), ('c_nationkey', 'int'), ('c_acctbal', 'double'),
+                 ('c_mktsegment', 'string')) AS kind_of(column_name, kind)
+    """,
+)
+def csv_preview(spark, directory):
+    """What a log line says of a CSV file: its columns and types, and how many rows it shows."""
+    root = fresh_path(spark, "csv")
+    table(spark, directory, "customer").write.option("header", True).csv(root)
+    rows = files.scan_csv(spark, root, CUSTOMER)
+    head, kinds = files.preview(rows)
+    counted = rows.agg(F.count(F.lit(1)).alias("n_rows"))
+    shown = head.agg(F.count(F.lit(1)).alias("previewed"))
+    listed = spark.createDataFrame(kinds, "column_name string, kind string")
+    return listed.select(
+        "column_name", "kind", shown.scalar().alias("previewed"), counted.scalar().alias("n_rows")
+    )
+
+
 @query(
     "ingest_report",
     """
