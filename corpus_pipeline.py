@@ -19,6 +19,15 @@ from millrace.llm.toxicity import labelled_texts, learn, score
 from millrace.session import materialise, pin_settings, unused_name
 
 
+#: Whole texts go to Python a thousand at a time: workers, and what hands rows to
+#: them, hold that many at once.
+BATCH_ROWS = 1_000
+
+
+def _small_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def drop_toxic(spark, docs, sf_dir):
     """Documents that score below a half; learned from all labelled documents.
 
@@ -26,6 +35,7 @@ def drop_toxic(spark, docs, sf_dir):
     toxic; rows that repeat, also an id, and rows without an id are scored each
     on its own; an empty table stays empty.
     """
+    _small_batches(spark)
     model = learn(labelled_texts(docs, load(spark, sf_dir, "labels"), F.lit(True)))
     name = unused_name(docs, "_score")
     return score(docs, model, name=name).filter(F.col(name) < 0.5).drop(name)
@@ -47,6 +57,7 @@ def drop_near_duplicates(spark, docs, sf_dir):
     smallest hash, in every run the same.  Rows without an id all stay, as do
     null and empty texts, which resemble nothing.
     """
+    _small_batches(spark)
     groups = near_duplicates(docs, settings=Settings(percent=80))
     gone = listed(groups.filter("not kept").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
     kept = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
@@ -84,6 +95,7 @@ def pack_sequences(spark, docs, sf_dir):
     A null or empty text is a piece of one token, the end; rows that repeat are
     packed each on its own; an empty table gives no pieces.
     """
+    _small_batches(spark)
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
