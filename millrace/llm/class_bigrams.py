@@ -1,17 +1,20 @@
 """Perplexity of texts under a class-based bigram model.
 
 Words belong to classes; P(word | before) is the probability of its class after
-the class before, times the share of the word in its class.  The most frequent
-words are clustered by exchange: a word moves to the class that raises the
-likelihood of the class bigrams most, until none moves.  Every other word then
-takes the class that suits its neighbours best by the same likelihood, the
-clustered words being fixed.  Words that occur once stand for unseen words: an
+the class before, times the share of the word in its class.  All learned words
+are clustered by exchange: a word moves to the class that raises the likelihood
+of the class bigrams most.  The start comes from the most frequent words, moved
+one after another until none moves; every other word takes the class that suits
+its neighbours best.  Then sweeps over the corpus move all words, each judged
+against the class bigrams before the sweep, as long as the likelihood rises.
+Words that occur once stand for unseen words: an
 unseen word has the chance of one of them after the class before, shared out
 among as many kinds as there are of those and one more.
 The class model is mixed with the smoothed word frequencies.
 """
 
 import re
+import zlib
 from typing import NamedTuple
 
 import numpy as np
@@ -21,7 +24,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.frames import listed
 from millrace.llm.text_blocks import packed, unpacked, write_blocks
 from millrace.session import materialise
 
@@ -29,9 +31,10 @@ _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
 class Settings(NamedTuple):
-    """The ``frequent`` commonest words are clustered into ``classes``.  The rows
-    of a word that stands in more than ``word_blocks`` blocks do not meet in one
-    task."""
+    """The ``frequent`` commonest words make the start of the ``classes``.  Sweeps
+    over all words end when one raises the likelihood by less than ``least_gain``
+    of a nat per token.  Beyond ``word_blocks`` blocks, neighbours of words are
+    summed up in parts before they meet in one task."""
 
     classes: int = 24
     frequent: int = 300
@@ -40,6 +43,7 @@ class Settings(NamedTuple):
     added: float = 0.1
     block_chars: int = 8_000_000
     word_blocks: int = 20_000
+    least_gain: float = 0.002
 
 
 def words_of(text: str) -> list[str]:
@@ -116,31 +120,59 @@ def exchange(bigrams: np.ndarray, classes: int, sweeps: int) -> np.ndarray:
     return belongs[:count]
 
 
-class Clusters(NamedTuple):
-    """Classes of the clustered words, and log chances of a class after another."""
+def _suited(around: np.ndarray, own: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """The class of each word: its own, or the one that suits all its neighbours best.
 
-    number: dict
-    follows: np.ndarray
-    classes: int
-
-    def best(self, words, around: np.ndarray) -> np.ndarray:
-        """The class of each word: its own, or the one that suits all its neighbours best.
+    ``around`` has a row per word: how often each class, other words and the
+    edge come before it, then the same after it.  Words of the class after the
+    last have none yet.
+    """
+    width, classes = len(pairs), len(pairs) - 2
+    smooth = pairs + 0.5
+    follows = np.log(smooth / smooth.sum(1, keepdims=True))
+    score = around[:, :width] @ follows[:, :classes] + around[:, width : 2 * width] @ follows[:classes].T
+    # Rounded, so that the order of the sums in a product decides nothing.
+    best = np.round(score, 6).argmax(1)
+    return np.where(own < classes, own, best)
 
-        ``around`` has a row per word: how often each class, other words and the
-        edge come before it, then the same after it.
-        """
-        width = self.classes + 2
-        score = around[:, :width] @ self.follows[:, : self.classes] + around[:, width:] @ self.follows[: self.classes].T
-        # Rounded, so that the order of the sums in a product decides nothing.
-        best = np.round(score, 6).argmax(1)
-        own = np.array([self.number.get(w, -1) for w in words], np.int64)
-        return np.where(own >= 0, own, best)
 
+def _exchanged(around: np.ndarray, own: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """The class of each word that raises the likelihood most, all others staying.
 
-def _clusters(words: list[str], belongs: np.ndarray, pairs: np.ndarray, classes: int) -> Clusters:
-    smooth = pairs + 0.5
-    follows = np.log(smooth / smooth.sum(1, keepdims=True))
-    return Clusters({word: int(c) for word, c in zip(words, belongs)}, follows, classes)
+    ``around`` as for ``_suited``, then how often the word follows itself.
+    """
+    width, classes = len(pairs), len(pairs) - 2
+    xlogx = lambda x: x * np.log(np.maximum(x, 1))
+    rows, twice = np.arange(len(own)), around[:, -1]
+    before, after = around[:, :width].astype(float), around[:, width : 2 * width].astype(float)
+    n = after.sum(1)
+    before[rows, own] -= twice
+    after[rows, own] -= twice
+    # The bigrams of a class with itself, and its tokens, without the word.
+    inside = np.tile(np.diag(pairs)[:classes].astype(float), (len(own), 1))
+    inside[rows, own] -= before[rows, own] + after[rows, own] + twice
+    tokens = np.tile(pairs.sum(1)[:classes].astype(float), (len(own), 1))
+    tokens[rows, own] -= n
+    gain = xlogx(inside + before[:, :classes] + after[:, :classes] + twice[:, None]) - xlogx(inside)
+    gain -= 2 * (xlogx(tokens + n[:, None]) - xlogx(tokens))
+    for table, counts, others in ((pairs, after, before), (pairs.T, before, after)):
+        word, cell = np.nonzero(counts)
+        if not len(word):
+            continue
+        d, mine = counts[word, cell][:, None], own[word]
+        bare = table[:classes, cell].T.astype(float)
+        bare[np.arange(len(word)), mine] -= d[:, 0]
+        same = np.flatnonzero(cell == mine)
+        bare[same] -= others[word[same], :classes]
+        bare[same, mine[same]] -= twice[word[same]]
+        change = xlogx(bare + d) - xlogx(bare)
+        inner = np.flatnonzero(cell < classes)
+        change[inner, cell[inner]] = 0
+        first = np.flatnonzero(np.diff(word, prepend=-1))
+        gain[word[first]] += np.add.reduceat(change, first, axis=0)
+    gain = np.round(gain, 6)
+    gain[rows, own] += 5e-7
+    return gain.argmax(1)
 
 
 #: Cells with their counts, as count * number of cells + cell; a cell may come again.
@@ -157,149 +189,332 @@ def _cells_of(cells: np.ndarray, counts: np.ndarray, size: int, limit: int | Non
     return (n * size + np.repeat(cells, times)).astype(CELLS), times
 
 
-def _summed_cells(packs, which: np.ndarray, words: int, size: int) -> np.ndarray:
-    """Counts by word and cell; ``which``: the word of each pack of codes."""
-    lengths = np.fromiter(map(len, packs), np.int64, len(packs)) // np.dtype(CELLS).itemsize
+def _summed_cells(packs, which: np.ndarray, words: int, size: int, lengths=None) -> np.ndarray:
+    """Counts by word and cell; ``which``: the word of each pack of codes.
+
+    With ``lengths``, packs hold many words, each with so many codes in a row.
+    """
+    if lengths is None:
+        lengths = np.fromiter(map(len, packs), np.int64, len(packs)) // np.dtype(CELLS).itemsize
     codes = np.frombuffer(b"".join(packs), CELLS).astype(np.int64)
     at = np.repeat(which, lengths) * size + codes % size
     return np.bincount(at, weights=codes // size, minlength=words * size).reshape(words, size)
 
 
-def _neighbours(words: list[str], belongs: np.ndarray, classes: int):
-    """Each word of a block with its training count and its neighbours by class."""
-    number = {word: int(c) for word, c in zip(words, belongs)}
-    rest, edge = classes, classes + 1
-    width = edge + 1
+#: A word may occur more than 2**32 times.
+COUNTS = "<u8"
+_NUMBERED = "bucket int, block long, positions binary, members binary, totals binary, top array<struct<n: long, word: string, member: int>>"
+_CLASSES = "bucket int, classes binary, moved long"
+_LOOKUP = "bucket int, block long, positions binary, members binary, classes binary, counts binary"
+_NEAR = "bucket int, block long, members binary, lengths binary, around binary"
+
+
+def _steps(values: np.ndarray) -> bytes:
+    """Rising numbers."""
+    return packed(np.diff(values, prepend=0))
+
+
+def _unsteps(data) -> np.ndarray:
+    return np.cumsum(unpacked(data).astype(np.int64))
+
+
+def _dealt(buckets: int):
+    """The words of a block by the bucket of their hash: one row per block and bucket."""
 
     def run(batches):
         for batch in batches:
             for row in batch.to_pandas().itertuples():
-                names = list(row.words)
-                if not names:
+                names = np.asarray(row.words, object)
+                if not len(names):
                     continue
-                symbols = np.array([number.get(w, rest) for w in names], np.int64)
-                codes = unpacked(row.codes)
-                around = _sequence(row.lengths, row.flags, codes, symbols, edge)
-                place = _sequence(row.lengths, row.flags, codes, np.arange(len(names)), -1)
-                inner = np.flatnonzero(place >= 0)
-                spots = place[inner] * 2 * width
-                cells = np.concatenate([spots + around[inner - 1], spots + width + around[inner + 1]])
-                total = np.bincount(cells, minlength=len(names) * 2 * width)
-                there = np.flatnonzero(total)
-                values, times = _cells_of(there % (2 * width), total[there], 2 * width)
-                each = np.bincount(there // (2 * width), weights=times, minlength=len(names))
-                ends = np.concatenate([[0], np.cumsum(each) * values.itemsize]).astype(np.int32)
-                packs = pa.Array.from_buffers(pa.binary(), len(names), [None, pa.py_buffer(ends), pa.py_buffer(values)])
+                bucket = np.fromiter((zlib.crc32(w.encode()) % buckets for w in names), np.int64, len(names))
+                order = np.argsort(bucket, kind="stable")
+                there, starts = np.unique(bucket[order], return_index=True)
+                ends = np.append(starts, len(names)).astype(np.int32)
+                lists = lambda values, kind: pa.ListArray.from_arrays(pa.array(ends), pa.array(values, kind))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(names, pa.string()),
-                        pa.array(np.full(len(names), row.block, np.int64)),
-                        pa.array(np.arange(len(names), dtype=np.int32)),
-                        pa.array(np.asarray(row.counts, np.int64)),
-                        packs,
+                        pa.array(there.astype(np.int32)),
+                        pa.array(np.full(len(there), row.block, np.int64)),
+                        lists(names[order], pa.string()),
+                        lists(order.astype(np.int32), pa.int32()),
+                        lists(np.asarray(row.counts, np.int64)[order], pa.int64()),
                     ],
-                    ["word", "block", "position", "n", "around"],
+                    ["bucket", "block", "words", "positions", "counts"],
                 )
 
     return run
 
 
-#: A word may occur more than 2**32 times.
-COUNTS = "<u8"
-_LOOKUP = "block long, positions binary, classes binary, counts binary, tokens array<long>, kinds long"
+def _numbers(frequent: int):
+    """Rows in bucket order -> words by number in their bucket, then a row with its totals and commonest words."""
 
+    names = [field.split()[0] for field in _NUMBERED.split(", ", 5)]
 
-def _settled(clusters: Clusters):
-    """Rows in word order -> class and count of each word, for each block.
+    def whole(bucket, number, totals):
+        totals = totals[: len(number)]
+        least = max(1, np.partition(totals, -frequent)[-frequent]) if len(totals) > frequent > 0 else 1
+        words = list(number)
+        top = sorted((-int(totals[at]), words[at], int(at)) for at in np.flatnonzero(totals >= least))[:frequent]
+        top = [{"n": -n, "word": word, "member": at} for n, word, at in top]
+        return bucket, None, None, None, packed(totals, COUNTS), top
 
-    A row without a block sums up the words that a task has settled.
-    """
+    def run(frames):
+        bucket, number, totals = None, {}, np.zeros(0, np.int64)
+        for frame in frames:
+            out = []
+            for row in frame.itertuples():
+                if row.bucket != bucket:
+                    if bucket is not None:
+                        out.append(whole(bucket, number, totals))
+                    bucket, number, totals = row.bucket, {}, np.zeros(0, np.int64)
+                members = np.fromiter((number.setdefault(w, len(number)) for w in row.words), np.int64, len(row.words))
+                if len(number) > len(totals):
+                    totals = np.concatenate([totals, np.zeros(len(number), np.int64)])
+                totals[members] += row.counts
+                order = np.argsort(members)
+                out.append((row.bucket, row.block, packed(row.positions[order]), _steps(members[order]), None, None))
+            yield pd.DataFrame(out, columns=names).astype({"block": "Int64"})
+        if bucket is not None:
+            yield pd.DataFrame([whole(bucket, number, totals)], columns=names).astype({"block": "Int64"})
+
+    return run
 
-    names = [field.split()[0] for field in _LOOKUP.split(", ")]
-    classes = clusters.classes
-
-    def settle(frame, tokens):
-        """Rows of whole words -> lookup rows and the number of learned words."""
-        which, words = pd.factorize(frame["word"])
-        counts = np.bincount(which, weights=frame["n"], minlength=len(words)).astype(np.int64)
-        around = _summed_cells(frame["around"].tolist(), which, len(words), 2 * (classes + 2))
-        best = clusters.best(words, around)
-        known = counts > 0
-        tokens += np.bincount(best[known], weights=counts[known], minlength=classes).astype(np.int64)
-        blocks, positions = frame["block"].to_numpy(), frame["position"].to_numpy()
-        order = np.argsort(blocks, kind="stable")
-        out = []
-        for rows in np.split(order, np.flatnonzero(np.diff(blocks[order])) + 1):
-            own = which[rows]
-            out.append((blocks[rows[0]], packed(positions[rows]), packed(best[own]), packed(counts[own], COUNTS), None, None))
-        return pd.DataFrame(out, columns=names), int(known.sum())
+
+def _start(classes: int, chosen: dict):
+    """The classes of the clustered words, (number, class) by bucket; all others have none yet."""
 
     def run(frames):
-        tokens, kinds = np.zeros(classes, np.int64), 0
-        pending = None  # the rows of the last word, which the next batch may go on with
         for frame in frames:
-            frame = frame if pending is None else pd.concat([pending, frame], ignore_index=True)
-            last = frame["word"] == frame["word"].iloc[-1]
-            pending, whole = frame[last], frame[~last]
-            if len(whole):
-                out, known = settle(whole, tokens)
-                kinds += known
-                yield out
-        if pending is not None:
-            out, known = settle(pending, tokens)
-            kinds += known
-            yield out
-        yield pd.DataFrame([(None, None, None, None, tokens, kinds)], columns=names).astype({"block": "Int64"})
+            out = []
+            for bucket, totals in zip(frame["bucket"], frame["totals"]):
+                own = np.full(len(unpacked(totals, COUNTS)), classes, np.int64)
+                for member, cluster in chosen.get(bucket, []):
+                    own[member] = cluster
+                out.append((bucket, packed(own), 0))
+            yield pd.DataFrame(out, columns=["bucket", "classes", "moved"])
 
     return run
 
 
-def _widespread(found: DataFrame, clusters: Clusters, word_blocks: int) -> DataFrame:
-    """(word, total, class) of the words with more than ``word_blocks`` rows.
+def _looked_up(frames):
+    """Rows in bucket order, that of its classes first -> classes of the words of each block.
 
-    Summed up in parts before they meet, by the rule of ``_settled``.
+    Where the classes come with totals, with these in place of the numbers.
     """
-    size = 2 * (clusters.classes + 2)
+    own, totals = None, None
+    for frame in frames:
+        out = []
+        for row in frame.itertuples():
+            if row.classes is not None:
+                own = unpacked(row.classes)
+                totals = None if row.totals is None else unpacked(row.totals, COUNTS)
+                continue
+            at = _unsteps(row.members)
+            last = (row.members, packed(own[at]), None) if totals is None else (None, packed(own[at]), packed(totals[at], COUNTS))
+            out.append((row.bucket, int(row.block), row.positions, *last))
+        yield pd.DataFrame(out, columns=["bucket", "block", "positions", "members", "classes", "counts"])
+
+
+def _lookups(numbered: DataFrame, state: DataFrame, totals: DataFrame | None = None) -> DataFrame:
+    if totals is None:
+        state = state.select("bucket", "classes", F.lit(None).cast("binary").alias("totals"))
+    else:
+        state = state.join(totals, "bucket").select("bucket", "classes", "totals")
+    rows = numbered.filter("block is not null").select("bucket", "block", "positions", "members")
+    rows = rows.unionByName(state, allowMissingColumns=True)
+    # Nulls come first, so that the classes of a bucket stand before its words.
+    rows = rows.repartition("bucket").sortWithinPartitions("bucket", "block")
+    return rows.mapInPandas(_looked_up, _LOOKUP)
+
+
+def _neighbours(classes: int):
+    """The neighbours by class of the learned words of a block, one row per bucket of words."""
+    edge, width = classes + 1, classes + 2
+    size = 2 * width + 1
+
+    def run(blocks, found):
+        row = blocks.iloc[0]
+        found = found.sort_values("bucket")
+        positions = [unpacked(p) for p in found["positions"]]
+        starts = np.cumsum([0, *map(len, positions)])
+        words = int(starts[-1])
+        number, belongs = np.zeros(words, np.int64), np.zeros(words, np.int64)
+        if words:
+            order = np.concatenate(positions)
+            number[order] = np.arange(words)
+            belongs[order] = np.concatenate([unpacked(c) for c in found["classes"]])
+        codes = unpacked(row["codes"])
+        around = _sequence(row["lengths"], row["flags"], codes, belongs, edge)
+        place = _sequence(row["lengths"], row["flags"], codes, number, -1)
+        inner = np.flatnonzero(place >= 0)
+        spots = place[inner] * size
+        twice = spots[place[inner] == place[inner + 1]] + 2 * width
+        cells = np.concatenate([spots + around[inner - 1], spots + width + around[inner + 1], twice])
+        # Sorted, as few of all cells of a block's many words have a count.
+        cells = np.sort(cells.astype(np.uint32 if words * size < 2**32 else np.uint64))
+        first = np.flatnonzero(np.diff(cells, prepend=cells[:1] + 1))
+        there, total = cells[first].astype(np.int64), np.diff(np.append(first, len(cells)))
+        values, times = _cells_of(there % size, total, size)
+        each = np.bincount(there // size, weights=times, minlength=words).astype(np.int64)
+        ends = np.concatenate([[0], np.cumsum(each)])
+        out = [
+            (bucket, row["block"], members, packed(each[a:b]), packed(values[ends[a] : ends[b]]))
+            for bucket, members, a, b in zip(found["bucket"], found["members"], starts[:-1], starts[1:])
+            if ends[b] > ends[a]
+        ]
+        return pd.DataFrame(out, columns=["bucket", "block", "members", "lengths", "around"])
+
+    return run
+
+
+def _table(rows, size: int) -> np.ndarray:
+    """Counts by word of a bucket and cell, of some of its rows."""
+    members = np.concatenate([_unsteps(m) for m in rows["members"]])
+    lengths = np.concatenate([unpacked(n) for n in rows["lengths"]]).astype(np.int64)
+    packs = [unpacked(a).tobytes() for a in rows["around"]]
+    return _summed_cells(packs, members, int(members.max()) + 1, size, lengths).astype(np.int64)
+
+
+def _added_up(size: int):
+    """Rows in order of bucket and block -> one row of their sum for each."""
 
-    def parts(frames):
-        """(word, cell, count); cell ``size`` has the count of the word itself."""
+    def whole(key, table):
+        there = np.flatnonzero(table)
+        values, times = _cells_of(there % size, table.ravel()[there], size)
+        each = np.bincount(there // size, weights=times, minlength=len(table)).astype(np.int64)
+        members = np.flatnonzero(each)
+        return *key, _steps(members), packed(each[members]), packed(values)
+
+    def run(frames):
+        last, total = None, None
         for frame in frames:
-            which, words = pd.factorize(frame["word"])
-            counts = np.bincount(which, weights=frame["n"], minlength=len(words))[:, None]
-            cells = np.hstack([_summed_cells(frame["around"].tolist(), which, len(words), size), counts]).astype(np.int64)
-            word, cell = np.nonzero(cells + (np.arange(size + 1) == size))
-            yield pd.DataFrame({"word": words[word], "cell": cell, "n": cells[word, cell]})
+            out = []
+            for key, rows in frame.groupby(["bucket", "block"]):
+                table = _table(rows, size)
+                if key == last:
+                    less, total = sorted((total, table), key=len)
+                    total[: len(less)] += less
+                    continue
+                if last is not None:
+                    out.append(whole(last, total))
+                last, total = key, table
+            yield pd.DataFrame(out, columns=["bucket", "block", "members", "lengths", "around"])
+        if last is not None:
+            yield pd.DataFrame([whole(last, total)], columns=["bucket", "block", "members", "lengths", "around"])
+
+    return run
+
 
-    def settle(frames):
+def _all_around(blocks: DataFrame, lookups: DataFrame, classes: int, n_blocks: int, word_blocks: int) -> DataFrame:
+    """The neighbours by class of all learned words, one row per bucket."""
+    grouped = blocks.select("block", "flags", "lengths", "codes").groupBy("block").cogroup(lookups.groupBy("block"))
+    near = grouped.applyInPandas(_neighbours(classes), _NEAR)
+    parts = -(-n_blocks // max(word_blocks, 1)) if n_blocks > word_blocks else 1
+    for n in (parts, 1) if parts > 1 else (1,):
+        near = near.withColumn("block", F.pmod(F.hash("block"), F.lit(n)).cast("long"))
+        near = near.repartition("bucket", "block").sortWithinPartitions("bucket", "block")
+        near = near.mapInPandas(_added_up(2 * classes + 5), _NEAR)
+    return near.drop("block")
+
+
+def _bigrams_of(classes: int):
+    """Class bigrams of the words of each bucket, and of the edge before them."""
+    edge, width = classes + 1, classes + 2
+
+    def run(frames):
         for frame in frames:
-            cells = np.zeros((len(frame), size + 1))
-            for at, (own, n) in enumerate(zip(frame["cells"], frame["counts"])):
-                cells[at, own] = n
-            total, best = cells[:, size].astype(np.int64), clusters.best(frame["word"], cells[:, :size])
-            yield pd.DataFrame({"word": frame["word"], "total": total, "class": best})
-
-    many = found.groupBy("word").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > word_blocks).select("word")
-    summed = found.join(many, "word").select("word", "n", "around").mapInPandas(parts, "word string, cell int, n long")
-    summed = summed.groupBy("word", "cell").agg(F.sum("n").alias("n"))
-    whole = summed.groupBy("word").agg(F.collect_list(F.struct("cell", "n")).alias("all"))
-    whole = whole.select("word", F.col("all.cell").alias("cells"), F.col("all.n").alias("counts"))
-    return whole.mapInPandas(settle, "word string, total long, class int")
-
-
-def _handed_back(frames):
-    """Settled words with their blocks -> lookup rows."""
-    for frame in frames:
-        out = [
-            (block, packed(own["position"].to_numpy()), packed(own["class"].to_numpy()), packed(own["total"].to_numpy(), COUNTS))
-            for block, own in frame.groupby("block", sort=False)
-        ]
-        yield pd.DataFrame(out, columns=["block", "positions", "classes", "counts"])
+            pairs = np.zeros((width, width), np.int64)
+            for at in np.flatnonzero(frame["members"].notna()):
+                rows = frame.iloc[at : at + 1]
+                table = _table(rows, 2 * width + 1)
+                own = unpacked(rows["classes"].iloc[0])[: len(table)]
+                for c in range(classes):
+                    mine = table[own == c].sum(0)
+                    pairs[c] += mine[width : 2 * width]
+                    pairs[edge, c] += mine[edge]
+            cells = np.flatnonzero(pairs)
+            yield pd.DataFrame({"cell": cells, "n": pairs.ravel()[cells]})
+
+    return run
+
+
+#: Words that are moved at once in a task.
+_MOVED = 4096
+
+
+def _reclassed(pairs: np.ndarray, rule):
+    """New classes of the words of each bucket by a rule, and how many words moved."""
+
+    def run(frames):
+        for frame in frames:
+            out = []
+            for at, bucket in enumerate(frame["bucket"]):
+                rows = frame.iloc[at : at + 1]
+                own = unpacked(rows["classes"].iloc[0]).astype(np.int64)
+                new = own.copy()
+                if rows["members"].notna().iloc[0]:
+                    table = _table(rows, 2 * len(pairs) + 1)
+                    learned = np.flatnonzero(table.any(1))
+                    for some in np.split(learned, range(_MOVED, len(learned), _MOVED)):
+                        new[some] = rule(table[some], own[some], pairs)
+                out.append((bucket, packed(new), int((new != own).sum())))
+            yield pd.DataFrame(out, columns=["bucket", "classes", "moved"])
+
+    return run
+
+
+def _clustered(blocks, numbered, state, coarse, n_blocks, settings) -> DataFrame:
+    """Classes of all words by bucket: from those of the start, moved until the likelihood stays."""
+    classes = settings.classes
+    width = classes + 2
+
+    def beside(state):
+        lookups = _lookups(numbered, state)
+        near, _ = materialise(_all_around(blocks, lookups, classes, n_blocks, settings.word_blocks), "neighbours")
+        return state.drop("moved").join(near, "bucket", "left")
+
+    def moved(near, pairs, rule):
+        new, _ = materialise(near.mapInPandas(_reclassed(pairs, rule), _CLASSES), "word_classes")
+        return new, new.agg(F.sum("moved")).first()[0]
+
+    state, any_moved = moved(beside(state), coarse, _suited)
+    kept, value = state, -np.inf
+    for _ in range(settings.sweeps):
+        near = beside(state)
+        pairs = _summed(near.mapInPandas(_bigrams_of(classes), "cell long, n long"), width * width).reshape(width, width)
+        now = _likelihood(pairs)
+        if now <= value:
+            break
+        gain, kept, value = now - value, state, now
+        if gain < settings.least_gain * pairs.sum():
+            break
+        state, any_moved = moved(near, pairs, _exchanged)
+        if not any_moved:
+            break
+    return kept
+
+
+def _totals_of(classes: int):
+    """Tokens of each class, then learned words, of the words of each bucket."""
+
+    def run(frames):
+        for frame in frames:
+            n = np.zeros(classes + 1, np.int64)
+            for own, totals in zip(frame["classes"], frame["totals"]):
+                own, totals = unpacked(own), unpacked(totals, COUNTS).astype(np.int64)
+                known = totals > 0
+                np.add.at(n, own[known], totals[known])
+                n[classes] += known.sum()
+            yield pd.DataFrame({"cell": np.arange(classes + 1), "n": n})
+
+    return run
 
 
 def _filled(row, found, classes):
     """Class (``classes`` for unseen words) and training count of each word of a block."""
-    belongs = np.full(len(row["words"]) + 1, classes, np.int64)
-    counts = np.zeros(len(row["words"]) + 1, np.int64)
+    belongs = np.full(row["n_words"] + 1, classes, np.int64)
+    counts = np.zeros(row["n_words"] + 1, np.int64)
     for positions, own, n in zip(found["positions"], found["classes"], found["counts"]):
         at = unpacked(positions)
         counts[at] = unpacked(n, COUNTS)
@@ -419,47 +634,39 @@ def score_texts(docs: DataFrame, learned, id_col="doc_id", text_col="text", sett
     """
     classes = settings.classes
     blocks = write_blocks(docs, id_col, text_col, learned, words_of, settings.block_chars)
-    often = blocks.select(F.explode(F.filter(F.arrays_zip("words", "counts"), lambda w: w["counts"] > 0)).alias("w"))
-    often = often.groupBy("w.words").agg(F.sum("w.counts").alias("n")).orderBy(F.desc("n"), "words")
-    frequent = [r["words"] for r in often.limit(settings.frequent).collect()]
     texts = blocks.select(F.aggregate(F.filter("flags", lambda f: f), F.lit(0).cast("long"), lambda a, b: a + 1).alias("n"))
     n_texts, n_blocks = texts.agg(F.sum("n"), F.count(F.lit(1))).first()
     n_texts = int(n_texts or 0)
+    # As many buckets as keep the words of a bucket few, whatever the number of blocks.
+    dealt = blocks.select("block", "words", "counts").mapInArrow(
+        _dealt(max(64, n_blocks // 4)),
+        "bucket int, block long, words array<string>, positions array<int>, counts array<long>",
+    )
+    dealt = dealt.repartition("bucket").sortWithinPartitions("bucket", "block")
+    numbered, _ = materialise(dealt.mapInPandas(_numbers(settings.frequent), _NUMBERED), "numbered_words")
+    totals = numbered.filter("block is null").select("bucket", "totals")
+    often = numbered.filter("block is null").select("bucket", F.explode("top").alias("w")).select("bucket", "w.*")
+    often = often.orderBy(F.desc("n"), "word").limit(settings.frequent).collect()
+    frequent = [r["word"] for r in often]
     side = len(frequent) + 2
     cells = blocks.select("lengths", "flags", "codes", "words").mapInPandas(_frequent_bigrams(frequent), "cell long, n long")
     bigrams = _summed(cells, side * side).reshape(side, side).astype(float)
     belongs = exchange(bigrams, classes, settings.sweeps)
     member = np.eye(classes + 2)[np.concatenate([belongs, [classes, classes + 1]]).astype(int)]
     coarse = member.T @ bigrams @ member
-    clusters = _clusters(frequent, belongs, coarse, classes)
-    near = blocks.select("block", "lengths", "flags", "codes", "words", "counts").mapInArrow(
-        _neighbours(frequent, belongs, classes), "word string, block long, position int, n long, around binary"
-    )
-    # A word has one row for each block it stands in.
-    spread = None
-    if n_blocks > settings.word_blocks:
-        near, _ = materialise(near, "neighbours")
-        spread = listed(_widespread(near, clusters, settings.word_blocks), "widespread")
-    all_near = near
-    if spread is not None:
-        near = near.join(spread.select("word"), "word", "left_anti")
-    near = near.repartition("word").sortWithinPartitions("word")
-    lookups, _ = materialise(near.mapInPandas(_settled(clusters), _LOOKUP), "word_classes")
-    sums = lookups.filter("block is null").select("tokens", "kinds").collect()
-    tokens = np.sum([r["tokens"] for r in sums], axis=0).astype(np.int64) if sums else np.zeros(classes, np.int64)
-    kinds = sum(r["kinds"] for r in sums) + (n_texts > 0)
-    found = lookups.filter("block is not null").select("block", "positions", "classes", "counts")
-    if spread is not None:
-        known = spread.filter("total > 0").groupBy("class")
-        for row in known.agg(F.sum("total"), F.count(F.lit(1))).collect():
-            tokens[row[0]] += row[1]
-            kinds += row[2]
-        settled = all_near.join(spread, "word").select("block", "position", "class", "total")
-        found = found.unionByName(
-            settled.mapInPandas(_handed_back, "block long, positions binary, classes binary, counts binary")
-        )
+    chosen = {}
+    for row, own in zip(often, belongs):
+        chosen.setdefault(row["bucket"], []).append((row["member"], int(own)))
+    state, _ = materialise(totals.mapInPandas(_start(classes, chosen), _CLASSES), "word_classes")
+    if frequent:
+        state = _clustered(blocks, numbered, state, coarse, n_blocks, settings)
+    of_words = state.join(totals, "bucket").select("classes", "totals")
+    *tokens, kinds = _summed(of_words.mapInPandas(_totals_of(classes), "cell long, n long"), classes + 1)
+    tokens, kinds = np.array(tokens, np.int64), int(kinds) + (n_texts > 0)
+    found, _ = materialise(_lookups(numbered, state, totals).drop("bucket", "members"), "lookups")
     found = found.groupBy("block")
-    grouped = blocks.select("block", "ids", "flags", "lengths", "codes", "words").groupBy("block").cogroup(found)
+    grouped = blocks.select("block", "ids", "flags", "lengths", "codes", F.size("words").alias("n_words"))
+    grouped = grouped.groupBy("block").cogroup(found)
     width = classes + 2
     both = _summed(grouped.applyInPandas(_class_pairs(classes), "cell long, n long"), 2 * width * width)
     pairs, marked = both.reshape(2, width, width)
