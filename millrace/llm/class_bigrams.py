@@ -14,17 +14,18 @@ The class model is mixed with the smoothed word frequencies.
 """
 
 import re
-import zlib
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.text_blocks import packed, unpacked, write_blocks
+from millrace.llm.text_blocks import Numbers, packed, unpacked, write_blocks
+from millrace.llm.words import mixed
 from millrace.session import materialise
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -51,27 +52,45 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(text.encode().lower().decode())
 
 
+def all_words_of(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """The words of many texts as ``words_of`` has them: how many in each, and all in a row."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    words, lengths = lists.flatten(), pc.list_value_length(lists).to_numpy().astype(np.int64)
+    # White space at an end leaves an empty string there, a text without words too.
+    real = pc.binary_length(words).to_numpy() > 0
+    if not real.all():
+        lengths = np.add.reduceat(real.astype(np.int64), np.cumsum(lengths) - lengths)
+        words = words.filter(pa.array(real))
+    return lengths, words
+
+
+def _line(lengths, flags, codes, edge: int) -> np.ndarray:
+    """Codes of the flagged texts of a block, with ``edge`` around each."""
+    lengths, flags = np.asarray(lengths, np.int64), np.asarray(flags, bool)
+    codes = codes if flags.all() else codes[np.repeat(flags, lengths)]
+    return np.insert(codes, np.concatenate([[0], np.cumsum(lengths[flags])]), edge) if flags.any() else np.array([edge])
+
+
 def _sequence(lengths, flags, codes, symbols, edge) -> np.ndarray:
     """Symbols of the flagged texts of a block, with ``edge`` around each."""
-    lengths, flags = np.asarray(lengths, np.int64), np.asarray(flags, bool)
-    values = symbols[codes[np.repeat(flags, lengths)]]
-    ends = np.cumsum(lengths[flags])
-    return np.insert(values, np.concatenate([[0], ends]), edge) if len(ends) else np.array([edge])
+    return np.append(symbols, edge)[_line(lengths, flags, codes, len(symbols))]
 
 
 def _frequent_bigrams(words: list[str]):
-    number = {word: at for at, word in enumerate(words)}
     rest, edge = len(words), len(words) + 1
 
-    def run(frames):
+    def run(batches):
         total = np.zeros((edge + 1) ** 2, np.int64)
-        for frame in frames:
-            for row in frame.itertuples():
-                symbols = np.array([number.get(w, rest) for w in row.words] or [rest], np.int64)
-                found = _sequence(row.lengths, row.flags, unpacked(row.codes), symbols, edge)
+        for batch in batches:
+            known = pa.array(words, batch.schema.field("words").type.value_type)
+            for row in range(batch.num_rows):
+                lengths, flags, names = (batch[c][row].values for c in ("lengths", "flags", "words"))
+                symbols = pc.fill_null(pc.index_in(names, known), rest).to_numpy().astype(np.int64)
+                codes = unpacked(batch["codes"][row].as_buffer())
+                found = _sequence(lengths.to_numpy(), flags.to_numpy(zero_copy_only=False), codes, symbols, edge)
                 total += np.bincount(found[:-1] * (edge + 1) + found[1:], minlength=len(total))
         cells = np.flatnonzero(total)
-        yield pd.DataFrame({"cell": cells, "n": total[cells]})
+        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(total[cells])], ["cell", "n"])
 
     return run
 
@@ -148,24 +167,37 @@ def _exchanged(around: np.ndarray, own: np.ndarray, pairs: np.ndarray) -> np.nda
     n = after.sum(1)
     before[rows, own] -= twice
     after[rows, own] -= twice
-    # The bigrams of a class with itself, and its tokens, without the word.
-    inside = np.tile(np.diag(pairs)[:classes].astype(float), (len(own), 1))
-    inside[rows, own] -= before[rows, own] + after[rows, own] + twice
-    tokens = np.tile(pairs.sum(1)[:classes].astype(float), (len(own), 1))
-    tokens[rows, own] -= n
-    gain = xlogx(inside + before[:, :classes] + after[:, :classes] + twice[:, None]) - xlogx(inside)
-    gain -= 2 * (xlogx(tokens + n[:, None]) - xlogx(tokens))
+    gain = np.zeros((len(own), classes))
+    # The bigrams of a class with itself, without the word; they stay where the word does not meet the class.
+    more = before[:, :classes] + after[:, :classes] + twice[:, None]
+    word, cell = np.nonzero(more)
+    mine = cell == own[word]
+    inside = np.diag(pairs)[cell].astype(float)
+    inside[mine] -= (before[rows, own] + after[rows, own] + twice)[word[mine]]
+    gain[word, cell] = xlogx(inside + more[word, cell]) - xlogx(inside)
+    # The tokens of a class, without the word: the same for all words as frequent, but for their own classes.
+    tokens = pairs.sum(1)[:classes].astype(float)
+    kinds, kind = np.unique(n, return_inverse=True)
+    change = (xlogx(tokens + kinds[:, None]) - xlogx(tokens))[kind]
+    bare = tokens[own] - n
+    change[rows, own] = xlogx(bare + n) - xlogx(bare)
+    gain -= 2 * change
     for table, counts, others in ((pairs, after, before), (pairs.T, before, after)):
         word, cell = np.nonzero(counts)
         if not len(word):
             continue
-        d, mine = counts[word, cell][:, None], own[word]
-        bare = table[:classes, cell].T.astype(float)
-        bare[np.arange(len(word)), mine] -= d[:, 0]
+        d, mine, table = counts[word, cell], own[word], table[:classes].astype(float)
+        # The same for all words that meet a class as often, but for their own classes.
+        span = int(d.max()) + 1
+        kinds, kind = np.unique(cell * span + d.astype(np.int64), return_inverse=True)
+        bare, times = table[:, kinds // span].T, (kinds % span)[:, None]
+        change = (xlogx(bare + times) - xlogx(bare))[kind]
+        bare = table[mine, cell] - d
+        change[np.arange(len(word)), mine] = xlogx(bare + d) - xlogx(bare)
         same = np.flatnonzero(cell == mine)
-        bare[same] -= others[word[same], :classes]
-        bare[same, mine[same]] -= twice[word[same]]
-        change = xlogx(bare + d) - xlogx(bare)
+        bare = table[:, cell[same]].T - others[word[same], :classes]
+        bare[np.arange(len(same)), mine[same]] -= d[same] + twice[word[same]]
+        change[same] = xlogx(bare + d[same, None]) - xlogx(bare)
         inner = np.flatnonzero(cell < classes)
         change[inner, cell[inner]] = 0
         first = np.flatnonzero(np.diff(word, prepend=-1))
@@ -182,6 +214,8 @@ CELLS = "<u4"
 def _cells_of(cells: np.ndarray, counts: np.ndarray, size: int, limit: int | None = None):
     """Codes of cells with their counts, and how many codes each of them takes."""
     limit = limit or (2**32 - 1) // size - 1
+    if counts.max(initial=0) <= limit:
+        return (counts * size + cells).astype(CELLS), np.ones(len(cells), np.int64)
     times = -(-counts // limit)
     last = np.cumsum(times) - 1
     n = np.full(int(times.sum()), limit, np.int64)
@@ -196,9 +230,15 @@ def _summed_cells(packs, which: np.ndarray, words: int, size: int, lengths=None)
     """
     if lengths is None:
         lengths = np.fromiter(map(len, packs), np.int64, len(packs)) // np.dtype(CELLS).itemsize
-    codes = np.frombuffer(b"".join(packs), CELLS).astype(np.int64)
-    at = np.repeat(which, lengths) * size + codes % size
-    return np.bincount(at, weights=codes // size, minlength=words * size).reshape(words, size)
+    cells, counts = _uncelled(np.frombuffer(b"".join(packs), CELLS), size)
+    at = np.repeat(which, lengths) * size + cells
+    return np.bincount(at, weights=counts, minlength=words * size).reshape(words, size)
+
+
+def _uncelled(codes: np.ndarray, size: int):
+    """Cells and counts of codes."""
+    counts = codes // codes.dtype.type(size)
+    return codes - counts * codes.dtype.type(size), counts
 
 
 #: A word may occur more than 2**32 times.
@@ -218,27 +258,37 @@ def _unsteps(data) -> np.ndarray:
     return np.cumsum(unpacked(data).astype(np.int64))
 
 
+def _hashes(words: pa.Array) -> np.ndarray:
+    """A hash of the bytes of each word."""
+    words = words.cast(pa.large_binary())
+    offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+    letters = np.frombuffer(words.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]].astype(np.uint64)
+    place = np.arange(len(letters)) - np.repeat(offsets[:-1] - offsets[0], np.diff(offsets))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(letters + (place.astype(np.uint64) << np.uint64(8))))])
+    return mixed(np.diff(sums[offsets - offsets[0]]))
+
+
 def _dealt(buckets: int):
     """The words of a block by the bucket of their hash: one row per block and bucket."""
 
     def run(batches):
         for batch in batches:
-            for row in batch.to_pandas().itertuples():
-                names = np.asarray(row.words, object)
+            for row in range(batch.num_rows):
+                names, counts = batch["words"][row].values, batch["counts"][row].values.to_numpy()
                 if not len(names):
                     continue
-                bucket = np.fromiter((zlib.crc32(w.encode()) % buckets for w in names), np.int64, len(names))
+                bucket = (_hashes(names) % np.uint64(buckets)).astype(np.int32)
                 order = np.argsort(bucket, kind="stable")
                 there, starts = np.unique(bucket[order], return_index=True)
-                ends = np.append(starts, len(names)).astype(np.int32)
-                lists = lambda values, kind: pa.ListArray.from_arrays(pa.array(ends), pa.array(values, kind))
+                ends = pa.array(np.append(starts, len(names)).astype(np.int32))
+                lists = lambda values: pa.ListArray.from_arrays(ends, values)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(there.astype(np.int32)),
-                        pa.array(np.full(len(there), row.block, np.int64)),
-                        lists(names[order], pa.string()),
-                        lists(order.astype(np.int32), pa.int32()),
-                        lists(np.asarray(row.counts, np.int64)[order], pa.int64()),
+                        pa.array(there),
+                        pa.array(np.full(len(there), batch["block"][row].as_py(), np.int64)),
+                        lists(names.take(pa.array(order))),
+                        lists(pa.array(order.astype(np.int32))),
+                        lists(pa.array(counts[order])),
                     ],
                     ["bucket", "block", "words", "positions", "counts"],
                 )
@@ -260,15 +310,15 @@ def _numbers(frequent: int):
         return bucket, None, None, None, packed(totals, COUNTS), top
 
     def run(frames):
-        bucket, number, totals = None, {}, np.zeros(0, np.int64)
+        bucket, number, totals = None, Numbers(), np.zeros(0, np.int64)
         for frame in frames:
             out = []
             for row in frame.itertuples():
                 if row.bucket != bucket:
                     if bucket is not None:
                         out.append(whole(bucket, number, totals))
-                    bucket, number, totals = row.bucket, {}, np.zeros(0, np.int64)
-                members = np.fromiter((number.setdefault(w, len(number)) for w in row.words), np.int64, len(row.words))
+                    bucket, number, totals = row.bucket, Numbers(), np.zeros(0, np.int64)
+                members = np.fromiter(map(number.__getitem__, row.words), np.int64, len(row.words))
                 if len(number) > len(totals):
                     totals = np.concatenate([totals, np.zeros(len(number), np.int64)])
                 totals[members] += row.counts
@@ -339,24 +389,25 @@ def _neighbours(classes: int):
         positions = [unpacked(p) for p in found["positions"]]
         starts = np.cumsum([0, *map(len, positions)])
         words = int(starts[-1])
-        number, belongs = np.zeros(words, np.int64), np.zeros(words, np.int64)
+        kind = np.uint32 if (words + 1) * size < 2**32 else np.uint64
+        # Where the cells of each word begin; the edge comes after the last word.
+        spot, belongs = np.full(words + 1, words * size, kind), np.full(words + 1, edge, kind)
         if words:
             order = np.concatenate(positions)
-            number[order] = np.arange(words)
+            spot[order] = np.arange(words, dtype=kind) * kind(size)
             belongs[order] = np.concatenate([unpacked(c) for c in found["classes"]])
-        codes = unpacked(row["codes"])
-        around = _sequence(row["lengths"], row["flags"], codes, belongs, edge)
-        place = _sequence(row["lengths"], row["flags"], codes, number, -1)
-        inner = np.flatnonzero(place >= 0)
-        spots = place[inner] * size
-        twice = spots[place[inner] == place[inner + 1]] + 2 * width
-        cells = np.concatenate([spots + around[inner - 1], spots + width + around[inner + 1], twice])
+        line = _line(row["lengths"], row["flags"], unpacked(row["codes"]), words)
+        spots, around = spot[line], belongs[line]
+        twice = spots[:-1][line[:-1] == line[1:]] + kind(2 * width)
+        cells = np.concatenate([spots[1:] + around[:-1], spots[:-1] + (around[1:] + kind(width)), twice])
         # Sorted, as few of all cells of a block's many words have a count.
-        cells = np.sort(cells.astype(np.uint32 if words * size < 2**32 else np.uint64))
-        first = np.flatnonzero(np.diff(cells, prepend=cells[:1] + 1))
-        there, total = cells[first].astype(np.int64), np.diff(np.append(first, len(cells)))
-        values, times = _cells_of(there % size, total, size)
-        each = np.bincount(there // size, weights=times, minlength=words).astype(np.int64)
+        cells.sort()
+        cells = cells[: np.searchsorted(cells, kind(words * size))]
+        first = np.flatnonzero(np.append(True, cells[1:] != cells[:-1])[: len(cells)])
+        there, total = cells[first], np.diff(np.append(first, len(cells)))
+        word = there // kind(size)
+        values, times = _cells_of((there - word * kind(size)).astype(np.int64), total, size)
+        each = np.bincount(word.astype(np.int64), weights=times, minlength=words).astype(np.int64)
         ends = np.concatenate([[0], np.cumsum(each)])
         out = [
             (bucket, row["block"], members, packed(each[a:b]), packed(values[ends[a] : ends[b]]))
@@ -368,11 +419,16 @@ def _neighbours(classes: int):
     return run
 
 
-def _table(rows, size: int) -> np.ndarray:
-    """Counts by word of a bucket and cell, of some of its rows."""
+def _unlisted(rows):
+    """Members, lengths and codes of cells of rows of neighbours."""
     members = np.concatenate([_unsteps(m) for m in rows["members"]])
     lengths = np.concatenate([unpacked(n) for n in rows["lengths"]]).astype(np.int64)
-    packs = [unpacked(a).tobytes() for a in rows["around"]]
+    return members, lengths, [unpacked(a) for a in rows["around"]]
+
+
+def _table(rows, size: int) -> np.ndarray:
+    """Counts by word of a bucket and cell, of some of its rows."""
+    members, lengths, packs = _unlisted(rows)
     return _summed_cells(packs, members, int(members.max()) + 1, size, lengths).astype(np.int64)
 
 
@@ -426,13 +482,11 @@ def _bigrams_of(classes: int):
         for frame in frames:
             pairs = np.zeros((width, width), np.int64)
             for at in np.flatnonzero(frame["members"].notna()):
-                rows = frame.iloc[at : at + 1]
-                table = _table(rows, 2 * width + 1)
-                own = unpacked(rows["classes"].iloc[0])[: len(table)]
-                for c in range(classes):
-                    mine = table[own == c].sum(0)
-                    pairs[c] += mine[width : 2 * width]
-                    pairs[edge, c] += mine[edge]
+                members, lengths, packs = _unlisted(frame.iloc[at : at + 1])
+                own = unpacked(frame["classes"].iloc[at])[members].astype(np.int64)
+                mine = _summed_cells(packs, own, width, 2 * width + 1, lengths).astype(np.int64)[:classes]
+                pairs[:classes] += mine[:, width : 2 * width]
+                pairs[edge, :classes] += mine[:, edge]
             cells = np.flatnonzero(pairs)
             yield pd.DataFrame({"cell": cells, "n": pairs.ravel()[cells]})
 
@@ -533,10 +587,11 @@ def _class_pairs(classes: int):
     def run(blocks, found):
         row = blocks.iloc[0]
         belongs, counts = _filled(row, found, classes)
-        codes = unpacked(row["codes"])
+        belongs[-1] = edge  # a position past the words
+        line = _line(row["lengths"], row["flags"], unpacked(row["codes"]), row["n_words"])
         parts = []
-        for symbols in (belongs, np.where(counts <= 1, classes, belongs)):
-            seen = _sequence(row["lengths"], row["flags"], codes, symbols, edge)
+        for symbols in (belongs, np.where((counts <= 1) & (belongs != edge), classes, belongs)):
+            seen = symbols[line]
             parts.append(np.bincount(seen[:-1] * width + seen[1:], minlength=width * width))
         cells = np.concatenate(parts)
         at = np.flatnonzero(cells)
@@ -586,17 +641,16 @@ def _scores(model: Model):
         belongs, counts = _filled(row, found, classes)
         lengths = np.asarray(row["lengths"], np.int64)
         everything = np.ones(len(lengths), bool)
-        codes = unpacked(row["codes"])
         end = len(counts) - 1  # a position past the words, for the end of a text
         counts[end], belongs[end] = model.texts, edge
-        place = _sequence(lengths, everything, codes, np.arange(len(counts)), end)[1:]
-        n, own = counts[place], belongs[place]
+        place = _line(lengths, everything, unpacked(row["codes"]), end)[1:]
+        own = belongs[place]
         before = np.concatenate([[edge], own[:-1]])
-        base = (n + s.added) / whole
+        base = (counts + s.added) / whole
         share = np.where(belongs == classes, 1 / (model.once + 1), 1.0)
         inside = belongs < classes
         share[inside] = counts[inside] / model.tokens[belongs[inside]]
-        chance = s.mixture * model.follows[before, own] * share[place] + (1 - s.mixture) * base
+        chance = (s.mixture * model.follows)[before, own] * share[place] + ((1 - s.mixture) * base)[place]
         starts = np.concatenate([[0], np.cumsum(lengths + 1)[:-1]])
         total = lambda values: np.add.reduceat(values, starts)
         return pd.DataFrame(
@@ -604,9 +658,9 @@ def _scores(model: Model):
                 "id": row["ids"],
                 "learned": row["flags"],
                 "n_tokens": lengths + 1,
-                "n_known": total((n > 0).astype(np.int64)),
+                "n_known": total((counts > 0).astype(np.int64)[place]),
                 "train_tokens": model.train_tokens,
-                "base_score": total(np.log10(base)),
+                "base_score": total(np.log10(base)[place]),
                 "score": total(np.log10(chance)),
             }
         )
@@ -633,7 +687,7 @@ def score_texts(docs: DataFrame, learned, id_col="doc_id", text_col="text", sett
     token has the same small probability.  Other columns are not read.
     """
     classes = settings.classes
-    blocks = write_blocks(docs, id_col, text_col, learned, words_of, settings.block_chars)
+    blocks = write_blocks(docs, id_col, text_col, learned, words_of, settings.block_chars, all_words_of)
     texts = blocks.select(F.aggregate(F.filter("flags", lambda f: f), F.lit(0).cast("long"), lambda a, b: a + 1).alias("n"))
     n_texts, n_blocks = texts.agg(F.sum("n"), F.count(F.lit(1))).first()
     n_texts = int(n_texts or 0)
@@ -649,7 +703,7 @@ def score_texts(docs: DataFrame, learned, id_col="doc_id", text_col="text", sett
     often = often.orderBy(F.desc("n"), "word").limit(settings.frequent).collect()
     frequent = [r["word"] for r in often]
     side = len(frequent) + 2
-    cells = blocks.select("lengths", "flags", "codes", "words").mapInPandas(_frequent_bigrams(frequent), "cell long, n long")
+    cells = blocks.select("lengths", "flags", "codes", "words").mapInArrow(_frequent_bigrams(frequent), "cell long, n long")
     bigrams = _summed(cells, side * side).reshape(side, side).astype(float)
     belongs = exchange(bigrams, classes, settings.sweeps)
     member = np.eye(classes + 2)[np.concatenate([belongs, [classes, classes + 1]]).astype(int)]

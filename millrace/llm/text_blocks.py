@@ -11,6 +11,7 @@ import uuid
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -22,7 +23,7 @@ from millrace.session import fresh_path
 BLOCK_CHARS = 8_000_000
 
 
-class _Numbers(dict):
+class Numbers(dict):
     def __missing__(self, word):
         number = self[word] = len(self)
         return number
@@ -42,25 +43,34 @@ def unpacked(data, kind="<u4") -> np.ndarray:
 
 
 class _Block:
-    def __init__(self):
-        self.words, self.ids, self.flags, self.parts, self.chars = _Numbers(), [], [], [], 0
+    """Texts whose words are numbered as the texts come."""
 
-    def add(self, key, flag, chars, words):
+    def __init__(self, split):
+        self.split, self.words, self.ids, self.flags, self.parts, self.chars = split, Numbers(), [], [], [], 0
+
+    def add(self, key, flag, text):
         self.ids.append(key)
         self.flags.append(flag)
-        self.parts.append(np.fromiter(map(self.words.__getitem__, words), np.uint32, len(words)))
-        self.chars += chars
+        self.parts.append(self.part(text))
+        self.chars += len(text)
 
-    def row(self, number):
+    def part(self, text):
+        words = self.split(text)
+        return np.fromiter(map(self.words.__getitem__, words), np.uint32, len(words))
+
+    def numbered(self):
         codes = np.concatenate(self.parts) if self.parts else np.empty(0, np.uint32)
-        lengths = np.array([len(p) for p in self.parts], np.int64)
-        order = np.argsort(-np.bincount(codes, minlength=len(self.words)), kind="stable")
+        return np.array([len(p) for p in self.parts], np.int64), codes, np.array(list(self.words), object)
+
+    def row(self, number):
+        lengths, codes, words = self.numbered()
+        order = np.argsort(-np.bincount(codes, minlength=len(words)), kind="stable")
         rank = np.empty(len(order), np.uint32)
         rank[order] = np.arange(len(order), dtype=np.uint32)
         codes = rank[codes]
-        words = np.array(list(self.words), object)[order] if len(order) else []
+        words = words[order] if len(order) else []
         learned = np.repeat(np.array(self.flags, bool), lengths)
-        counts = np.bincount(codes[learned], minlength=len(self.words))
+        counts = np.bincount(codes[learned], minlength=len(words))
         return pd.DataFrame(
             {
                 "block": [number],
@@ -75,27 +85,43 @@ class _Block:
         )
 
 
-def _blocks(split, block_chars):
+class _WholeBlock(_Block):
+    """Texts whose words are split and numbered together; numbers as in ``_Block``."""
+
+    def part(self, text):
+        return text
+
+    def numbered(self):
+        lengths, words = self.split(pa.array(self.parts, pa.large_string()))
+        coded = words.dictionary_encode()
+        return lengths, coded.indices.to_numpy().astype(np.uint32), coded.dictionary.to_numpy(zero_copy_only=False)
+
+
+def _blocks(split, block_chars, split_all=None):
+    fresh = lambda: _WholeBlock(split_all) if split_all else _Block(split)
+
     def run(frames):
         first = TaskContext.get().partitionId() << 32
-        block, made = _Block(), 0
+        block, made = fresh(), 0
         for frame in frames:
             for key, flag, text in zip(frame["id"], frame["flag"], frame["text"]):
                 text = text or ""
-                block.add(key, bool(flag), len(text), split(text))
+                block.add(key, bool(flag), text)
                 if block.chars >= block_chars:
                     yield block.row(first + made)
-                    block, made = _Block(), made + 1
+                    block, made = fresh(), made + 1
         if block.ids:
             yield block.row(first + made)
 
     return run
 
 
-def write_blocks(docs: DataFrame, id_col, text_col, flag, split, block_chars=BLOCK_CHARS) -> DataFrame:
+def write_blocks(docs: DataFrame, id_col, text_col, flag, split, block_chars=BLOCK_CHARS, split_all=None) -> DataFrame:
     """(block, ids, flags, lengths, codes, words, counts, learned), one row per block.
 
     ``split`` turns a text into a list of strings; a null text is empty.
+    ``split_all``, which goes first, does so for an Arrow array of texts at once:
+    how many words each has, and all words one after another.
     ``flag`` is a boolean column, kept per text; ``counts`` has how often each
     word of the block occurs in texts with the flag, ``learned`` their sum.
     """
@@ -115,7 +141,7 @@ def write_blocks(docs: DataFrame, id_col, text_col, flag, split, block_chars=BLO
     texts = docs.select(F.col(id_col).alias("id"), flag.alias("flag"), F.col(text_col).cast("string").alias("text"))
     name = f"text_blocks_{uuid.uuid4().hex}"
     (
-        texts.mapInPandas(_blocks(split, block_chars), schema)
+        texts.mapInPandas(_blocks(split, block_chars, split_all), schema)
         .write.option("compression", "zstd")
         .option("parquet.block.size", 16 << 20)
         .option("path", fresh_path(spark, "blocks"))
