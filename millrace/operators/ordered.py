@@ -16,16 +16,29 @@ ONE_TASK_ROWS = 1_000_000
 FEWEST_RANGES = 256
 # Range totals that are sent to every task: a few numbers each.
 TOTALS_SENT = 1_000_000
+# Of Spark's increasing ids, the bits that number the rows of a partition.
+PLACE_BITS = 33
 
 
-def in_ranges(table: DataFrame, by, ranges, name) -> DataFrame:
+def in_ranges(table: DataFrame, by, ranges, name, part_rows=None) -> DataFrame:
     """Rows dealt out in ``ranges`` parts of about equal size, in the order of ``by``.
 
-    Adds the number of the part as ``name``.  The frame is written, so that a
-    row keeps its part whatever later happens to a task.
+    Adds the number of the part as ``name``.  With ``part_rows``, each is cut
+    again into parts of so many consecutive rows, whose numbers grow along
+    ``by`` and have gaps.  The frame is written, so that a row keeps its part
+    whatever later happens to a task.
     """
-    dealt = table.repartitionByRange(ranges, *by).withColumn(name, F.spark_partition_id())
-    return materialise(dealt, "ranged")[0]
+    dealt = table.repartitionByRange(ranges, *by)
+    if part_rows is None:
+        part = F.spark_partition_id()
+    else:
+        dealt = dealt.sortWithinPartitions(*by)
+        # The range above, and below it the place of the row in its range.
+        place = F.monotonically_increasing_id()
+        part = F.shiftleft(F.shiftright(place, PLACE_BITS), PLACE_BITS) + F.floor(
+            place.bitwiseAND(F.lit((1 << PLACE_BITS) - 1)) / part_rows
+        )
+    return materialise(dealt.withColumn(name, part), "ranged")[0]
 
 
 def running_totals(

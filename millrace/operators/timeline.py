@@ -21,6 +21,9 @@ from millrace.operators.ordered import in_ranges
 from millrace.session import materialise
 
 LIST_ROWS = 1_000_000
+# Rows of a range that one task cuts into slots, and how many ranges there are at least.
+RANGE_ROWS = 250_000
+FEWEST_RANGES = 64
 
 
 @dataclass(frozen=True)
@@ -104,10 +107,14 @@ def _in_slots(df, order, limits):
 
     Slots hold rows rather than time, so neither a burst nor a long quiet time
     makes one large or makes many: an entity has one slot, and so one summary
-    row, for each ``slot_rows`` rows, and the entities at its ends.
+    row, for each ``slot_rows`` rows, and the entities at its ends.  A task
+    cuts as many slots as its range of rows holds, so small slots do not make
+    many tasks.
     """
     table, rows = materialise(df, "to-slot")
-    return in_ranges(table, order, max(1, -(-rows // limits.slot_rows)), "slot")
+    slots = max(1, -(-rows // limits.slot_rows))
+    ranges = min(slots, max(FEWEST_RANGES, -(-rows // RANGE_ROWS)))
+    return in_ranges(table, order, ranges, "slot", limits.slot_rows)
 
 
 def slot_width(points: DataFrame, slot_rows, start=None) -> int:

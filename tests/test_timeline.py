@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators import timeline
+from millrace.operators import ordered, timeline
 from millrace.operators.timeline import Limits
 
 BASE = datetime(2024, 1, 1)
@@ -269,3 +269,51 @@ def test_spread_of_a_hot_entity_is_close(spark):
             rank = sum(v <= got[name] for v in values) / len(values)
             below = sum(v < got[name] for v in values) / len(values)
             assert below - 5 * 0.0133 <= p <= rank + 5 * 0.0133
+
+
+def dense(spark, n=1_500):
+    """Rows of four entities, each with a time of its own."""
+    r = random.Random(31)
+    rows = [(i, i % 4, BASE + timedelta(seconds=i), float(r.randrange(50)), r.choice("ab")) for i in range(n)]
+    return events(spark, rows)
+
+
+@pytest.fixture
+def tasks_of_slots(monkeypatch):
+    """How many tasks cut each table into slots."""
+    seen, write = [], ordered.materialise
+
+    def counted(df, name):
+        if name == "ranged":
+            seen.append(df.rdd.getNumPartitions())
+        return write(df, name)
+
+    monkeypatch.setattr(ordered, "materialise", counted)
+    return seen
+
+
+SMALL_SLOTS = Limits(group_rows=7, frame_rows=3, slot_rows=4, block_rows=5)
+
+
+def test_small_slots_do_not_make_many_tasks(spark, tasks_of_slots):
+    table = timeline._in_slots(dense(spark).select("u", "id"), ["u", "id"], SMALL_SLOTS)
+    slots = {}
+    for row in table.collect():
+        slots.setdefault(row["slot"], []).append((row["u"], row["id"]))
+    assert tasks_of_slots == [timeline.FEWEST_RANGES]
+    assert max(map(len, slots.values())) == SMALL_SLOTS.slot_rows and len(slots) >= 375
+    # Slots are consecutive, and no row is lost.
+    in_order = [row for slot in sorted(slots) for row in sorted(slots[slot])]
+    assert in_order == sorted((i % 4, i) for i in range(1_500))
+
+
+def test_asof_of_small_slots_takes_few_tasks(spark, tasks_of_slots):
+    df = dense(spark)
+    facts = df.filter("kind = 'b'").select("u", F.col("ts").alias("fts"), F.col("id").alias("fid"))
+    ways = [Limits(), SMALL_SLOTS]
+    plain, sliced = (
+        sorted(map(tuple, timeline.asof_join(df, facts, "u", "ts", "fts", ["fid"], limits=limits).collect()))
+        for limits in ways
+    )
+    assert plain == sliced and len(plain) == 1_500
+    assert tasks_of_slots == [timeline.FEWEST_RANGES]
