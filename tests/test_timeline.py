@@ -317,3 +317,13 @@ def test_asof_of_small_slots_takes_few_tasks(spark, tasks_of_slots):
     )
     assert plain == sliced and len(plain) == 1_500
     assert tasks_of_slots == [timeline.FEWEST_RANGES]
+
+
+def test_several_tables_of_small_slots_take_few_tasks(spark, tasks_of_slots):
+    df = dense(spark)
+    plain, sliced = (
+        sorted(map(repr, timeline.asof_join_all(df, feature_tables(df), "u", "ts", limits=limits).collect()))
+        for limits in (Limits(), SMALL_SLOTS)
+    )
+    assert plain == sliced and len(plain) == 1_500
+    assert tasks_of_slots == [timeline.FEWEST_RANGES]
