@@ -327,3 +327,13 @@ def test_several_tables_of_small_slots_take_few_tasks(spark, tasks_of_slots):
     )
     assert plain == sliced and len(plain) == 1_500
     assert tasks_of_slots == [timeline.FEWEST_RANGES]
+
+
+def test_trailing_rows_of_small_slots_take_few_tasks(spark, tasks_of_slots):
+    df = dense(spark)
+    plain, sliced = (
+        sorted(map(tuple, timeline.trailing_rows(df, "u", "ts", "id", "v", 4, limits=limits).collect()))
+        for limits in (Limits(), SMALL_SLOTS)
+    )
+    assert plain == sliced and len(plain) == 1_500
+    assert tasks_of_slots == [timeline.FEWEST_RANGES]
