@@ -337,3 +337,13 @@ def test_trailing_rows_of_small_slots_take_few_tasks(spark, tasks_of_slots):
     )
     assert plain == sliced and len(plain) == 1_500
     assert tasks_of_slots == [timeline.FEWEST_RANGES]
+
+
+def test_forward_label_of_small_slots_takes_few_tasks(spark, tasks_of_slots):
+    df = dense(spark)
+    plain, sliced = (
+        sorted(map(tuple, timeline.has_event_after(df, df.filter("kind = 'b'"), "u", "ts", "ts", 3_000_000, limits=limits).collect()))
+        for limits in (Limits(), SMALL_SLOTS)
+    )
+    assert plain == sliced and len(plain) == 1_500
+    assert tasks_of_slots == [timeline.FEWEST_RANGES]
