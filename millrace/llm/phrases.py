@@ -1,21 +1,21 @@
 """Collocations: phrases whose words occur together far more often than apart.
 
 Words are counted first.  A phrase can be frequent only if all its parts are
-(Apriori): adjacent pairs are hashed into counted buckets, and only a pair in a
-frequent bucket, of two frequent words, is a candidate; triples of which both
-pairs are frequent are hashed and picked likewise.  Candidates are dealt to shards of bounded size, each of
-which becomes a double-array trie.  Tries are broadcast, as many at a time as a
-fixed bound allows; tasks run all positions of their text through them at once
-and count the accepting states; Spark sums these counts.
+(Apriori): of adjacent words only frequent ones are counted as pairs, and of
+three in a row only those whose pairs both lie in buckets of frequent pairs.
 
 Texts are read once, into blocks of numbered words with a mark between pieces,
-one language a block.  No list that grows with the corpus is broadcast: buckets
-are a fixed number of bits, and tries beyond the bound take further passes.
+one language a block.  The different words of a block go to groups by hash,
+which count them and give the frequent ones a number for the whole corpus; the
+numbers go back to the blocks.  A phrase is then two or three numbers.  Tasks
+count those of many blocks at a time, and the counts meet in groups by hash, as
+sorted arrays.  So the blocks are read once for pairs and once for triples,
+however many phrases there are.  No list that grows with the corpus is
+broadcast: buckets are a fixed number of bits.
 """
 
-from collections import defaultdict
+from itertools import count
 from typing import NamedTuple
-from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -25,7 +25,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from millrace.llm.phrase_trie import Trie, build, counts
 from millrace.llm.text_blocks import packed, unpacked
 from millrace.llm.words import mixed
 from millrace.session import materialise
@@ -35,12 +34,10 @@ PIECES = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", b",,,,,,,,,,")
 MARK = b","
 SLICE_BITS = 18
 OUT_ROWS = 50_000
-#: Phrases in an array of counts, and tasks whose arrays are summed first.
-SUM_SLICE = 1 << 16
-TOGETHER = 64
-#: Phrases that may meet in one hash group, if every block has each of them.
-GROUP_PHRASES = 8_000_000
+#: The block of rows that hold words.
+NO_BLOCK = -1
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_LOW = np.int64((1 << 32) - 1)
 
 
 class Settings(NamedTuple):
@@ -49,9 +46,10 @@ class Settings(NamedTuple):
     ``percent`` of a longer phrase's count or less is dropped with it.
 
     ``block_words`` bounds a block of text and ``open_words`` all blocks that a
-    task fills at a time, ``bits`` the buckets of pairs and of triples,
-    ``shard_phrases`` a trie, ``pass_phrases`` the tries broadcast at a time and
-    ``held`` the counts that a task keeps before it hands them on."""
+    task fills at a time, ``bits`` the buckets of pairs.  A group that counts
+    words has about four times ``shard_phrases`` words of blocks, one that counts
+    phrases the occurrences of four times ``pass_phrases``, and a task hands its
+    counts on after four times ``held`` occurrences."""
 
     least: int = 10
     percent: int = 50
@@ -81,23 +79,24 @@ class _Block:
         self.size += len(words)
         return len(words)
 
-    def row(self, lang):
+    def row(self, block, lang):
         codes = np.concatenate(self.parts)
         between = codes == 0
         codes = codes[~between | ~np.r_[False, between[:-1]]]
-        words = b"\n".join(self.numbers)
-        return (lang, int((codes > 0).sum()), zstandard.ZstdCompressor(level=3).compress(words), packed(codes))
+        return (block, lang, int((codes > 0).sum()), len(self.numbers), _joined(self.numbers), packed(codes))
 
 
-BLOCK = "lang string, n long, words binary, codes binary"
+BLOCK = "block long, lang string, n long, different long, words binary, codes binary"
 
 
 def _blocks(block_words, open_words):
     def run(frames):
         blocks, size = {}, 0
+        numbers = count(TaskContext.get().partitionId() << 32)
 
         def closed(lang):
-            return pd.DataFrame([blocks.pop(lang).row(lang)], columns=["lang", "n", "words", "codes"])
+            row = blocks.pop(lang).row(next(numbers), lang)
+            return pd.DataFrame([row], columns=["block", "lang", "n", "different", "words", "codes"])
 
         for frame in frames:
             for lang, text in zip(frame["lang"], frame["text"]):
@@ -115,97 +114,174 @@ def _blocks(block_words, open_words):
     return run
 
 
-def _spelled(found: dict):
-    """(lang, phrase, f) rows in small frames; empties what was found."""
-    for lang, own in found.items():
-        items = list(own.items())
-        own.clear()
-        for at in range(0, len(items), OUT_ROWS):
-            part = items[at : at + OUT_ROWS]
-            yield pd.DataFrame({"lang": lang, "phrase": [p.decode() for p, _ in part], "f": [n for _, n in part]})
+def _joined(words) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(b"\n".join(words))
 
 
 def _words(data) -> list[bytes]:
     return zstandard.ZstdDecompressor().decompress(bytes(data)).split(b"\n")
 
 
-def _given(frames):
-    """(lang, distinct words, codes) of each block; word 0 marks the end of a piece."""
-    for frame in frames:
-        for lang, words, codes in zip(frame["lang"], frame["words"], frame["codes"]):
-            yield lang, _words(words), unpacked(codes).astype(np.int64)
+def _hashes(lang, words) -> np.ndarray:
+    """A hash of each word of a language."""
+    start = xxh3_64_intdigest(lang.encode())
+    return np.fromiter((xxh3_64_intdigest(w, start) for w in words), np.uint64, len(words))
+
+
+def _slices(parts, groups):
+    """The rows of each part that occurs, in their order: (part, places)."""
+    parts = parts.astype(np.uint16 if groups <= 1 << 16 else np.int64)
+    order = np.argsort(parts, kind="stable")
+    here = parts[order]
+    starts = np.flatnonzero(np.r_[len(here) > 0, here[1:] != here[:-1]])
+    return [(int(here[at]), order[at:to]) for at, to in zip(starts, [*starts[1:], len(here)])]
+
+
+# --- words ----------------------------------------------------------------------
+
+ENTRIES = "part long, lang string, block long, words binary, places binary"
+NUMBERED = "lang string, block long, words binary, numbers binary"
 
 
-def _word_counts(held):
+def _entries(groups):
+    """The words of each block by hash group, with their places in its list and their counts."""
+
     def run(frames):
-        found: dict = defaultdict(dict)
-        for lang, words, codes in _given(frames):
-            own = found[lang]
-            for word, count in zip(words[1:], np.bincount(codes, minlength=len(words))[1:].tolist()):
-                own[word] = own.get(word, 0) + count
-            if sum(map(len, found.values())) >= held:
-                yield from _spelled(found)
-        yield from _spelled(found)
+        for frame in frames:
+            for block, lang, data, codes in zip(frame["block"], frame["lang"], frame["words"], frame["codes"]):
+                words = _words(data)
+                counts = np.bincount(unpacked(codes).astype(np.int64), minlength=len(words))[1:]
+                rows = []
+                for part, at in _slices(_hashes(lang, words[1:]) % np.uint64(groups), groups):
+                    own = _joined([words[place + 1] for place in at.tolist()])
+                    rows.append((part, lang, block, own, packed(np.r_[at + 1, counts[at]], "<u8")))
+                yield pd.DataFrame(rows, columns=["part", "lang", "block", "words", "places"])
 
     return run
 
 
-def _hashes(lang, words) -> np.ndarray:
-    """A hash of each word of a language."""
-    start = xxh3_64_intdigest(lang.encode())
-    return np.fromiter((xxh3_64_intdigest(w, start) for w in words), np.uint64, len(words))
+def _numbered(least, groups):
+    """Counts the words of a group, and numbers those that occur often enough from 1 on.
 
+    Gives the words of a lang in a row, with counts and numbers, and for every
+    block the places of such words in its list with their numbers.
+    """
 
-def _buckets(hashes, codes, at, length, bits) -> np.ndarray:
-    """The bucket of each run of ``length`` words that begins at a place."""
-    out = np.full(len(at), length, np.uint64)
-    for step in range(length):
-        out = mixed(out * _STEP + hashes[codes[at + step]])
-    return (out >> np.uint64(64 - bits)).astype(np.int32)
+    def run(frame):
+        rows, used, part = [], 0, int(frame["part"].iloc[0])
+        for lang, own in frame.groupby("lang", sort=False):
+            known, each, places, counts = _Numbers(), [], [], []
+            for words, data in zip(own["words"], own["places"]):
+                words = _words(words)
+                each.append(np.fromiter(map(known.__getitem__, words), np.int64, len(words)))
+                at, n = unpacked(data, "<u8").astype(np.int64).reshape(2, -1)
+                places.append(at)
+                counts.append(n)
+            total = np.zeros(len(known), np.int64)
+            np.add.at(total, np.concatenate(each), np.concatenate(counts))
+            met = np.flatnonzero(total >= least)
+            numbers = np.zeros(len(known), np.int64)
+            numbers[met] = (np.arange(len(met)) + used) * groups + part + 1
+            used += len(met)
+            if len(met):
+                spelled = list(known)
+                row = packed(np.r_[total[met], numbers[met]], "<u8")
+                rows.append((lang, NO_BLOCK, _joined([spelled[at] for at in met.tolist()]), row))
+            for block, mine, at in zip(own["block"], each, places):
+                mine = numbers[mine]
+                if mine.any():
+                    rows.append((lang, block, None, packed(np.r_[at[mine > 0], mine[mine > 0]])))
+        return pd.DataFrame(rows, columns=["lang", "block", "words", "numbers"])
 
+    return run
 
-def _runs_of(length, bits, marked, hashes, codes) -> np.ndarray:
-    """Where runs of ``length`` words inside a piece begin of which all pairs lie in marked buckets."""
-    hot = np.zeros(len(codes), bool)
-    at = np.flatnonzero((codes[:-1] > 0) & (codes[1:] > 0))
-    hot[at] = True if marked is None else _is_marked(marked, _buckets(hashes, codes, at, 2, bits))
-    here = hot.copy()
-    for step in range(1, length - 1):
-        here[:-step] &= hot[step:]
-        here[-step:] = False
-    return np.flatnonzero(here)
 
+def _spelled(frames):
+    """(lang, phrase, f, number) of the words, in small frames."""
+    for frame in frames:
+        for lang, words, data in zip(frame["lang"], frame["words"], frame["numbers"]):
+            words = [w.decode() for w in _words(words)]
+            f, number = unpacked(data, "<u8").astype(np.int64).reshape(2, -1)
+            for at in range(0, len(words), OUT_ROWS):
+                here = slice(at, at + OUT_ROWS)
+                yield pd.DataFrame({"lang": lang, "phrase": words[here], "f": f[here], "number": number[here]})
 
-def _is_marked(marked, buckets) -> np.ndarray:
-    return (marked[buckets >> 3] >> (7 - (buckets & 7))) & 1 == 1
 
+def _with_numbers(block, found):
+    """A block with the number of each word of its list, 0 for those that are not frequent."""
+    numbers = np.zeros(int(block["different"].iloc[0]), np.uint32)
+    for data in found["numbers"]:
+        at, own = unpacked(data).reshape(2, -1)
+        numbers[at] = own
+    return pd.DataFrame({"codes": [block["codes"].iloc[0]], "numbers": [packed(numbers)]})
 
-def _bits(shared):
-    return None if shared is None else np.frombuffer(shared.value, np.uint8)
 
+def _frequent_words(blocks, settings):
+    """(lang, phrase, f, number) of the frequent words, and the blocks with these numbers."""
+    groups = -(-(blocks.agg(F.sum("different")).first()[0] or 0) // (4 * settings.shard_phrases)) or 1
+    entries = blocks.mapInPandas(_entries(groups), ENTRIES).groupBy("part")
+    found, _ = materialise(entries.applyInPandas(_numbered(settings.least, groups), NUMBERED), "numbers")
+    spelled = found.filter(F.col("block") == NO_BLOCK)
+    words, _ = materialise(spelled.mapInPandas(_spelled, "lang string, phrase string, f long, number long"), "frequent")
+    placed = found.filter(F.col("block") != NO_BLOCK).select("block", "numbers").groupBy("block")
+    given = blocks.select("block", "different", "codes").groupBy("block")
+    placed = given.cogroup(placed).applyInPandas(_with_numbers, "codes binary, numbers binary")
+    return words, materialise(placed, "numbered_blocks")[0]
 
-def _bucket_counts(length, bits, pairs, held):
-    """How often the buckets of runs of ``length`` words occur, per task."""
 
-    def run(frames):
-        waiting, size, marked = [], 0, _bits(pairs)
+# --- phrases --------------------------------------------------------------------
 
-        def rows():
-            bucket, count = np.unique(np.concatenate(waiting), return_counts=True)
-            return pd.DataFrame({"bucket": bucket, "f": count.astype(np.int32)})
-
-        for lang, words, codes in _given(frames):
-            hashes = _hashes(lang, words)
-            at = _runs_of(length, bits, marked, hashes, codes)
-            waiting.append(_buckets(hashes, codes, at, length, bits))
-            size += len(at)
-            if size >= 10 * held:
-                yield rows()
-                waiting, size = [], 0
-        if waiting:
-            yield rows()
 
-    return run
+def _tallied(columns, weights=None):
+    """The different rows of two or more columns of numbers below 2 ** 31, sorted, and their summed weights.
+
+    Two numbers make a key of 64 bits; with a third, keys are numbered anew.
+    """
+    key, heads = columns[0].astype(np.int64) << 32 | columns[1], []
+    for column in columns[2:]:
+        head, number = np.unique(key, return_inverse=True)
+        heads.append(head)
+        key = number << 32 | column
+    if weights is None:
+        key, total = np.unique(key, return_counts=True)
+    else:
+        order = np.argsort(key)
+        key = key[order]
+        starts = np.flatnonzero(np.r_[len(key) > 0, key[1:] != key[:-1]])
+        key, total = key[starts], np.add.reduceat(weights[order], starts) if len(starts) else weights
+    out = []
+    for head in reversed(heads):
+        out.append(key & _LOW)
+        key = head[key >> 32]
+    return [key >> 32, key & _LOW, *reversed(out)], total
+
+
+def _mixed_all(columns) -> np.ndarray:
+    """A hash of each row of numbers."""
+    out = np.full(len(columns[0]), len(columns), np.uint64)
+    for column in columns:
+        out = mixed(out * _STEP + column.astype(np.uint64))
+    return out
+
+
+def _buckets(columns, bits) -> np.ndarray:
+    return (_mixed_all(columns) >> np.uint64(64 - bits)).astype(np.int32)
+
+
+def _runs_of(length, bits, marked, words) -> np.ndarray:
+    """Where runs of ``length`` frequent words inside a piece begin of which all pairs lie in marked buckets."""
+    hot = np.zeros(len(words), bool)
+    at = np.flatnonzero((words[:-1] > 0) & (words[1:] > 0))
+    hot[at] = True if marked is None else _is_marked(marked, _buckets([words[at], words[at + 1]], bits))
+    here = hot.copy()
+    for step in range(1, length - 1):
+        here[:-step] &= hot[step:]
+        here[-step:] = False
+    return np.flatnonzero(here)
+
+
+def _is_marked(marked, buckets) -> np.ndarray:
+    return (marked[buckets >> 3] >> (7 - (buckets & 7))) & 1 == 1
 
 
 def _as_bits(frame):
@@ -229,209 +305,77 @@ def _bit_list(buckets: DataFrame, bits: int):
     return spark.sparkContext.broadcast(found.tobytes())
 
 
-def _listed(found: dict, groups):
-    """Phrases by hash group, a compressed list a row; empties what was found."""
-    rows = []
-    for lang, own in found.items():
-        parts = defaultdict(list)
-        for phrase in own:
-            parts[crc32(phrase) % groups].append(phrase)
-        own.clear()
-        rows += [(lang, g, zstandard.ZstdCompressor(level=1).compress(b"\n".join(p))) for g, p in parts.items()]
-    yield pd.DataFrame(rows, columns=["lang", "part", "phrases"])
-
-
-def _different(frame):
-    """The different phrases of one hash group."""
-    unique = set()
-    for part in frame["phrases"]:
-        unique.update(zstandard.ZstdDecompressor().decompress(bytes(part)).split(b"\n"))
-    return pd.DataFrame({"lang": frame["lang"].iloc[0], "phrase": [p.decode() for p in unique]})
-
-
-def _seen(length, bits, pairs, whole, groups, held):
-    """Distinct runs of ``length`` words inside a piece, themselves and all their pairs in marked buckets."""
+def _buckets_of(bits):
+    """The buckets of a table of pairs."""
 
     def run(frames):
-        of_pairs, of_runs = _bits(pairs), _bits(whole)
-        found: dict = defaultdict(set)
-        for lang, words, codes in _given(frames):
-            hashes = _hashes(lang, words)
-            at = _runs_of(length, bits, of_pairs, hashes, codes)
-            at = at[_is_marked(of_runs, _buckets(hashes, codes, at, length, bits))]
-            key = codes[at]
-            for step in range(1, length):
-                # Numbered anew, runs of two words stay small enough for a third.
-                key = np.unique(key, return_inverse=True)[1] * len(words) + codes[at + step]
-            _, first = np.unique(key, return_index=True)
-            at = at[first]
-            parts = [[words[w] for w in codes[at + step].tolist()] for step in range(length)]
-            found[lang].update(map(b" ".join, zip(*parts)))
-            if sum(map(len, found.values())) >= held:
-                yield from _listed(found, groups)
-        yield from _listed(found, groups)
+        for frame in frames:
+            yield pd.DataFrame({"bucket": _buckets([frame["w0"].to_numpy(), frame["w1"].to_numpy()], bits)})
 
     return run
 
 
-def _candidates(blocks, length, pairs, whole, n_blocks, settings) -> DataFrame:
-    """(lang, phrase): the different runs of words that ``_seen`` finds.
-
-    Most tasks meet most of them, so they meet by hash group as lists.  There
-    are as many groups as keep the phrases of one, each from every task, to
-    some millions at most.
-    """
-    marked = int(np.bitwise_count(_bits(whole)).sum())
-    groups = min(marked // 1_000, marked * n_blocks // GROUP_PHRASES) + 1
-    found = _seen(length, settings.bits, pairs, whole, groups, settings.held)
-    lists = blocks.mapInPandas(found, "lang string, part long, phrases binary")
-    return lists.groupBy("lang", "part").applyInPandas(_different, "lang string, phrase string")
-
-
-TRIE = "lang string, shard long, number long, phrases long, radix long, words binary, length long, arrays array<binary>"
-
-
-def _make_trie(frame):
-    """The trie of one shard; phrases are numbered as in the shard's rows."""
-    frame = frame.sort_values("number")
-    phrases = [p.encode().split(b" ") for p in frame["phrase"]]
-    numbers = _Numbers()
-    trie = build(np.array([[numbers[w] for w in p] for p in phrases], np.int64), len(numbers))
-    return pd.DataFrame(
-        {
-            "lang": [frame["lang"].iloc[0]],
-            "shard": [frame["shard"].iloc[0]],
-            "number": [0],
-            "phrases": [len(phrases)],
-            "radix": [trie.radix],
-            "words": [b"\n".join(numbers)],
-            "length": [trie.words],
-            "arrays": [[a.tobytes() for a in (trie.base, trie.check, trie.phrase)]],
-        }
-    )
-
-
-SUM = "lang string, shard long, slice long, part long, counts binary"
-
+def _counts(length, bits, pairs, groups, held):
+    """How often runs of ``length`` frequent words occur in some blocks, by hash group.
 
-def _count(shared):
-    """Counts of the phrases of all broadcast tries, summed over the blocks of a task.
-
-    They leave it as arrays, ``SUM_SLICE`` phrases each: every task meets most
-    of the candidates, and a row for each would be tasks times candidates.
+    A row has the runs of a group in order, word by word, and their counts; of
+    the first word the steps, which compress well.
     """
 
     def run(frames):
-        tries: dict = {}
-        for lang, shard, phrases, radix, words, length, arrays in shared.value:
-            known = {w: n for n, w in enumerate(words.split(b"\n"))}
-            trie = Trie(radix, length, *(np.frombuffer(a, np.int32) for a in arrays))
-            tries.setdefault(lang, []).append((shard, known, trie, np.zeros(phrases, np.int64)))
-        for lang, words, codes in _given(frames):
-            for _, known, trie, total in tries.get(lang, ()):
-                numbers = np.fromiter((known.get(w, -1) for w in words), np.int64, len(words))
-                numbers[0] = -1
-                total += counts(trie, numbers[codes], len(total))
-        part = TaskContext.get().partitionId() // TOGETHER
-        rows = [
-            (lang, shard, at // SUM_SLICE, part, packed(total[at : at + SUM_SLICE], "<u8"))
-            for lang, own in tries.items()
-            for shard, _, _, total in own
-            for at in range(0, len(total), SUM_SLICE)
-            if total[at : at + SUM_SLICE].any()
-        ]
-        yield pd.DataFrame(rows, columns=["lang", "shard", "slice", "part", "counts"])
-
-    return run
+        waiting, size, marked = [], 0, None if pairs is None else np.frombuffer(pairs.value, np.uint8)
 
+        def rows():
+            columns, total = _tallied([np.concatenate(c) for c in zip(*waiting)])
+            out = []
+            for part, at in _slices(_mixed_all(columns) % np.uint64(groups), groups):
+                first, *others = (c[at] for c in columns)
+                out.append((part, packed(np.concatenate([np.diff(first, prepend=0), *others, total[at]]))))
+            return pd.DataFrame(out, columns=["part", "counts"])
 
-def _summed(frame) -> np.ndarray:
-    """The sum of the arrays of one slice."""
-    return sum(unpacked(c, "<u8").astype(np.int64) for c in frame["counts"])
-
+        for frame in frames:
+            for codes, numbers in zip(frame["codes"], frame["numbers"]):
+                words = unpacked(numbers)[unpacked(codes)]
+                at = _runs_of(length, bits, marked, words)
+                waiting.append([words[at + step] for step in range(length)])
+                size += len(at)
+                if size >= 4 * held:
+                    yield rows()
+                    waiting, size = [], 0
+        if size:
+            yield rows()
 
-def _sum_of_tasks(frame):
-    total = packed(_summed(frame), "<u8")
-    return frame[["lang", "shard", "slice", "part"]].head(1).assign(counts=[total])
+    return run
 
 
-def _sum_of_all(least):
-    """The phrases of a slice that occur often enough, from the sums of groups of tasks."""
+def _frequent(length, least):
+    """The runs of a group that occur often enough."""
 
     def run(frame):
-        total = _summed(frame)
-        met = np.flatnonzero(total >= least)
-        lang, shard, at = frame["lang"].iloc[0], frame["shard"].iloc[0], frame["slice"].iloc[0] * SUM_SLICE
-        return pd.DataFrame({"lang": lang, "shard": shard, "number": met + at, "f": total[met]})
+        parts = [unpacked(c).astype(np.int64).reshape(length + 1, -1) for c in frame["counts"]]
+        first = np.concatenate([np.cumsum(p[0]) for p in parts])
+        *others, counts = (np.concatenate([p[i] for p in parts]) for i in range(1, length + 1))
+        columns, total = _tallied([first, *others], counts)
+        met = total >= least
+        return pd.DataFrame({f"w{i}": c[met] for i, c in enumerate(columns)} | {"f": total[met]})
 
     return run
 
 
-def _counted(blocks: DataFrame, candidates: DataFrame, settings: Settings) -> DataFrame:
-    """(lang, phrase, f): the candidates with at least ``least`` occurrences."""
-    spark = blocks.sparkSession
-    per_lang = candidates.groupBy("lang").agg(
-        F.ceil(F.count(F.lit(1)) / settings.shard_phrases).cast("long").alias("shards")
-    )
-    shard = F.pmod(F.xxhash64("phrase"), F.col("shards"))
-    sharded = candidates.join(per_lang, "lang").select("lang", "phrase", shard.alias("shard"))
-    order = F.row_number().over(Window.partitionBy("lang", "shard").orderBy("phrase")) - 1
-    numbered, rows = materialise(sharded.withColumn("number", order.cast("long")), "candidates")
-    if not rows:
-        return candidates.select("lang", "phrase", F.lit(0).cast("long").alias("f"))
-    made, _ = materialise(numbered.groupBy("lang", "shard").applyInPandas(_make_trie, TRIE), "tries")
-    # A name and a size a trie: one row for every shard_phrases candidates.
-    listed = made.select("lang", "shard", "phrases").orderBy("lang", "shard").collect()
-    groups, size = [[]], 0
-    for row in listed:
-        if groups[-1] and size + row["phrases"] > settings.pass_phrases:
-            groups, size = [*groups, []], 0
-        groups[-1].append((row["lang"], row["shard"]))
-        size += row["phrases"]
-    found = None
-    for group in groups:
-        wanted = F.lit(False)
-        for lang in {lang for lang, _ in group}:
-            wanted |= (F.col("lang") == lang) & F.col("shard").isin([s for own, s in group if own == lang])
-        tries = made.filter(wanted).select("lang", "shard", "phrases", "radix", "words", "length", "arrays").collect()
-        shared = spark.sparkContext.broadcast([tuple(map(_plain, row)) for row in tries])
-        part = blocks.filter(F.col("lang").isin(sorted({lang for lang, _ in group})))
-        # Arrays of some tasks are summed first, so that no group grows with the number of tasks.
-        arrays = part.mapInPandas(_count(shared), SUM).groupBy("lang", "shard", "slice", "part")
-        arrays = arrays.applyInPandas(_sum_of_tasks, SUM).groupBy("lang", "shard", "slice")
-        summed = arrays.applyInPandas(_sum_of_all(settings.least), "lang string, shard long, number long, f long")
-        summed, _ = materialise(summed, "phrase_counts")
-        shared.destroy()
-        found = summed if found is None else found.unionByName(summed)
-    frequent = numbered.join(found, ["lang", "shard", "number"]).select("lang", "phrase", "f")
-    return materialise(frequent, "frequent")[0]
-
-
-def _plain(value):
-    """A value of a row without Spark's classes, as bytes where it is binary."""
-    if isinstance(value, (list, tuple)):
-        return [bytes(v) for v in value]
-    return bytes(value) if isinstance(value, bytearray) else value
-
-
-def _buckets_of(bits):
-    """The buckets of a table of pairs."""
-
-    def run(frames):
-        for frame in frames:
-            for lang, part in frame.groupby("lang"):
-                words = [w for p in part["phrase"] for w in p.encode().split(b" ")]
-                each = np.arange(len(words))
-                yield pd.DataFrame({"bucket": _buckets(_hashes(lang, words), each, each[::2], 2, bits)})
-
-    return run
+def _counted(blocks, length, pairs, n, settings) -> DataFrame:
+    """(w0, w1 and so on, f): the runs of ``length`` words with at least ``least`` occurrences, by their numbers."""
+    groups = -(-n // (4 * settings.pass_phrases)) or 1
+    each = blocks.mapInPandas(_counts(length, settings.bits, pairs, groups, settings.held), "part long, counts binary")
+    schema = ", ".join([*(f"w{i} long" for i in range(length)), "f long"])
+    return each.groupBy("part").applyInPandas(_frequent(length, settings.least), schema)
 
 
-def _frequent_buckets(blocks, length, pairs, settings):
-    """The buckets of runs of ``length`` words that reach the least count, as bits."""
-    each = blocks.mapInPandas(_bucket_counts(length, settings.bits, pairs, settings.held), "bucket int, f int")
-    total = each.groupBy("bucket").agg(F.sum("f").alias("f")).filter(F.col("f") >= settings.least)
-    return _bit_list(total, settings.bits)
+def _followed(phrases, heads, words, place):
+    """Phrases with the lang and the text of ``heads``, by their numbers, and of the word at ``place``."""
+    last = words.select(F.col("number").alias(f"w{place}"), F.col("phrase").alias("last"))
+    text = F.concat_ws(" ", "phrase", "last").alias("phrase")
+    numbers = [f"w{i}" for i in range(place + 1)]
+    return phrases.join(heads, numbers[:-1]).join(last, numbers[-1]).select("lang", text, "f", *numbers)
 
 
 def _part(start, words, phrase="phrase"):
@@ -445,28 +389,21 @@ def frequent_phrases(docs: DataFrame, text_col="text", lang_col="lang", settings
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("und"))
     texts = docs.select(lang.alias("lang"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     made = texts.mapInPandas(_blocks(settings.block_words, settings.open_words), BLOCK)
-    blocks, n_blocks = materialise(made, "phrase_blocks")
+    blocks, _ = materialise(made, "phrase_blocks")
     totals = blocks.groupBy("lang").agg(F.sum("n").alias("n"))
-    words = blocks.mapInPandas(_word_counts(settings.held), "lang string, phrase string, f long")
-    words = words.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).filter(F.col("f") >= settings.least)
-    words, _ = materialise(words, "frequent")
-    # Pairs: those in buckets that reach the least count, of two frequent words.
-    marked = _frequent_buckets(blocks, 2, None, settings)
-    pairs = _candidates(blocks, 2, None, marked, n_blocks, settings)
-    known = words.select("lang", F.col("phrase").alias("word"))
-    for place in (1, 2):
-        pairs = pairs.withColumn("word", _part(place, 1)).join(known, ["lang", "word"], "left_semi").drop("word")
-    pairs, _ = materialise(pairs, "pairs")
-    pairs = _counted(blocks, pairs, settings)
-    # Triples: those in such buckets whose two pairs are frequent.
+    n = blocks.agg(F.sum("n")).first()[0] or 0
+    words, blocks = _frequent_words(blocks, settings)
+    single = words.select("lang", "phrase", F.col("number").alias("w0"))
+    # A run of three occurs no more often than its pairs, so that a count of its own is enough.
+    pairs = _followed(_counted(blocks, 2, None, n, settings), single, words, 1)
+    pairs, _ = materialise(pairs, "frequent")
     of_pairs = _bit_list(pairs.mapInPandas(_buckets_of(settings.bits), "bucket int"), settings.bits)
-    marked = _frequent_buckets(blocks, 3, of_pairs, settings)
-    triples = _candidates(blocks, 3, of_pairs, marked, n_blocks, settings)
-    known = pairs.select("lang", F.col("phrase").alias("pair"))
-    for place in (1, 2):
-        triples = triples.withColumn("pair", _part(place, 2)).join(known, ["lang", "pair"], "left_semi").drop("pair")
-    triples, _ = materialise(triples, "triples")
-    return words, pairs, _counted(blocks, triples, settings), totals
+    heads = pairs.select("lang", "phrase", "w0", "w1")
+    triples = _followed(_counted(blocks, 3, of_pairs, n, settings), heads, words, 2)
+    triples, _ = materialise(triples, "frequent")
+    of_pairs.destroy()
+    words, pairs, triples = (found.select("lang", "phrase", "f") for found in (words, pairs, triples))
+    return words, pairs, triples, totals
 
 
 def _scored(phrases: DataFrame, left: DataFrame, right: DataFrame, cut: int) -> DataFrame:

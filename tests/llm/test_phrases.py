@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+from millrace.llm import phrases
 from millrace.llm.phrase_trie import build, counts
 from millrace.llm.phrases import Settings, collocations
 
@@ -100,3 +101,35 @@ def test_tries_count_like_plain_search(seed):
     assert counts(trie, np.array(text, np.int64), len(phrases)).tolist() == [want[p] for p in phrases]
     taken = trie.check[trie.check >= 0]
     assert len(taken) <= len(trie.check) and trie.words == size
+
+
+def test_blocks_are_not_read_again_for_more_phrases(spark, monkeypatch):
+    """What is written, and so what is read, is the same for one group of phrases and for many."""
+    names, write = [], phrases.materialise
+
+    def written(df, name):
+        names.append(name)
+        return write(df, name)
+
+    monkeypatch.setattr(phrases, "materialise", written)
+    docs = spark.createDataFrame([(n, t, lang, "x", 1, 2) for n, (lang, t) in enumerate(corpus())], SCHEMA)
+    found = []
+    for settings in (Settings(), Settings(shard_phrases=7, pass_phrases=15)):
+        found.append((sorted(map(tuple, collocations(docs, settings=settings).collect())), names[:]))
+        names.clear()
+    assert found[0] == found[1] and found[0][0]
+
+
+@pytest.mark.parametrize("size", [2, 3])
+def test_runs_of_numbers_are_tallied(size):
+    draw = random.Random(size)
+    numbers = [1, 2, 3, 1 << 21, (1 << 31) - 2, (1 << 31) - 1]
+    rows = [tuple(draw.choice(numbers) for _ in range(size)) for _ in range(2_000)]
+    columns = [np.array(c, np.uint32) for c in zip(*rows)]
+    different, total = phrases._tallied(columns)
+    want = Counter(rows)
+    assert list(zip(*(c.tolist() for c in different))) == sorted(want)
+    assert total.tolist() == [want[r] for r in sorted(want)]
+    again, total = phrases._tallied([np.r_[c, c[:5]] for c in different], np.r_[total, total[:5]])
+    assert total.tolist() == [want[r] * (1 + (i < 5)) for i, r in enumerate(sorted(want))]
+    assert list(zip(*(c.tolist() for c in again))) == sorted(want)
